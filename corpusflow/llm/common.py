@@ -8,12 +8,14 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusflow.session import importable
+
 DOC_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of a data set, read by Spark, so that any store that Spark reads will do."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return importable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
