@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusflow.llm import decontaminate, media, mixing, quality, simhash, toxicity
+from corpusflow.llm import chat, decontaminate, html_text, licenses, media, mixing, quality, simhash, toxicity, urls
 from corpusflow.llm.common import table
 
 
@@ -12,6 +12,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("detections")
+
+
 def op3_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.store(table(spark, sf_dir, "documents"), tensors=False)
 
@@ -20,10 +24,21 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = chat.MARKS[1] + chat.MARKS[2] + " ok " + chat.MARKS[3]
+    rows = ", ".join(f"(-7L, {turn}L, '{role}', '{said}')" for turn, role in enumerate(("user", "assistant")))
+    extra = spark.sql(f"select * from values {rows} as t(conv_id, turn, role, text)")
+    return chat.format_conversations(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
 
@@ -32,13 +47,22 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_licenses": op2_licenses,
     "op3_media": op3_media,
     "op4_simhash": op4_simhash,
+    "op5_html": op5_html,
     "op6_decontaminate": op6_decontaminate,
+    "op7_chat": op7_chat,
     "op8_mixing": op8_mixing,
     "op9_quality": op9_quality,
+    "op10_urls": op10_urls,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: The other operators train models, hash with functions SQL lacks, or read formats back; tests/llm compares these with brute force.
+ORACLE_SQL: dict[str, str] = {"op10_urls": urls.query_sql("pages", dialect="duckdb")}
