@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _ROOT = str(Path(__file__).resolve().parent.parent)
 
@@ -36,3 +38,33 @@ def local_session(cpus: str = "*", memory: str = "8g", name: str = "corpusflow")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share.
+
+    The cluster names it in ``spark.checkpoint.dir``; only where that is unset (local
+    tests, one machine) a temporary folder of this machine is used.
+    """
+    context = spark.sparkContext._jsc.sc()
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named:
+        current = context.getCheckpointDir()
+        if current.isDefined():
+            return current.get()
+        named = tempfile.mkdtemp(prefix="corpusflow-")
+    if not context.getCheckpointDir().isDefined():
+        spark.sparkContext.setCheckpointDir(named)
+    return named
+
+
+def saved(df: DataFrame, hint: str) -> DataFrame:
+    """Cut the lineage: write ``df`` to the shared folder as Parquet and read it back.
+
+    Unlike a cached or locally checkpointed frame it survives the loss of any executor,
+    and it is columnar, so that later passes read only the columns they need.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/{hint}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
