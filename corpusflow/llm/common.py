@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.session import importable
+from corpusflow.session import importable, saved, shared_dir
 
-DOC_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+__all__ = ["bounded_sample", "held_out", "saved", "shared_dir", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,36 +15,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return importable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share.
-
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset (local
-    tests, one machine) a temporary folder of this machine is used.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not named:
-        jsc = spark.sparkContext._jsc.sc()
-        current = jsc.getCheckpointDir()
-        if current.isDefined():
-            return current.get()
-        named = tempfile.mkdtemp(prefix="corpusflow-")
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(named)
-    return named
-
-
-def saved(df: DataFrame, hint: str) -> DataFrame:
-    """Cut the lineage: write ``df`` to the shared folder as Parquet and read it back.
-
-    Unlike a cached or locally checkpointed frame it survives the loss of any executor,
-    and it is columnar, so that later passes read only the columns they need.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{hint}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def held_out(doc_id: Column) -> Column:
     """True where crc32(doc_id as text) mod 3 is 1: such rows never train a model. Null id: false."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
