@@ -14,6 +14,7 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +28,7 @@ GRADES = 3
 BUCKETS = 1 << 15
 STEPS, RATE, PENALTY = 250, 0.1, 2e-6
 _CACHE_WORDS = 200_000
+_CAPITALS, _SMALL, _DIGITS, _AGAIN = regex.compile(r"\p{Lu}+"), regex.compile(r"\p{L}+"), regex.compile(r"\p{Nd}+"), regex.compile(r"(.)\1+", regex.S)
 
 
 def _bucket(kind: str, name: str) -> int:
@@ -35,12 +37,8 @@ def _bucket(kind: str, name: str) -> int:
 
 def shape_of(token: str) -> str:
     """A token's letter case, digits and signs, with runs of the same kind made one."""
-    out = []
-    for c in token[:64] + token[-8:]:
-        k = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
-        if not out or out[-1] != k:
-            out.append(k)
-    return "".join(out)
+    kinds = _DIGITS.sub("0", _SMALL.sub("a", _CAPITALS.sub("\0", token))).replace("\0", "A")
+    return _AGAIN.sub(r"\1", kinds)
 
 
 class _Words:
