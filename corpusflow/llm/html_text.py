@@ -132,7 +132,7 @@ class _Blocks(HTMLParser):
         if not self.parts:
             return
         words = "".join(self.parts).split()
-        linked = len("".join(self.link_parts).split()) if self.link_parts else 0
+        linked = len(" ".join(self.link_parts).split()) if self.link_parts else 0
         self.parts, self.link_parts = [], []
         if words:
             self.blocks.append(Block(" ".join(words), len(words), min(linked, len(words)), self.main > 0, self.apart > 0))
