@@ -52,7 +52,7 @@ def unescape(text: str) -> str:
 
 # -- lexer and parser -------------------------------------------------------------------
 
-_TAG = re.compile(r"\{\{-?|\{%-?|\{#")
+_TAG = re.compile(r"\{\{-?|\{%-?|\{#-?")
 _TOKEN = re.compile(r"\s*(?:(?P<num>\d+(?:\.\d+)?)|(?P<str>'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\")|(?P<name>[A-Za-z_]\w*)|(?P<op>==|!=|<=|>=|[-+~|.,()\[\]<>=%*]))")
 _ESCAPES = {"n": "\n", "t": "\t", "\\": "\\", "'": "'", '"': '"'}
 _CLOSERS = {"for": ("endfor",), "if": ("elif", "else", "endif"), "generation": ("endgeneration",)}
@@ -165,9 +165,12 @@ class _Expressions:
         return node
 
     def joined(self) -> tuple:
-        node = self.filtered()
-        while self.peek("~", "+", "-", "%", "*"):
-            node = ("binary", self.take(), node, self.filtered())
+        return self._chain(lambda: self._chain(lambda: self._chain(self.filtered, "*", "%"), "+", "-"), "~")
+
+    def _chain(self, inner: Callable[[], tuple], *operators: str) -> tuple:
+        node = inner()
+        while self.peek(*operators):
+            node = ("binary", self.take(), node, inner())
         return node
 
     def filtered(self) -> tuple:
@@ -319,8 +322,9 @@ _COMPARE: dict[str, Callable[[Any, Any], bool]] = {
 def _binary(op: str, a: Any, b: Any) -> Any:
     if op == "~":
         return _text(a) + _text(b)
-    if op != "+" and not (isinstance(a, int | float) and isinstance(b, int | float)):
-        raise TemplateError(f"{op} needs numbers")
+    numeric = isinstance(a, int | float) and isinstance(b, int | float)
+    if not numeric and not (op == "+" and isinstance(a, str) and isinstance(b, str)):
+        raise TemplateError(f"{op} doesn't take these values")
     return {"+": lambda: a + b, "-": lambda: a - b, "*": lambda: a * b, "%": lambda: a % b}[op]()
 
 
