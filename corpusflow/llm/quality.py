@@ -27,7 +27,7 @@ TAIL_GRADE, KEEP = 1, 0.5
 GRADES = 3
 BUCKETS = 1 << 15
 STEPS, RATE, PENALTY = 250, 0.1, 2e-6
-_CACHE_WORDS = 200_000
+_CACHE_WORDS = 60_000
 _CAPITALS, _SMALL, _DIGITS, _AGAIN = regex.compile(r"\p{Lu}+"), regex.compile(r"\p{L}+"), regex.compile(r"\p{Nd}+"), regex.compile(r"(.)\1+", regex.S)
 
 
