@@ -14,7 +14,24 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), *sums).first())
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def _on_driver(edges: DataFrame) -> DataFrame:
+    """The same by union-find, for a number of edges known to be small."""
+    parent: dict = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for u, v in edges.collect():
+        a, b = find(u), find(v)
+        parent[max(a, b)] = min(a, b)
+    kind = edges.schema["u"].dataType.simpleString()
+    return edges.sparkSession.createDataFrame([(x, find(x)) for x in list(parent)], f"node {kind}, root {kind}")
+
+
+def components(edges: DataFrame, max_rounds: int = 60, small: int = 0) -> DataFrame:
     """Smallest node reachable from each node: columns ``node`` and ``root``.
 
     ``edges`` has columns ``u`` and ``v`` of one orderable type; null ends, self loops and
@@ -22,11 +39,14 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     gathered in one place: each round takes minima by partial aggregation and joins them
     back, so a node with very many neighbours is split by the skew handling of the join.
     Each round is written to the shared folder, which keeps the plan short and survives
-    lost executors. Rounds grow with the logarithm of the longest path.
+    lost executors. Rounds grow with the logarithm of the longest path. Up to ``small``
+    edges (default: none) are solved on the driver instead, with the same result.
     """
     e = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"), (F.col("u").isNotNull() & F.col("v").isNotNull()).alias("whole"))
     e = saved(e.where("whole and u <> v").select("u", "v").distinct(), "edges")
     mark = _mark(e)
+    if mark[0] <= small:
+        return _on_driver(e)
     for _ in range(max_rounds):
         if not mark[0]:
             break

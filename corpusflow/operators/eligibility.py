@@ -193,25 +193,26 @@ def repeated_ids(df: DataFrame, chosen: DataFrame, key: str) -> DataFrame:
 
 # -- containment of texts -----------------------------------------------------------------
 
-_PIECE = r"[ \t\n\x0B\f\r]+"
+_SPACE = r"[ \t\n\x0B\f\r]+"
 
 
 def containments(long: DataFrame, short: DataFrame, least: int = 1) -> DataFrame:
     """Pairs (long_id, short_id) in which ``long.text`` contains ``short.text`` of at least ``least`` characters.
 
-    Both have columns ``id`` and ``text``. A text that holds another one holds its second to
-    fourth words as whole words, so these meet by an equi-join and only pairs that share them
-    are compared. Short texts of fewer than five words have no such words; they are few and are
-    compared in a loop over them, as the only form left.
+    Both have columns ``id`` and ``text``. A text that holds another one holds all its words
+    but the first and last as whole words, so the two meet in an equi-join on the longest of
+    these, and only pairs that share it are compared. Short texts of fewer than three words
+    have no such word; they are few and are compared one by one, as the only form left.
     """
     short = short.select(F.col("id").alias("short_id"), F.col("text").alias("__short")).where((F.length("__short") >= least) & (F.length("__short") > 0))
-    words = F.split("__short", _PIECE)
-    keyed = short.withColumn("__w", words).withColumn("__k", F.when(F.size("__w") >= 5, F.xxhash64(F.array_join(F.slice("__w", 2, 3), " "))))
+    words = F.split("__short", _SPACE)
+    inner = F.slice(words, 2, F.greatest(F.size(words) - 2, F.lit(0)))
+    longest = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    keyed = short.withColumn("__k", F.nullif(longest, F.lit("")))
     own = long.select(F.col("id").alias("long_id"), F.col("text").alias("__long"))
-    places = F.expr("transform(sequence(1, greatest(size(w) - 2, 1)), i -> xxhash64(concat_ws(' ', slice(w, i, 3))))")
-    dealt = own.withColumn("w", F.split("__long", _PIECE)).select("long_id", "__long", F.explode(F.array_distinct(places)).alias("__k"))
-    met = dealt.join(keyed.where("__k is not null").select("short_id", "__short", "__k"), "__k").where(F.col("__long").contains(F.col("__short")))
-    few = own.join(keyed.where("__k is null").select("short_id", "__short"), F.col("__long").contains(F.col("__short")))
+    dealt = own.select("long_id", "__long", F.explode(F.array_distinct(F.split("__long", _SPACE))).alias("__k"))
+    met = dealt.join(keyed.where("__k is not null"), "__k").where(F.col("__long").contains(F.col("__short")))
+    few = own.join(keyed.where("__k is null").drop("__k"), F.col("__long").contains(F.col("__short")))
     return met.select("long_id", "short_id").unionByName(few.select("long_id", "short_id")).distinct()
 
 

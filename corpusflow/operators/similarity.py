@@ -4,15 +4,21 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.functions.hashing import json_array
 from corpusflow.operators.components import components
+from corpusflow.session import saved
 
 THRESHOLD = 0.95
 #: Pivots for pruning: coordinates by which distances to fixed points are bucketed.
 PIVOTS = 2
+BLOCK = 256
+#: Up to so many links are solved on the driver; more go through distributed rounds. The groups are the same.
+SMALL = 200_000
 
 
 def checked_vectors(vectors: DataFrame, key: str = "image_id", vector: str = "embedding") -> DataFrame:
@@ -29,30 +35,55 @@ def checked_vectors(vectors: DataFrame, key: str = "image_id", vector: str = "em
     return unit.select(F.col(key), F.when(F.col("norm") == 0, F.raise_error(F.lit("zero embedding"))).otherwise(F.transform("v", lambda x: x / F.col("norm"))).alias("unit"))
 
 
-def dot(a: Column, b: Column) -> Column:
-    """Sum of products from the first coordinate on."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-
-
-def similar_pairs(vectors: DataFrame, threshold: float = THRESHOLD, key: str = "image_id", vector: str = "embedding") -> DataFrame:
+def _block_pairs(left_ids: pd.Series, left: pd.Series, right_ids: pd.Series, right: pd.Series, threshold: float) -> list[list[dict]]:
+    """For each pair of blocks, the pairs of ids (left < right) of cosine at least ``threshold``."""
+    out = []
+    for a, x, b, y in zip(left_ids, left, right_ids, right, strict=True):
+        x, y = np.stack(x), np.stack(y)
+        # one matrix product finds the candidates, with room for its rounding
+        found = []
+        for i, j in zip(*np.nonzero(x @ y.T >= threshold - 1e-9), strict=True):
+            if a[i] < b[j]:
+                # products are added up from the first coordinate on
+                cosine = float(np.add.accumulate(x[i] * y[j])[-1])
+                if cosine >= threshold:
+                    found.append({"left_id": a[i], "right_id": b[j], "cosine": cosine})
+        out.append(found)
+    return out
+
+
+def similar_pairs(vectors: DataFrame, threshold: float = THRESHOLD, key: str = "image_id", vector: str = "embedding", block: int = BLOCK) -> DataFrame:
     """All pairs (left_id < right_id, cosine) of cosine at least ``threshold``.
 
     Unit vectors of that cosine are at most ``d`` apart, so their distances to any point
     differ by at most ``d``. Each vector is put in a cell by its distances to ``PIVOTS``
-    points, and meets the cells around its own in an equi-join: exact, and at high
-    thresholds a small part of all pairs.
+    points and only meets the cells around its own: exact, and at high thresholds a small part
+    of all pairs. A cell is dealt in blocks of about ``block`` vectors, and blocks meet in
+    matrix products, so no cell is gathered and only pairs that reach the threshold become rows.
     """
     unit = checked_vectors(vectors, key, vector)
     width = math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-9
+    cells = [f"c{p}" for p in range(PIVOTS)]
     own = unit
-    for p in range(PIVOTS):
+    for p, c in enumerate(cells):
         # the pivot is the p-th axis: |x - e_p| = sqrt(2 - 2 x_p) for a unit vector
-        own = own.withColumn(f"c{p}", F.floor(F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * F.coalesce(F.try_element_at("unit", F.lit(p + 1)), F.lit(0.0)))) / width))
-    left = own.select(F.col(key).alias("left_id"), F.col("unit").alias("a"), *[F.explode(F.sequence(F.col("c0") - 1, F.col("c0") + 1)).alias("c0"), "c1"])
-    left = left.select("left_id", "a", "c0", F.explode(F.sequence(F.col("c1") - 1, F.col("c1") + 1)).alias("c1"))
-    right = own.select(F.col(key).alias("right_id"), F.col("unit").alias("b"), "c0", "c1")
-    met = left.join(right, ["c0", "c1"]).where("left_id < right_id")
-    return met.select("left_id", "right_id", dot(F.col("a"), F.col("b")).alias("cosine")).where(F.col("cosine") >= threshold)
+        own = own.withColumn(c, F.floor(F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * F.coalesce(F.try_element_at("unit", F.lit(p + 1)), F.lit(0.0)))) / width))
+    sizes = own.groupBy(*cells).agg(F.ceil(F.count(F.lit(1)) / block).alias("__n"))
+    dealt = own.join(sizes, cells).withColumn("__b", F.pmod(F.xxhash64(F.col(key)), F.col("__n")))
+    blocks = saved(dealt.groupBy(*cells, "__b").agg(F.collect_list(F.struct(F.col(key).alias("id"), "unit")).alias("rows")), "blocks")
+    near = lambda c: F.explode(F.sequence(F.col(c) - 1, F.col(c) + 1)).alias(c)
+    left = blocks.select(F.col("rows.id").alias("a"), F.col("rows.unit").alias("x"), *cells)
+    for c in cells:
+        left = left.select("a", "x", *[k for k in cells if k != c], near(c))
+    right = blocks.select(F.col("rows.id").alias("b"), F.col("rows.unit").alias("y"), *cells)
+    ids = dict(unit.dtypes)[key]
+
+    @F.pandas_udf(f"array<struct<left_id: {ids}, right_id: {ids}, cosine: double>>")
+    def pairs(a: pd.Series, x: pd.Series, b: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series(_block_pairs(a, x, b, y, threshold), dtype=object)
+
+    met = left.join(right, cells).repartition(F.col("a")[0], F.col("b")[0])
+    return met.select(F.explode(pairs("a", "x", "b", "y")).alias("p")).select("p.*")
 
 
 def key_edges(df: DataFrame, key: str, value: Column) -> DataFrame:
@@ -74,7 +105,7 @@ def visual_groups(images: DataFrame, vectors: DataFrame | None = None, threshold
         known = vectors.join(images.select("image_id").distinct(), "image_id", "left_semi")
         near = similar_pairs(known, threshold)
         edges = edges.unionByName(near.select(F.col("left_id").alias("u"), F.col("right_id").alias("v")))
-    return group_ids(images.select("image_id"), components(edges))
+    return group_ids(images.select("image_id"), components(edges, small=SMALL))
 
 
 def group_ids(nodes: DataFrame, roots: DataFrame) -> DataFrame:
