@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 TERMINAL = ".!?。！？ "
 ECHO_LEAST = 80
 REASON_LENGTH = 240
-_TOKEN = r"(?U)(\s*)(\w+|[^\w\s])"
+_TOKEN = r"(?U)(\s*)([\p{L}\p{N}_]+|[^\p{L}\p{N}_\s])"
 
 
 class RejectedJson(ValueError):

@@ -25,14 +25,16 @@ def checked_vectors(vectors: DataFrame, key: str = "image_id", vector: str = "em
     """Unit vectors in doubles: (key, unit). Empty, non-finite, zero vectors and different dimensions are errors."""
     v = vectors.select(F.col(key), F.transform(vector, lambda x: x.cast("double")).alias("v"))
     bad = (F.size("v") <= 0) | F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    shape = v.agg(F.min(F.size("v")).alias("low"), F.max(F.size("v")).alias("high"), F.max(bad.cast("int")).alias("bad")).first()
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
+    # one pass checks all rows; a check inside the plan could be moved before a filter of the caller
+    shape = v.agg(F.min(F.size("v")).alias("low"), F.max(F.size("v")).alias("high"), F.max(bad.cast("int")).alias("bad"), F.min(norm).alias("norm")).first()
     if shape["bad"]:
         raise ValueError("an embedding is empty or not finite")
     if shape["low"] != shape["high"]:
         raise ValueError("embeddings must have one dimension")
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    unit = v.withColumn("norm", norm)
-    return unit.select(F.col(key), F.when(F.col("norm") == 0, F.raise_error(F.lit("zero embedding"))).otherwise(F.transform("v", lambda x: x / F.col("norm"))).alias("unit"))
+    if shape["norm"] == 0:
+        raise ValueError("an embedding is zero")
+    return v.withColumn("norm", norm).select(F.col(key), F.transform("v", lambda x: F.try_divide(x, F.col("norm"))).alias("unit"))
 
 
 def _block_pairs(left_ids: pd.Series, left: pd.Series, right_ids: pd.Series, right: pd.Series, threshold: float) -> list[list[dict]]:

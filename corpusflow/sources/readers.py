@@ -67,7 +67,8 @@ def read_metadata(spark: SparkSession, path: str, columns: list[str]) -> DataFra
         raise ManifestError("METADATA_COLUMNS", "a column is repeated")
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     options = {"header": "true", "mode": "FAILFAST", "enforceSchema": "false", "quote": '"', "escape": '"', "multiLine": "true", "nullValue": "\0", "emptyValue": ""}
-    return spark.read.schema(schema).options(**options).csv(path)
+    # an empty field is an empty string, not a null
+    return spark.read.schema(schema).options(**options).csv(path).fillna("")
 
 
 def file_digests(spark: SparkSession, path: str) -> DataFrame:

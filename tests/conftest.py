@@ -10,7 +10,7 @@ import pytest
 
 ROOT = str(Path(__file__).resolve().parent.parent)
 sys.path.insert(0, ROOT)
-os.environ["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, os.environ.get("PYTHONPATH")) if x)
+os.environ["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, f"{ROOT}/tests", os.environ.get("PYTHONPATH")) if x)
 DATA = Path("/root/testdata")
 
 
