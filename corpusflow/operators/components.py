@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.session import saved
+from corpusflow.session import forget, saved
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -55,9 +55,10 @@ def components(edges: DataFrame, max_rounds: int = 60, small: int = 0) -> DataFr
         large = both.join(low, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         pair = F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))
-        small = large.join(low, "u").select(F.explode(pair).alias("e")).select("e.u", "e.v")
-        e = saved(small.where("u <> v").distinct(), "edges")
+        tight = large.join(low, "u").select(F.explode(pair).alias("e")).select("e.u", "e.v")
+        before, e = e, saved(tight.where("u <> v").distinct(), "edges")
         new = _mark(e)
+        forget(before)
         if new == mark:
             break
         mark = new

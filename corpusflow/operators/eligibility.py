@@ -210,8 +210,10 @@ def containments(long: DataFrame, short: DataFrame, least: int = 1) -> DataFrame
     longest = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
     keyed = short.withColumn("__k", F.nullif(longest, F.lit("")))
     own = long.select(F.col("id").alias("long_id"), F.col("text").alias("__long"))
-    dealt = own.select("long_id", "__long", F.explode(F.array_distinct(F.split("__long", _SPACE))).alias("__k"))
-    met = dealt.join(keyed.where("__k is not null"), "__k").where(F.col("__long").contains(F.col("__short")))
+    # words go out without their text; the few candidates fetch it again
+    dealt = own.select("long_id", F.explode(F.array_distinct(F.split("__long", _SPACE))).alias("__k"))
+    met = dealt.join(keyed.where("__k is not null").select("short_id", "__k"), "__k").select("long_id", "short_id").distinct()
+    met = own.join(met, "long_id").join(short, "short_id").where(F.col("__long").contains(F.col("__short")))
     few = own.join(keyed.where("__k is null").drop("__k"), F.col("__long").contains(F.col("__short")))
     return met.select("long_id", "short_id").unionByName(few.select("long_id", "short_id")).distinct()
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.hashing import SEED, canonical_hash, json_array, json_column, sha
 from corpusflow.operators.eligibility import ManifestError, require_unique
+from corpusflow.session import forget, saved
 
 POOL = ("conversation_id", "language", "image_id", "visual_group_id", "task_family", "semantic_family", "pattern", "purpose")
 #: The search runs on the driver over at most this many rows of a reduced pool.
@@ -202,7 +203,7 @@ def audit(pool: DataFrame, selected: DataFrame, policy: Policy, same_pool: bool
 
     ``selected`` has conversation_id; repeated ids count as often as they are there.
     """
-    have = selected.join(pool, "conversation_id")
+    have = saved(selected.join(pool, "conversation_id").select("language", "task_family", "image_id", "visual_group_id", "semantic_family", "purpose"), "audit")
     n = have.count()
     given = selected.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("conversation_id").alias("d")).first()
     outside = selected.join(pool, "conversation_id", "left_anti").limit(1).count()
@@ -210,9 +211,11 @@ def audit(pool: DataFrame, selected: DataFrame, policy: Policy, same_pool: bool
     grouped = have.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(s[0]) for s in sets]).agg(F.grouping_id().alias("g"), F.count(F.lit(1)).alias("n"))
     bit = {c: 31 ^ (1 << (4 - k)) for k, (c,) in enumerate(sets)}
     counts = {c: {r[c]: r["n"] for r in grouped.where(F.col("g") == bit[c]).select(c, "n").collect()} for c in ("language", "task_family")}
+    # all values of the five groupings are counted in one pass; only small results leave it
     tops = {r["g"]: r["m"] for r in grouped.groupBy("g").agg(F.max("n").alias("m")).collect()}
     most = {c: tops.get(bit[c], 0) for c in policy.caps}
     evaluation = not policy.allow_evaluation_sources and have.where(F.col("purpose") == "evaluation").limit(1).count()
+    forget(have)
     checks = {
         "POOL_HASH_MISMATCH": not same_pool,
         "DUPLICATE_SELECTED_ID": given["n"] != given["d"],

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from corpusflow.functions.hashing import json_array, json_column
 from corpusflow.functions.text import ECHO_LEAST, folded, normalized_question
 from corpusflow.operators.eligibility import containments
+from corpusflow.session import saved
 
 MIN_TURNS, MAX_TURNS = 2, 6
 
@@ -77,10 +78,14 @@ def repeated_questions(messages: DataFrame) -> DataFrame:
 
 def prompt_echoes(texts: DataFrame, prompts: DataFrame) -> DataFrame:
     """Pairs (text_id, prompt_id) of which one holds the other, in folded case, in at least 80 characters."""
-    t = texts.select("id", folded(F.col("text")).alias("text"))
+    # folded once: both directions read it more than once
+    t = saved(texts.select("id", folded(F.col("text")).alias("text")), "folded")
     p = prompts.select("id", folded(F.col("text")).alias("text"))
     inside = containments(t, p, ECHO_LEAST).select(F.col("long_id").alias("text_id"), F.col("short_id").alias("prompt_id"))
-    around = containments(p, t, ECHO_LEAST).select(F.col("short_id").alias("text_id"), F.col("long_id").alias("prompt_id"))
+    # a text longer than every prompt lies in none
+    longest = p.agg(F.max(F.length("text")).alias("n"))
+    short = t.join(F.broadcast(longest), F.length("text") <= F.col("n")).select("id", "text")
+    around = containments(p, short, ECHO_LEAST).select(F.col("short_id").alias("text_id"), F.col("long_id").alias("prompt_id"))
     return inside.unionByName(around).distinct()
 
 

@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 from corpusflow.functions import catalogs, hashing, numbers, text
 from corpusflow.functions.hashing import SEED, bucket, sha
 from corpusflow.operators import components, consensus, eligibility, ledger, planning, pool, requirements, rules, similarity, transcript
-from corpusflow.session import importable
+from corpusflow.session import importable, saved, spread
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return importable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    df = importable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in ("documents", "conversations") else df
 
 
 def _s(x: str) -> Column:
@@ -467,7 +468,7 @@ def capped_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
 def selection_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The capped selection recounted by language and family, with its maxima and violations."""
     p = _pool(spark, sf_dir)
-    chosen = pool.capped(p.where("purpose = 'training'"), {"image_id": 1, "visual_group_id": 6}).select("conversation_id")
+    chosen = saved(pool.capped(p.where("purpose = 'training'"), {"image_id": 1, "visual_group_id": 6}).select("conversation_id"), "chosen")
     policy = pool.Policy(target_count=150, language_quotas={"BUILDING": 30}, max_per_image=1, max_per_visual_group=5)
     r = pool.audit(p, chosen, policy)
     rows = [("selected", r["selected_count"]), ("image_maximum", r["image_maximum"]), ("visual_group_maximum", r["visual_group_maximum"])]

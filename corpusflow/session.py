@@ -40,6 +40,16 @@ def local_session(cpus: str = "*", memory: str = "8g", name: str = "corpusflow")
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of an input of few files over all cores, for work that is heavy in each row.
+
+    An input with at least as many partitions as there are cores, as any large one has, is
+    returned as it is: nothing is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores else df.repartition(cores)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
@@ -67,4 +77,31 @@ def saved(df: DataFrame, hint: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{hint}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _SAVED.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._saved_path = path
+    return out
+
+
+#: Tables that ``saved`` has written and nothing has removed yet.
+_SAVED: list[str] = []
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    if path in _SAVED:
+        _SAVED.remove(path)
+
+
+def forget(df: DataFrame) -> None:
+    """Remove the table behind a ``saved`` frame that nothing will read again; other frames are left alone."""
+    path = getattr(df, "_saved_path", None)
+    if path:
+        _remove(df.sparkSession, path)
+
+
+def clean(spark: SparkSession) -> None:
+    """Remove all tables that this process has saved, once the results made from them are written."""
+    for path in list(_SAVED):
+        _remove(spark, path)
