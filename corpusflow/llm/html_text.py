@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 #: Element names by role.
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = frozenset("script style noscript template svg math iframe object canvas audio video select textarea button head title".split())
+SKIPPED = frozenset("script style noscript template svg math iframe object canvas audio video select textarea button title".split())
 APART = frozenset("nav header footer aside form menu dialog".split())
 MAIN = frozenset("article main".split())
 #: Names in a class, id or role that mark what isn't main text; a name counts as a whole word of the attribute.
@@ -100,8 +100,6 @@ class _Blocks(HTMLParser):
                 self.skipped -= 1
                 if not self.skipped:
                     self.skip_name = ""
-            elif self.skip_name in ("head", "title") and tag in ("html",):
-                self.skip_name = ""
             return
         if tag == "a":
             self.links = 0

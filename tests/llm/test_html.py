@@ -18,6 +18,7 @@ def test_blocks_and_main_text():
 def test_sloppy_markup():
     assert H.main_text("<article><p><b>Open bold<br><p>Next</p></div></article><footer>x</footer>") == "Open bold\nNext"
     assert H.main_text("<article><p>cut off &am") == "cut off &am"
+    assert H.main_text("<html><head><title>T</title><meta x><body><article><p>no end of head") == "no end of head"
     assert H.main_text("<article><p>a < b and c > d</p>") == "a < b and c > d"
     assert H.main_text("plain words only in a page that has no markup at all") == "plain words only in a page that has no markup at all"
     assert H.main_text(None) == H.main_text("") == H.main_text("<article></article>") == ""
