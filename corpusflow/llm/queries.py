@@ -6,30 +6,31 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corpusflow.llm import chat, decontaminate, html_text, licenses, media, mixing, quality, simhash, toxicity, urls
 from corpusflow.llm.common import table
+from corpusflow.session import spread
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return toxicity.classify(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "labels"))
 
 
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(table(spark, sf_dir, "documents")).drop("detections")
+    return licenses.scan(spread(table(spark, sf_dir, "documents"))).drop("detections")
 
 
 def op3_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.store(table(spark, sf_dir, "documents"), tensors=False)
+    return media.store(spread(table(spark, sf_dir, "documents")), tensors=False)
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return simhash.near_duplicates(spread(table(spark, sf_dir, "documents")))
 
 
 def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_text.extract(table(spark, sf_dir, "pages"))
+    return html_text.extract(spread(table(spark, sf_dir, "pages")))
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.leaks(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
 
 
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,11 +45,11 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality.rate(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "labels"))
 
 
 def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urls.judge(table(spark, sf_dir, "pages"))
+    return urls.judge(spread(table(spark, sf_dir, "pages")))
 
 
 QUERIES = {
