@@ -8,13 +8,13 @@ probability of the tail ``grade >= k`` that selection uses.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from operator import eq
 from zlib import crc32
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,19 +26,31 @@ TRAIN_ROWS_PER_GRADE = 2500
 TAIL_GRADE, KEEP = 1, 0.5
 GRADES = 3
 BUCKETS = 1 << 15
-STEPS, RATE, PENALTY = 250, 0.1, 2e-6
+STEPS, RATE, PENALTY = 120, 0.15, 2e-6
 _CACHE_WORDS = 60_000
-_CAPITALS, _SMALL, _DIGITS, _AGAIN = regex.compile(r"\p{Lu}+"), regex.compile(r"\p{L}+"), regex.compile(r"\p{Nd}+"), regex.compile(r"(.)\1+", regex.S)
+_CHUNK = 500
+_AGAIN = re.compile(r"(.)\1+", re.S)
 
 
 def _bucket(kind: str, name: str) -> int:
     return crc32((kind + name).encode("utf-8", "surrogatepass")) % BUCKETS
 
 
+class _Kinds(dict):
+    """A character's kind by code point, found once for each character."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        self[code] = kind = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdecimal() else c
+        return kind
+
+
 def shape_of(token: str) -> str:
     """A token's letter case, digits and signs, with runs of the same kind made one."""
-    kinds = _DIGITS.sub("0", _SMALL.sub("a", _CAPITALS.sub("\0", token))).replace("\0", "A")
-    return _AGAIN.sub(r"\1", kinds)
+    return _AGAIN.sub(r"\1", token.translate(_KINDS))
+
+
+_KINDS = _Kinds()
 
 
 class _Words:
@@ -93,24 +105,28 @@ class CumulativeLink:
         if grades.min() == grades.max():
             self.theta = np.where(np.arange(GRADES - 1) < grades[0], -20.0, 20.0)
             return self
-        idx, val = np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows])
-        own = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
-        weight = (len(grades) / len(np.unique(grades)) / np.bincount(grades, minlength=GRADES).clip(1))[grades]
+        weight = (len(grades) / len(np.unique(grades)) / np.bincount(grades, minlength=GRADES).clip(1))[grades] / len(grades)
+        # rows are gone through in chunks, so that the working arrays stay small
+        chunks = []
+        for k in range(0, len(rows), _CHUNK):
+            part = rows[k : k + _CHUNK]
+            own = np.repeat(np.arange(len(part), dtype=np.int32), [len(r[0]) for r in part])
+            chunks.append((np.concatenate([r[0] for r in part]).astype(np.int32), np.concatenate([r[1] for r in part]).astype(np.float32), own, grades[k : k + _CHUNK], weight[k : k + _CHUNK]))
         # the second threshold is the first plus a positive gap, so that they stay in order
         first, gap = -0.5, 0.0
         state = {k: [0.0, 0.0] for k in ("w", "a", "b")}
         for t in range(1, STEPS + 1):
             theta = np.array([first, first + np.exp(gap)])
-            s = np.bincount(own, self.weights[idx] * val, len(rows))
-            upper = np.where(grades < GRADES - 1, _sigmoid(theta[np.minimum(grades, GRADES - 2)] - s), 1.0)
-            lower = np.where(grades > 0, _sigmoid(theta[np.maximum(grades - 1, 0)] - s), 0.0)
-            p = (upper - lower).clip(1e-9)
-            du, dl = upper * (1 - upper) / p * weight, lower * (1 - lower) / p * weight
-            g_s = (du - dl) / len(rows)
-            g_theta = np.zeros(GRADES - 1)
-            np.add.at(g_theta, np.minimum(grades, GRADES - 2), np.where(grades < GRADES - 1, -du, 0) / len(rows))
-            np.add.at(g_theta, np.maximum(grades - 1, 0), np.where(grades > 0, dl, 0) / len(rows))
-            g_w = np.bincount(idx, g_s[own] * val, BUCKETS) + PENALTY * self.weights
+            g_w, g_theta = PENALTY * self.weights, np.zeros(GRADES - 1)
+            for idx, val, own, y, share in chunks:
+                s = np.bincount(own, self.weights[idx] * val, len(y))
+                upper = np.where(y < GRADES - 1, _sigmoid(theta[np.minimum(y, GRADES - 2)] - s), 1.0)
+                lower = np.where(y > 0, _sigmoid(theta[np.maximum(y - 1, 0)] - s), 0.0)
+                p = (upper - lower).clip(1e-9)
+                du, dl = upper * (1 - upper) / p * share, lower * (1 - lower) / p * share
+                np.add.at(g_theta, np.minimum(y, GRADES - 2), np.where(y < GRADES - 1, -du, 0))
+                np.add.at(g_theta, np.maximum(y - 1, 0), np.where(y > 0, dl, 0))
+                g_w += np.bincount(idx, (du - dl)[own] * val, BUCKETS)
             steps = {"w": g_w, "a": g_theta.sum() + 1e-3 * first, "b": g_theta[1] * np.exp(gap) + 1e-2 * gap}
             for k, g in steps.items():
                 m, v = state[k]
@@ -172,10 +188,10 @@ def rate(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS_PER_GRADE) -
     """
     model = train(docs, labels, rows)
     p = _scored(docs.select("doc_id", "text"), model, "p")
-    return p.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), (F.col("p.at1") + F.col("p.at2")).alias("expected_grade"), F.col("p.at1").alias("p_tail"), F.col("p.at2").alias("p_top"), (F.col("p.at1") >= KEEP).alias("keep"))
+    return p.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), (F.col("p.at1") + F.col("p.at2")).alias("expected_grade"), F.col("p.at1").alias("p_tail"), F.col("p.at2").alias("p_top"), (F.col(f"p.at{TAIL_GRADE}") >= KEEP).alias("keep"))
 
 
 def keep_good(docs: DataFrame, known: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS_PER_GRADE) -> DataFrame:
     """The rows of ``docs`` whose tail probability, by a model fitted on ``known``, reaches ``KEEP``."""
     model = train(known, labels, rows)
-    return _scored(docs, model, "__p").where(F.col("__p.at1") >= KEEP).drop("__p")
+    return _scored(docs, model, "__p").where(F.col(f"__p.at{TAIL_GRADE}") >= KEEP).drop("__p")
