@@ -86,16 +86,32 @@ PREDICATES = {
     "each_factual_claim": "size(claims) > 0",
 }
 
-# Model-call stages and the columns that each may see.
-STAGES = ("evidence_extraction", "instruction_selection", "question_generation", "question_fit", "requirement_extraction", "answer_generation", "answer_repair", "claim_inventory", "computation_inventory", "set_inventory", "holistic_review", "rubric_item")
-#: What a rubric item of each input scope may see.
+# Model-call stages and the fields that each may see.
+STAGE_FIELDS = {
+    "evidence_extraction": "image_id capability_vocabulary image_views",
+    "instruction_selection": "target_language public_history candidates image_views",
+    "question_generation": "target_language turn_index public_history selected_instruction image_views",
+    "question_fit": "target_language public_history selected_instruction question image_views",
+    "requirement_extraction": "target_language public_history question question_message_id",
+    "answer_generation": "target_language public_history question active_requirements image_views",
+    "answer_repair": "target_language public_history question candidate_answer failed_criteria active_requirements image_views",
+    "claim_inventory": "target_language public_history question candidate_answer answer_tokens",
+    "computation_inventory": "target_language public_history question candidate_answer image_views",
+    "set_inventory": "target_language public_history question candidate_answer image_views",
+    "holistic_review": "target_language public_history question candidate_answer image_views",
+    "rubric_item": "target_language public_history question candidate_answer image_views criterion target_claim typed_rule_inputs target_requirement candidate_claim_inventory",
+}
+STAGES = tuple(STAGE_FIELDS)
+# Fields that no stage may see.
+FORBIDDEN_FIELDS = ("dataset_annotations", "dataset_title", "future_history", "gold_answer", "other_judge", "other_judge_verdict", "quota_deficit", "generation_model")
+#: What a rubric item of each input scope may see besides language, history, question and criterion.
 SCOPES = {
-    "TEXT_HQ": ("history", "question"),
-    "TEXT_HQA": ("history", "question", "answer"),
-    "VISION_IHQ": ("image", "history", "question"),
-    "VISION_IHQA": ("image", "history", "question", "answer"),
-    "CLAIM_IHQA": ("image", "history", "question", "answer", "claim"),
-    "RULE": ("history", "question", "answer", "rule_inputs"),
+    "TEXT_HQ": (),
+    "TEXT_HQA": ("candidate_answer",),
+    "VISION_IHQ": ("image_views",),
+    "VISION_IHQA": ("candidate_answer", "image_views"),
+    "CLAIM_IHQA": ("candidate_answer", "image_views", "target_claim"),
+    "RULE": ("candidate_answer", "typed_rule_inputs"),
 }
 VERDICTS = ("MET", "NOT_MET", "UNKNOWN", "NOT_APPLICABLE", "NOT_EVALUATED", "ERROR")
 

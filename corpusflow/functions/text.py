@@ -151,11 +151,20 @@ def repaired_span(text: Column, part: Column, start: Column, end: Column) -> Col
     return F.when(fits, start).when((F.length(part) > 0) & (F.size(found) == 1), F.element_at(found, 1))
 
 
-def clean_output(text: Column, opening: str = "<think>", closing: str = "</think>") -> Column:
-    """A model's output without an empty reasoning wrapper; null where reasoning leaks."""
-    wrapper = f"^\\s*{re.escape(opening)}\\s*{re.escape(closing)}\\s*"
-    bare = F.regexp_replace(text, wrapper, "")
-    return F.when(~bare.contains(opening) & ~bare.contains(closing), bare)
+#: Empty reasoning wrappers of a model family, and what a leak of reasoning holds.
+EMPTY_WRAPPERS = ("<|channel|>thought\n<|channel|>", "<|channel>thought\n<channel|>")
+LEAKS = ("<|channel|>thought", "<|channel>thought")
+
+
+def clean_output(text: Column) -> Column:
+    """A model's output without an empty reasoning wrapper at its start; null where reasoning leaks."""
+    out = F.when(F.lit(False), text)
+    for wrapper in EMPTY_WRAPPERS:
+        out = out.when(text.startswith(wrapper), text.substr(F.lit(len(wrapper) + 1), F.length(text)))
+    leak = F.lit(False)
+    for mark in LEAKS:
+        leak = leak | text.contains(mark)
+    return out.when(~leak, text)
 
 
 def joined_reason(reasons: Column) -> Column:
@@ -164,20 +173,20 @@ def joined_reason(reasons: Column) -> Column:
 
 
 def media_suffix(media_type: Column, url: Column) -> Column:
-    """A file suffix by media type, else by the URL's path, else ``.jpg``."""
-    kind = F.lower(F.trim(F.element_at(F.split(F.coalesce(media_type, F.lit("")), ";"), 1)))
-    by_type = F.when(kind == "image/jpeg", ".jpg").when(kind == "image/png", ".png").when(kind == "image/webp", ".webp")
-    by_path = F.lower(F.regexp_extract(url, r"^[^?#]*(\.(?i:jpe?g|png|webp))(?:[?#]|$)", 1))
-    by_path = F.when(by_path == ".jpeg", ".jpg").when(by_path != "", by_path)
-    return F.coalesce(by_type, by_path, F.lit(".jpg"))
+    """A file suffix by media type, else by the URL's path; null for what is no supported image."""
+    by_type = F.when(media_type == "image/jpeg", ".jpg").when(media_type == "image/png", ".png").when(media_type == "image/webp", ".webp")
+    by_path = F.lower(F.regexp_extract(url, r"^[^?#]*/[^?#/]+(\.(?i:jpe?g|png|webp))(?:[?#]|$)", 1))
+    return F.coalesce(by_type, F.nullif(by_path, F.lit("")))
 
 
 def completion_error(finish_reason: Column, choices: Column, content: Column, tool_calls: Column, prompt_tokens: Column, completion_tokens: Column, max_tokens: int) -> Column:
-    """The first thing wrong with a completion, or null."""
+    """The first thing wrong with a completion, or null. A text cut by length is right if closing its JSON completes it."""
+    closed = F.when(finish_reason == "length", closed_json(F.when(finish_reason == "length", content)))
     return (
-        F.when(choices != 1, "MODEL_CHOICES_INVALID")
-        .when(F.coalesce(tool_calls, F.lit(0)) > 0, "MODEL_TOOL_CALL")
-        .when(~finish_reason.eqNullSafe("stop"), "MODEL_OUTPUT_TRUNCATED")
-        .when(~not_blank(content), "MODEL_EMPTY_CONTENT")
+        F.when(~choices.eqNullSafe(1), "MODEL_CHOICE_COUNT")
+        .when(~F.coalesce(finish_reason.isin("stop", "length"), F.lit(False)), "MODEL_FINISH_REASON")
+        .when(F.coalesce(tool_calls, F.lit(0)) > 0, "MODEL_MESSAGE_INVALID")
+        .when(~not_blank(content), "MODEL_CONTENT_EMPTY")
+        .when((finish_reason == "length") & closed.isNull(), "MODEL_FINISH_REASON")
         .when((prompt_tokens < 0) | (completion_tokens < 0) | (completion_tokens > max_tokens), "MODEL_USAGE_INVALID")
     )

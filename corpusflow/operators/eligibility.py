@@ -68,10 +68,11 @@ def attach_rights(sources: DataFrame, rights: DataFrame, at: Column, training: C
             raise ManifestError("RIGHTS_WINDOW", "valid_until must be later than valid_from")
         lost = sources.join(rights, "rights_record_id", "left_anti").select("rights_record_id").limit(1).collect()
         if lost:
-            raise ManifestError("RIGHTS_MISSING", str(lost[0][0]))
+            raise ManifestError("RIGHTS_REFERENCE_MISSING", str(lost[0][0]))
     known = rights.withColumn("__known", F.lit(True))
     joined = sources.join(known, "rights_record_id", "left")
-    reason = F.when(F.col("__known").isNull(), "RIGHTS_MISSING").when(~F.coalesce(rights_valid(at), F.lit(False)), "RIGHTS_NOT_VALID").when(training & ~F.coalesce(rights_valid(at, True), F.lit(False)), "RIGHTS_NO_TRAINING")
+    permitted = F.coalesce(F.when(training, rights_valid(at, True)).otherwise(rights_valid(at)), F.lit(False))
+    reason = F.when(F.col("__known").isNull(), "RIGHTS_REFERENCE_MISSING").when(~permitted, "RIGHTS_NOT_PERMITTED")
     return joined.withColumn("reason", reason).drop("__known")
 
 
@@ -99,7 +100,7 @@ def train_reason(evaluation_id: Column, missing: Column | None = None) -> Column
             ("unsupported_license", ~F.col("License").isin(*LICENSES)),
             ("missing_attribution", ~F.coalesce(F.col("Author").rlike(r"(?U)\S"), F.lit(False)) | ~F.col("OriginalLandingURL").startswith("https://")),
             ("unknown_rotation", rotation_degrees(F.col("Rotation")).isNull()),
-            *([("missing_or_symlink", missing)] if missing is not None else []),
+            *([("missing_or_symlink_when_probed", missing)] if missing is not None else []),
         ]
     )
 
@@ -125,7 +126,7 @@ def pinned_failures(pinned: DataFrame, metadata: DataFrame) -> DataFrame:
     m = metadata.select(F.col("ImageID").alias("__id"), F.col("License").alias("__l"), attribution(F.col("Author"), F.col("OriginalLandingURL")).alias("__a"), F.col("OriginalLandingURL").alias("__u"))
     joined = pinned.join(m, pinned["image_id"] == m["__id"], "left")
     same = F.col("license_uri").eqNullSafe(F.col("__l")) & F.col("attribution").eqNullSafe(F.col("__a")) & F.col("landing_url").eqNullSafe(F.col("__u"))
-    reason = F.when(F.col("__id").isNull(), "PINNED_ROW_MISSING").when(~same, "PINNED_PROVENANCE_CHANGED")
+    reason = F.when(F.col("__id").isNull(), "OPEN_IMAGES_PIN_MISSING").when(~same, "OPEN_IMAGES_PIN_PROVENANCE_MISMATCH")
     return joined.select("image_id", reason.alias("reason")).where("reason is not null")
 
 
@@ -134,10 +135,10 @@ def image_reason() -> Column:
     return first_failure(
         [
             ("IMAGE_TOO_LARGE", F.col("n_bytes") > MAX_BYTES),
-            ("IMAGE_FORMAT", ~F.col("format").isin(*FORMATS)),
-            ("IMAGE_ANIMATED", F.col("frames") != 1),
-            ("IMAGE_PIXELS", F.col("width").cast("long") * F.col("height") > MAX_PIXELS),
-            ("IMAGE_TOO_SMALL", F.least("width", "height") < MIN_EDGE),
+            ("IMAGE_FORMAT_UNSUPPORTED", ~F.col("format").isin(*FORMATS)),
+            ("ANIMATED_IMAGE_UNSUPPORTED", F.col("frames") != 1),
+            ("IMAGE_PIXEL_LIMIT", F.col("width").cast("long") * F.col("height") > MAX_PIXELS),
+            ("IMAGE_EDGE_TOO_SHORT", F.least("width", "height") < MIN_EDGE),
         ]
     )
 

@@ -141,7 +141,7 @@ def remaining_turns(planned: DataFrame, commits: DataFrame) -> DataFrame:
     done = commits.groupBy("conversation_id").agg(F.count(F.lit(1)).alias("__n"), F.max("turn_index").alias("__m"))
     broken = done.where("__n <> __m").limit(1).collect()
     if broken:
-        raise ManifestError("COMMITS_NOT_CONTIGUOUS", str(broken[0]["conversation_id"]))
+        raise ManifestError("TURN_COMMIT_GAP", str(broken[0]["conversation_id"]))
     j = planned.join(done, "conversation_id", "left").withColumn("__n", F.coalesce(F.col("__n").cast("int"), F.lit(0))).where("__n < planned_turns")
     return j.select("conversation_id", F.explode(F.expr("sequence(__n + 1, planned_turns)")).alias("turn_index"))
 

@@ -256,10 +256,10 @@ def bind(selection: Selection, frozen: str, report: dict, audit_hash: str) -> di
 def export_reason() -> Column:
     """Why a selected conversation can't be exported: first of profile, audit, status, purpose, length, turns; or null."""
     return (
-        F.when(F.col("profile") != "standard", "EXPORT_PROFILE")
-        .when(F.col("audit_hash").isNull(), "EXPORT_UNAUDITED")
-        .when(F.col("status") != "QUALITY_CANDIDATE", "EXPORT_NOT_ACCEPTED")
-        .when(F.col("purpose") != "training", "EXPORT_PURPOSE")
-        .when(~F.col("n_turns").between(2, 6), "EXPORT_TURNS")
-        .when(F.col("committed_turns") != F.col("n_turns"), "EXPORT_UNCOMMITTED")
+        F.when(F.col("profile") != "standard", "PILOT_EXPORT_FORBIDDEN")
+        .when(F.col("audit_hash").isNull(), "AUDIT_REQUIRED")
+        .when(F.col("status") != "QUALITY_CANDIDATE", "CONVERSATION_NOT_ACCEPTED")
+        .when(F.col("purpose") != "training", "EVALUATION_IMAGE_EXPORT")
+        .when(~F.col("n_turns").between(2, 6), "TURN_COUNT_INVALID")
+        .when(F.col("committed_turns") != F.col("n_turns"), "UNCOMMITTED_TURN_EXPORT")
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from corpusflow.functions.catalogs import FORBIDDEN_FIELDS, SCOPES, STAGE_FIELDS
 from corpusflow.functions.hashing import json_array, json_column
 from corpusflow.functions.text import ECHO_LEAST, folded, normalized_question
 from corpusflow.operators.eligibility import containments
@@ -116,24 +117,30 @@ def training_hash(records: DataFrame) -> DataFrame:
     return records.select("conversation_id", F.size("messages").alias("n_messages"), F.sha2(json_column(conversation_id=F.col("conversation_id").cast("string"), messages=F.col("messages")), 256).alias("record_hash"))
 
 
-def scope_projection(scope: str, columns: dict[str, Column]) -> list[Column]:
-    """The columns that rubric items of a scope may see."""
-    from corpusflow.functions.catalogs import SCOPES
+#: What every rubric item may see.
+COMMON_FIELDS = ("target_language", "public_history", "question", "criterion")
 
-    return [columns[c].alias(c) for c in SCOPES[scope] if c in columns]
 
+def scope_projection(df: DataFrame, scope: str) -> DataFrame:
+    """The fields of ``df`` that rubric items of a scope may see, and nothing else."""
+    return df.select(*[c for c in (*COMMON_FIELDS, *SCOPES[scope]) if c in df.columns])
 
-#: What no stage may see, and stages that see no answer.
-FORBIDDEN = ("rights", "attribution", "license_uri", "private_metadata", "expected_answer", "judge_votes", "split", "source_path")
-BEFORE_ANSWER = ("evidence_extraction", "instruction_selection", "question_generation", "question_fit", "requirement_extraction")
 
+def stage_input(df: DataFrame, stage: str) -> DataFrame:
+    """``df`` if a stage may see all its columns; forbidden ones are checked first, then unknown ones.
 
-def stage_input(df: DataFrame, stage: str, allowed: dict[str, tuple[str, ...]]) -> DataFrame:
-    """Only the columns that a stage may see; forbidden ones, checked first, and unknown ones are errors."""
-    banned = [c for c in df.columns if c in FORBIDDEN or (stage in BEFORE_ANSWER and c == "answer")]
-    if banned:
-        raise PermissionError(f"{stage} must not see {', '.join(sorted(banned))}")
-    extra = [c for c in df.columns if c not in allowed[stage]]
+    Rubric items (column template_id beside the stage's fields) see an inventory of claims
+    only where the item is about coverage; the column is null for all others.
+    """
+    if stage not in STAGE_FIELDS:
+        raise PermissionError(f"UNKNOWN_MODEL_STAGE: {stage}")
+    leaks = sorted(set(df.columns) & set(FORBIDDEN_FIELDS))
+    if leaks:
+        raise PermissionError(f"MODEL_INFORMATION_LEAK: {', '.join(leaks)}")
+    allowed = STAGE_FIELDS[stage].split() + ["template_id"] * (stage == "rubric_item")
+    extra = sorted(set(df.columns) - set(allowed))
     if extra:
-        raise PermissionError(f"{stage} doesn't know {', '.join(sorted(extra))}")
-    return df.select(*[c for c in allowed[stage] if c in df.columns])
+        raise PermissionError(f"MODEL_PAYLOAD_FIELD: {', '.join(extra)}")
+    if "template_id" in df.columns and "candidate_claim_inventory" in df.columns:
+        df = df.withColumn("candidate_claim_inventory", F.when(F.col("template_id") == "C_COVERAGE", F.col("candidate_claim_inventory")))
+    return df.select(*[c for c in allowed if c in df.columns])

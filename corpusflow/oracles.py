@@ -124,19 +124,19 @@ ORACLE_SQL: dict[str, str] = {
       with r(id, p, q, t, until) as (values ('r0', true, true, true, cast(null as timestamp)), ('r1', true, true, false, null), ('r2', false, true, true, null),
         ('r3', true, true, true, timestamp '2026-01-01 00:00:00'), ('r4', true, false, true, timestamp '2026-01-01 00:00:01')),
       j as (select d.doc_id, concat('r', d.doc_id % 6) as rights_record_id, r.* from documents d left join r on concat('r', d.doc_id % 6) = r.id)
-      select rights_record_id, case when id is null then 'RIGHTS_MISSING' when not (p and (until is null or timestamp '2026-01-01 00:00:00' < until)) then 'RIGHTS_NOT_VALID'
-        when doc_id % 2 = 0 and not (t and q) then 'RIGHTS_NO_TRAINING' else 'usable' end as reason, count(*) as n from j group by 1, 2""",
+      select rights_record_id, case when id is null then 'RIGHTS_REFERENCE_MISSING' when not (p and (until is null or timestamp '2026-01-01 00:00:00' < until)) then 'RIGHTS_NOT_PERMITTED'
+        when doc_id % 2 = 0 and not (t and q) then 'RIGHTS_NOT_PERMITTED' else 'usable' end as reason, count(*) as n from j group by 1, 2""",
     "eligibility_reason_counts": f"with m as ({_METADATA}) select {_REASON} as reason, count(*) as n from m group by 1",
     "validation_eligibility": f"""with m as ({_METADATA}) select Subset = 'validation' and starts_with(License, 'https://creativecommons.org/licenses/by/') and Landing <> '' as eligible,
       coalesce({_DEGREES}, 0) as rotation, count(*) as n from m group by 1, 2""",
     "train_metadata_sample": f"with m as ({_METADATA}) select ImageID, sha256(concat('{_SEED}:', ImageID)) as rank_hash, {_DEGREES} as rotation from m where {_REASON} = 'eligible' order by 2 limit 20",
-    "pinned_provenance": f"""with m as ({_METADATA}) select case when page_id % 5 = 0 then 'PINNED_ROW_MISSING' else 'PINNED_PROVENANCE_CHANGED' end as reason, count(*) as n from m
+    "pinned_provenance": f"""with m as ({_METADATA}) select case when page_id % 5 = 0 then 'OPEN_IMAGES_PIN_MISSING' else 'OPEN_IMAGES_PIN_PROVENANCE_MISMATCH' end as reason, count(*) as n from m
       where page_id % 5 = 0 or page_id % 3 = 0 group by 1""",
     "image_gates": """
       with i as (select p_partkey * 20011 as n_bytes, list_extract(['JPEG', 'PNG', 'GIF', 'WEBP'], cast(p_partkey % 4 + 1 as int)) as format, case when p_partkey % 9 = 0 then 2 else 1 end as frames,
         p_partkey % 9000 + 100 as width, p_size * 150 as height from part)
-      select case when n_bytes > 20971520 then 'IMAGE_TOO_LARGE' when format not in ('JPEG', 'PNG', 'WEBP') then 'IMAGE_FORMAT' when frames <> 1 then 'IMAGE_ANIMATED'
-        when width * height > 40000000 then 'IMAGE_PIXELS' when least(width, height) < 128 then 'IMAGE_TOO_SMALL' else 'eligible' end as reason, count(*) as n from i group by 1""",
+      select case when n_bytes > 20971520 then 'IMAGE_TOO_LARGE' when format not in ('JPEG', 'PNG', 'WEBP') then 'IMAGE_FORMAT_UNSUPPORTED' when frames <> 1 then 'ANIMATED_IMAGE_UNSUPPORTED'
+        when width * height > 40000000 then 'IMAGE_PIXEL_LIMIT' when least(width, height) < 128 then 'IMAGE_EDGE_TOO_SHORT' else 'eligible' end as reason, count(*) as n from i group by 1""",
     "hash_rank_sample": f"select doc_id, sha256(concat('{_SEED}:', doc_id)) as rank_hash from documents order by 2 limit 50",
     "hash_rank_first_successes": f"""
       with top as (select doc_id, sha256(concat('{_SEED}:', doc_id)) as rank_hash from documents order by 2 limit 200)
@@ -282,9 +282,9 @@ ORACLE_SQL: dict[str, str] = {
     "ledger_verification": f"""with {_CALLS} select count(*) filter (event_id % 20 <> 1) as artifacts, count(*) filter (event_id % 20 <> 1 and event_id % 50 = 7) as corrupt, count(*) as model_calls,
       (select count(*) from done where seq % 20 = 1) as missing_responses from events""",
     "strict_json": """select case event_id % 6 when 1 then 'INVALID_JSON' when 2 then 'JSON_OBJECT_REQUIRED' when 3 then 'NON_FINITE_JSON_NUMBER' when 4 then 'DUPLICATE_JSON_KEY' else 'OK' end as outcome, count(*) as n from events group by 1""",
-    "completion_envelopes": """select case when event_id % 31 = 0 then 'MODEL_CHOICES_INVALID' when event_id % 13 = 0 then 'MODEL_TOOL_CALL' when event_id % 7 = 0 then 'MODEL_OUTPUT_TRUNCATED' when event_id % 11 = 0 then 'MODEL_EMPTY_CONTENT'
-      when event_id % 1100 > 1024 then 'MODEL_USAGE_INVALID' else 'OK' end as outcome, count(*) as n from events group by 1""",
-    "media_suffixes": """select case when page_id % 3 = 0 then '.png' else '.jpg' end as suffix, count(*) as n from pages group by 1""",
+    "completion_envelopes": """select case when event_id % 31 = 0 then 'MODEL_CHOICE_COUNT' when event_id % 7 <> 0 and event_id % 17 = 0 then 'MODEL_FINISH_REASON' when event_id % 13 = 0 then 'MODEL_MESSAGE_INVALID'
+      when event_id % 11 = 0 then 'MODEL_CONTENT_EMPTY' when event_id % 7 = 0 and event_id % 2 = 1 then 'MODEL_FINISH_REASON' when event_id % 1100 > 1024 then 'MODEL_USAGE_INVALID' else 'OK' end as outcome, count(*) as n from events group by 1""",
+    "media_suffixes": """select case when page_id % 3 = 0 then '.png' when page_id % 2 = 0 then '.jpeg' else 'unsupported' end as suffix, count(*) as n from pages group by 1""",
     "remaining_turns": f"""
       with c as (select distinct cast(conv_id as varchar) as conversation_id from conversations), p as (select conversation_id, {_turns("conversation_id")} as n from c)
       select conversation_id, cast(unnest(range(case when cast(conversation_id as int) % 2 = 0 then 3 else 1 end, n + 1)) as int) as turn_index from p""",

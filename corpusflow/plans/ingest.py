@@ -25,7 +25,7 @@ def ingest(sources: DataFrame, rights: DataFrame, decoded: DataFrame, at: Column
     training = F.col("purpose") == "training"
     allowed = eligibility.attach_rights(sources, rights, at, training)
     joined = allowed.join(decoded, "source_id", "left")
-    missing = F.when(F.col("canonical_pixel_sha256").isNull(), "IMAGE_MISSING")
+    missing = F.when(F.col("canonical_pixel_sha256").isNull(), "IMAGE_NOT_FILE")
     checked = joined.withColumn("reason", F.coalesce("reason", missing, eligibility.image_reason()))
     accepted, failed = eligibility.split_failures(checked)
     images = image_ids(accepted)

@@ -578,7 +578,7 @@ def completion_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Completions by the first thing wrong with them."""
     k = F.col("event_id")
     reason = text.completion_error(
-        F.when(k % 7 == 0, "length").otherwise("stop"), F.when(k % 31 == 0, 2).otherwise(1), F.when(k % 11 == 0, "  ").otherwise("x"), F.when(k % 13 == 0, 1).otherwise(0), k % 100, k % 1100, 1024
+        F.when(k % 7 == 0, "length").when(k % 17 == 0, "error").otherwise("stop"), F.when(k % 31 == 0, 2).otherwise(1), F.when(k % 11 == 0, "  ").when(k % 2 == 0, '{"a":[1').otherwise('{"a":"x'), F.when(k % 13 == 0, 1).otherwise(0), k % 100, k % 1100, 1024
     )
     return _t(spark, sf_dir, "events").select(F.coalesce(reason, F.lit("OK")).alias("outcome")).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
@@ -586,9 +586,9 @@ def completion_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def media_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """File suffixes of pages by media type or URL."""
     p = _t(spark, sf_dir, "pages").select("page_id", "url")
-    kind = F.when(F.col("page_id") % 3 == 0, "image/PNG; q=1").when(F.col("page_id") % 3 == 1, "text/html")
+    kind = F.when(F.col("page_id") % 3 == 0, "image/png").when(F.col("page_id") % 3 == 1, "text/html")
     url = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("https://example.org/"), _s("page_id"), F.lit(".JPEG?x=1"))).otherwise(F.col("url"))
-    return p.select(text.media_suffix(kind, url).alias("suffix")).groupBy("suffix").agg(F.count(F.lit(1)).alias("n"))
+    return p.select(F.coalesce(text.media_suffix(kind, url), F.lit("unsupported")).alias("suffix")).groupBy("suffix").agg(F.count(F.lit(1)).alias("n"))
 
 
 def remaining_turns(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -85,9 +85,9 @@ def read_images(spark: SparkSession, root: str, wanted: DataFrame) -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     base = root.rstrip("/").removeprefix("file:").rsplit("/", 1)[-1]
     files = files.select(F.regexp_extract("path", f".*/{base}/(.*)$", 1).alias("__rel"), "content")
-    checked = wanted.withColumn("reason", F.when(~safe_path(F.col("image_path")), "PATH_ESCAPES_ROOT"))
+    checked = wanted.withColumn("reason", F.when(~safe_path(F.col("image_path")), "IMAGE_PATH_ESCAPE"))
     joined = checked.join(files, (checked["image_path"] == files["__rel"]) & checked["reason"].isNull(), "left")
-    return joined.withColumn("reason", F.coalesce("reason", F.when(F.col("content").isNull(), "IMAGE_MISSING"))).drop("__rel")
+    return joined.withColumn("reason", F.coalesce("reason", F.when(F.col("content").isNull(), "IMAGE_NOT_FILE"))).drop("__rel")
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
@@ -96,19 +96,20 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return df if "duration_ms" in df.columns else df.withColumn("duration_ms", F.lit(0).cast("long"))
 
 
-#: Strata of answer-keyed fixtures.
-STRATA = ("attribute", "relation", "count", "text", "table", "chart", "arithmetic", "absence")
+#: Strata and splits of answer-keyed fixtures.
+STRATA = ("attribute_spatial", "count_set", "text_language", "table_calculation", "format_constraint", "history_transition", "limitation_false_premise", "policy_injection")
+FIXTURE_SPLITS = ("development", "confirmation")
 
 
 def fixtures(spark: SparkSession, languages: list[str], pairs: int, seed: int) -> DataFrame:
-    """Answer-keyed cases: for each split, stratum, language and pair one to accept and one to reject.
+    """Answer-keyed cases: for each language, split, stratum and index one to accept and one to reject.
 
-    Columns: fixture_id, split, stratum, language, pair, expected_accept. Pixels are made
-    elsewhere, from the id.
+    Columns: fixture_id, image_id, split, stratum, target_language, index, expected_accept.
+    Both cases of a pair share an image; pixels are made elsewhere, from the image's id.
     """
     lit = lambda xs: F.explode(F.array(*map(F.lit, xs)))
-    rows = spark.range(pairs).select(F.col("id").alias("pair"), lit(("calibration", "test")).alias("split"))
-    rows = rows.select("pair", "split", lit(STRATA).alias("stratum")).select("*", lit(languages).alias("language")).select("*", F.explode(F.array(F.lit(True), F.lit(False))).alias("expected_accept"))
-    return rows.select(sha(seed, F.col("split"), F.col("stratum"), F.col("language"), F.col("pair"), F.col("expected_accept")).alias("fixture_id"), "split", "stratum", "language", "pair", "expected_accept")
-
-
+    rows = spark.range(pairs).select(F.col("id").alias("index"), lit(FIXTURE_SPLITS).alias("split"))
+    rows = rows.select("*", lit(STRATA).alias("stratum")).select("*", lit(languages).alias("target_language")).select("*", F.explode(F.array(F.lit(True), F.lit(False))).alias("expected_accept"))
+    case = (F.col("target_language"), F.col("split"), F.col("stratum"), F.col("index"))
+    answer = F.when(F.col("expected_accept"), "True").otherwise("False")
+    return rows.select(sha(seed, *case, answer).alias("fixture_id"), sha(seed, *case).alias("image_id"), "split", "stratum", "target_language", "index", "expected_accept")

@@ -25,7 +25,7 @@ def test_select_audit_export(spark, tmp_path, capsys):
     spark.createDataFrame([(c, k, r, f"{c}{k}") for c in chosen for k, r in enumerate(("user", "assistant"))], "conversation_id string, position int, role string, content string").write.parquet(p("messages"))
     spark.createDataFrame([(c, "PASS") for c in chosen], "conversation_id string, aggregate string").write.parquet(p("ratings"))
     out = ["export", "--conversations", p("conversations"), "--messages", p("messages"), "--ratings", p("ratings"), "--selection", p("selection.json"), "--destination", p("export")]
-    assert main(out, spark) == 3 and "EXPORT_UNAUDITED" in capsys.readouterr().err
+    assert main(out, spark) == 3 and "AUDIT_REQUIRED" in capsys.readouterr().err
     assert main(["audit", "--pool", p("pool"), "--policy", p("policy.json"), "--selection", p("selection.json"), "--output", p("audit.json")], spark) == 0
     assert main(out, spark) == 0 and spark.read.text(p("export/training")).count() == 2
     (tmp_path / "hard.json").write_text(json.dumps({"target_count": 9, "language_quotas": {"en": 1}}))

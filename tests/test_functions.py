@@ -85,8 +85,10 @@ def test_questions_and_gates(spark):
     assert text.normalize_question("  ＷＨＡＴ  is\tit？ ！") == "what is it" and text.normalize_question("Straße") == "strasse"
     assert one(spark, text.has_letters(F.lit("12 é"))) and not one(spark, text.has_letters(F.lit("12 ½ !")))
     assert not one(spark, text.not_blank(F.lit(" 　\n"))) and one(spark, text.not_blank(F.lit("x")))
-    assert one(spark, text.clean_output(F.lit("<think>\n</think>\n yes"))) == "yes" and one(spark, text.clean_output(F.lit("<think>a</think>b"))) is None
+    assert one(spark, text.clean_output(F.lit("<|channel|>thought\n<|channel|>yes"))) == "yes" and one(spark, text.clean_output(F.lit("a <|channel>thought b"))) is None
+    assert one(spark, text.clean_output(F.lit("plain"))) == "plain"
     assert one(spark, text.media_suffix(F.lit(None).cast("string"), F.lit("https://a/b.PNG?x=1"))) == ".png"
+    assert one(spark, text.media_suffix(F.lit("text/html"), F.lit("https://a.png/b?c.png"))) is None
     assert one(spark, text.media_suffix(F.lit("image/webp"), F.lit("https://a/b.png"))) == ".webp"
     assert len(one(spark, text.joined_reason(F.array(F.lit("x" * 200), F.lit("y" * 200))))) == 240
 

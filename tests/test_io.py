@@ -51,7 +51,7 @@ def test_images_and_digests(spark, tmp_path):
     (tmp_path / "root" / "d" / "a.jpg").write_bytes(b"abc")
     wanted = spark.createDataFrame([("d/a.jpg",), ("../x",), ("d/none.jpg",)], "image_path string")
     got = {r["image_path"]: (r["content"], r["reason"]) for r in readers.read_images(spark, str(tmp_path / "root"), wanted).collect()}
-    assert bytes(got["d/a.jpg"][0]) == b"abc" and got["d/a.jpg"][1] is None and got["../x"] == (None, "PATH_ESCAPES_ROOT") and got["d/none.jpg"] == (None, "IMAGE_MISSING")
+    assert bytes(got["d/a.jpg"][0]) == b"abc" and got["d/a.jpg"][1] is None and got["../x"] == (None, "IMAGE_PATH_ESCAPE") and got["d/none.jpg"] == (None, "IMAGE_NOT_FILE")
     assert readers.file_digests(spark, str(tmp_path / "root")).first()["sha256"] == "ba7816bf8f01cfea414140de5dae2223b00361a396177a9cb410ff61f20015ad"
 
 
@@ -100,7 +100,7 @@ def test_ingest(spark):
     images, failures = ingest.ingest(sources, rights, decoded, F.expr("timestamp '2024-01-01'"))
     got = {r["source_id"]: (r["purpose"], r["split"]) for r in images.collect()}
     assert got == {k: ("evaluation", "evaluation") for k in ("s1", "s2", "s3")}
-    assert {r["source_id"]: r["reason"] for r in failures.collect()} == {"s4": "IMAGE_TOO_SMALL", "s5": "IMAGE_MISSING"}
+    assert {r["source_id"]: r["reason"] for r in failures.collect()} == {"s4": "IMAGE_EDGE_TOO_SHORT", "s5": "IMAGE_NOT_FILE"}
     again, failed = ingest.ingest(sources.repartition(3), rights, decoded, F.expr("timestamp '2024-01-01'"))
     assert ingest.manifest_hash(images, failures) == ingest.manifest_hash(again, failed)
     with pytest.raises(eligibility.ManifestError, match="DUPLICATE_SOURCE_ID"):

@@ -21,9 +21,9 @@ def test_rights(spark):
     sources = spark.createDataFrame([("s1", "a", True), ("s2", "b", True), ("s3", "b", False)], "source_id string, rights_record_id string, training boolean")
     at = lambda t: F.expr(f"timestamp '{t}'")
     got = lambda t: {r["source_id"]: r["reason"] for r in eligibility.attach_rights(sources, rights, at(t), F.col("training")).collect()}
-    assert got("2020-01-01") == {"s1": None, "s2": "RIGHTS_NO_TRAINING", "s3": None}
-    assert got("2021-01-01")["s1"] == "RIGHTS_NOT_VALID" and got("2019-12-31")["s3"] == "RIGHTS_NOT_VALID"
-    with pytest.raises(ManifestError, match="RIGHTS_MISSING"):
+    assert got("2020-01-01") == {"s1": None, "s2": "RIGHTS_NOT_PERMITTED", "s3": None}
+    assert got("2021-01-01")["s1"] == "RIGHTS_NOT_PERMITTED" and got("2019-12-31")["s3"] == "RIGHTS_NOT_PERMITTED"
+    with pytest.raises(ManifestError, match="RIGHTS_REFERENCE_MISSING"):
         eligibility.attach_rights(sources.withColumn("rights_record_id", F.lit("z")), rights, at("2020-01-01"), F.col("training"))
     with pytest.raises(ManifestError, match="RIGHTS_WINDOW"):
         eligibility.attach_rights(sources, rights.withColumn("valid_until", F.col("valid_from")), at("2020-01-01"), F.col("training"))
@@ -212,11 +212,16 @@ def test_validity_and_stage_input(spark):
     m = spark.createDataFrame([("a", 0, "user"), ("a", 1, "assistant"), ("b", 0, "system"), ("b", 1, "user"), ("c", 1, "user")], "conversation_id string, position int, role string")
     got = {r["conversation_id"]: (r["contiguous"], r["alternating"]) for r in transcript.validity(m).collect()}
     assert got == {"a": (True, True), "b": (True, False), "c": (False, True)}
-    df = spark.createDataFrame([("q", "h")], "question string, history string")
-    assert transcript.stage_input(df, "question_fit", {"question_fit": ("history", "question")}).columns == ["history", "question"]
-    for extra in ("rights", "answer", "other"):
-        with pytest.raises(PermissionError):
-            transcript.stage_input(df.withColumn(extra, F.lit(1)), "question_fit", {"question_fit": ("history", "question")})
+    df = spark.createDataFrame([("q", "h")], "question string, public_history string")
+    assert transcript.stage_input(df, "question_fit").columns == ["public_history", "question"]
+    for extra, code in (("gold_answer", "MODEL_INFORMATION_LEAK"), ("candidate_answer", "MODEL_PAYLOAD_FIELD"), ("other", "MODEL_PAYLOAD_FIELD")):
+        with pytest.raises(PermissionError, match=code):
+            transcript.stage_input(df.withColumn(extra, F.lit(1)), "question_fit")
+    with pytest.raises(PermissionError, match="UNKNOWN_MODEL_STAGE"):
+        transcript.stage_input(df, "other")
+    items = spark.createDataFrame([("C_COVERAGE", "c"), ("R_CORE", "c")], "template_id string, candidate_claim_inventory string")
+    assert [r["candidate_claim_inventory"] for r in transcript.stage_input(items, "rubric_item").orderBy("template_id").collect()] == ["c", None]
+    assert transcript.scope_projection(df.withColumn("image_views", F.lit(1)), "TEXT_HQ").columns == ["public_history", "question"]
 
 
 # -- rules and requirements ---------------------------------------------------------------------
