@@ -27,7 +27,7 @@ APART = frozenset("nav header footer aside form menu dialog".split())
 MAIN = frozenset("article main".split())
 #: Names in a class, id or role that mark what isn't main text; a name counts as a whole word of the attribute.
 APART_NAMES = frozenset(
-    "ad ads advert advertisement adverts advertising banner breadcrumb breadcrumbs byline comment comments commentlist consent cookie cookies copyright dialog disclaimer disqus footer form gdpr header legal login masthead menu meta modal nav navbar navigation newsletter notice notification overlay pagination pager paywall popup promo promoted promotion recommended related reply replies respond rss share sharing sidebar signup social sponsor sponsored subscribe subscription tags toolbar topbar widget".split()
+    "ad ads advert advertisement adverts advertising alert banner breadcrumb breadcrumbs byline comment comments commentlist commenter complementary consent contentinfo cookie cookies copyright dialog disclaimer disqus footer form gdpr header legal login masthead menu meta modal nav navbar navigation newsletter notice notification overlay pagination pager paywall popup promo promoted promotion recommended related reply replies respond rss share sharing sidebar signup social sponsor sponsored subscribe subscription tags toolbar topbar widget".split()
 )
 _WORDS = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -72,7 +72,7 @@ class _Blocks(HTMLParser):
         if tag in INLINE:
             if tag in ("br", "wbr"):
                 self.parts.append(" " if tag == "br" else "")
-            named = _named(attrs)
+            named = _named(attrs, self.main > 0)
             if named and tag not in VOID:
                 self.flush()
                 self._push(tag, True, False)
@@ -81,7 +81,7 @@ class _Blocks(HTMLParser):
         self.links = 0
         if tag not in VOID:
             main = tag in MAIN
-            apart = tag in APART and not (tag == "header" and self.main) or _named(attrs)
+            apart = tag in APART and not (tag == "header" and self.main) or _named(attrs, self.main > 0)
             self._push(tag, apart and tag not in ("html", "body"), main)
 
     def _push(self, tag: str, apart: bool, main: bool) -> None:
@@ -137,14 +137,14 @@ class _Blocks(HTMLParser):
 
 
 @cache
-def _apart_words(value: str) -> bool:
-    return not APART_NAMES.isdisjoint(_WORDS.findall(_CAMEL.sub(" ", value).lower()))
+def _apart_words(value: str) -> frozenset[str]:
+    return APART_NAMES.intersection(_WORDS.findall(_CAMEL.sub(" ", value).lower()))
 
 
-def _named(attrs: list[tuple[str, str | None]]) -> bool:
-    """Whether an element's class, id or role marks it, or it is hidden."""
+def _named(attrs: list[tuple[str, str | None]], main: bool) -> bool:
+    """Whether an element's class, id or role marks it, or it is hidden. A header inside of the main element is its heading."""
     for k, v in attrs:
-        if k in ("class", "id", "role") and v and len(v) < 200 and _apart_words(v):
+        if k in ("class", "id", "role") and v and len(v) < 200 and _apart_words(v) - ({"header"} if main else set()):
             return True
         if k == "hidden" or (k == "aria-hidden" and v == "true"):
             return True

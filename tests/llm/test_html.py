@@ -24,6 +24,11 @@ def test_sloppy_markup():
     assert H.main_text(None) == H.main_text("") == H.main_text("<article></article>") == ""
 
 
+def test_headers():
+    page = '<div class="page-header">Site</div><article><header class="entry-header"><h1 class="header">Title</h1></header><p>Text</p><p class="comment-form">say</p></article><div role="contentinfo">me</div>'
+    assert H.main_text(page) == "Title\nText"
+
+
 def test_pages_without_article():
     page = "<body><ul><li><a>Home</a></li><li><a>About us</a></li></ul><p>" + "prose " * 40 + "</p><p>" + "more " * 30 + "</p><div><a>x</a> <a>y</a></div></body>"
     assert H.main_text(page) == ("prose " * 40).strip() + "\n" + ("more " * 30).strip()
