@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -139,16 +140,17 @@ class Index:
         return out
 
 
-def _blocks(benchmark: DataFrame, chars: int) -> list[list[tuple[int, str]]]:
-    """The items in blocks of bounded size, read in order of id without holding more than a block of Spark's rows."""
-    out, held = [[]], 0
+def _blocks(benchmark: DataFrame, chars: int) -> Iterator[list[tuple[int, str]]]:
+    """The items in blocks of bounded size, in order of id; the driver holds one block at a time."""
+    block, held = [], 0
     for r in benchmark.select("item_id", "text").where("text is not null").orderBy("item_id", "text").toLocalIterator():
-        if held and held + len(r["text"]) > chars:
-            out.append([])
-            held = 0
-        out[-1].append((r["item_id"], r["text"]))
+        if block and held + len(r["text"]) > chars:
+            yield block
+            block, held = [], 0
+        block.append((r["item_id"], r["text"]))
         held += len(r["text"])
-    return [b for b in out if b]
+    if block:
+        yield block
 
 
 def _searcher(docs: DataFrame, benchmark: DataFrame, coverage: float, block_chars: int) -> list:
