@@ -65,5 +65,18 @@ QUERIES = {
     "op10_urls": op10_urls,
 }
 
-#: The other operators train models, hash with functions SQL lacks, or read formats back; tests/llm compares these with brute force.
-ORACLE_SQL: dict[str, str] = {"op10_urls": urls.query_sql("pages", dialect="duckdb")}
+_ESCAPED = "(2 * length({0}) - length(regexp_replace({0}, '[\\\\<\\[]', '', 'g')))"
+_SAID = chat.MARKS[1] + chat.MARKS[2] + " ok " + chat.MARKS[3]
+#: What the default template adds to a turn, by role: the lengths of its marks.
+_AROUND = {"user": 16, "assistant": 4, "system": 15}
+CHAT_SQL = f"""
+  with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all select * from (values (-7, 0, 'user', '{_SAID}'), (-7, 1, 'assistant', '{_SAID}')) t(conv_id, turn, role, text)),
+  d as (select *, {_ESCAPED.format("text")} + case {" ".join(f"when role = '{k}' then {n}" for k, n in _AROUND.items())} else 25 + {_ESCAPED.format("role")} end as n from c)
+  select conv_id, count(*) as n_turns, sha256(string_agg(concat(role, chr(10), text, chr(10)), '' order by turn, role, text)) as turns_sha256,
+    cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+    sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256, cast(sum(n) as bigint) as formatted_chars
+  from d group by conv_id"""
+
+#: The other operators train models, hash with functions SQL lacks, or decode formats; tests/llm compares these with brute force.
+ORACLE_SQL: dict[str, str] = {"op7_chat": CHAT_SQL, "op10_urls": urls.query_sql("pages", dialect="duckdb")}
