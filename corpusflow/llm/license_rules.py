@@ -76,7 +76,7 @@ _RULES = r"""
 2 agpl            affero    (?:gnu )?affero general public licen[cs]e
 1 agpl            agpl      under the agpl
 4 bsd-3-clause    binary    redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met
-4 bsd-3-clause    endorse   neither the name of .{1,80}? nor the names of its contributors may be used to endorse or promote products
+4 bsd-3-clause    endorse   neither the name of (?:[^ ]+ ){1,12}?nor the names of its contributors may be used to endorse or promote products
 4 bsd-4-clause    advertising all advertising materials mentioning features or use of this software must display
 3 bsd-3-clause    bsd       (?:3|three) clause bsd(?: licen[cs]e)?
 3 bsd-3-clause    bsd       bsd (?:3|three)(?: clause)?(?: licen[cs]e)?
@@ -270,7 +270,7 @@ _RULES = r"""
 3 proprietary     rights    all rights reserved
 3 proprietary     proprietary proprietary and confidential
 2 proprietary     eula      end user licen[cs]e agreement
-2 proprietary     unauthorized unauthorized (?:copying|reproduction|use|distribution) .{0,60}?(?:is )?(?:strictly )?prohibited
+2 proprietary     unauthorized unauthorized (?:copying|reproduction|use|distribution) (?:[^ ]+ ){0,10}?prohibited
 2 non-commercial  commercial for non ?commercial (?:use|purposes) only
 2 non-commercial  research  for (?:academic |non commercial )?research (?:use|purposes) only
 1 dual-license    dual      dual licen[cs]ed?

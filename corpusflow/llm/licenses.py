@@ -35,6 +35,40 @@ def _gate(keywords: list[str]) -> str:
     return f" (?:{'|'.join(sorted(map(re.escape, keywords), key=lambda k: (-len(k), k)))})(?= )"
 
 
+def _apart(pattern: str) -> str:
+    """A rule's pattern for words two spaces apart: every space twice, but for those in a class of characters."""
+    inner = pattern.removesuffix("(?= )")[1:]
+    return f" {re.sub(r'\[[^]]*\]| [?]| ', lambda m: {' ?': '(?:  )?', ' ': '  '}.get(m[0], m[0]), inner)} "
+
+
+def oracle_sql(source: str = "documents") -> str:
+    """The scan in DuckDB's SQL, by another way: rules joined to texts by keyword, pairs of intervals compared.
+
+    Words stand two spaces apart there, so that each has its own borders and no lookahead is needed.
+    """
+    quote = lambda x: "'" + x.replace("'", "''") + "'"
+    rows = ", ".join(f"({n}, {p}, {quote(label)}, {quote(k)}, {quote(_apart(x))})" for n, p, label, k, x in rules())
+    base = ", ".join(f"({quote(p)}, {quote(label)}, {len(p.split())})" for p, label in BASE)
+    words = "(length({0}) - length(replace({0}, ' ', ''))) // 2"
+    sums = lambda m: f"list_sum(list_transform(g[1:k], lambda x: {words.format('x')})) + coalesce(list_sum(list_transform(m[1:{m}], lambda x: {words.format('x')})), 0)"
+    return f"""
+      with r(rule, priority, label, keyword, pattern) as (values {rows}),
+      w as (select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') as words from {source}),
+      d as (select *, concat(' ', array_to_string(words, '  '), ' ') as body from w),
+      p as (select doc_id, b.label, unnest(list_filter(range(1, len(words) - b.k + 2), lambda i: array_to_string(words[i:i + b.k - 1], ' ') = b.phrase)) - 1 as place from d, (values {base}) b(phrase, label, k)),
+      f as (select doc_id, rule, priority, label, string_split_regex(body, pattern) as g, regexp_extract_all(body, pattern) as m from d join r on list_contains(words, keyword)),
+      h as (select doc_id, rule, priority, label, g, m, unnest(range(1, len(m) + 1)) as k from f),
+      i as (select doc_id, rule, priority, label, {sums("k - 1")} as a, {sums("k")} as z from h),
+      kept as (select * from i h where not exists (select 1 from i o where o.doc_id = h.doc_id and o.a <= h.a and o.z >= h.z and o.priority >= h.priority
+        and (o.a <> h.a or o.z <> h.z or o.priority > h.priority or o.rule < h.rule))),
+      bl as (select doc_id, count(*) as n, min(place) as first_word, max(place) as last_word, list_sort(list_distinct(list(label))) as labels from p group by 1),
+      kl as (select doc_id, count(*) as n, list(label) as labels from kept group by 1)
+      select d.doc_id, cast(len(words) as bigint) as n_words, cast(coalesce(bl.n, 0) as bigint) as n_base, cast(bl.first_word as bigint) as first_word, cast(bl.last_word as bigint) as last_word,
+        array_to_string(coalesce(bl.labels, []), ',') as base_labels, array_to_string(list_sort(list_distinct(list_concat(coalesce(bl.labels, []), coalesce(kl.labels, [])))), ',') as labels,
+        1 - pow(0.5, coalesce(kl.n, 0) + len(coalesce(bl.labels, []))) as score
+      from d left join bl on d.doc_id = bl.doc_id left join kl on d.doc_id = kl.doc_id"""
+
+
 def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, detections.
 

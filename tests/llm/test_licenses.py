@@ -35,6 +35,7 @@ TEXTS = [
     "mitlicense amit license ÄMIT license İ mit licensé",
     "general public license " * 40,
     "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 3 of the License, or (at your option) any later version",
+    "Neither the name of Foo Bar Inc. nor the names of its contributors may be used to endorse or promote products", "Unauthorized copying of this file, via any medium, is strictly prohibited. Proprietary and confidential",
     "nothing", "", None, "  ..!! ", "licence 漢字 bsd",
 ]
 
@@ -54,6 +55,17 @@ def test_whole_table_matches_brute_force(spark, small):
         assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"], r["labels"]) == brute(texts[r["doc_id"]])[:6]
 
 
+def test_sql_finds_the_same(spark):
+    import duckdb
+    import pandas as pd
+
+    con = duckdb.connect()
+    con.register("texts", pd.DataFrame({"doc_id": range(len(TEXTS)), "text": TEXTS}))
+    want = con.sql(licenses.oracle_sql("texts")).fetchall()
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in licenses.scan(df).drop("detections").collect())
+
+
 def test_rules_are_sound():
     table = rules()
     assert len(table) > 200
