@@ -244,6 +244,15 @@ ORACLE_SQL: dict[str, str] = {
       select l_orderkey, count(*) as n, cast(sum(cast(l_extendedprice as decimal(18,2))) * 100 as bigint) as total_cents, case when count(*) < 2 or l_orderkey % 5 = 0 then 'NOT_MET' else 'MET' end as verdict from lineitem group by 1""",
     "computation_check": """
       select l_orderkey, case when l_orderkey % 11 = 0 then 'UNKNOWN' when l_orderkey % 7 = 0 or l_orderkey % 13 = 0 then 'NOT_MET' else 'MET' end as verdict from lineitem group by 1""",
+    "requirement_ledger": """
+      with recursive e as (select user_id as u, row_number() over w as k, list_extract(['introduce', 'retain', 'override', 'revoke', 'introduce'], cast(event_id % 5 + 1 as int)) as action,
+        coalesce(concat('q', lag(event_id) over w), '') as old, concat('q', event_id) as new from events window w as (partition by user_id order by event_id)),
+      s(u, k, active, stopped, error) as (select distinct user_id, cast(0 as bigint), cast([] as varchar[]), false, cast(null as varchar) from events
+        union all select u, k, case when error is not null or action = 'retain' then active when action = 'introduce' then list_append(active, new)
+          when action = 'revoke' then list_filter(active, lambda x: x <> old) else list_append(list_filter(active, lambda x: x <> old), new) end, stopped or error is not null, error
+        from (select s.u, e.k, e.action, e.old, e.new, s.active, s.stopped, case when s.stopped then 'STOPPED' when action <> 'introduce' and not list_contains(s.active, old) then 'UNKNOWN_REQUIREMENT'
+          when action in ('introduce', 'override') and new <> old and list_contains(s.active, new) then 'DUPLICATE_REQUIREMENT' end as error from s join e on s.u = e.u and e.k = s.k + 1))
+      select coalesce(error, 'none') as error, count(*) as n, cast(max(len(active)) as int) as most_active from s where k > 0 group by 1""",
     "pool_bounds": f"""
       with {_POOL}, p as (select * from pool where purpose = 'training'), i as (select language, image_id, least(count(*), 3) as n from p group by 1, 2), g as (select language, visual_group_id, least(count(*), 6) as n from p group by 1, 2)
       select language, (select count(*) from p where p.language = l.language) as available, (select cast(sum(n) as bigint) from i where i.language = l.language) as by_image_id,
