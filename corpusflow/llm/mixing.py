@@ -26,8 +26,6 @@ BLOCK = 16
 PERIOD = 5_000
 #: Default targets: the sources' sizes to this power, so that large ones don't drown small ones.
 TEMPERATURE = 0.5
-#: Ranks within a source are counted over this many ranges of a hash.
-RANGES = 4096
 #: Sources are planned on the driver, by their counts alone; more than this is an error.
 MAX_SOURCES = 1_000
 
@@ -94,15 +92,15 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = B
     fewer; ``position`` leaves their places free and is unique. An empty table gives an
     empty result. Columns of these names in ``docs`` are replaced.
 
-    A source is never gathered in one task: its rows are dealt over ranges of the hash,
-    ranked there, and moved up by the counts of the ranges before.
+    A source is never gathered in one task: its rows are dealt over the 4,096 ranges of the
+    hash's first three digits, ranked there, and moved up by the counts of the ranges before.
     """
     spark = docs.sparkSession
     names = [c for c in docs.columns if c not in ("block_no", "slot", "position")]
-    rank = F.xxhash64(F.col("doc_id"))
+    digest = F.sha2(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 256)
     ties = ["__h", "doc_id", *(["text"] if "text" in names else [])]
     keyed = docs.select(*names).withColumn("__s", F.when(F.col("source").isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), F.col("source"))))
-    keyed = keyed.withColumn("__h", rank).withColumn("__r", F.shiftrightunsigned("__h", 64 - int(math.log2(RANGES))).cast("int"))
+    keyed = keyed.withColumn("__h", digest).withColumn("__r", F.conv(F.substring("__h", 1, 3), 16, 10).cast("int"))
     counts = saved(keyed.groupBy("__s", "__r").agg(F.count(F.lit(1)).alias("__n")), "ranges")
     sizes = {r["__s"]: r["n"] for r in counts.groupBy("__s").agg(F.sum("__n").alias("n")).limit(MAX_SOURCES + 1).collect()}
     if len(sizes) > MAX_SOURCES:
@@ -128,3 +126,22 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = B
     placed = ranked.join(F.broadcast(span), on)
     placed = placed.withColumn("slot", F.expr("__start + (block_no - __used) div __a * __q + element_at(__slots, cast((block_no - __used) % __a as int) + 1)"))
     return placed.select(*names, "block_no", "slot", (F.col("slot") * block + F.col("__i") % block).alias("position"))
+
+
+def oracle_sql(source: str = "documents", block: int = BLOCK, total: int = PERIOD) -> str:
+    """The mixture with default targets in DuckDB's SQL: the schedule simulated slot by slot, without periods."""
+    return f"""
+      with recursive n as (select case when source is null then '-' else concat('+', source) end as s, count(*) as n from {source} group by 1),
+      a as (select s, n, cast(greatest(1, round({total} * sqrt(n) / (select sum(sqrt(n)) from n))) as bigint) as a from n),
+      init as (select list({{'s': s, 'a': a, 'k': cast(0 as bigint), 'left_': (n + {block - 1}) // {block}}} order by s) as st from a),
+      run(slot, start, chosen, st) as (
+        select cast(-1 as bigint), cast(0 as bigint), cast('' as varchar), st from init
+        union all
+        select slot + 1, case when over_ then slot + 2 else start end, pick.s,
+          list_filter(list_transform(list_transform(st, lambda x: case when x.s = pick.s then {{'s': x.s, 'a': x.a, 'k': x.k + 1, 'left_': x.left_ - 1}} else x end), lambda x: case when over_ then {{'s': x.s, 'a': x.a, 'k': cast(0 as bigint), 'left_': x.left_}} else x end), lambda x: x.left_ > 0)
+        from (select *, pick.left_ = 1 as over_ from (select slot, start, st, list_sort(list_transform(list_filter(list_transform(st, lambda x:
+            {{'due': ((x.k + 1) * q + x.a - 1) // x.a, 'free': x.k * q // x.a, 's': x.s, 'left_': x.left_}}), lambda x: x.free <= slot + 1 - start), lambda x: x))[1] as pick
+          from (select *, list_sum(list_transform(st, lambda x: x.a)) as q from run) where len(st) > 0))),
+      blocks as (select chosen as s, slot, row_number() over (partition by chosen order by slot) - 1 as block_no from run where slot >= 0),
+      ranked as (select doc_id, source, case when source is null then '-' else concat('+', source) end as s, row_number() over (partition by source order by sha256(concat('mix:', coalesce(cast(doc_id as varchar), ''))), doc_id) - 1 as i from {source})
+      select doc_id, source, i // {block} as block_no, cast(slot as bigint) as slot, cast(slot * {block} + i % {block} as bigint) as position from ranked join blocks on ranked.s = blocks.s and ranked.i // {block} = blocks.block_no"""

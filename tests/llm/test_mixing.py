@@ -62,3 +62,19 @@ def test_odd_rows(spark, odd, none):
     assert M.mix(none).count() == 0
     assert M.mix(odd.select("doc_id", "source")).count() == odd.count()
     assert M.period({}) == {} and M.phases({}, {}) == []
+
+
+def test_sql_places_the_same_rows(spark):
+    import duckdb
+    import pandas as pd
+
+    rng = random.Random(9)
+    names = ["hot"] * 6 + ["b", "c", None, "d"]
+    rows = [(k % 1500, rng.choice(names)) for k in range(1600)] + [(None, "b")]
+    frame = pd.DataFrame({"doc_id": pd.array([r[0] for r in rows], dtype="Int64"), "source": [r[1] for r in rows]})
+    con = duckdb.connect()
+    con.register("docs", frame)
+    want = con.sql(M.oracle_sql("docs")).fetchall()
+    got = [tuple(r) for r in M.mix(spark.createDataFrame(rows, "doc_id long, source string")).collect()]
+    # repeated rows share their two places
+    assert sorted(map(str, want)) == sorted(map(str, got))
