@@ -162,7 +162,7 @@ def export(spark: SparkSession, a: argparse.Namespace) -> dict:
     chosen = readers.read_json(a.selection)
     manifest = {k: chosen[k] for k in ("pool_hash", "selected_ids", "solver_status")}
     if chosen.get("audit_hash") != hashing.canonical_hash({"selection": manifest, "audit_report_hash": chosen.get("audit_report_hash")}):
-        raise eligibility.ManifestError("EXPORT_UNAUDITED", a.selection)
+        raise eligibility.ManifestError("AUDIT_REQUIRED", a.selection)
     ids = spark.createDataFrame(list(enumerate(chosen["selected_ids"])), "ordinal int, conversation_id string")
     conversations = _read(spark, a.conversations).withColumn("audit_hash", F.lit(chosen["audit_hash"]))
     selected = ids.join(conversations, "conversation_id")
