@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, lru_cache
 from html.parser import HTMLParser
 
 import numpy as np
@@ -136,7 +136,7 @@ class _Blocks(HTMLParser):
             self.blocks.append(Block(" ".join(words), len(words), min(linked, len(words)), self.main > 0, self.apart > 0))
 
 
-@cache
+@lru_cache(4096)
 def _apart_words(value: str) -> frozenset[str]:
     return APART_NAMES.intersection(_WORDS.findall(_CAMEL.sub(" ", value).lower()))
 
@@ -144,7 +144,7 @@ def _apart_words(value: str) -> frozenset[str]:
 def _named(attrs: list[tuple[str, str | None]], main: bool) -> bool:
     """Whether an element's class, id or role marks it, or it is hidden. A header inside of the main element is its heading."""
     for k, v in attrs:
-        if k in ("class", "id", "role") and v and len(v) < 200 and _apart_words(v) - ({"header"} if main else set()):
+        if k in ("class", "id", "role") and v and _apart_words(v) - ({"header"} if main else set()):
             return True
         if k == "hidden" or (k == "aria-hidden" and v == "true"):
             return True
