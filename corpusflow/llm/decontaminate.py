@@ -2,9 +2,9 @@
 
 A document and a benchmark item become a pair when they share a seed of ``MIN_MATCH``
 words. For a pair, the longest match of unmarked words is marked again and again, until
-none of ``MIN_MATCH`` words is left; tiles never overlap, in either text. The share of the
+none of ``MIN_TILE`` words is left; tiles never overlap, in either text. The share of the
 item's words under tiles is its coverage, whatever the order of the tiles, so a passage
-with its sentences moved around is still found.
+with its sentences moved around is still found, short sentences included.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MIN_MATCH = 5
+#: Tiles of a pair that shares a seed may be shorter than the seed.
+MIN_TILE = 3
 COVERAGE = 0.8
 #: Items are matched in blocks of at most this many characters of text, each block shipped once.
 BLOCK_CHARS = 4_000_000
@@ -45,7 +47,15 @@ def rolling(ids: list[int], width: int) -> list[int]:
     return out
 
 
-def tile(doc: list[int], item: list[int], seeds: list[tuple[int, int]], min_match: int = MIN_MATCH) -> list[tuple[int, int, int]]:
+def places(doc: list[int], item: list[int], width: int) -> list[tuple[int, int]]:
+    """Places (in the document, in the item) at which windows of ``width`` ids agree, by their rolling hashes."""
+    where: dict[int, list[int]] = {}
+    for j, h in enumerate(rolling(item, width)):
+        where.setdefault(h, []).append(j)
+    return [(i, j) for i, h in enumerate(rolling(doc, width)) for j in where.get(h, ())]
+
+
+def tile(doc: list[int], item: list[int], seeds: list[tuple[int, int]], min_match: int = MIN_TILE) -> list[tuple[int, int, int]]:
     """Tiles (start in the document, start in the item, length), longest first.
 
     ``seeds`` are all places at which windows of ``min_match`` ids agree. A match is
@@ -119,21 +129,22 @@ class Index:
         if not hits:
             return []
         starts = sorted({(k - at, width) for k in hits for at, width in anchors[words[k]] if 0 <= k - at <= len(words) - width})
-        found: dict[int, list[tuple[int, int]]] = {}
+        found: set[int] = set()
         for i, width in starts:
             window = [self.vocab.get(w, -2) for w in words[i : i + width]]
             if -2 in window:
                 continue
             for n, j in self.seeds.get(rolling(window, width)[0], ()):
                 if self.items[n][1][j : j + width] == window and width == min(self.min_match, len(self.items[n][1])):
-                    found.setdefault(n, []).append((i, j))
+                    found.add(n)
         if not found:
             return []
         doc = [self.vocab.get(w, -2) for w in words]
         out = []
-        for n, seeds in sorted(found.items()):
+        for n in sorted(found):
             key, item = self.items[n]
-            tiles = tile(doc, item, seeds, min(self.min_match, len(item)))
+            width = min(MIN_TILE, len(item))
+            tiles = tile(doc, item, places(doc, item, width), width)
             share = sum(t[2] for t in tiles) / len(item)
             if share >= coverage:
                 out.append((key, share, len(tiles), max(t[2] for t in tiles)))
