@@ -150,3 +150,12 @@ def progress(results: DataFrame) -> DataFrame:
     """Running counts of statuses in input order: ordinal, status, n_so_far."""
     w = W.partitionBy("status").orderBy("ordinal").rowsBetween(W.unboundedPreceding, 0)
     return results.select("ordinal", "status", F.count(F.lit(1)).over(w).alias("n_so_far"))
+
+
+def open_run(runs: DataFrame, run_id: str, config_hash: str, profile_name: str) -> DataFrame:
+    """The row to append for a new run, or no row for one that is resumed with the same configuration."""
+    known = runs.where(F.col("run_id") == run_id).limit(1).collect()
+    if known and (known[0]["config_hash"], known[0]["profile"]) != (config_hash, profile_name):
+        raise ManifestError("RUN_CONFIG_MISMATCH", run_id)
+    row = runs.sparkSession.createDataFrame([(run_id, config_hash, profile_name, "CREATED")], "run_id string, config_hash string, profile string, status string")
+    return row.limit(0) if known else row

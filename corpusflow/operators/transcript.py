@@ -144,3 +144,40 @@ def stage_input(df: DataFrame, stage: str) -> DataFrame:
     if "template_id" in df.columns and "candidate_claim_inventory" in df.columns:
         df = df.withColumn("candidate_claim_inventory", F.when(F.col("template_id") == "C_COVERAGE", F.col("candidate_claim_inventory")))
     return df.select(*[c for c in allowed if c in df.columns])
+
+
+def references(messages: DataFrame) -> DataFrame:
+    """conversation_id, reference (``m0``, ``m1``, ... by position), message_id: what a model is shown instead of ids."""
+    return with_ids(messages).select("conversation_id", F.concat(F.lit("m"), F.col("position").cast("string")).alias("reference"), "message_id")
+
+
+def resolved(rows: DataFrame, messages: DataFrame, column: str = "source_message_id") -> DataFrame:
+    """``rows`` with references put back to ids; an unknown reference becomes null."""
+    names = references(messages).withColumnRenamed("reference", column)
+    return rows.join(names, ["conversation_id", column], "left").drop(column).withColumnRenamed("message_id", column)
+
+
+def chosen(selections: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Selected candidates: keys, candidate_id and task_id; both null where nothing, or nothing offered, was chosen."""
+    keys = ["image_id", "turn_index"]
+    offered = candidates.select(*keys, "candidate_id", "task_id", F.lit(True).alias("__in"))
+    j = selections.join(offered, [*keys, "candidate_id"], "left")
+    return j.select(*keys, F.when(F.col("__in"), F.col("candidate_id")).alias("candidate_id"), "task_id", selection_status(F.col("candidate_id")).alias("status"))
+
+
+def selection_status(candidate_id: Column) -> Column:
+    """A selection's status follows from its id alone."""
+    return F.when(candidate_id.isNotNull(), "SELECTED").otherwise("NO_SUITABLE_CANDIDATE")
+
+
+def text_status(text: Column) -> Column:
+    """A text's status follows from its presence alone."""
+    return F.when(text.isNotNull(), "OK").otherwise("UNSUPPORTED")
+
+
+def first_images(images: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` images in order of id, with ordinals from 0: what positional zips start from."""
+    from corpusflow.operators.planning import ordinals
+
+    top = images.orderBy("image_id").limit(n)
+    return ordinals(top, ["image_id"], F.lit(0))

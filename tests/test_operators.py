@@ -355,3 +355,22 @@ def test_remaining_turns(spark):
     assert sorted(tuple(r) for r in ledger.remaining_turns(planned, done).collect()) == [("a", 2), ("a", 3), ("b", 1), ("b", 2)]
     with pytest.raises(ManifestError):
         ledger.remaining_turns(planned, spark.createDataFrame([("a", 2)], "conversation_id string, turn_index int"))
+
+
+def test_references_and_selections(spark):
+    m = spark.createDataFrame([("c", 0, "user", "q"), ("c", 1, "assistant", "a"), ("c", 2, "user", "q2")], "conversation_id string, position int, role string, content string")
+    specs = spark.createDataFrame([("c", "m2", 1), ("c", "m9", 2)], "conversation_id string, source_message_id string, k int")
+    assert {r["k"]: r["source_message_id"] for r in transcript.resolved(specs, m).collect()} == {1: "c:q:2", 2: None}
+    offered = spark.createDataFrame([("i", 1, "x", "t1"), ("i", 1, "y", "t2")], "image_id string, turn_index int, candidate_id string, task_id string")
+    said = spark.createDataFrame([("i", 1, "y"), ("j", 1, "zz"), ("k", 1, None)], "image_id string, turn_index int, candidate_id string")
+    got = {r["image_id"]: (r["candidate_id"], r["task_id"], r["status"]) for r in transcript.chosen(said, offered).collect()}
+    assert got == {"i": ("y", "t2", "SELECTED"), "j": (None, None, "SELECTED"), "k": (None, None, "NO_SUITABLE_CANDIDATE")}
+    images = spark.createDataFrame([("b",), ("a",), ("c",)], "image_id string")
+    assert {r["image_id"]: r["ordinal"] for r in transcript.first_images(images, 2).collect()} == {"a": 0, "b": 1}
+
+
+def test_runs(spark):
+    runs = spark.createDataFrame([("r1", "h", "pilot", "CREATED")], "run_id string, config_hash string, profile string, status string")
+    assert ledger.open_run(runs, "r1", "h", "pilot").count() == 0 and ledger.open_run(runs, "r2", "h", "pilot").count() == 1
+    with pytest.raises(ManifestError, match="RUN_CONFIG_MISMATCH"):
+        ledger.open_run(runs, "r1", "other", "pilot")
