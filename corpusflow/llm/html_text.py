@@ -27,7 +27,7 @@ APART = frozenset("nav header footer aside form menu dialog".split())
 MAIN = frozenset("article main".split())
 #: Names in a class, id or role that mark what isn't main text; a name counts as a whole word of the attribute.
 APART_NAMES = frozenset(
-    "ad ads advert advertisement adverts advertising alert banner breadcrumb breadcrumbs byline comment comments commentlist commenter complementary consent contentinfo cookie cookies copyright dialog disclaimer disqus footer form gdpr header legal login masthead menu meta modal nav navbar navigation newsletter notice notification overlay pagination pager paywall popup promo promoted promotion recommended related reply replies respond rss share sharing sidebar signup social sponsor sponsored subscribe subscription tags toolbar topbar widget".split()
+    "ad ads advert advertisement adverts advertising alert banner breadcrumb breadcrumbs comment comments commentlist commenter complementary consent contentinfo cookie cookies copyright dialog disclaimer disqus footer form gdpr header legal login masthead menu modal nav navbar navigation newsletter notice notification overlay pagination pager paywall popup promo promoted promotion recommended related reply replies respond rss share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar topbar widget".split()
 )
 _WORDS = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
