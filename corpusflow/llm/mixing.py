@@ -6,9 +6,12 @@ goes to the released block that is due first. For weights that sum to 1 this sch
 exists and keeps every source's share of any prefix less than one block from its target.
 
 Weights are integers ``a`` of a sum ``Q``, so the schedule repeats after ``Q`` slots: one
-period, whose length doesn't depend on the data, gives the slot of any block by
-arithmetic. When a source ends, a phase ends, and the others go on with the same integers
-over a smaller sum. No row is dropped or repeated.
+period gives the slot of any block by arithmetic. ``Q`` starts at ``PERIOD`` and doubles until
+rounding moves no source by more than ``DRIFT`` of a block in the whole phase, so the share of
+any prefix of a phase stays less than ``1 + DRIFT`` blocks from the real target at any size.
+A period longer than its phase is only made as far as the phase goes: the plan has at most one
+number for each block. When a source ends, a phase ends, and the others go on, with the same
+integers over a smaller sum where these are exact enough. No row is dropped or repeated.
 """
 
 from __future__ import annotations
@@ -22,23 +25,25 @@ from pyspark.sql import functions as F
 from corpusflow.llm.common import saved
 
 BLOCK = 16
-#: The weights are rounded to integers of about this sum: one period of the schedule.
+#: The weights are rounded to integers of about this sum, or more where a phase is long: one period of the schedule.
 PERIOD = 5_000
+#: Blocks by which rounded weights may move a source from its target by the end of a phase.
+DRIFT = 0.125
 #: Default targets: the sources' sizes to this power, so that large ones don't drown small ones.
 TEMPERATURE = 0.5
 #: Sources are planned on the driver, by their counts alone; more than this is an error.
 MAX_SOURCES = 1_000
 
 
-def period(parts: dict[str, int]) -> dict[str, list[int]]:
+def period(parts: dict[str, int], left: dict[str, int] | None = None) -> dict[str, list[int]]:
     """Slots of each source's blocks in one period of ``sum(parts)`` slots, earliest deadline first.
 
-    Ties between deadlines go to the earlier release, then to the name.
+    Ties between deadlines go to the earlier release, then to the name. With ``left`` it
+    stops at the slot that takes the last of a source's blocks.
     """
     q = sum(parts.values())
-    release = {s: [k * q // a for k in range(a)] for s, a in parts.items()}
     out: dict[str, list[int]] = {s: [] for s in parts}
-    waiting = [(release[s][0], s) for s in parts]
+    waiting = [(0, s) for s in parts]
     heapq.heapify(waiting)
     ready: list[tuple[int, int, str]] = []
     for slot in range(q):
@@ -50,8 +55,10 @@ def period(parts: dict[str, int]) -> dict[str, list[int]]:
         if due <= slot:
             raise AssertionError(f"block of {s} due at {due} only gets slot {slot}")
         out[s].append(slot)
+        if left and len(out[s]) == left[s]:
+            break
         if len(out[s]) < parts[s]:
-            heapq.heappush(waiting, (release[s][len(out[s])], s))
+            heapq.heappush(waiting, (len(out[s]) * q // parts[s], s))
     return out
 
 
@@ -61,14 +68,34 @@ def integer_weights(weights: dict[str, float], total: int = PERIOD) -> dict[str,
     return {s: max(1, round(total * w / whole)) for s, w in weights.items()}
 
 
-def phases(blocks: dict[str, int], parts: dict[str, int]) -> list[dict]:
-    """The phases of a schedule: start slot, period, and for each source its parts, the blocks used before and its slots."""
+def exact_enough(left: dict[str, int], own: dict[str, int], targets: dict[str, float]) -> dict[str, int]:
+    """``own``, or integers of a larger sum, that move no source by more than ``DRIFT`` blocks until one of ``left`` ends."""
+    targets = {s: targets[s] for s in left}
+    whole = math.fsum(targets.values())
+    while True:
+        q = sum(own.values())
+        slots = min(-(-n * q // own[s]) for s, n in left.items())
+        if max(abs(own[s] / q - w / whole) for s, w in targets.items()) * slots <= DRIFT:
+            return own
+        own = integer_weights(targets, 2 * q)
+
+
+def phases(blocks: dict[str, int], parts: dict[str, int], targets: dict[str, float] | None = None) -> list[dict]:
+    """The phases of a schedule: start slot, period, and for each source its parts, the blocks used before and its slots.
+
+    With ``targets`` a phase for which ``parts`` are too coarse gets finer ones.
+    """
     left, used, start, out = {s: n for s, n in blocks.items() if n}, dict.fromkeys(blocks, 0), 0, []
     while left:
         own = {s: parts[s] for s in left}
-        slots, q = period(own), sum(own.values())
-        place = lambda s, k: k // own[s] * q + slots[s][k % own[s]]  # noqa: E731, B023
-        end = min(place(s, n - 1) for s, n in left.items()) + 1
+        if targets:
+            own = exact_enough(left, own, targets)
+        slots, q = period(own, left), sum(own.values())
+        ended = [s for s, n in left.items() if len(slots[s]) == n]
+        if ended:
+            end = slots[ended[0]][-1] + 1
+        else:
+            end = min((n - 1) // own[s] * q + slots[s][(n - 1) % own[s]] for s, n in left.items()) + 1
         out.append({"start": start, "q": q, "sources": {s: (own[s], used[s], slots[s]) for s in left}})
         for s in list(left):
             turns, rest = divmod(end, q)
@@ -111,7 +138,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = B
         given = {s: weights.get(s[1:]) if s[0] == "+" else None for s in sizes}
         low = min([w for w in given.values() if w], default=1.0)
         targets = {s: w or low for s, w in given.items()}
-    plan = phases({s: -(-n // block) for s, n in sizes.items()}, integer_weights(targets, total) if targets else {})
+    plan = phases({s: -(-n // block) for s, n in sizes.items()}, integer_weights(targets, total) if targets else {}, targets)
     rows = [(s, p, ph["start"], ph["q"], a, used, slots) for p, ph in enumerate(plan) for s, (a, used, slots) in sorted(ph["sources"].items())]
     kind = "__s string, __p int, __start long, __q long, __a long, __used long, __slots array<int>"
     table = spark.createDataFrame(rows, kind)

@@ -78,3 +78,40 @@ def test_sql_places_the_same_rows(spark):
     got = [tuple(r) for r in M.mix(spark.createDataFrame(rows, "doc_id long, source string")).collect()]
     # repeated rows share their two places
     assert sorted(map(str, want)) == sorted(map(str, got))
+
+
+def worst(blocks, targets, plan):
+    """The farthest that any source gets from its real share of a phase's slots, in blocks, over all slots."""
+    out = 0.0
+    for p, ph in enumerate(plan):
+        q, end = ph["q"], plan[p + 1]["start"] - ph["start"] if p + 1 < len(plan) else sum(blocks.values()) - ph["start"]
+        whole = sum(targets[s] for s in ph["sources"])
+        for s, (a, used, slots) in ph["sources"].items():
+            until = plan[p + 1]["sources"][s][1] if p + 1 < len(plan) and s in plan[p + 1]["sources"] else blocks[s]
+            own = [k // a * q + slots[k % a] for k in range(until - used)]
+            w = targets[s] / whole
+            # before and after each own block, and at the end
+            out = max([out, *(abs(k - w * t) for k, t in enumerate(own)), *(abs(k + 1 - w * (t + 1)) for k, t in enumerate(own)), abs(len(own) - w * end)])
+    return out
+
+
+@pytest.mark.parametrize("case", ["default", "tiny", "left_over"])
+def test_real_targets_are_kept_at_many_slots(case):
+    if case == "default":
+        blocks = {"hot": 125_000} | {f"s{k:02d}": 13_158 for k in range(19)}
+        targets = {s: n**0.5 for s, n in blocks.items()}
+    elif case == "tiny":
+        blocks, targets = {"a": 200_000, "b": 100_000, "c": 50}, {"a": 2.0, "b": 1.0, "c": 3e-5}
+    else:
+        blocks, targets = {"a": 30_000, "b": 2_000, "c": 20_000}, {"a": 1.0, "b": 1e-6, "c": 3.1e-6}
+    plan = M.phases(blocks, M.integer_weights(targets), targets)
+    assert worst(blocks, targets, plan) < 1 + M.DRIFT
+    seen = Counter()
+    for p, ph in enumerate(plan):
+        for s, (_, used, _) in ph["sources"].items():
+            assert used == seen[s]
+            seen[s] = plan[p + 1]["sources"][s][1] if p + 1 < len(plan) and s in plan[p + 1]["sources"] else blocks[s]
+    assert seen == Counter(blocks)
+    places = [ph["start"] + (k - used) // a * ph["q"] + slots[(k - used) % a] for p, ph in enumerate(plan) for s, (a, used, slots) in ph["sources"].items()
+              for k in range(used, plan[p + 1]["sources"][s][1] if p + 1 < len(plan) and s in plan[p + 1]["sources"] else blocks[s])]
+    assert sorted(places) == list(range(sum(blocks.values())))
