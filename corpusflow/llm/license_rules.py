@@ -2,8 +2,9 @@
 
 Patterns are written over lower-cased words with one space between them; digits of a version
 are words of their own ("2.0" is ``2 0``). A rule is tried only on texts that hold its keyword
-as a word. Priority 4: full grants and identifiers with a version; 3: names with a version;
-2: names; 1: general phrases. Earlier rules win ties.
+as a word, so the keyword is a word of every alternative of its pattern; a pattern without
+such a word is split into several rules. Priority 4: full grants and identifiers with a
+version; 3: names with a version; 2: names; 1: general phrases. Earlier rules win ties.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ _RULES = r"""
 2 apache          apache    licensed under apache
 4 mit             granted   permission is hereby granted free of charge to any person obtaining a copy of this software
 4 mit-0           attribution mit no attribution
-4 mit             released  (?:released|distributed|licensed|available) under the (?:terms of the )?mit licen[cs]e
+4 mit             mit       (?:released|distributed|licensed|available) under the (?:terms of the )?mit licen[cs]e
 3 mit             mit       the mit licen[cs]e(?: mit)?
 2 mit             mit       mit licen[cs]ed?
 2 mit             expat     expat licen[cs]e
@@ -170,7 +171,8 @@ _RULES = r"""
 2 ncsa            ncsa      (?:university of illinois )?ncsa (?:open source )?licen[cs]e
 2 upl-1.0         universal universal permissive licen[cs]e
 2 ecl-2.0         educational educational community licen[cs]e
-2 qpl-1.0         qpl       (?:q public licen[cs]e|qpl)
+2 qpl-1.0         public    q public licen[cs]e
+2 qpl-1.0         qpl       qpl
 2 sleepycat       sleepycat sleepycat licen[cs]e
 2 sissl           sun       sun industry standards source licen[cs]e
 2 apsl            apple     apple public source licen[cs]e
@@ -269,9 +271,10 @@ _RULES = r"""
 1 public-domain   domain    public domain
 3 proprietary     rights    all rights reserved
 3 proprietary     proprietary proprietary and confidential
-2 proprietary     eula      end user licen[cs]e agreement
+2 proprietary     agreement end user licen[cs]e agreement
 2 proprietary     unauthorized unauthorized (?:copying|reproduction|use|distribution) (?:[^ ]+ ){0,10}?prohibited
-2 non-commercial  commercial for non ?commercial (?:use|purposes) only
+2 non-commercial  commercial for non commercial (?:use|purposes) only
+2 non-commercial  noncommercial for noncommercial (?:use|purposes) only
 2 non-commercial  research  for (?:academic |non commercial )?research (?:use|purposes) only
 1 dual-license    dual      dual licen[cs]ed?
 1 copyright       copyright copyright (?:c )?(?:19|20)\d\d

@@ -1,3 +1,4 @@
+import itertools
 import re
 
 from corpusflow.llm import licenses
@@ -83,3 +84,39 @@ def test_odd_rows(spark, odd, none):
 def test_plan_has_no_python(spark, small):
     plan = licenses.scan(spark.read.parquet(f"{small}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def alternatives(pattern):
+    """A text for every choice of a pattern's groups, options and listed characters; one digit or word for any."""
+    body = re.sub(r"\\d", "7", re.sub(r"\(\?:\[\^ \]\+ \)\{\d+,\d+\}\?", "any ", pattern.removesuffix("(?= )")))
+    groups = re.compile(r"\(\?:([^()]*)\)(\?)?")
+    out, todo = [], [body]
+    while todo:
+        x = todo.pop()
+        if m := groups.search(x):
+            todo += [x[: m.start()] + part + x[m.end() :] for part in [*m[1].split("|"), *([""] if m[2] else [])]]
+            continue
+        parts = re.findall(r"(\[[^]]*\]|.)(\?)?", x)
+        out += ["".join(p) for p in itertools.product(*[[*(c[1:-1] if len(c) > 1 else c), *([""] if q else [])] for c, q in parts])]
+    return sorted(set(out))
+
+
+def test_gate_loses_no_alternative(spark):
+    table = rules()
+    texts = sorted({t.strip() for r in table for t in alternatives(r[4])})
+    assert len(texts) > 900
+    hits = {}
+    for t in texts:
+        joined = f" {t} "
+        hits[t] = [(joined[: m.start()].count(" "), joined[: m.end()].count(" "), p, n, label) for n, p, label, _, x in table for m in re.finditer(x, joined)]
+    assert all(hits.values())
+    for r in table:
+        assert all(re.search(r[4], f" {t.strip()} ") and r[3] in t.split() for t in alternatives(r[4])), r
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in licenses.scan(df).collect():
+        own = hits[texts[r["doc_id"]]]
+        kept = [h for h in own if not any(g != h and g[0] <= h[0] and h[1] <= g[1] and g[2] >= h[2] and ((g[0], g[1]) != (h[0], h[1]) or g[2] > h[2] or g[3] < h[3]) for g in own)]
+        assert sorted(tuple(d) for d in r["detections"]) == sorted(kept), texts[r["doc_id"]]
+    named = {"Q Public License": "qpl-1.0", "for noncommercial use only": "non-commercial", "End-User License Agreement": "proprietary"}
+    out = {r["text"]: r["labels"] for r in licenses.scan(spark.createDataFrame([(t, t) for t in named], "doc_id string, text string")).withColumnRenamed("doc_id", "text").collect()}
+    assert out == named
