@@ -2,7 +2,9 @@
 
 A page is cut into flat blocks of text. Each block has its word count, link density, the
 same of its neighbours, and what it stands in (an article; a container that is named or
-classed as a menu, notice, advert and so on). A small decision tree, grown here from a
+classed as a menu, notice, advert and so on). A name doesn't set apart what holds the page's
+article or most of its long text, and a compound with a word of another kind (social-history)
+is only a hint. A small decision tree, grown here from a
 labelled table of such blocks, says which are main text.
 """
 
@@ -29,6 +31,14 @@ MAIN = frozenset("article main".split())
 APART_NAMES = frozenset(
     "ad ads advert advertisement adverts advertising alert banner breadcrumb breadcrumbs comment comments commentlist commenter complementary consent contentinfo cookie cookies copyright dialog disclaimer disqus footer form gdpr header legal login masthead menu modal nav navbar navigation newsletter notice notification overlay pagination pager paywall popup promo promoted promotion recommended related reply replies respond rss share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar topbar widget".split()
 )
+#: Words beside a name that leave it what it is: comment-list, page-header, sidebar-left.
+PLAIN_NAMES = frozenset(
+    "area bar block body bottom box button buttons container content entry field first group head icon icons inner item items last left link links list main message page panel post posts primary right row secondary section site slot small text title top unit wrap wrapper".split()
+)
+#: What follows them in a name isn't there, or stands beside: has-comments, with-sidebar, no-sidebar.
+BESIDE = frozenset("has no with without".split())
+#: A block of so many words and at most this link density is long text.
+LONG_WORDS, LONG_LINKED = 15, 0.3
 _WORDS = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -41,7 +51,19 @@ class Block:
     words: int
     linked: int
     in_article: bool
-    apart: bool
+    #: 1 set apart, 2 only a hint in a name, else 0.
+    apart: int = 0
+
+
+@dataclass
+class _Mark:
+    """An element that a tag, a name or a hint marks, with the blocks and the article and main elements it holds (as ranges)."""
+
+    kind: str
+    blocks: int
+    mains: int
+    blocks_end: int = -1
+    mains_end: int = -1
 
 
 class _Blocks(HTMLParser):
@@ -50,8 +72,9 @@ class _Blocks(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        self.open: list[tuple[str, bool, bool]] = []  # name, apart, main
-        self.apart = self.main = self.skipped = 0
+        self.open: list[tuple[str, _Mark | None, bool]] = []  # name, mark, main
+        self.marks: list[_Mark] = []
+        self.main = self.mains = self.skipped = 0
         self.links = 0
         self.parts: list[str] = []
         self.link_parts: list[str] = []
@@ -75,19 +98,22 @@ class _Blocks(HTMLParser):
             named = _named(attrs, self.main > 0)
             if named and tag not in VOID:
                 self.flush()
-                self._push(tag, True, False)
+                self._push(tag, named, False)
             return
         self.flush()
         self.links = 0
         if tag not in VOID:
             main = tag in MAIN
-            apart = tag in APART and not (tag == "header" and self.main) or _named(attrs, self.main > 0)
-            self._push(tag, apart and tag not in ("html", "body"), main)
-
-    def _push(self, tag: str, apart: bool, main: bool) -> None:
-        self.open.append((tag, apart, main))
-        self.apart += apart
+            kind = "tag" if tag in APART and not (tag == "header" and self.main) else _named(attrs, self.main > 0)
+            self._push(tag, "" if tag in ("html", "body") else kind, main)
+
+    def _push(self, tag: str, kind: str, main: bool) -> None:
+        mark = _Mark(kind, len(self.blocks), self.mains) if kind else None
+        if mark:
+            self.marks.append(mark)
+        self.open.append((tag, mark, main))
         self.main += main
+        self.mains += main
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -112,8 +138,9 @@ class _Blocks(HTMLParser):
         self.links = 0
         for k in range(len(self.open) - 1, -1, -1):
             if self.open[k][0] == tag:
-                for _, apart, main in self.open[k:]:
-                    self.apart -= apart
+                for _, mark, main in self.open[k:]:
+                    if mark:
+                        mark.blocks_end, mark.mains_end = len(self.blocks), self.mains
                     self.main -= main
                 del self.open[k:]
                 return
@@ -133,22 +160,70 @@ class _Blocks(HTMLParser):
         linked = len(" ".join(self.link_parts).split()) if self.link_parts else 0
         self.parts, self.link_parts = [], []
         if words:
-            self.blocks.append(Block(" ".join(words), len(words), min(linked, len(words)), self.main > 0, self.apart > 0))
+            self.blocks.append(Block(" ".join(words), len(words), min(linked, len(words)), self.main > 0))
+
+    def set_apart(self) -> None:
+        """Mark the blocks at the end of the page, when it is known what each marked element holds."""
+        for m in self.marks:
+            if m.blocks_end < 0:
+                m.blocks_end, m.mains_end = len(self.blocks), self.mains
+        n = len(self.blocks)
+        fixed = _covered(n, [m for m in self.marks if m.kind == "tag"])
+        long = np.array([b.words if b.words >= LONG_WORDS and b.linked <= LONG_LINKED * b.words else 0 for b in self.blocks]) * ~fixed
+        upto = np.concatenate([[0], np.cumsum(long)])
+        upto_main = np.concatenate([[0], np.cumsum(long * np.array([b.in_article for b in self.blocks], bool))])
+
+        def holds_text(m: _Mark) -> bool:
+            own, whole = upto[m.blocks_end] - upto[m.blocks], upto[-1]
+            all_mains = self.mains > 0 and m.mains == 0 and m.mains_end == self.mains
+            if m.kind == "hint":
+                return all_mains or 2 * own > whole
+            if all_mains and (2 * own > whole or not whole):
+                return True
+            return 5 * own > 4 * whole and upto_main[m.blocks_end] - upto_main[m.blocks] == upto_main[-1]
+
+        kept = [m for m in self.marks if m.kind == "tag" or not holds_text(m)]
+        strong, hint = _covered(n, [m for m in kept if m.kind != "hint"]), _covered(n, [m for m in kept if m.kind == "hint"])
+        for b, x, y in zip(self.blocks, strong, hint, strict=True):
+            b.apart = 1 if x else 2 if y else 0
+
+
+def _covered(n: int, marks: list[_Mark]) -> np.ndarray:
+    """Which of ``n`` blocks lie in one of the marked elements."""
+    step = np.zeros(n + 1, int)
+    for m in marks:
+        step[m.blocks] += 1
+        step[m.blocks_end] -= 1
+    return np.cumsum(step)[:n] > 0
 
 
 @lru_cache(4096)
-def _apart_words(value: str) -> frozenset[str]:
-    return APART_NAMES.intersection(_WORDS.findall(_CAMEL.sub(" ", value).lower()))
+def _apart_words(value: str) -> tuple[frozenset[str], frozenset[str]]:
+    """The names that set apart in a class, id or role: in words of their own or plain compounds, and as hints in other compounds."""
+    names, hints = set(), set()
+    for token in value.split():
+        words = _WORDS.findall(_CAMEL.sub(" ", token).lower())
+        words = words[: next((k for k, w in enumerate(words) if w in BESIDE), len(words))]
+        (names if APART_NAMES.union(PLAIN_NAMES).issuperset(words) else hints).update(APART_NAMES.intersection(words))
+    return frozenset(names), frozenset(hints)
 
 
-def _named(attrs: list[tuple[str, str | None]], main: bool) -> bool:
-    """Whether an element's class, id or role marks it, or it is hidden. A header inside of the main element is its heading."""
+def _named(attrs: list[tuple[str, str | None]], main: bool) -> str:
+    """How an element is marked: ``tag`` if it is hidden, ``name`` or ``hint`` by its class, id or role, else empty.
+
+    A header inside of the main element is its heading.
+    """
+    kind, heading = "", {"header"} if main else set()
     for k, v in attrs:
-        if k in ("class", "id", "role") and v and _apart_words(v) - ({"header"} if main else set()):
-            return True
         if k == "hidden" or (k == "aria-hidden" and v == "true"):
-            return True
-    return False
+            return "tag"
+        if k in ("class", "id", "role") and v:
+            names, hints = _apart_words(v)
+            if names - heading:
+                kind = "name"
+            elif hints - heading:
+                kind = kind or "hint"
+    return kind
 
 
 def blocks_of(page: str | None) -> list[Block]:
@@ -157,6 +232,7 @@ def blocks_of(page: str | None) -> list[Block]:
     parser.feed(page or "")
     parser.close()
     parser.flush()
+    parser.set_apart()
     return parser.blocks
 
 
@@ -199,6 +275,15 @@ LABELLED = np.array(
         [110, 0, 25, 0.2, 3, 1, 1, 1, 1, 0],
         [3, 1, 110, 0, 0, 0, 1, 1, 1, 0],
         [1, 0, 30, 0, 2, 1, 1, 1, 1, 0],
+        # a hint in the name of a part of the article: length and links decide
+        [40, 0, 80, 0, 90, 0, 1, 1, 2, 1],
+        [110, 0.05, 40, 0, 12, 0, 1, 1, 2, 1],
+        [18, 0, 110, 0, 60, 0, 1, 1, 2, 1],
+        [70, 0.1, 3, 0, 0, 0, 1, 1, 2, 1],
+        [6, 0, 90, 0, 80, 0, 1, 1, 2, 0],
+        [10, 0.2, 80, 0, 40, 0, 1, 1, 2, 0],
+        [3, 1, 90, 0, 2, 1, 1, 1, 2, 0],
+        [25, 0.8, 80, 0, 60, 0, 1, 1, 2, 0],
         # beside the article
         [1, 1, 0, 0, 1, 1, 0, 1, 1, 0],
         [1, 1, 1, 1, 10, 0, 0, 1, 1, 0],
@@ -209,6 +294,10 @@ LABELLED = np.array(
         [8, 0, 0, 0, 40, 0, 0, 1, 0, 0],
         [35, 0.3, 8, 0, 9, 0, 0, 1, 0, 0],
         [2, 1, 35, 0, 2, 1, 0, 1, 0, 0],
+        [45, 0, 8, 0, 60, 0, 0, 1, 2, 0],
+        [90, 0.05, 45, 0, 20, 0, 0, 1, 2, 0],
+        [20, 0, 90, 0, 0, 0, 0, 1, 2, 0],
+        [60, 0.1, 5, 0, 90, 0, 0, 1, 2, 0],
         # pages without an article: length and links of a block and its neighbours decide
         [60, 0, 8, 0, 45, 0, 0, 0, 0, 1],
         [45, 0.05, 60, 0, 50, 0, 0, 0, 0, 1],
@@ -230,6 +319,11 @@ LABELLED = np.array(
         [30, 0.8, 6, 1, 28, 0.9, 0, 0, 0, 0],
         [12, 0.6, 30, 0.8, 0, 0, 0, 0, 0, 0],
         [1, 1, 0, 0, 0, 0, 0, 0, 0, 0],
+        [60, 0, 8, 0, 45, 0, 0, 0, 2, 1],
+        [22, 0.05, 60, 0, 50, 0, 0, 0, 2, 1],
+        [8, 0, 50, 0, 40, 0, 0, 0, 2, 0],
+        [2, 1, 3, 1, 2, 1, 0, 0, 2, 0],
+        [30, 0.8, 2, 1, 40, 0, 0, 0, 2, 0],
         [40, 0, 0, 0, 50, 0, 0, 0, 1, 0],
         [6, 0, 50, 0, 0, 0, 0, 0, 1, 0],
         [1, 1, 3, 0, 2, 1, 0, 0, 1, 0],

@@ -47,3 +47,42 @@ def test_table(spark):
     out = H.extract(df).collect()
     assert sorted((str(r["page_id"]), r["text"], r["n_chars"]) for r in out) == [("1", "Ünï", 3), ("1", "Ünï", 3), ("2", "", 0), ("3", "deep", 4), ("None", "", 0)]
     assert H.extract(df.limit(0)).count() == 0
+
+
+PROSE = ["one prose " * 20, "two prose " * 30, "three prose " * 12]
+
+
+def _page(before, after, beside=""):
+    return f"<body><nav><a>Home</a></nav>{before}{''.join(f'<p>{p}</p>' for p in PROSE)}{after}{beside}<footer>me</footer></body>"
+
+
+def test_names_of_wrappers_do_not_drop_the_article():
+    want = "\n".join(p.strip() for p in PROSE)
+    side = "<div class='sidebar'><p>" + "aside words " * 12 + "</p></div>"
+    for outer in ("<div class='with-sidebar'>", "<div id='page' class='no-sidebar'>", "<div class='header-fixed'>", "<div class='hasSidebar layoutSidebarRight'>", "<div class='widget'>"):
+        for inner in ("<article>", "<main>", "<div>"):
+            assert H.main_text(_page(outer + inner, inner.replace("<", "</") + "</div>")) == want, outer + inner
+    for tag in ("<article class='post has-comments'>", "<main class='layout-sidebar-right'>", "<article class='post social'>", "<article><div class='banner-story'>"):
+        assert H.main_text(_page(tag, "</div></article></main>", side)) == want, tag
+    short = "<div class='header-fixed'><article><p>Just this.</p></article></div>"
+    assert H.main_text(short) == "Just this."
+
+
+def test_compound_names_in_an_article_are_hints():
+    for name in ("social-history", "legal-analysis", "relatedWork"):
+        part = f"<section class='{name}'><p>" + "section prose " * 15 + "</p></section>"
+        assert "section prose" in H.main_text(_page("<article>", part + "</article>")), name
+        assert "More" not in H.main_text(_page("<article>", f"<div class='{name}'><a>More</a></div></article>")), name
+
+
+def test_what_names_set_apart_stays_apart():
+    want = "\n".join(p.strip() for p in PROSE)
+    other = "<p>" + "other words " * 40 + "</p>"
+    for mark in ("class='comments'", "id='comment-list'", "class='cookie-notice'", "class='sidebarLeft'", "class='related-posts'", "role='complementary'", "hidden"):
+        assert H.main_text(_page("<article>", f"<div {mark}>{other}</div></article>")) == want, mark
+        assert H.main_text(_page("<article>", "</article>", f"<div {mark}>{other}</div>")) == want, mark
+        assert H.main_text(_page("<div>", "</div>", f"<div {mark}>{other}</div>")) == want, mark
+    assert H.main_text(_page("<article>", "</article>", f"<div class='sidebar-zone'>{other}</div>")) == want
+    talk = f"<div id='comments'><article class='comment-body'>{other * 9}</article></div>"
+    assert H.main_text(_page("<article>", "</article>", talk)) == want
+    assert H.main_text(_page("<article hidden>", "</article>")) == ""
