@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +20,6 @@ THRESHOLD = 0.95
 #: Pivots for pruning: coordinates by which distances to fixed points are bucketed.
 PIVOTS = 2
 BLOCK = 256
-#: Up to so many links are solved on the driver; more go through distributed rounds. The groups are the same.
-SMALL = 200_000
 
 
 def checked_vectors(vectors: DataFrame, key: str = "image_id", vector: str = "embedding") -> DataFrame:
@@ -107,11 +108,43 @@ def visual_groups(images: DataFrame, vectors: DataFrame | None = None, threshold
         known = vectors.join(images.select("image_id").distinct(), "image_id", "left_semi")
         near = similar_pairs(known, threshold)
         edges = edges.unionByName(near.select(F.col("left_id").alias("u"), F.col("right_id").alias("v")))
-    return group_ids(images.select("image_id"), components(edges, small=SMALL))
+    return group_ids(images.select("image_id"), components(edges))
 
 
 def group_ids(nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Group id of each node from its root: ``sha256`` of the JSON list of sorted members."""
+    """Group id of each node from its root: ``sha256`` of the JSON list of sorted members.
+
+    Members pass in order through a running hash; a group is never one row.
+    """
     named = nodes.join(roots, nodes["image_id"] == roots["node"], "left").select("image_id", F.coalesce("root", "image_id").alias("root"))
-    groups = named.groupBy("root").agg(F.sha2(json_array(F.array_sort(F.collect_list(F.col("image_id").cast("string")))), 256).alias("visual_group_id"))
+    members = named.where("root is not null and image_id is not null").select("root", F.col("image_id").cast("string").alias("member"))
+    rows = members.select("root", "member", json_array(F.array("member")).alias("j")).repartition("root").sortWithinPartitions("root", "member")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = None
+        root, digest = None, None
+        for batch in batches:
+            kind = batch.column("root").type
+            done: list[tuple] = []
+            for r, j in zip(batch.column("root").to_pylist(), batch.column("j").to_pylist(), strict=True):
+                if digest is None or r != root:
+                    if digest is not None:
+                        done.append((root, digest))
+                    root, digest = r, hashlib.sha256(b"[")
+                    digest.update(j[1:-1].encode("utf-8"))
+                else:
+                    digest.update(b"," + j[1:-1].encode("utf-8"))
+            yield _closed(done, kind)
+        if digest is not None:
+            yield _closed([(root, digest)], kind)
+
+    groups = rows.mapInArrow(run, f"root {rows.schema['root'].dataType.simpleString()}, visual_group_id string")
     return named.join(groups, "root").select("image_id", "visual_group_id")
+
+
+def _closed(groups: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+    hashes = []
+    for _, digest in groups:
+        digest.update(b"]")
+        hashes.append(digest.hexdigest())
+    return pa.RecordBatch.from_arrays([pa.array([g[0] for g in groups], kind), pa.array(hashes, pa.string())], ["root", "visual_group_id"])

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusflow.functions.catalogs import FORBIDDEN_FIELDS, SCOPES, STAGE_FIELDS
-from corpusflow.functions.hashing import json_array, json_column
+from corpusflow.functions.hashing import json_column
 from corpusflow.functions.text import ECHO_LEAST, folded, normalized_question
 from corpusflow.operators.eligibility import containments
 from corpusflow.session import saved
@@ -38,12 +42,30 @@ def histories(messages: DataFrame) -> DataFrame:
     """conversation_id, turn_index, n_history, history_hash: the identity of all messages before a turn.
 
     The hash is over the canonical JSON list of message objects, ``[]`` for the first turn.
+    Messages pass in order through a running hash, so none is held or hashed twice.
     """
-    one = F.struct(F.col("content"), F.col("message_id"), F.col("role"), F.col("turn_index"))
-    before = W.partitionBy("conversation_id").orderBy("position").rowsBetween(W.unboundedPreceding, -1)
-    rows = with_ids(messages).withColumn("__h", F.collect_list(one).over(before))
-    first = rows.where("position % 2 = 0")
-    return first.select("conversation_id", "turn_index", F.size("__h").alias("n_history"), F.sha2(json_array(F.col("__h")), 256).alias("history_hash"))
+    one = json_column(**{c: F.col(c) for c in ("content", "message_id", "role", "turn_index")})
+    rows = with_ids(messages).select("conversation_id", "turn_index", F.expr("coalesce(position % 2 = 0, false)").alias("first"), one.alias("j"), "position")
+    rows = rows.repartition("conversation_id").sortWithinPartitions("conversation_id", "position", "j")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, n, digest, any_yet = None, 0, hashlib.sha256(b"["), False
+        for batch in batches:
+            hashes, counts = [], []
+            for k, first, j in zip(*(batch.column(c).to_pylist() for c in ("conversation_id", "first", "j")), strict=True):
+                if not any_yet or k != key:
+                    key, n, digest, any_yet = k, 0, hashlib.sha256(b"["), True
+                if first:
+                    whole = digest.copy()
+                    whole.update(b"]")
+                hashes.append(whole.hexdigest() if first else None)
+                counts.append(n)
+                digest.update((b"," if n else b"") + j.encode("utf-8"))
+                n += 1
+            yield pa.RecordBatch.from_arrays([batch.column("conversation_id"), batch.column("turn_index"), pa.array(counts, pa.int32()), pa.array(hashes, pa.string())], ["conversation_id", "turn_index", "n_history", "history_hash"])
+
+    kind = messages.schema["conversation_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"conversation_id {kind}, turn_index int, n_history int, history_hash string").where("history_hash is not null")
 
 
 def accepted_prefixes(turns: DataFrame, retain: bool = True, min_turns: int = MIN_TURNS) -> DataFrame:
@@ -55,8 +77,11 @@ def accepted_prefixes(turns: DataFrame, retain: bool = True, min_turns: int = MI
     conversation is still a candidate. Conversations that are too short are rejected.
     """
     stops = F.when(F.col("status") != "COMMITTED", F.struct("turn_index", "status"))
-    g = turns.groupBy("conversation_id").agg(F.count(F.lit(1)).alias("n_turns"), F.min(stops).alias("stop"), F.collect_list(F.struct("turn_index", "status")).alias("__t"))
-    g = g.withColumn("committed_turns", F.when(F.col("stop").isNull(), F.col("n_turns")).otherwise(F.size(F.filter("__t", lambda t: t["turn_index"] < F.col("stop.turn_index")))).cast("long"))
+    g = turns.groupBy("conversation_id").agg(F.count(F.lit(1)).alias("n_turns"), F.min(stops).alias("stop"))
+    at = g.where("stop is not null").select(F.col("conversation_id").alias("__c"), F.col("stop.turn_index").alias("__at"))
+    early = turns.join(at, F.col("conversation_id").eqNullSafe(F.col("__c")) & (F.col("turn_index") < F.col("__at"))).groupBy("__c").agg(F.count(F.lit(1)).alias("__n"))
+    g = g.join(early, F.col("conversation_id").eqNullSafe(F.col("__c")), "left")
+    g = g.withColumn("committed_turns", F.when(F.col("stop").isNull(), F.col("n_turns")).otherwise(F.coalesce("__n", F.lit(0))).cast("long"))
     stop = F.col("stop.status")
     kept = F.lit(retain) & stop.isin("REJECTED", "ABSTAINED") & (F.col("committed_turns") >= min_turns)
     status = F.when(stop.isNull() & (F.col("n_turns") >= min_turns), "QUALITY_CANDIDATE").when(stop.isNull(), "REJECTED").when(kept, "QUALITY_CANDIDATE").otherwise(stop)

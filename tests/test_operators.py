@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from corpusflow.functions import hashing
 from corpusflow.operators import consensus, eligibility, ledger, planning, pool, requirements, rules, similarity, transcript
 from corpusflow.operators.components import components
 from corpusflow.operators.eligibility import ManifestError
@@ -208,6 +209,33 @@ def test_prefixes(spark, statuses, want):
     assert transcript.accepted_prefixes(turns, retain=False).first()["status"] in (want[1], {"R": "REJECTED", "A": "ABSTAINED"}.get(statuses[-1]))
 
 
+def test_groups_and_histories_are_not_gathered(spark):
+    rows = [(c, k, "user" if k % 2 == 0 else "assistant", f'é"{c}{k}') for c, n in (("a", 400), ("b", 1), ("c", 3), (None, 2)) for k in range(n)]
+    m = spark.createDataFrame(rows, "conversation_id string, position int, role string, content string").repartition(5)
+    h = transcript.histories(m)
+    for df in (h, transcript.accepted_prefixes(h.select("conversation_id", "turn_index", F.lit("COMMITTED").alias("status")))):
+        assert "collect_list" not in df._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r["conversation_id"], r["turn_index"]): (r["n_history"], r["history_hash"]) for r in h.collect()}
+    want = {}
+    for c, k, _, _ in rows:
+        if k % 2 == 0:
+            before = [{"content": x[3], "message_id": x[0] and f"{x[0]}:{'qa'[x[1] % 2]}:{x[1] // 2 + 1}", "role": x[2], "turn_index": x[1] // 2 + 1} for x in rows if x[0] == c and x[1] < k]
+            if c is None:
+                before = [{**x, "message_id": f"{'qa'[n % 2]}:{n // 2 + 1}"} for n, x in enumerate(before)]
+            want[c, k // 2 + 1] = (k, hashing.canonical_hash(before))
+    assert got == want
+    nodes = spark.createDataFrame([(k,) for k in range(500)], "image_id long")
+    roots = spark.createDataFrame([(k, 7) for k in range(7, 400)] + [(k, 401) for k in (401, 402)], "node long, root long")
+    groups = similarity.group_ids(nodes, roots)
+    assert "collect_list" not in groups._jdf.queryExecution().optimizedPlan().toString()
+    ids = {r["image_id"]: r["visual_group_id"] for r in groups.collect()}
+    members = [sorted(map(str, range(7, 400))), ["401", "402"], *([str(k)] for k in [*range(7), 400, *range(403, 500)])]
+    assert ids == {int(k): hashing.canonical_hash(g) for g in members for k in g}
+    turns = spark.createDataFrame([("x", 3, "REJECTED"), ("x", 1, "COMMITTED"), ("x", 2, "COMMITTED"), ("x", 4, "COMMITTED"), ("y", 1, "ERROR"), ("z", 1, "COMMITTED"), (None, 1, "COMMITTED"), (None, 2, "ABSTAINED")], "conversation_id string, turn_index int, status string")
+    prefixes = {r["conversation_id"]: (r["n_turns"], r["committed_turns"], r["stop_status"]) for r in transcript.accepted_prefixes(turns).collect()}
+    assert prefixes == {"x": (4, 2, "REJECTED"), "y": (1, 0, "ERROR"), "z": (1, 1, None), None: (2, 1, "ABSTAINED")}
+
+
 def test_validity_and_stage_input(spark):
     m = spark.createDataFrame([("a", 0, "user"), ("a", 1, "assistant"), ("b", 0, "system"), ("b", 1, "user"), ("c", 1, "user")], "conversation_id string, position int, role string")
     got = {r["conversation_id"]: (r["contiguous"], r["alternating"]) for r in transcript.validity(m).collect()}
