@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.functions.hashing import SEED, canonical_hash, json_column, split_of
+from corpusflow.functions.hashing import SEED, json_column, split_of
 from corpusflow.operators import eligibility, similarity
 
 
@@ -36,6 +38,16 @@ def ingest(sources: DataFrame, rights: DataFrame, decoded: DataFrame, at: Column
 
 
 def manifest_hash(images: DataFrame, failures: DataFrame) -> str:
-    """Identity of an ingest's result, over sorted rows in canonical form, hashed by row first."""
-    rows = lambda df, cols: [r[0] for r in df.select(F.sha2(json_column(**{c: F.col(c).cast("string") for c in cols}), 256).alias("h")).orderBy("h").toLocalIterator()]
-    return canonical_hash({"images": rows(images, ["image_id", "visual_group_id"]), "failures": rows(failures, ["source_id", "reason"]), "splits": rows(images, ["image_id", "split"])})
+    """Identity of an ingest's result, over sorted rows in canonical form, hashed by row first.
+
+    The hash is over the canonical JSON of three lists; rows go through the driver as a stream.
+    """
+    digest = hashlib.sha256()
+    for name, df, cols in (("failures", failures, ["source_id", "reason"]), ("images", images, ["image_id", "visual_group_id"]), ("splits", images, ["image_id", "split"])):
+        digest.update((b"{" if name == "failures" else b",") + f'"{name}":['.encode())
+        rows = df.select(F.sha2(json_column(**{c: F.col(c).cast("string") for c in cols}), 256).alias("h")).orderBy("h")
+        for k, r in enumerate(rows.toLocalIterator()):
+            digest.update((b"," if k else b"") + f'"{r[0]}"'.encode())
+        digest.update(b"]")
+    digest.update(b"}")
+    return digest.hexdigest()

@@ -402,3 +402,25 @@ def test_runs(spark):
     assert ledger.open_run(runs, "r1", "h", "pilot").count() == 0 and ledger.open_run(runs, "r2", "h", "pilot").count() == 1
     with pytest.raises(ManifestError, match="RUN_CONFIG_MISMATCH"):
         ledger.open_run(runs, "r1", "other", "pilot")
+
+
+def test_manifest_hash_is_streamed(spark):
+    import tracemalloc
+
+    from corpusflow.plans.ingest import manifest_hash
+
+    images = spark.range(120_000).selectExpr("cast(id as string) as image_id", "cast(id div 2 as string) as visual_group_id", "'training' as split")
+    failures = spark.createDataFrame([("s2", "X"), ("s1", None)], "source_id string, reason string")
+    row = lambda **x: hashing.canonical_hash(x)
+    want = {
+        "images": sorted(row(image_id=str(k), visual_group_id=str(k // 2)) for k in range(120_000)),
+        "failures": sorted([row(source_id="s2", reason="X"), row(source_id="s1", reason=None)]),
+        "splits": sorted(row(image_id=str(k), split="training") for k in range(120_000)),
+    }
+    tracemalloc.start()
+    got = manifest_hash(images.repartition(8), failures)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == hashing.canonical_hash(want) and peak < 20_000_000, peak
+    want = {"images": [], "failures": [], "splits": []}
+    assert manifest_hash(images.limit(0), failures.limit(0)) == hashing.canonical_hash(want)
