@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from corpusflow.session import importable, saved, shared_dir
 
-__all__ = ["bounded_sample", "held_out", "saved", "shared_dir", "table"]
+__all__ = ["bounded_sample", "free_name", "held_out", "joined_by_hot_key", "saved", "shared_dir", "table"]
+
+#: At most so many keys can hold more than this part of all rows each.
+HOT_PARTS = 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,3 +36,26 @@ def bounded_sample(df: DataFrame, key: str, by: str, rows: int) -> DataFrame:
         part = df.where(F.col(by) == F.lit(c)).orderBy(rank, key).limit(rows)
         out = part if out is None else out.unionByName(part)
     return df.limit(0) if out is None else out
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` doesn't have, in any case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def joined_by_hot_key(rows: DataFrame, facts: DataFrame, key: str, count: str) -> DataFrame:
+    """``rows`` joined with ``facts`` (one row for each value of ``key``, with the number of its rows in ``count``).
+
+    Values with more than 1 of ``HOT_PARTS`` parts of all rows, of which there are fewer than
+    ``HOT_PARTS``, are broadcast, so that none of them lands in one task; the others meet in
+    a shuffle. The column ``count`` is dropped, and rows without a fact too.
+    """
+    total = facts.agg(F.sum(count)).first()[0] or 0
+    hot = facts.where(F.col(count) > total / HOT_PARTS).drop(count)
+    rest = facts.where(F.col(count) <= total / HOT_PARTS).drop(count)
+    spread = rows.join(F.broadcast(hot), key)
+    dealt = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(rest, key)
+    return spread.unionByName(dealt)

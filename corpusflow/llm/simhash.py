@@ -1,15 +1,21 @@
 """SimHash near-duplicates: 64-bit fingerprints, pigeonhole blocks, Hamming verification.
 
-A pair that differs in at most ``max_bits`` of 64 bits leaves at least ``BLOCKS - max_bits``
-of ``BLOCKS`` blocks untouched. With seven blocks and four bits, three blocks are equal, so
+A pair that differs in at most ``max_bits`` of 64 bits leaves at least ``blocks - max_bits``
+of ``blocks`` blocks untouched. With seven blocks and four bits, three blocks are equal, so
 the pair shares one of the 35 keys made of three blocks (27 bits or so each). Longer keys
-than the plain five blocks of 13 bits give keep the number of chance candidates small when
-the corpus is large.
+than the plain five blocks of 13 bits give keep the number of chance candidates small; a
+larger corpus is cut into more blocks (``blocks_for``), which changes the plan, not the links.
+
+``near_duplicates`` links fingerprints of 4-word shingles. ``keep_one`` also links documents by
+fingerprints of their words alone, which change less when single words are edited, if the
+shingles' fingerprints bear the pair out.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from itertools import combinations
+from math import log2
 
 import numpy as np
 import pandas as pd
@@ -18,12 +24,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusflow.llm.common import saved
+from corpusflow.llm.common import free_name, joined_by_hot_key, saved
 from corpusflow.operators.components import components
+from corpusflow.session import forget
 
 SHINGLE = 4
 MAX_BITS = 4
+#: Blocks of a fingerprint, at least.
 BLOCKS = 7
+#: A word counts up to so many times in the fingerprint of words.
+WORD_TIMES = 2
+#: Documents linked by their words must differ in at most so many bits of their shingles' fingerprints.
+#: Texts that share 0.8 of their 5-word shingles differ in 9 bits on average, unrelated ones in 32.
+SHINGLE_BITS = 11
 #: Keys that more fingerprints than this share are linked through midpoints, not pairs.
 DENSE = 2048
 _CHUNK = 1 << 16
@@ -43,11 +56,25 @@ def fingerprint_int(text: str | None, width: int = SHINGLE) -> int:
         hashes = np.array([digest(joined, 42)], dtype=np.uint64)
     else:
         hashes = np.fromiter((digest(joined[a:b], 42) for a, b in zip(starts[:n].tolist(), ends[width - 1 :].tolist(), strict=True)), dtype=np.uint64, count=n)
+    return _majority(hashes)
+
+
+def _majority(hashes: np.ndarray) -> int:
+    """The bits that over half of the hashes have."""
     ones = np.zeros(64, dtype=np.int64)
-    for k in range(0, n, _CHUNK):
+    for k in range(0, len(hashes), _CHUNK):
         part = hashes[k : k + _CHUNK].astype(">u8").view(np.uint8).reshape(-1, 8)
         ones += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
+    return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
+
+
+def word_print(text: str | None, times: int = WORD_TIMES) -> int:
+    """The fingerprint of a text's words without their order, each up to ``times`` times; null and wordless texts give zero."""
+    counts = Counter((text or "").encode("utf-8", "surrogatepass").lower().split())
+    if not counts:
+        return 0
+    digest = xxhash.xxh64_intdigest
+    return _majority(np.array([digest(w, 42 + k) for w, n in counts.items() for k in range(min(n, times))], dtype=np.uint64))
 
 
 @F.pandas_udf(T.LongType())
@@ -56,6 +83,12 @@ def _fingerprint(texts: pd.Series) -> pd.Series:
     return pd.Series(out.view(np.int64))
 
 
+@F.pandas_udf(T.StructType([T.StructField("fp", T.LongType()), T.StructField("words", T.LongType())]))
+def _both_prints(texts: pd.Series) -> pd.DataFrame:
+    pair = np.array([(fingerprint_int(t), word_print(t)) for t in texts], dtype=np.uint64).reshape(-1, 2)
+    return pd.DataFrame({"fp": pair[:, 0].view(np.int64), "words": pair[:, 1].view(np.int64)})
+
+
 def fingerprints(docs: DataFrame, text: str = "text") -> Column:
     """Column expression: the signed 64-bit fingerprint of a text column."""
     return _fingerprint(docs[text])
@@ -70,47 +103,79 @@ def _block_masks(blocks: int) -> list[int]:
     return [((1 << (b - a)) - 1) << a for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
 
-def links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS, dense: int = DENSE) -> DataFrame:
-    """Links ``u``, ``v`` between the distinct fingerprints in the long column ``fp``.
+def blocks_for(prints: int, max_bits: int = MAX_BITS) -> int:
+    """Blocks whose keys have three bits more than it takes to number the fingerprints, so that chance meetings stay few."""
+    blocks = max(BLOCKS, max_bits + 1)
+    while 64 * (blocks - max_bits) / blocks < log2(prints + 1) + 3 and blocks < max_bits + 6:
+        blocks += 1
+    return blocks
 
-    Any two fingerprints at most ``max_bits`` apart end up linked, directly or through
-    fingerprints that are themselves at most ``max_bits`` from the next.
 
-    Fingerprints are dealt out by block key, keys held by one fingerprint go, and the rest
-    meet under their key. Pairs are verified inside the join and kept only under the first
-    key they share, so a pair is made once. A key that more than ``dense`` fingerprints
-    share does not make pairs: each fingerprint there is sent to all values at most
+def links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int | None = None, dense: int = DENSE, key: str = "fp", node_bits: int | None = None) -> DataFrame:
+    """Links ``u``, ``v`` between the nodes ``fp`` of ``prints`` whose ``key`` columns differ in at most ``max_bits`` bits.
+
+    By default a node is its own key, and ``fp`` has no repeats: any two fingerprints at most
+    ``max_bits`` apart end up linked, directly or through fingerprints that are themselves at
+    most ``max_bits`` from the next. With another ``key`` the rows (fp, key) have no repeats,
+    and only nodes that also differ in at most ``node_bits`` bits are linked.
+
+    Fingerprints are dealt out by block key and meet under their key. Pairs are verified inside
+    the join and kept only under the first key they share, so a pair is made once. A key that
+    more than ``dense`` fingerprints share (counted by partial aggregation, and never gathered)
+    does not make pairs: each fingerprint there is sent to all values at most
     ``max_bits // 2`` flips of the key's free bits away. Two values up to ``max_bits`` apart
     meet in such a midpoint and no others do, so the links are the same, and the rows grow
-    with the number of fingerprints, not of pairs.
+    with the number of fingerprints, not of pairs. (With ``node_bits`` the first node of a
+    midpoint is compared with the others there, so that a link can be missed in such a key.)
     """
+    prints = prints.select("fp", F.col(key).alias("p"))
+    if blocks is None:
+        blocks = blocks_for(prints.count(), max_bits)
     masks, take = _block_masks(blocks), blocks - max_bits
     combos = list(combinations(range(blocks), take))
     keys = [sum(masks[b] for b in c) for c in combos]
-    dealt = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col("fp").bitwiseAND(F.lit(_signed(k))).alias("k")) for i, k in enumerate(keys)]))
-    by = prints.select("fp", dealt.alias("d")).select("fp", F.col("d.i").alias("i"), F.col("d.k").alias("k"))
-    counted = by.selectExpr("fp", "i", "k", "count(1) over (partition by i, k) as n").where("n > 1")
-    few = counted.where(F.col("n") <= dense)
-    left, right = few.select(F.col("fp").alias("u"), "i", "k"), few.select(F.col("fp").alias("v"), F.col("i").alias("i2"), F.col("k").alias("k2"))
-    differ = "(u ^ v)"
-    equal = "+".join(f"case when {differ} & {_signed(m)}L = 0 and {b} <= element_at(array({','.join(str(c[-1]) for c in combos)}), i + 1) then 1 else 0 end" for b, m in enumerate(masks))
-    on = (F.col("i") == F.col("i2")) & (F.col("k") == F.col("k2")) & (F.col("u") < F.col("v")) & F.expr(f"bit_count{differ} <= {max_bits}") & F.expr(f"{equal} = {take}")
+    dealt = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col("p").bitwiseAND(F.lit(_signed(k))).alias("k")) for i, k in enumerate(keys)]))
+    by = prints.select("fp", "p", dealt.alias("d")).select("fp", "p", F.col("d.i").alias("i"), F.col("d.k").alias("k"))
+    crowded = saved(by.groupBy("i", "k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > dense).select("i", "k"), "crowded")
+
+    few = by.join(crowded, ["i", "k"], "left_anti")
+    left, right = few.select("i", "k", F.col("fp").alias("u"), F.col("p").alias("x")), few.select(F.col("i").alias("i2"), F.col("k").alias("k2"), F.col("fp").alias("v"), F.col("p").alias("y"))
+    equal = "+".join(f"case when (x ^ y) & {_signed(m)}L = 0 and {b} <= element_at(array({','.join(str(c[-1]) for c in combos)}), i + 1) then 1 else 0 end" for b, m in enumerate(masks))
+    near_nodes = F.lit(True) if node_bits is None else F.expr(f"bit_count(u ^ v) <= {node_bits}")
+    on = (F.col("i") == F.col("i2")) & (F.col("k") == F.col("k2")) & (F.col("u") < F.col("v")) & F.expr(f"bit_count(x ^ y) <= {max_bits}") & near_nodes & F.expr(f"{equal} = {take}")
     pairs = left.join(right.hint("merge"), on).select("u", "v")
 
     flips = []
-    for key in keys:
-        free = [b for b in range(64) if not key >> b & 1]
+    for k in keys:
+        free = [b for b in range(64) if not k >> b & 1]
         flips.append([_signed(sum(1 << b for b in c)) for r in range(max_bits // 2 + 1) for c in combinations(free, r)])
     # the flips are a table of one row for each key, joined by the key's number
     ball = prints.sparkSession.createDataFrame(list(enumerate(flips)), "i int, flips array<long>")
-    many = counted.where(F.col("n") > dense)
-    near = many.join(F.broadcast(ball), "i").select("fp", "i", F.explode("flips").alias("x"))
-    near = near.selectExpr("fp", "i", "fp ^ x as mid")
+    many = by.join(crowded, ["i", "k"])
+    near = many.join(F.broadcast(ball), "i").select("fp", "i", "p", F.explode("flips").alias("flip"))
+    near = near.selectExpr("fp", "i", "p ^ flip as mid")
     met = near.groupBy("i", "mid").agg(F.min("fp").alias("v"), F.max("fp").alias("w")).where("v < w").select("i", "mid", "v")
-    through = near.join(met, ["i", "mid"]).where("fp <> v").select(F.col("fp").alias("u"), "v").distinct()
+    through = near.join(met, ["i", "mid"]).where("fp <> v").select(F.col("fp").alias("u"), "v").where(near_nodes).distinct()
     return pairs.unionByName(through)
 
 
+def _nodes(own: DataFrame) -> DataFrame:
+    return saved(own.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "nodes")
+
+
+def _with_component(own: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``own`` (with doc_id and fp) and ``component_id``: the smallest doc_id of the fingerprints that links reach from ``fp``.
+
+    A fingerprint, or a component, that holds a large share of all rows is spread over tasks
+    in both joins.
+    """
+    roots = components(edges)
+    named = saved(nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root")), "named")
+    whole = named.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("m"))
+    found = joined_by_hot_key(named.select("root", "fp", "n"), whole, "root", "m")
+    return joined_by_hot_key(own, found.select("fp", "component_id", "n"), "fp", "n")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS, dense: int = DENSE) -> DataFrame:
     """One row per document: ``doc_id``, ``fingerprint`` (16 hex digits), ``component_id``.
 
@@ -119,23 +184,35 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     number of copies costs one row in the search for links. Null and empty texts have
     fingerprint zero and link like others; repeated rows give repeated rows; a null doc_id
     gets the component of its fingerprint and is never its smallest member. Other columns
-    of ``docs`` are ignored. An empty table gives an empty result.
+    of ``docs`` are ignored. An empty table gives an empty result. Texts of any length are
+    read whole.
     """
     own = saved(docs.select(F.col(doc_id).cast("long").alias("doc_id"), _fingerprint(docs[text]).alias("fp")), "prints")
-    nodes = saved(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    roots = components(links(nodes.select("fp"), max_bits, dense=dense))
-    named = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.join(least, "root").select("fp", "component_id")
-    return own.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    nodes = _nodes(own)
+    found = _with_component(own, nodes, links(nodes.select("fp"), max_bits, dense=dense))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS, dense: int = DENSE) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the document of smallest id.
 
-    Rows of one id stay or go together, as one document. Rows without an id can't be named
-    by another and stay. Columns and texts stay as they are.
+    Documents are linked as in ``near_duplicates``, and also if the fingerprints of their
+    words differ in at most ``max_bits`` bits and those of their shingles in at most
+    ``SHINGLE_BITS``. A document is an id with a text: where one id has several texts, each
+    is kept or dropped by its own component, so that no component is lost, and rows of one
+    id and text stay or go together. A null id is the largest: such rows go if their
+    component holds a document with an id, and else stay. Null and empty texts are
+    near-duplicates of each other. An empty table gives an empty result. Columns and texts
+    stay as they are, whatever the columns are called, and texts of any length are read whole.
     """
-    found = near_duplicates(docs, doc_id, text)
-    gone = saved(found.where("doc_id is not null and doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
-    return docs.join(gone, docs[doc_id].cast("long") == gone["__gone"], "left_anti")
+    prints = F.struct(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("own"), _both_prints(docs[text]).alias("p"))
+    own = saved(docs.select(prints.alias("r")).select("r.doc_id", "r.own", "r.p.fp", "r.p.words"), "prints")
+    nodes, pairs = _nodes(own), saved(own.select("fp", "words").distinct(), "pairs")
+    by_shingles = links(nodes.select("fp"), max_bits, dense=dense)
+    by_words = links(pairs, max_bits, dense=dense, key="words", node_bits=SHINGLE_BITS)
+    found = _with_component(own.select("doc_id", "own", "fp"), nodes, by_shingles.unionByName(by_words))
+    forget(pairs)
+    gone_id, gone_text = free_name(docs, "gone_id"), free_name(docs, "gone_text")
+    gone = saved(found.where("component_id is not null and (doc_id is null or doc_id <> component_id)").select(F.col("doc_id").alias(gone_id), F.col("own").alias(gone_text)).distinct(), "gone")
+    same = docs[doc_id].cast("long").eqNullSafe(gone[gone_id]) & (F.xxhash64(docs[text]) == gone[gone_text])
+    return docs.join(gone, same, "left_anti")

@@ -116,4 +116,86 @@ def test_odd_rows(spark, odd, none):
     assert simhash.near_duplicates(none).count() == 0
     kept = simhash.keep_one(odd)
     assert kept.columns == odd.columns
-    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "1", "2", "5", "6", "None"]
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "1", "2", "5", "6"]
+
+
+def test_one_id_with_several_texts_loses_none(spark):
+    x, y = "the quick brown fox jumps over the lazy dog", "an entirely other text about harbours and lighthouses at night"
+    rows = spark.createDataFrame([(1, x), (5, x), (5, y), (9, y), (None, y), (None, "a third one that nobody copies")], "doc_id long, text string")
+    kept = sorted((str(r["doc_id"]), r["text"]) for r in simhash.keep_one(rows).collect())
+    assert kept == [("1", x), ("5", y), ("None", "a third one that nobody copies")]
+
+
+def brute_word_print(text):
+    words = (text or "").encode("utf-8").lower().split()
+    feats = [xxhash.xxh64_intdigest(w, 42 + k) for w in sorted(set(words)) for k in range(min(2, words.count(w)))]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in feats) > len(feats))
+
+
+def edited(rng, words, share):
+    return [rng.choice(["alpha", "beta", "gamma", "delta"]) + str(rng.randrange(1000)) if rng.random() < share else w for w in words]
+
+
+def test_kept_documents_match_brute_force_and_recall_is_stated(spark):
+    rng = random.Random(11)
+    rows, family = [], {}
+    for f in range(60):
+        base = [f"w{rng.randrange(600)}" for _ in range(rng.randrange(80, 400))]
+        for k in range(rng.randrange(1, 4)):
+            family[len(rows)] = f
+            rows.append((len(rows), " ".join(base if k == 0 else edited(rng, base, 0.012))))
+    both = [(brute_fingerprint(t), brute_word_print(t)) for _, t in rows]
+    assert [simhash.word_print(t) for _, t in rows] == [b for _, b in both]
+    parent = list(range(len(rows)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    far = lambda a, b: bin(a ^ b).count("1")
+    near = alike = caught = 0
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for _, t in rows]
+    for i, j in combinations(range(len(rows)), 2):
+        linked = far(both[i][0], both[j][0]) <= 4 or (far(both[i][1], both[j][1]) <= 4 and far(both[i][0], both[j][0]) <= simhash.SHINGLE_BITS)
+        if linked:
+            near += 1
+            assert family[i] == family[j]
+            a, b = sorted((find(i), find(j)))
+            parent[b] = a
+        if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+            alike += 1
+            caught += linked
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for dense in (simhash.DENSE, 1):
+        kept = sorted(r["doc_id"] for r in simhash.keep_one(docs, dense=dense).collect())
+        if dense > 1:
+            assert kept == sorted({find(i) for i in range(len(rows))})
+        assert {family[d] for d in kept} == set(family.values())
+    assert near and alike > 20 and caught >= 0.85 * alike
+
+
+def test_more_blocks_give_the_same_links(spark):
+    rng = random.Random(5)
+    prints = set()
+    for _ in range(25):
+        base = rng.getrandbits(64)
+        prints.add(base)
+        for bits in (1, 2, 4, 5):
+            x = base
+            for b in rng.sample(range(64), bits):
+                x ^= 1 << b
+            prints.add(x)
+    signed = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p,) for p in prints], "fp long")
+    found = [{(r["u"], r["v"]) for r in simhash.links(signed, blocks=b).collect()} for b in (5, 7, 8)]
+    assert found[0] == found[1] == found[2] and found[0]
+    assert [simhash.blocks_for(n) for n in (0, 10**5, 10**7, 10**9)] == [7, 7, 7, 9] and simhash.blocks_for(5 * 10**10) == 10
+
+
+def test_hot_keys_join_like_others(spark):
+    from corpusflow.llm.common import joined_by_hot_key
+
+    rows = spark.range(6000).selectExpr("id", "case when id < 3000 then -1 when id < 3100 then -2 else id end as k")
+    facts = rows.groupBy("k").count().selectExpr("k", "count as n", "k * 10 as v")
+    got = joined_by_hot_key(rows, facts, "k", "n")
+    assert got.count() == 6000 and got.where("v <> k * 10").count() == 0 and set(got.columns) == {"k", "id", "v"}
