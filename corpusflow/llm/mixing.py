@@ -5,34 +5,35 @@ Each source is cut into blocks of ``BLOCK`` documents. With weight ``w`` its blo
 goes to the released block that is due first. For weights that sum to 1 this schedule
 exists and keeps every source's share of any prefix less than one block from its target.
 
-Weights are integers ``a`` of a sum ``Q``, so the schedule repeats after ``Q`` slots: one
-period gives the slot of any block by arithmetic. ``Q`` starts at ``PERIOD`` and doubles until
-rounding moves no source by more than ``DRIFT`` of a block in the whole phase, so the share of
-any prefix of a phase stays less than ``1 + DRIFT`` blocks from the real target at any size.
-A period longer than its phase is only made as far as the phase goes: the plan has at most one
-number for each block. When a source ends, a phase ends, and the others go on, with the same
-integers over a smaller sum where these are exact enough. No row is dropped or repeated.
+Weights are exact: targets are ratios of whole numbers (decimals and floats as they are
+written), brought to integers ``a`` without a common divisor and of a sum ``Q``. The
+schedule repeats after ``Q`` slots, so one period gives the slot of any block by arithmetic. When
+a source ends, a phase ends, and the others go on with their own targets' shares. A period longer
+than its phase is only made as far as the phase goes. No row is dropped or repeated.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
+from fractions import Fraction
+from numbers import Rational
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import saved
+from corpusflow.llm.common import free_name, saved
 
 BLOCK = 16
-#: The weights are rounded to integers of about this sum, or more where a phase is long: one period of the schedule.
-PERIOD = 5_000
-#: Blocks by which rounded weights may move a source from its target by the end of a phase.
-DRIFT = 0.125
-#: Default targets: the sources' sizes to this power, so that large ones don't drown small ones.
-TEMPERATURE = 0.5
+#: Default targets: the square roots of the sources' sizes, so that large ones don't drown small ones,
+#: as whole parts of the largest, which has this many. They bound the period by this number times that of sources.
+DEFAULT_PARTS = 1_000
 #: Sources are planned on the driver, by their counts alone; more than this is an error.
 MAX_SOURCES = 1_000
+#: So many numbers at most make a plan, which is broadcast; targets of a finer ratio than that allows are an error.
+MAX_PLAN = 30_000_000
+#: Rows of a source are ranked in ranges of about this many.
+RANGE_ROWS = 2_000
 
 
 def period(parts: dict[str, int], left: dict[str, int] | None = None) -> dict[str, list[int]]:
@@ -62,44 +63,46 @@ def period(parts: dict[str, int], left: dict[str, int] | None = None) -> dict[st
     return out
 
 
-def integer_weights(weights: dict[str, float], total: int = PERIOD) -> dict[str, int]:
-    """Weights as integers of at least 1 that sum to about ``total``."""
-    whole = math.fsum(weights.values())
-    return {s: max(1, round(total * w / whole)) for s, w in weights.items()}
+def default_targets(sizes: dict[str, int]) -> dict[str, int]:
+    """The sources' targets where none are given."""
+    top = max(sizes.values(), default=1)
+    return {s: max(1, math.floor(DEFAULT_PARTS * math.sqrt(n / top) + 0.5)) for s, n in sizes.items()}
 
 
-def exact_enough(left: dict[str, int], own: dict[str, int], targets: dict[str, float]) -> dict[str, int]:
-    """``own``, or integers of a larger sum, that move no source by more than ``DRIFT`` blocks until one of ``left`` ends."""
-    targets = {s: targets[s] for s in left}
-    whole = math.fsum(targets.values())
-    while True:
-        q = sum(own.values())
-        slots = min(-(-n * q // own[s]) for s, n in left.items())
-        if max(abs(own[s] / q - w / whole) for s, w in targets.items()) * slots <= DRIFT:
-            return own
-        own = integer_weights(targets, 2 * q)
+def whole_parts(targets: dict[str, float | str | Rational]) -> dict[str, int]:
+    """Positive targets as the smallest integers of exactly the same ratios; a float is the decimal that it prints as."""
+    exact = {s: Fraction(w if isinstance(w, Rational) else str(w)) for s, w in targets.items()}
+    if any(w <= 0 for w in exact.values()):
+        raise ValueError("targets must be positive")
+    scale = math.lcm(*(w.denominator for w in exact.values()))
+    return reduced({s: int(w * scale) for s, w in exact.items()})
 
 
-def phases(blocks: dict[str, int], parts: dict[str, int], targets: dict[str, float] | None = None) -> list[dict]:
-    """The phases of a schedule: start slot, period, and for each source its parts, the blocks used before and its slots.
+def reduced(parts: dict[str, int]) -> dict[str, int]:
+    common = math.gcd(*parts.values())
+    return {s: a // common for s, a in parts.items()}
 
-    With ``targets`` a phase for which ``parts`` are too coarse gets finer ones.
-    """
-    left, used, start, out = {s: n for s, n in blocks.items() if n}, dict.fromkeys(blocks, 0), 0, []
+
+def phases(blocks: dict[str, int], parts: dict[str, int], limit: int = MAX_PLAN) -> list[dict]:
+    """The phases of a schedule: start slot, period, and for each source its parts, the blocks used before and its slots."""
+    left, used, start, out, made = {s: n for s, n in blocks.items() if n}, dict.fromkeys(blocks, 0), 0, [], 0
     while left:
-        own = {s: parts[s] for s in left}
-        if targets:
-            own = exact_enough(left, own, targets)
+        own = reduced({s: parts[s] for s in left})
+        made += min([sum(own.values()), sum(left.values()), *(-(-n * sum(own.values()) // own[s]) for s, n in left.items())])
+        if made > limit:
+            raise ValueError(f"a plan of more than {limit} numbers; give targets as ratios of smaller whole numbers")
         slots, q = period(own, left), sum(own.values())
         ended = [s for s, n in left.items() if len(slots[s]) == n]
         if ended:
-            end = slots[ended[0]][-1] + 1
+            # the phase ends within its first period: what is made of it is all there is
+            end = q = slots[ended[0]][-1] + 1
+            own = {s: max(1, len(slots[s])) for s in left}
         else:
             end = min((n - 1) // own[s] * q + slots[s][(n - 1) % own[s]] for s, n in left.items()) + 1
         out.append({"start": start, "q": q, "sources": {s: (own[s], used[s], slots[s]) for s in left}})
         for s in list(left):
             turns, rest = divmod(end, q)
-            done = turns * own[s] + sum(x < rest for x in slots[s])
+            done = turns * len(slots[s]) + sum(x < rest for x in slots[s])
             used[s] += done
             left[s] -= done
             if not left[s]:
@@ -108,58 +111,61 @@ def phases(blocks: dict[str, int], parts: dict[str, int], targets: dict[str, flo
     return out
 
 
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK, total: int = PERIOD) -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str, float | str | Rational] | None = None, block: int = BLOCK) -> DataFrame:
     """``docs`` with ``block_no``, ``slot`` and ``position``: the place of each row in the mixture.
 
-    ``weights`` maps sources to positive targets; without it they are the sources' sizes to
-    the power ``TEMPERATURE``. A source that isn't named goes last, as one named by its
-    absence would with the smallest weight. Null sources count as one source of their own.
+    ``weights`` maps sources to positive targets; without it they are ``default_targets``. A
+    source that isn't named has the smallest of the targets. Null sources count as one source of their own.
     Within a source rows stand by a hash of doc_id, then doc_id and text (where there is one), so repeated rows
     and ties have a place each. A block holds ``block`` rows, the last of a source may hold
     fewer; ``position`` leaves their places free and is unique. An empty table gives an
-    empty result. Columns of these names in ``docs`` are replaced.
+    empty result. Columns of ``docs`` that are called like the new ones are kept with ``_`` after
+    their names; texts of any length, and nulls, stay as they are.
 
-    A source is never gathered in one task: its rows are dealt over the 4,096 ranges of the
-    hash's first three digits, ranked there, and moved up by the counts of the ranges before.
+    A source is never gathered in one task: its rows are dealt over ranges of the hash, more
+    of them the larger the sources are, ranked there, and moved up by the counts of the ranges before.
     """
     spark = docs.sparkSession
-    names = [c for c in docs.columns if c not in ("block_no", "slot", "position")]
+    for name in ("block_no", "slot", "position"):
+        if free_name(docs, name) != name:
+            docs = docs.withColumnRenamed(name, free_name(docs, name + "_"))
+    source = F.when(F.col("source").isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), F.col("source")))
     digest = F.sha2(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 256)
-    ties = ["__h", "doc_id", *(["text"] if "text" in names else [])]
-    keyed = docs.select(*names).withColumn("__s", F.when(F.col("source").isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), F.col("source"))))
-    keyed = keyed.withColumn("__h", digest).withColumn("__r", F.conv(F.substring("__h", 1, 3), 16, 10).cast("int"))
-    counts = saved(keyed.groupBy("__s", "__r").agg(F.count(F.lit(1)).alias("__n")), "ranges")
-    sizes = {r["__s"]: r["n"] for r in counts.groupBy("__s").agg(F.sum("__n").alias("n")).limit(MAX_SOURCES + 1).collect()}
+    # a row of the caller is one column here, so that no name of it can clash
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), source.alias("s"), digest.alias("h"))
+    sizes = {r["s"]: r["n"] for r in keyed.groupBy("s").agg(F.count(F.lit(1)).alias("n")).limit(MAX_SOURCES + 1).collect()}
     if len(sizes) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
     if weights is None:
-        targets = {s: n**TEMPERATURE for s, n in sizes.items()}
+        targets = default_targets(sizes)
     else:
         given = {s: weights.get(s[1:]) if s[0] == "+" else None for s in sizes}
-        low = min([w for w in given.values() if w], default=1.0)
-        targets = {s: w or low for s, w in given.items()}
-    plan = phases({s: -(-n // block) for s, n in sizes.items()}, integer_weights(targets, total) if targets else {}, targets)
+        least = min((w for w in given.values() if w is not None), key=lambda w: Fraction(w if isinstance(w, Rational) else str(w)), default=1)
+        targets = {s: least if w is None else w for s, w in given.items()}
+    plan = phases({s: -(-n // block) for s, n in sizes.items()}, whole_parts(targets) if targets else {})
     rows = [(s, p, ph["start"], ph["q"], a, used, slots) for p, ph in enumerate(plan) for s, (a, used, slots) in sorted(ph["sources"].items())]
-    kind = "__s string, __p int, __start long, __q long, __a long, __used long, __slots array<int>"
-    table = spark.createDataFrame(rows, kind)
-    spans = table.selectExpr("*", "lead(__used) over (partition by __s order by __p) as __until")
-
-    before = counts.selectExpr("__s", "__r", "coalesce(sum(__n) over (partition by __s order by __r rows between unbounded preceding and 1 preceding), 0) as __before")
-    ranked = keyed.withColumn("__i", F.expr(f"row_number() over (partition by __s, __r order by {', '.join(ties)}) - 1"))
-    ranked = ranked.join(before.withColumnsRenamed({"__s": "__s2", "__r": "__r2"}), (F.col("__s") == F.col("__s2")) & (F.col("__r") == F.col("__r2")))
-    ranked = ranked.withColumn("__i", F.col("__i") + F.col("__before")).withColumn("block_no", F.floor(F.col("__i") / block).cast("long"))
-    span = spans.withColumnRenamed("__s", "__s3")
-    on = (F.col("__s") == F.col("__s3")) & (F.col("block_no") >= F.col("__used")) & (F.col("__until").isNull() | (F.col("block_no") < F.col("__until")))
-    placed = ranked.join(F.broadcast(span), on)
-    placed = placed.withColumn("slot", F.expr("__start + (block_no - __used) div __a * __q + element_at(__slots, cast((block_no - __used) % __a as int) + 1)"))
-    return placed.select(*names, "block_no", "slot", (F.col("slot") * block + F.col("__i") % block).alias("position"))
-
-
-def oracle_sql(source: str = "documents", block: int = BLOCK, total: int = PERIOD) -> str:
+    table = spark.createDataFrame(rows, "s string, p int, start long, q long, a long, used long, slots array<int>")
+    spans = table.selectExpr("s", "start", "q", "a", "used", "slots", "lead(used) over (partition by s order by p) as until")
+
+    digits = max(1, math.ceil(math.log(max(sizes.values(), default=1) / RANGE_ROWS + 1, 16)))
+    keyed = keyed.withColumn("r", F.conv(F.substring("h", 1, digits), 16, 10).cast("long"))
+    counts = saved(keyed.groupBy("s", "r").agg(F.count(F.lit(1)).alias("n")), "ranges")
+    before = counts.selectExpr("s", "r", "coalesce(sum(n) over (partition by s order by r rows between unbounded preceding and 1 preceding), 0) as before")
+    ties = ["h", "row.doc_id", *(["row.text"] if "text" in docs.columns else [])]
+    ranked = keyed.withColumn("i", F.expr(f"row_number() over (partition by s, r order by {', '.join(ties)}) - 1"))
+    ranked = ranked.join(before, ["s", "r"]).withColumn("i", F.col("i") + F.col("before")).withColumn("block_no", F.floor(F.col("i") / block).cast("long"))
+    own, span = ranked.alias("own"), F.broadcast(spans).alias("span")
+    on = F.expr("own.s = span.s and own.block_no >= span.used and (span.until is null or own.block_no < span.until)")
+    slot = F.expr("start + (block_no - used) div a * q + element_at(slots, cast((block_no - used) % a as int) + 1)")
+    placed = own.join(span, on).select("row", "block_no", slot.alias("slot"), "i")
+    return placed.select("row.*", "block_no", "slot", (F.col("slot") * block + F.col("i") % block).alias("position"))
+
+
+def oracle_sql(source: str = "documents", block: int = BLOCK, parts: int = DEFAULT_PARTS) -> str:
     """The mixture with default targets in DuckDB's SQL: the schedule simulated slot by slot, without periods."""
     return f"""
       with recursive n as (select case when source is null then '-' else concat('+', source) end as s, count(*) as n from {source} group by 1),
-      a as (select s, n, cast(greatest(1, round({total} * sqrt(n) / (select sum(sqrt(n)) from n))) as bigint) as a from n),
+      a as (select s, n, cast(greatest(1, floor({parts} * sqrt(n / (select max(n) from n)) + 0.5)) as bigint) as a from n),
       init as (select list({{'s': s, 'a': a, 'k': cast(0 as bigint), 'left_': (n + {block - 1}) // {block}}} order by s) as st from a),
       run(slot, start, chosen, st) as (
         select cast(-1 as bigint), cast(0 as bigint), cast('' as varchar), st from init
