@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import bounded_sample, held_out
+from corpusflow.llm.common import bounded_sample, free_name, held_out
 
 #: The model is fitted on at most this many labelled rows of each grade, by rank of a hash.
 TRAIN_ROWS_PER_GRADE = 2500
@@ -155,7 +155,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS_PER_GRADE)
     lab = lab.where("__id is not null and __q in (0, 1)").groupBy("__id").agg(F.min("__q").alias("__q"), F.max("__t").alias("__t"))
     lab = lab.where(~held_out(F.col("__id"))).select("__id", F.expr("case when __q = 0 then 0 when __t = 1 then 1 else 2 end").alias("__grade"))
     picked = bounded_sample(lab, "__id", "__grade", rows)
-    sample = docs.select(F.col("doc_id").alias("__id"), "text").join(F.broadcast(picked), "__id")
+    # of an id with several texts the first counts, so that repeated rows can't swell the sample
+    sample = docs.select(F.col("doc_id").alias("__id"), "text").join(F.broadcast(picked), "__id").groupBy("__id", "__grade").agg(F.min("text").alias("text"))
 
     def made(batches):
         for pdf in batches:
@@ -192,6 +193,12 @@ def rate(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS_PER_GRADE) -
 
 
 def keep_good(docs: DataFrame, known: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS_PER_GRADE) -> DataFrame:
-    """The rows of ``docs`` whose tail probability, by a model fitted on ``known``, reaches ``KEEP``."""
+    """The rows of ``docs`` whose tail probability, by a model fitted on ``known``, reaches ``KEEP``.
+
+    Null and empty texts have the value of an empty text, and texts of any length are read
+    whole. Repeated rows stay or go together, an empty table gives an empty result, and columns
+    of ``docs`` stay as they are, whatever they are called. Without labels all rows stay.
+    """
     model = train(known, labels, rows)
-    return _scored(docs, model, "__p").where(F.col(f"__p.at{TAIL_GRADE}") >= KEEP).drop("__p")
+    tail = free_name(docs, "tail")
+    return _scored(docs, model, tail).where(F.col(tail)[f"at{TAIL_GRADE}"] >= KEEP).drop(tail)

@@ -22,7 +22,7 @@ ODD = [
 def odd(spark):
     """Odd rows, with further columns whose names operators use inside."""
     df = spark.createDataFrame(ODD, SCHEMA)
-    for name in ("fp", "score", "u", "v", "node", "root", "slot", "item_id", "words", "hits", "m", "p", "flat", "__id"):
+    for name in ("fp", "score", "u", "v", "node", "root", "slot", "item_id", "words", "hits", "m", "p", "flat", "tail", "prints", "gone_id", "gone_text", "leaked", "row", "own", "__id", "__y", "__score", "__p", "__gone"):
         df = df.selectExpr("*", f"'x' as {name}")
     return df
 

@@ -1,3 +1,5 @@
+import itertools
+import math
 import random
 
 import numpy as np
@@ -27,11 +29,67 @@ def test_orders_grades(spark):
     assert (out["p_tail"] >= out["p_top"]).all()
 
 
-def test_thresholds_stay_ordered_and_gradient_is_right():
+def brute_loss(weights, theta, rows, grades, share):
+    """Penalised negative log-likelihood of the cumulative-link model, from its definition."""
+    below = lambda k, s: 1.0 if k >= quality.GRADES - 1 else 0.0 if k < 0 else 1 / (1 + math.exp(-(theta[k] - s)))
+    out = 0.0
+    for (idx, val), y, w in zip(rows, grades, share, strict=True):
+        s = sum(weights[i] * v for i, v in zip(idx, val, strict=True))
+        out -= w * math.log(below(y, s) - below(y - 1, s))
+    return out
+
+
+def test_first_step_follows_the_numeric_gradient(monkeypatch):
     rng = np.random.default_rng(1)
-    rows = [(rng.integers(0, quality.BUCKETS, 5), rng.random(5)) for _ in range(60)]
-    model = quality.CumulativeLink().fit(rows, rng.integers(0, 3, 60))
+    rows = [(rng.integers(0, 40, 5).astype(np.int32), rng.random(5).astype(np.float32)) for _ in range(60)]
+    grades = rng.integers(0, 3, 60)
+    share = np.array([1 / len(set(grades)) / (grades == g).sum() for g in grades])
+    monkeypatch.setattr(quality, "STEPS", 1)
+    model = quality.CumulativeLink().fit(rows, grades)
+    theta, eps = np.array([-0.5, 0.5]), 1e-5
+    for i in range(40):
+        weights = np.zeros(quality.BUCKETS)
+        weights[i] = eps
+        up = brute_loss(weights, theta, rows, grades, share)
+        weights[i] = -eps
+        slope = (up - brute_loss(weights, theta, rows, grades, share)) / (2 * eps)
+        # the first step of Adam has the length of the rate, against the gradient
+        if abs(slope) > 1e-5:
+            assert np.isclose(model.weights[i], -quality.RATE * np.sign(slope), rtol=0.02), i
+    both = lambda d: brute_loss(np.zeros(quality.BUCKETS), theta + d, rows, grades, share)
+    assert np.sign(model.theta[0] - -0.5) == -np.sign(both(eps) - both(-eps) + 2 * eps * 1e-3 * -0.5)
+
+
+def test_fitting_lowers_the_loss_and_keeps_thresholds_in_order():
+    rng = np.random.default_rng(2)
+    rows = [(rng.integers(0, 40, 5).astype(np.int32), rng.random(5).astype(np.float32)) for _ in range(90)]
+    value = [sum(v if i < 13 else -v if i < 26 else 0 for i, v in zip(*r, strict=True)) for r in rows]
+    grades = np.digitize(value, np.quantile(value, [1 / 3, 2 / 3]))
+    model = quality.CumulativeLink().fit(rows, grades)
+    share = np.full(90, 1 / 90)
     assert model.theta[0] < model.theta[1]
+    assert brute_loss(model.weights, model.theta, rows, grades, share) < 0.6 * brute_loss(np.zeros(quality.BUCKETS), [-0.5, 0.5], rows, grades, share)
+
+
+def test_tails_match_the_definition():
+    texts = ["plain words here", "MANY SHOUTED!!! WORDS!!!", "", None, "a a a a b", "x1 y2 " * 50]
+    model = quality.CumulativeLink()
+    model.weights = np.random.default_rng(4).standard_normal(quality.BUCKETS)
+    model.theta = np.array([-0.3, 0.9])
+    for t, got in zip(texts, model.tails(texts), strict=True):
+        tokens = (t or "").split()
+        total = 0.0
+        if not tokens:
+            total = model.weights[quality._bucket("d", "empty")]
+        for w in set(tokens):
+            part = tokens.count(w) / len(tokens)
+            shape = "".join(k for k, _ in itertools.groupby("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in w))
+            total += part * model.weights[quality._bucket("w", w.lower())] + 4 * part * model.weights[quality._bucket("s", shape)]
+        if tokens:
+            n, same = len(tokens), sum(a == b for a, b in itertools.pairwise(tokens)) / len(tokens)
+            for name in (f"same{min(9, int(same * 20))}", f"fresh{int(len(set(tokens)) / n * 10)}.{min(5, n.bit_length() // 3)}", f"long{n.bit_length()}"):
+                total += 0.5 * model.weights[quality._bucket("d", name)]
+        assert np.allclose(got, [1 - 1 / (1 + math.exp(-(th - total))) for th in model.theta])
 
 
 def test_one_grade_and_none(spark, odd, none, labels):
