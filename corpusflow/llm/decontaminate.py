@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusflow.llm.common import saved
+
 MIN_MATCH = 5
 #: Tiles of a pair that shares a seed may be shorter than the seed.
 MIN_TILE = 3
@@ -48,24 +50,32 @@ def rolling(ids: list[int], width: int) -> list[int]:
 
 
 def places(doc: list[int], item: list[int], width: int) -> list[tuple[int, int]]:
-    """Places (in the document, in the item) at which windows of ``width`` ids agree, by their rolling hashes."""
-    where: dict[int, list[int]] = {}
+    """Places (in the document, in the item) at which a match of ``width`` ids or more starts, by rolling hashes.
+
+    Places that go on from a match one step before aren't listed, so that the runs of a
+    repetitive text count once for each shift, not once for each pair of places.
+    """
+    where: dict[int, dict[int, list[int]]] = {}
     for j, h in enumerate(rolling(item, width)):
-        where.setdefault(h, []).append(j)
-    return [(i, j) for i, h in enumerate(rolling(doc, width)) for j in where.get(h, ())]
+        where.setdefault(h, {}).setdefault(item[j - 1] if j else -1, []).append(j)
+    out = []
+    for i, h in enumerate(rolling(doc, width)):
+        if h in where:
+            before = doc[i - 1] if i else -3
+            out += [(i, j) for word, starts in where[h].items() if word != before for j in starts]
+    return out
 
 
 def tile(doc: list[int], item: list[int], seeds: list[tuple[int, int]], min_match: int = MIN_TILE) -> list[tuple[int, int, int]]:
     """Tiles (start in the document, start in the item, length), longest first.
 
-    ``seeds`` are all places at which windows of ``min_match`` ids agree. A match is
+    ``seeds`` are the places at which matches of ``min_match`` ids or more start. A match is
     verified word by word. Ties go to the smallest starts. A match that a longer tile has
-    partly covered is cut to its free runs, which compete again.
+    partly covered is cut to its free runs, which compete again. It ends early once fewer
+    than ``min_match`` words of the item are free.
     """
-    heap, begun = [], set(seeds)
+    heap = []
     for i, j in seeds:
-        if (i - 1, j - 1) in begun:
-            continue  # the match that starts before it holds this one
         n = 0
         while i + n < len(doc) and j + n < len(item) and doc[i + n] == item[j + n]:
             n += 1
@@ -73,9 +83,9 @@ def tile(doc: list[int], item: list[int], seeds: list[tuple[int, int]], min_matc
             heap.append((-n, i, j))
     heapq.heapify(heap)
     in_doc: set[int] = set()
-    in_item = bytearray(len(item))
+    in_item, left = bytearray(len(item)), len(item)
     tiles = []
-    while heap:
+    while heap and left >= min_match:
         n, i, j = heapq.heappop(heap)
         n = -n
         free = [not in_item[j + k] and i + k not in in_doc for k in range(n)]
@@ -83,6 +93,7 @@ def tile(doc: list[int], item: list[int], seeds: list[tuple[int, int]], min_matc
             tiles.append((i, j, n))
             in_doc.update(range(i, i + n))
             in_item[j : j + n] = b"\x01" * n
+            left -= n
             continue
         start = None
         for k, ok in enumerate([*free, False]):
@@ -164,37 +175,60 @@ def _blocks(benchmark: DataFrame, chars: int) -> Iterator[list[tuple[int, str]]]
         yield block
 
 
-def _searcher(docs: DataFrame, benchmark: DataFrame, coverage: float, block_chars: int) -> list:
-    spark = docs.sparkSession
-    return [spark.sparkContext.broadcast(Index(b)) for b in _blocks(benchmark, block_chars)]
+def _found(docs: DataFrame, block: list[tuple[int, str]], coverage: float) -> DataFrame:
+    """``docs`` searched for one block of items: doc_id and a hit for each item found."""
+    shared = docs.sparkSession.sparkContext.broadcast(Index(block))
+    names = ("item_id", "coverage", "n_tiles", "longest_tile")
+
+    @F.pandas_udf("array<struct<item_id: long, coverage: double, n_tiles: int, longest_tile: int>>")
+    def search(texts: pd.Series) -> pd.Series:
+        return pd.Series([[dict(zip(names, hit, strict=True)) for hit in shared.value.search(t, coverage)] for t in texts], dtype=object)
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), search(docs["text"]).alias("hits")).select("doc_id", F.explode("hits").alias("hit"))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per document and item that it holds: doc_id, item_id, coverage, n_tiles, longest_tile.
 
     Documents stay where they are; the benchmark, whose size doesn't follow the corpus,
-    goes to them in blocks of at most ``block_chars`` characters, however many there are.
-    Items of fewer than five words count if all their words stand together. Null and empty
+    goes to them in blocks of at most ``block_chars`` characters: its seeds are the side of
+    the join that is broadcast. Each block is a pass of its own over the documents, whose result is
+    written before the next block goes out, so no worker holds more than one block. Items of
+    fewer than five words count if all their words stand together. Null and empty
     texts and items match nothing; repeated rows give repeated pairs; an empty table gives an
-    empty result; other columns are ignored.
+    empty result; other columns are ignored. Texts of any length are searched whole.
     """
-    shared = _searcher(docs, benchmark, coverage, block_chars)
-    names = ("item_id", "coverage", "n_tiles", "longest_tile")
+    columns, out, last = ("doc_id", "hit.item_id", "hit.coverage", "hit.n_tiles", "hit.longest_tile"), None, None
+    for block in _blocks(benchmark, block_chars):
+        if last is not None:
+            part = saved(_found(docs, last, coverage).select(*columns), "leaks")
+            out = part if out is None else out.unionByName(part)
+        last = block
+    part = _found(docs, last or [], coverage).select(*columns)
+    return part if out is None else out.unionByName(part)
 
-    @F.pandas_udf("array<struct<item_id: long, coverage: double, n_tiles: int, longest_tile: int>>")
-    def search(texts: pd.Series) -> pd.Series:
-        return pd.Series([[dict(zip(names, hit, strict=True)) for b in shared for hit in b.value.search(t, coverage)] for t in texts], dtype=object)
 
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), search(docs["text"]).alias("hits"))
-    return found.select("doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.*")
+def keep_unleaked(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of ``docs`` that hold no item of the benchmark.
+
+    Blocks of the benchmark are passes of their own over what the blocks before have left, as
+    in ``leaks``. Null and empty texts hold nothing and stay; repeated rows stay or go
+    together; an empty table gives an empty result, an empty benchmark all rows. Columns of ``docs``
+    stay as they are, whatever they are called. Texts of any length are searched whole.
+    """
+    last = None
+    for block in _blocks(benchmark, block_chars):
+        if last is not None:
+            docs = saved(_without(docs, last, coverage), "unleaked")
+        last = block
+    return docs if last is None else _without(docs, last, coverage)
 
 
-def keep_unleaked(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The rows of ``docs`` that hold no item of the benchmark."""
-    shared = _searcher(docs, benchmark, coverage, block_chars)
+def _without(docs: DataFrame, block: list[tuple[int, str]], coverage: float) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(Index(block))
 
     @F.pandas_udf("boolean")
     def leaked(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.fromiter((any(b.value.search(t, coverage) for b in shared) for t in texts), bool, len(texts)))
+        return pd.Series(np.fromiter((bool(shared.value.search(t, coverage)) for t in texts), bool, len(texts)))
 
     return docs.where(~leaked(docs["text"]))

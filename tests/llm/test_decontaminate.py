@@ -51,6 +51,16 @@ def test_finds_reordered_passages(spark):
     assert sorted(r["doc_id"] for r in D.keep_unleaked(docs, bench).collect()) == [3, 4, 5, 6]
     blocks = {(r["doc_id"], r["item_id"]) for r in D.leaks(docs, bench, block_chars=10).collect()}
     assert blocks == set(got)
+    assert sorted(r["doc_id"] for r in D.keep_unleaked(docs, bench, block_chars=10).collect()) == [3, 4, 5, 6]
+
+
+def test_repetitive_texts_stay_cheap():
+    doc, item = [1] * 50_000, [1] * 300
+    starts = D.places(doc, item, 3)
+    assert len(starts) < 50_300
+    assert D.tile(doc, item, starts, 3) == [(0, 0, 300)]
+    doc, item = [1, 2, 3] * 4000 + [9], [1, 2, 3] * 30 + [7]
+    assert sum(t[2] for t in D.tile(doc, item, D.places(doc, item, 3), 3)) == 90
 
 
 def test_whole_tables_match_brute_force(spark, small):

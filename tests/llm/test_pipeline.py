@@ -1,3 +1,5 @@
+from itertools import combinations
+
 import corpus_pipeline
 from corpusflow.llm import decontaminate, quality, simhash, toxicity
 
@@ -10,8 +12,20 @@ def test_stages_are_what_their_operators_decide(spark, small):
     tox = {r["doc_id"] for r in toxicity.classify(docs, labels).collect() if r["flagged"]}
     ids -= tox
     ids &= {r["doc_id"] for r in quality.rate(docs, labels).collect() if r["keep"]}
-    left = docs.where(docs["doc_id"].isin(*ids))
-    ids = {r["component_id"] for r in simhash.near_duplicates(left).collect()}
+    prints = {d: (simhash.fingerprint_int(rows[d]["text"]), simhash.word_print(rows[d]["text"])) for d in ids}
+    root = {d: d for d in ids}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    for a, b in combinations(sorted(ids), 2):
+        (x, p), (y, q) = prints[a], prints[b]
+        if (x ^ y).bit_count() <= 4 or ((p ^ q).bit_count() <= 4 and (x ^ y).bit_count() <= simhash.SHINGLE_BITS):
+            low, high = sorted((find(a), find(b)))
+            root[high] = low
+    ids = {find(d) for d in ids}
     leaked = {r["doc_id"] for r in decontaminate.leaks(docs, bench).collect()}
     ids -= leaked
     out = corpus_pipeline.run(spark, small).collect()
