@@ -5,12 +5,16 @@ same of its neighbours, and what it stands in (an article; a container that is n
 classed as a menu, notice, advert and so on). A name doesn't set apart what holds the page's
 article or most of its long text, and a compound with a word of another kind (social-history)
 is only a hint. A small decision tree, grown here from a
-labelled table of such blocks, says which are main text.
+labelled table of such blocks, says which are main text: of every page with a container that
+says what it is, that decides, as one-word paragraphs and long adverts can't be told apart otherwise. Where a page has no article element, or
+a name only hints, length, links and neighbours decide: long prose stays, and a short line
+stays beside prose but not among menus and other short lines.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
 from functools import cache, lru_cache
 from html.parser import HTMLParser
@@ -25,6 +29,9 @@ from pyspark.sql import types as T
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SKIPPED = frozenset("script style noscript template svg math iframe object canvas audio video select textarea button title".split())
+#: Of these, the ones whose content is no markup, and the ones that can't hold one of their own.
+RAW = frozenset("script style title textarea".split())
+FLAT = frozenset("button select noscript iframe".split())
 APART = frozenset("nav header footer aside form menu dialog".split())
 MAIN = frozenset("article main".split())
 #: Names in a class, id or role that mark what isn't main text; a name counts as a whole word of the attribute.
@@ -42,7 +49,7 @@ LONG_WORDS, LONG_LINKED = 15, 0.3
 _WORDS = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
-FEATURES = ("words", "link_density", "words_before", "link_before", "words_after", "link_after", "in_article", "page_has_article", "apart")
+FEATURES = ("words", "link_density", "words_before", "link_before", "words_after", "link_after", "place", "apart")
 
 
 @dataclass
@@ -79,6 +86,27 @@ class _Blocks(HTMLParser):
         self.parts: list[str] = []
         self.link_parts: list[str] = []
         self.skip_name = ""
+        #: Where elements of a name that is left out start and end in the page (false: start), found when first met.
+        self.page = ""
+        self.edges: dict[str, tuple[list[int], list[bool]]] = {}
+        self.lines: list[int] = []
+
+    def _closed(self, tag: str) -> bool:
+        """Whether the element that starts here has an end tag: one that comes before the next start, or closes it by count."""
+        if tag not in self.edges:
+            found = [(m.start(), m.group(1) == "/") for m in re.finditer(rf"<(/?){tag}(?=[\s/>])", self.page, re.I)]
+            self.edges[tag] = [k for k, _ in found], [end for _, end in found]
+            self.lines = self.lines or [0, *(m.end() for m in re.finditer("\n", self.page))]
+        at, ends = self.edges[tag]
+        line, offset = self.getpos()
+        k, depth = bisect_left(at, self.lines[line - 1] + offset), 0
+        if tag in FLAT:
+            return k + 1 < len(ends) and ends[k + 1]
+        for end in ends[k:]:
+            depth += -1 if end else 1
+            if not depth:
+                return True
+        return False
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if self.skip_name:
@@ -87,7 +115,9 @@ class _Blocks(HTMLParser):
         if tag in SKIPPED:
             if tag not in ("button",):
                 self.flush()
-            self.skip_name, self.skipped = tag, 1
+            # an element that nothing closes doesn't swallow the page behind it
+            if tag in RAW or self._closed(tag):
+                self.skip_name, self.skipped = tag, 1
             return
         if tag == "a":
             self.links = 1
@@ -229,6 +259,7 @@ def _named(attrs: list[tuple[str, str | None]], main: bool) -> str:
 def blocks_of(page: str | None) -> list[Block]:
     """The flat blocks of a page; null gives none. A page that ends inside a tag keeps its text before."""
     parser = _Blocks()
+    parser.page = page or ""
     parser.feed(page or "")
     parser.close()
     parser.flush()
@@ -237,7 +268,10 @@ def blocks_of(page: str | None) -> list[Block]:
 
 
 def features_of(blocks: list[Block]) -> np.ndarray:
-    """A row of ``FEATURES`` for each block; a neighbour that isn't there has no words."""
+    """A row of ``FEATURES`` for each block; a neighbour that isn't there has no words.
+
+    ``place`` is 0 beside the page's article, 1 where the page has none, 2 in it.
+    """
     n = len(blocks)
     words = np.array([b.words for b in blocks], float)
     density = np.array([b.linked / b.words for b in blocks])
@@ -245,9 +279,9 @@ def features_of(blocks: list[Block]) -> np.ndarray:
     out[:, 0], out[:, 1] = words, density
     out[1:, 2], out[1:, 3] = words[:-1], density[:-1]
     out[:-1, 4], out[:-1, 5] = words[1:], density[1:]
-    out[:, 6] = [b.in_article for b in blocks]
-    out[:, 7] = any(b.in_article for b in blocks)
-    out[:, 8] = [b.apart for b in blocks]
+    inside = np.array([b.in_article for b in blocks], bool)
+    out[:, 6] = np.where(inside, 2, 0 if inside.any() else 1)
+    out[:, 7] = [b.apart for b in blocks]
     return out
 
 
@@ -257,82 +291,153 @@ def features_of(blocks: list[Block]) -> np.ndarray:
 LABELLED = np.array(
     [
         # pages with an article: whatever isn't set apart in it is its text, however short
-        [9, 0, 0, 0, 40, 0, 1, 1, 0, 1],
-        [40, 0, 9, 0, 1, 0, 1, 1, 0, 1],
-        [1, 0, 40, 0, 2, 0, 1, 1, 0, 1],
-        [2, 0, 1, 0, 120, 0.05, 1, 1, 0, 1],
-        [120, 0.05, 2, 0, 30, 0.4, 1, 1, 0, 1],
-        [30, 0.4, 120, 0.05, 6, 1, 1, 1, 0, 1],
-        [6, 1, 30, 0.4, 75, 0, 1, 1, 0, 1],
-        [1, 1, 60, 0, 60, 0, 1, 1, 0, 1],
-        [4, 0.5, 11, 0, 25, 0, 1, 1, 0, 1],
-        [300, 0, 1, 0, 1, 0, 1, 1, 0, 1],
-        [15, 0.1, 300, 0, 0, 0, 1, 1, 0, 1],
+        [9, 0, 0, 0, 40, 0, 2, 0, 1],
+        [40, 0, 9, 0, 1, 0, 2, 0, 1],
+        [1, 0, 40, 0, 2, 0, 2, 0, 1],
+        [2, 0, 1, 0, 120, 0.05, 2, 0, 1],
+        [120, 0.05, 2, 0, 30, 0.4, 2, 0, 1],
+        [30, 0.4, 120, 0.05, 6, 1, 2, 0, 1],
+        [6, 1, 30, 0.4, 75, 0, 2, 0, 1],
+        [1, 1, 60, 0, 60, 0, 2, 0, 1],
+        [4, 0.5, 11, 0, 25, 0, 2, 0, 1],
+        [300, 0, 1, 0, 1, 0, 2, 0, 1],
+        [15, 0.1, 300, 0, 0, 0, 2, 0, 1],
         # in the article but set apart: adverts, forms, comments, share bars
-        [12, 0, 80, 0, 90, 0, 1, 1, 1, 0],
-        [60, 0, 80, 0, 25, 0, 1, 1, 1, 0],
-        [25, 0.2, 60, 0, 110, 0, 1, 1, 1, 0],
-        [110, 0, 25, 0.2, 3, 1, 1, 1, 1, 0],
-        [3, 1, 110, 0, 0, 0, 1, 1, 1, 0],
-        [1, 0, 30, 0, 2, 1, 1, 1, 1, 0],
+        [12, 0, 80, 0, 90, 0, 2, 1, 0],
+        [60, 0, 80, 0, 25, 0, 2, 1, 0],
+        [25, 0.2, 60, 0, 110, 0, 2, 1, 0],
+        [110, 0, 25, 0.2, 3, 1, 2, 1, 0],
+        [3, 1, 110, 0, 0, 0, 2, 1, 0],
+        [1, 0, 30, 0, 2, 1, 2, 1, 0],
         # a hint in the name of a part of the article: length and links decide
-        [40, 0, 80, 0, 90, 0, 1, 1, 2, 1],
-        [110, 0.05, 40, 0, 12, 0, 1, 1, 2, 1],
-        [18, 0, 110, 0, 60, 0, 1, 1, 2, 1],
-        [70, 0.1, 3, 0, 0, 0, 1, 1, 2, 1],
-        [6, 0, 90, 0, 80, 0, 1, 1, 2, 0],
-        [10, 0.2, 80, 0, 40, 0, 1, 1, 2, 0],
-        [3, 1, 90, 0, 2, 1, 1, 1, 2, 0],
-        [25, 0.8, 80, 0, 60, 0, 1, 1, 2, 0],
+        [40, 0, 80, 0, 90, 0, 2, 2, 1],
+        [110, 0.05, 40, 0, 12, 0, 2, 2, 1],
+        [18, 0, 110, 0, 60, 0, 2, 2, 1],
+        [70, 0.1, 3, 0, 0, 0, 2, 2, 1],
+        [6, 0, 90, 0, 80, 0, 2, 2, 0],
+        [10, 0.2, 80, 0, 40, 0, 2, 2, 0],
+        [3, 1, 90, 0, 2, 1, 2, 2, 0],
+        [25, 0.8, 80, 0, 60, 0, 2, 2, 0],
         # beside the article
-        [1, 1, 0, 0, 1, 1, 0, 1, 1, 0],
-        [1, 1, 1, 1, 10, 0, 0, 1, 1, 0],
-        [10, 0, 1, 1, 9, 0, 0, 1, 1, 0],
-        [14, 0, 50, 0, 0, 0, 0, 1, 1, 0],
-        [90, 0, 20, 0, 0, 0, 0, 1, 1, 0],
-        [70, 0.05, 14, 0, 80, 0, 0, 1, 0, 0],
-        [8, 0, 0, 0, 40, 0, 0, 1, 0, 0],
-        [35, 0.3, 8, 0, 9, 0, 0, 1, 0, 0],
-        [2, 1, 35, 0, 2, 1, 0, 1, 0, 0],
-        [45, 0, 8, 0, 60, 0, 0, 1, 2, 0],
-        [90, 0.05, 45, 0, 20, 0, 0, 1, 2, 0],
-        [20, 0, 90, 0, 0, 0, 0, 1, 2, 0],
-        [60, 0.1, 5, 0, 90, 0, 0, 1, 2, 0],
-        # pages without an article: length and links of a block and its neighbours decide
-        [60, 0, 8, 0, 45, 0, 0, 0, 0, 1],
-        [45, 0.05, 60, 0, 50, 0, 0, 0, 0, 1],
-        [25, 0.1, 45, 0, 33, 0.1, 0, 0, 0, 1],
-        [33, 0.1, 25, 0.1, 5, 1, 0, 0, 0, 1],
-        [18, 0, 40, 0, 22, 0, 0, 0, 0, 1],
-        [12, 0, 0, 0, 60, 0, 0, 0, 0, 1],
-        [7, 0, 2, 1, 55, 0, 0, 0, 0, 1],
-        [3, 0, 30, 0, 40, 0, 0, 0, 0, 1],
-        [1, 0, 25, 0, 25, 0, 0, 0, 0, 1],
-        [9, 0, 20, 0, 0, 0, 0, 0, 0, 1],
-        [20, 0, 0, 0, 0, 0, 0, 0, 0, 1],
-        [80, 0.2, 0, 0, 3, 1, 0, 0, 0, 1],
-        [6, 0, 0, 0, 0, 0, 0, 0, 0, 1],
-        [1, 1, 0, 0, 1, 1, 0, 0, 0, 0],
-        [2, 1, 1, 1, 2, 1, 0, 0, 0, 0],
-        [5, 1, 2, 1, 60, 0, 0, 0, 0, 0],
-        [8, 0.75, 60, 0, 6, 1, 0, 0, 0, 0],
-        [30, 0.8, 6, 1, 28, 0.9, 0, 0, 0, 0],
-        [12, 0.6, 30, 0.8, 0, 0, 0, 0, 0, 0],
-        [1, 1, 0, 0, 0, 0, 0, 0, 0, 0],
-        [60, 0, 8, 0, 45, 0, 0, 0, 2, 1],
-        [22, 0.05, 60, 0, 50, 0, 0, 0, 2, 1],
-        [8, 0, 50, 0, 40, 0, 0, 0, 2, 0],
-        [2, 1, 3, 1, 2, 1, 0, 0, 2, 0],
-        [30, 0.8, 2, 1, 40, 0, 0, 0, 2, 0],
-        [40, 0, 0, 0, 50, 0, 0, 0, 1, 0],
-        [6, 0, 50, 0, 0, 0, 0, 0, 1, 0],
-        [1, 1, 3, 0, 2, 1, 0, 0, 1, 0],
-        [100, 0.1, 60, 0, 20, 0, 0, 0, 1, 0],
+        [1, 1, 0, 0, 1, 1, 0, 1, 0],
+        [1, 1, 1, 1, 10, 0, 0, 1, 0],
+        [10, 0, 1, 1, 9, 0, 0, 1, 0],
+        [14, 0, 50, 0, 0, 0, 0, 1, 0],
+        [90, 0, 20, 0, 0, 0, 0, 1, 0],
+        [70, 0.05, 14, 0, 80, 0, 0, 0, 0],
+        [8, 0, 0, 0, 40, 0, 0, 0, 0],
+        [35, 0.3, 8, 0, 9, 0, 0, 0, 0],
+        [2, 1, 35, 0, 2, 1, 0, 0, 0],
+        [45, 0, 8, 0, 60, 0, 0, 2, 0],
+        [90, 0.05, 45, 0, 20, 0, 0, 2, 0],
+        [20, 0, 90, 0, 0, 0, 0, 2, 0],
+        [60, 0.1, 5, 0, 90, 0, 0, 2, 0],
+        [45, 0, 30, 0, 20, 0, 0, 0, 0],
+        [60, 0.1, 8, 0, 12, 0, 0, 0, 0],
+        [25, 0, 0, 0, 60, 0, 0, 0, 0],
+        [120, 0, 5, 0, 0, 0, 0, 0, 0],
+        [33, 0, 10, 0, 14, 0, 0, 0, 0],
+        [9, 0, 50, 0, 20, 0, 0, 0, 0],
+        [3, 0, 40, 0, 16, 0, 0, 0, 0],
+        # pages without an article: long prose is main text, whatever stands beside it
+        [60, 0, 8, 0, 45, 0, 1, 0, 1],
+        [45, 0.05, 60, 0, 50, 0, 1, 0, 1],
+        [25, 0.1, 45, 0, 33, 0.1, 1, 0, 1],
+        [33, 0.1, 25, 0.1, 5, 1, 1, 0, 1],
+        [18, 0, 40, 0, 22, 0, 1, 0, 1],
+        [30, 0, 2, 1, 3, 1, 1, 0, 1],
+        [24, 0, 1, 1, 0, 0, 1, 0, 1],
+        [16, 0, 3, 0, 4, 0, 1, 0, 1],
+        [12, 0, 2, 1, 5, 0, 1, 0, 1],
+        [80, 0.2, 0, 0, 3, 1, 1, 0, 1],
+        [50, 0.4, 60, 0.1, 45, 0, 1, 0, 1],
+        [38, 0.45, 2, 1, 70, 0, 1, 0, 1],
+        # short lines beside it: headings, one-word paragraphs, the last line
+        [12, 0, 0, 0, 60, 0, 1, 0, 1],
+        [7, 0, 2, 1, 55, 0, 1, 0, 1],
+        [3, 0, 30, 0, 40, 0, 1, 0, 1],
+        [1, 0, 25, 0, 25, 0, 1, 0, 1],
+        [1, 0, 3, 0, 70, 0, 1, 0, 1],
+        [2, 0, 40, 0, 1, 0, 1, 0, 1],
+        [9, 0, 20, 0, 0, 0, 1, 0, 1],
+        [2, 0, 60, 0, 1, 1, 1, 0, 1],
+        [4, 0, 14, 0, 3, 0, 1, 0, 1],
+        [5, 0, 1, 1, 13, 0, 1, 0, 1],
+        [3, 0, 5, 0, 30, 0, 1, 0, 1],
+        [9, 0, 3, 0, 25, 0, 1, 0, 1],
+        [10, 0, 1, 1, 40, 0.1, 1, 0, 1],
+        [6, 0, 4, 0, 25, 0, 1, 0, 1],
+        [2, 0, 8, 0, 12, 0, 1, 0, 1],
+        [1, 0, 2, 1, 20, 0, 1, 0, 1],
+        [5, 0, 2, 0, 80, 0, 1, 0, 1],
+        [8, 0, 16, 0, 0, 0, 1, 0, 1],
+        [1, 0, 12, 0, 0, 0, 1, 0, 1],
+        [6, 0, 30, 0, 5, 0, 1, 0, 1],
+        [4, 0, 90, 0, 2, 1, 1, 0, 1],
+        [7, 0.2, 45, 0.1, 3, 1, 1, 0, 1],
+        # the only block of a page
+        [20, 0, 0, 0, 0, 0, 1, 0, 1],
+        [6, 0, 0, 0, 0, 0, 1, 0, 1],
+        [1, 0, 0, 0, 0, 0, 1, 0, 1],
+        # short lines among menus and other short lines
+        [4, 0, 2, 1, 3, 1, 1, 0, 0],
+        [6, 0, 1, 1, 2, 1, 1, 0, 0],
+        [3, 0, 5, 0, 2, 1, 1, 0, 0],
+        [8, 0, 2, 1, 0, 0, 1, 0, 0],
+        [5, 0, 4, 0, 0, 0, 1, 0, 0],
+        [2, 0, 0, 0, 1, 1, 1, 0, 0],
+        [3, 0, 0, 0, 4, 0, 1, 0, 0],
+        [7, 0, 8, 0, 6, 0, 1, 0, 0],
+        [1, 0, 1, 0, 2, 0, 1, 0, 0],
+        [9, 0.2, 3, 0, 5, 0, 1, 0, 0],
+        [3, 0, 9, 0, 0, 0, 1, 0, 0],
+        [2, 0, 7, 0, 6, 0, 1, 0, 0],
+        [4, 0, 6, 1, 0, 0, 1, 0, 0],
+        [5, 0, 0, 0, 9, 0, 1, 0, 0],
+        [1, 0, 0, 0, 7, 0, 1, 0, 0],
+        [6, 0, 9, 0, 9, 0, 1, 0, 0],
+        [8, 0, 3, 0, 2, 0, 1, 0, 0],
+        [2, 0, 4, 0, 8, 1, 1, 0, 0],
+        # beside long lists of links
+        [7, 0, 60, 0.9, 5, 1, 1, 0, 0],
+        [6, 0, 3, 1, 40, 0.8, 1, 0, 0],
+        [4, 0, 35, 1, 30, 1, 1, 0, 0],
+        [2, 0, 25, 0.95, 6, 0, 1, 0, 0],
+        [9, 0, 5, 0, 28, 0.9, 1, 0, 0],
+        # links
+        [1, 1, 0, 0, 1, 1, 1, 0, 0],
+        [2, 1, 1, 1, 2, 1, 1, 0, 0],
+        [5, 1, 2, 1, 60, 0, 1, 0, 0],
+        [8, 0.75, 60, 0, 6, 1, 1, 0, 0],
+        [30, 0.8, 6, 1, 28, 0.9, 1, 0, 0],
+        [12, 0.6, 30, 0.8, 0, 0, 1, 0, 0],
+        [1, 1, 0, 0, 0, 0, 1, 0, 0],
+        [3, 0.7, 50, 0, 60, 0, 1, 0, 0],
+        # hints of a name there
+        [60, 0, 8, 0, 45, 0, 1, 2, 1],
+        [22, 0.05, 60, 0, 50, 0, 1, 2, 1],
+        [8, 0, 50, 0, 40, 0, 1, 2, 0],
+        [2, 1, 3, 1, 2, 1, 1, 2, 0],
+        [30, 0.8, 2, 1, 40, 0, 1, 2, 0],
+        [40, 0, 0, 0, 50, 0, 1, 1, 0],
+        [6, 0, 50, 0, 0, 0, 1, 1, 0],
+        [1, 1, 3, 0, 2, 1, 1, 1, 0],
+        [100, 0.1, 60, 0, 20, 0, 1, 1, 0],
+    ]
+)
+
+#: Where a page has an article, its container says it all: rows of every length, density and neighbourhood, in it, set apart in it, and beside it.
+_PLACED = np.array(
+    [
+        [words, density, before, link_before, after, link_after, place, apart, int(place == 2 and not apart)]
+        for words, density in ((1, 0), (2, 1), (4, 0), (8, 0.5), (12, 0), (20, 0.1), (45, 0), (110, 0.05))
+        for before, link_before, after, link_after in ((1, 0, 2, 1), (3, 1, 60, 0), (40, 0, 30, 0.1), (75, 0, 0, 0), (0, 0, 9, 0))
+        for place, apart in ((2, 0), (2, 1), (0, 0), (1, 1))
     ]
 )
 
 
-def grow(rows: np.ndarray, depth: int = 6, least: int = 1) -> tuple:
+def grow(rows: np.ndarray, depth: int = 10, least: int = 1) -> tuple:
     """A CART tree by Gini impurity: ``("leaf", share)`` or ``("split", feature, cut, low, high)``.
 
     Ties go to the first feature and the smallest cut; cuts lie midway between values.
@@ -370,7 +475,7 @@ def decide(tree: tuple, x: np.ndarray) -> np.ndarray:
 
 @cache
 def default_tree() -> tuple:
-    return grow(LABELLED)
+    return grow(np.concatenate((LABELLED, _PLACED)))
 
 
 def main_text(page: str | None, tree: tuple | None = None) -> str:
@@ -391,7 +496,9 @@ def extract(pages: DataFrame) -> DataFrame:
     """One row per page: page_id, url, text, n_chars (code points).
 
     Null and empty pages have empty text. Repeated rows give repeated rows, an empty table
-    an empty result; other columns are ignored.
+    an empty result; other columns are ignored. Pages of any length are read whole, and
+    nothing of them is cut; an element that nothing closes ends with the page, and if its
+    content would be left out (a button, a list of choices) only its tag is.
     """
     return pages.select("page_id", "url", _main_text(pages["html"]).alias("text")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 

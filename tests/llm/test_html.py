@@ -1,3 +1,6 @@
+import html
+import re
+
 import numpy as np
 
 from corpusflow.llm import html_text as H
@@ -86,3 +89,93 @@ def test_what_names_set_apart_stays_apart():
     talk = f"<div id='comments'><article class='comment-body'>{other * 9}</article></div>"
     assert H.main_text(_page("<article>", "</article>", talk)) == want
     assert H.main_text(_page("<article hidden>", "</article>")) == ""
+
+
+def test_what_nothing_closes_does_not_swallow_the_page():
+    want = "\n".join(p.strip() for p in PROSE)
+    for tag in ("button", "select", "noscript", "svg", "object", "canvas", "video"):
+        assert want in H.main_text(_page(f"<article><{tag}>", "</article>")), tag
+        later = _page(f"<article><{tag}>", f"<{tag}>Go</{tag}></article>")
+        assert PROSE[2].strip() in H.main_text(later) or tag not in H.FLAT, tag
+        assert H.main_text(_page(f"<article><{tag}>Menu <i>x</i></{tag}>", f"<{tag} class='a'>Go</{tag}></article>")) == want, tag
+    assert H.main_text(_page("<article><svg><svg></svg>in</svg>", "</article>")) == want
+
+
+def test_neighbours_decide_where_no_article_is():
+    prose, menu = "<p>" + "long prose words " * 8 + "</p>", "<p><a>Menu</a></p>"
+    text = lambda *parts: H.main_text("<body>" + "".join(parts) + "</body>").split("\n")
+    line = "<p>Short line</p>"
+    assert "Short line" in text(menu, line, prose, menu) and "Short line" in text(menu, prose, line, menu) and "Short line" in text(prose, line, prose)
+    assert "Short line" not in text(menu, line, menu, prose) and "Short line" not in text(prose, menu, line) and "Short line" not in text(line, menu, prose)
+    linked = "<p><a>" + "many linked words " * 8 + "</a></p>"
+    assert "Short line" not in text(prose, linked, line, linked, prose)
+    used = set()
+
+    def walk(t):
+        if t[0] == "split":
+            used.add(H.FEATURES[t[1]])
+            walk(t[3]), walk(t[4])
+
+    walk(H.default_tree())
+    assert used == set(H.FEATURES)
+
+
+def brute_blocks(page):
+    """Blocks of the tables' plain markup by another way: the page as a list of tags and texts, read with a stack of names."""
+    void, inline = {"br", "meta", "img", "input", "link"}, {"a", "b", "i", "em", "strong", "span"}
+    page = re.sub(r"(?s)<(script|style|title)\b.*?</\1>|<!--.*?-->|<!doctype[^>]*>", "<p>", page, flags=re.I)
+    out, stack, text, linked = [], [], "", 0
+
+    def close():
+        nonlocal text, linked
+        words = html.unescape(text).split()
+        if words:
+            names = [n for n, _ in stack]
+            inside = "article" in names or "main" in names
+            apart = any(n in ("nav", "header", "footer", "aside", "form", "menu", "dialog") or k in ("ad",) for n, k in stack)
+            out.append((" ".join(words), len(words), min(linked, len(words)), inside, apart))
+        text, linked = "", 0
+
+    for piece in re.split(r"(<[^>]*>)", page):
+        found = re.fullmatch(r"<(/?)([a-z0-9]+)\b([^>]*)>", piece, re.I)
+        if not found:
+            text += piece
+            if any(n == "a" for n, _ in stack):
+                linked += len(html.unescape(piece).split())
+            continue
+        end, name, rest = found[1] == "/", found[2].lower(), found[3]
+        if name == "br":
+            text += " "
+        elif name in inline or name in void:
+            if name == "a":
+                stack = [x for x in stack if x[0] != "a"] + ([] if end else [("a", "")])
+        else:
+            close()
+            stack = [x for x in stack if x[0] != "a"]
+            if not end:
+                named = re.search(r'class="([^"]*)"', rest)
+                stack.append((name, named[1] if named else ""))
+            elif name in [n for n, _ in stack]:
+                while stack.pop()[0] != name:
+                    pass
+    close()
+    return out
+
+
+def test_whole_table_matches_brute_force(spark, small):
+    pages = spark.read.parquet(f"{small}/pages.parquet")
+    got = {r["page_id"]: r["text"] for r in H.extract(pages).collect()}
+    tree = H.default_tree()
+    for r in pages.collect():
+        found = brute_blocks(r["html"] or "")
+        some, kept = any(b[3] for b in found), []
+        for k, (text, words, linked, inside, apart) in enumerate(found):
+            side = lambda j: (found[j][1], found[j][2] / found[j][1]) if 0 <= j < len(found) else (0, 0)  # noqa: B023, E731
+            row = [words, linked / words, *side(k - 1), *side(k + 1), 2 if inside else 0 if some else 1, int(apart)]
+            node = tree
+            while node[0] == "split":
+                node = node[3] if row[node[1]] <= node[2] else node[4]
+            if node[1] >= 0.5:
+                kept.append(text)
+        assert got[r["page_id"]] == "\n".join(kept), r["page_id"]
+    assert len(got) == pages.count() and all(got.values())
