@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import math
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -458,28 +459,46 @@ def feature_of(rgb: np.ndarray) -> str:
     return f"{rgb.shape[0]}x{rgb.shape[1]}:{means[0]:.3f},{means[1]:.3f},{means[2]:.3f}:{bits}"
 
 
-def store(docs: DataFrame, text: str = "text", tensors: bool = True) -> DataFrame:
+#: Rows go back to Spark once they hold about so many bytes.
+_BATCH_BYTES = 8 << 20
+
+
+def stored_row(text: str | None) -> tuple:
+    """What ``store`` gives for one text, but for its doc_id."""
+    payload, n = payload_of(text)
+    media = encode_payload(payload, n)
+    img = decode_coefficients(media)
+    back, rgb = read_payload(img), to_rgb(img)
+    digests = (hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(media), hashlib.sha256(media).hexdigest(), feature_of(rgb))
+    return (int(img.comment.split()[0]), len(back), *digests, media, rgb.shape[0], rgb.shape[1], rgb.tobytes())
+
+
+def store(docs: DataFrame, text: str = "text") -> DataFrame:
     """Store each text as a progressive JPEG and read it back.
 
     Columns: doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes,
-    media_sha256, feature, and with ``tensors`` media (the file), height, width and rgb (the
-    tensor's bytes, row by row). Everything but n_bytes and the media columns is taken from
+    media_sha256, feature, media (the file), height, width and rgb (the full-resolution
+    tensor's bytes, row by row). Everything but the media columns is taken from
     the decoded file. Null and empty texts are 64 zero bytes. Repeated rows give repeated
-    rows, an empty table an empty result; other columns are ignored.
+    rows, an empty table an empty result; other columns are ignored. Texts of any length are
+    stored whole; rows leave a task in batches of bounded size, so that long ones don't pile up.
     """
-    kind = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    kind += ", media binary, height int, width int, rgb binary" if tensors else ""
-
-    @F.pandas_udf(kind)
-    def stored(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for t in texts:
-            payload, n = payload_of(t)
-            media = encode_payload(payload, n)
-            img = decode_coefficients(media)
-            back, rgb = read_payload(img), to_rgb(img)
-            row = [int(img.comment.split()[0]), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(media), hashlib.sha256(media).hexdigest(), feature_of(rgb)]
-            rows.append(row + ([media, rgb.shape[0], rgb.shape[1], rgb.tobytes()] if tensors else []))
-        return pd.DataFrame(rows, columns=[x.split()[0] for x in kind.split(", ")])
-
-    return docs.select("doc_id", stored(docs[text]).alias("m")).select("doc_id", "m.*")
+    kind = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, media binary, height int, width int, rgb binary"
+    names = ["doc_id", *(x.split()[0] for x in kind.split(", "))]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows, held = [], 0
+        for pdf in batches:
+            for doc_id, t in zip(pdf["doc_id"], pdf["text"], strict=True):
+                rows.append((doc_id, *stored_row(t)))
+                held += len(rows[-1][8]) + len(rows[-1][11])
+                if held > _BATCH_BYTES:
+                    yield pd.DataFrame(rows, columns=names, dtype=object)
+                    rows, held = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=names, dtype=object)
+
+    own = docs.select("doc_id", F.col(text).alias("text"))
+    # ids go through as text, as a null among numbers would make them floats
+    out = own.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(run, f"doc_id string, {kind}")
+    return out.withColumn("doc_id", F.col("doc_id").cast(own.schema["doc_id"].dataType))

@@ -18,7 +18,7 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.store(spread(table(spark, sf_dir, "documents")), tensors=False)
+    return media.store(spread(table(spark, sf_dir, "documents")))
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

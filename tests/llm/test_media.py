@@ -223,7 +223,7 @@ def test_store(spark, odd, none):
             assert len(r["rgb"]) == r["height"] * r["width"] * 3 and M.feature_of(np.frombuffer(r["rgb"], np.uint8).reshape(r["height"], r["width"], 3)) == r["feature"]
     same = {(r["payload_sha256"], r["media_sha256"], r["feature"]) for r in out if r["doc_id"] in (2, 3)}
     assert len(same) == 1
-    assert M.store(none, tensors=False).count() == 0
+    assert M.store(none).count() == 0
 
 
 def test_broken_files_are_errors():
