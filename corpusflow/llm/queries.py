@@ -79,4 +79,4 @@ CHAT_SQL = f"""
   from d group by conv_id"""
 
 #: The other operators train models, hash with functions SQL lacks, or decode formats; tests/llm compares these with brute force.
-ORACLE_SQL: dict[str, str] = {"op2_licenses": licenses.oracle_sql(), "op7_chat": CHAT_SQL, "op8_mixing": mixing.oracle_sql(), "op10_urls": urls.query_sql("pages", dialect="duckdb")}
+ORACLE_SQL: dict[str, str] = {"op2_licenses": licenses.oracle_sql(), "op7_chat": CHAT_SQL, "op8_mixing": mixing.oracle_sql(), "op10_urls": urls.oracle_sql()}

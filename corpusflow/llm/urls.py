@@ -1,8 +1,8 @@
 """URL filters: allow and block rules, then gradient-boosted trees on lexical features.
 
 Trees are grown on the driver from a bounded table of labelled URLs; what runs over the
-pages is one SQL expression: features, rules and trees written out as ``CASE``. The same
-expression, in its other dialect, is the query's oracle.
+pages is one SQL expression: features, rules and trees written out as ``CASE``. The query's
+oracle reaches the same by another way: characters counted as rows, and leaves as boxes in a table.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from functools import cache
+from zlib import crc32
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,32 +28,43 @@ TREES, DEPTH, RATE, LEAST = 24, 3, 0.3, 3
 TRAIN_ROWS = 20_000
 FEATURES = ("length", "depth", "digit_ratio", "entropy", "params", "hyphens", "longest_label", "labels", "suffix_rate")
 
-#: The labelled table. Invented URLs: of sites that sell, bet, track or repeat themselves ...
-BLOCKED = """
-http://best-pills-online.example/buy/12 https://www.win-big-casino.test/play?bonus=200&ref=aff31 http://free-spins-now.example/en/8812
-https://click-track.example/r?id=99182&src=mail&u=7712 http://cheap-watches.shop.test/item-8837-2.html https://loan-fast-cash.example/apply/now
-http://adserver-one.test/banner/88123?cb=19283712 https://hot-deals24.example/en/page/3 http://bet-win.example/de/55 https://diet-pills.example/order
-http://m.slots-king.test/en/10#bonus https://get-rich-fast.example/join?aff=112 http://spam-links.example/fr/404 http://seo-farm.example/en/77?page=9&sort=asc
-https://crypto-double.example/invest/2 http://cheap-meds.example/en/140 https://www.online-poker.example/en/88 http://pop-ads.test/show?z=771&w=300&h=250
-https://vip-bonus.example/es/51/ http://replica-bags.test/de/9.html https://free-money.example/en/31?utm_source=feed https://link-pool.example/en/5
-http://buy-followers.test/en/620 https://www.mega-jackpot.example/fr/17/ http://track-pixel.example/t.gif?e=1&s=2&k=3 https://win-phone.example/en/2#go
-http://essay-mill.test/order/5 https://pay-day.example/en/900?page=2&ref=x http://sex-cams.example/en/44 https://dl-cracks.test/get/8812/setup
-http://cheap-flights4u.example/en/12 https://ad-click.example/de/3 http://m.bet-now.example/en/61?page=2 https://pills-store.test/fr/6 http://win-free.example/es/7
-https://www.hot-casino.example/en/14/ http://data-track.test/en/99 https://fake-news.example/en/1 http://link-farm.test/de/40#top https://spin-win.example/en/3.html
-""".split()
-#: ... and of ordinary ones.
-ALLOWED = """
-https://library.example/catalogue/botany https://www.townhall.test/services/parks http://blog.gardener.example/en/120 https://news.daily.example/world/2024/05/rivers
-https://recipes.test/soups/lentil http://m.museum.example/en/55 https://university.example/physics/lectures/7 https://docs.compiler.test/manual/types.html
-http://weather.example/de/81 https://www.choir.test/concerts https://forum.cyclists.example/t/4412?page=2 http://observatory.example/es/12/
-https://poems.example/fr/88 https://www.farmers.test/en/301.html http://blog.potter.example/en/77?utm_source=feed https://harbour.example/en/9#top
-https://archive.letters.test/1911/may http://school.example/de/15 https://www.orchard.example/en/510 http://maps.example/fr/41/ https://baker.test/en/18
-http://m.lighthouse.example/en/23#top https://clinic.example/advice/sleep https://history.test/romans/roads http://railway.example/en/600?page=2&ref=x
-https://blog.weaver.example/es/301 http://www.island.test/en/48 https://teacher.example/fr/77.html https://meadow.example/en/835/ http://chess.test/en/29
-https://astronomy.example/en/5?utm_source=feed http://blog.sailor.example/de/9 https://www.theatre.example/en/160 https://river.test/en/99.html http://valley.example/en/7
-https://m.painter.example/en/31 http://songs.example/fr/500?page=2&ref=x https://www.carpenter.test/de/88 https://stone.example/es/3 http://glass.example/en/254
-https://co-operative.example/members https://sea-birds.test/en/gulls http://rock-pools.example/guide
-""".split()
+#: What labelled URLs are made of, by class (1: to block): words of hosts and paths, suffixes with weights, shapes of hosts and of what follows.
+#: Both classes share shapes, in other proportions, so that no single one decides.
+LABELLED_ROWS = 600
+WORDS = {
+    0: "garden library museum physics harbour recipes weather school poems maps forum choir history orchard clinic theatre railway island botany letters town observatory farm songs".split(),
+    1: "win bonus pills casino cheap bets loan track ads spin replica diet crypto deals free jackpot meds followers poker payday offers slots clicks farm".split(),
+}
+SUFFIXES = {0: {"com": 34, "org": 20, "net": 12, "edu": 8, "gov": 5, "de": 6, "fr": 5, "es": 5, "info": 3, "io": 2}, 1: {"com": 34, "net": 14, "org": 12, "xyz": 10, "top": 9, "info": 7, "click": 7, "biz": 5, "de": 1, "fr": 1}}
+PREFIXES = {0: {"": 40, "www.": 30, "blog.": 18, "m.": 8, "docs.": 4}, 1: {"": 52, "www.": 26, "m.": 14, "go.": 8}}
+HOSTS = {0: {"{a}": 46, "{a}{b}": 40, "{a}-{b}": 5, "{b}.{a}": 9}, 1: {"{a}-{b}": 66, "{a}{b}": 12, "{a}{n}": 7, "{a}-{b}{d}": 8, "{a}-{b}-{c}": 7}}
+PATHS = {
+    0: {"/": 10, "/{l}/{m}": 26, "/{l}/{m}/": 8, "/{l}/{m}.html": 8, "/{l}/{m}?page=2": 5, "/{l}/{m}?utm_source=feed": 5, "/{l}/{m}#top": 5, "/{a}/{b}": 12, "/{a}/2024/05/{b}": 8, "/{a}/{b}-{c}": 7, "/{a}/{b}/{c}.html": 6},
+    1: {"/": 6, "/{l}/{m}": 26, "/{l}/{m}/": 7, "/{l}/{m}?page=2&ref=x": 7, "/{l}/{m}.html": 6, "/r?id={n}&src=mail&u={n}": 13, "/{a}?bonus={m}&ref=aff{d}&cb={n}": 12, "/item-{n}-{d}.html": 9, "/{a}/{b}/{c}/{n}/{d}": 8, "/{a}/{n}": 6},
+}
+
+
+def labelled_urls(rows: int = LABELLED_ROWS, salt: str = "train", words: dict[int, list[str]] | None = None) -> tuple[list[str], list[int]]:
+    """A table of labelled URLs made by rule: each choice is a hash of the row's number, so that the table is always the same."""
+    words, urls, blocked = words or WORDS, [], []
+
+    def pick(options: dict[str, int] | list[str], *name: object) -> str:
+        options = options if isinstance(options, dict) else dict.fromkeys(options, 1)
+        at = crc32(":".join(map(str, (salt, *name))).encode()) * 2654435761 % (1 << 32) % sum(options.values())
+        for option, weight in options.items():
+            at -= weight
+            if at < 0:
+                return option
+        raise AssertionError
+
+    for row in range(rows):
+        y = row % 2
+        number = lambda size, k: str(crc32(f"{salt}:{row}:{size}:{k}".encode()) % 10**size)  # noqa: B023, E731
+        fill = lambda form, part: form.format(a=pick(words[y], row, part, "a"), b=pick(words[y], row, part, "b"), c=pick(words[y], row, part, "c"), l=pick(["en", "en", "de", "fr", "es"], row, part), m=number(3, part), n=number(6, part), d=number(1, part))  # noqa: B023, E731
+        host = pick(PREFIXES[y], row, "prefix") + fill(pick(HOSTS[y], row, "host"), "h") + "." + pick(SUFFIXES[y], row, "suffix")
+        urls.append(pick(["http", "https"], row, "scheme") + "://" + host + fill(pick(PATHS[y], row, "path"), "p"))
+        blocked.append(y)
+    return urls, blocked
 
 
 def parts_of(url: str | None) -> tuple[str, str]:
@@ -187,7 +199,7 @@ class Model:
 
 @cache
 def default_model() -> Model:
-    return Model(BLOCKED + ALLOWED, [1] * len(BLOCKED) + [0] * len(ALLOWED))
+    return Model(*labelled_urls())
 
 
 def train(labelled: DataFrame, rows: int = TRAIN_ROWS) -> Model:
@@ -234,3 +246,46 @@ def judge(pages: DataFrame, model: Model | None = None, rules: tuple = RULES, ke
     other columns are ignored.
     """
     return pages.sparkSession.sql(query_sql("{pages}", model, rules, "spark", key), pages=pages.select(key, "url"))
+
+
+def _boxes(tree: tuple, low: tuple, high: tuple) -> list[tuple]:
+    """The leaves of a tree as boxes: value, then the bounds of each feature (above low, up to high)."""
+    if tree[0] == "leaf":
+        return [(tree[1], low, high)]
+    _, f, cut, less, more = tree
+    put = lambda bounds, x: (*bounds[:f], x, *bounds[f + 1 :])
+    return _boxes(less, low, put(high, min(high[f], cut))) + _boxes(more, put(low, max(low[f], cut)), high)
+
+
+def oracle_sql(source: str = "pages") -> str:
+    """The default query in DuckDB's SQL, by another way: characters as rows, leaves as boxes, rules as a table."""
+    model, n = default_model(), len(FEATURES)
+    wide = lambda x: f"'{x!r}'::double" if math.isfinite(x) else f"'{'-' if x < 0 else ''}infinity'::double"
+    boxes = [(t, value, *low, *high) for t, tree in enumerate(model.trees) for value, low, high in _boxes(tree, (-math.inf,) * n, (math.inf,) * n)]
+    leaves = ", ".join("(" + ", ".join(map(wide, b)) + ")" for b in boxes)
+    names = ", ".join(["tree", "value", *(f"low_{f}" for f in FEATURES), *(f"high_{f}" for f in FEATURES)])
+    within = " and ".join(f"f.{f} > b.low_{f} and f.{f} <= b.high_{f}" for f in FEATURES)
+    rates = ", ".join(f"('{k}', {wide(v)})" for k, v in sorted(model.rates.items()))
+    rules = ", ".join(f"('{v}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}', '{r}')" for v, r in RULES)
+    return f"""
+      with p as (select row_number() over () as k, page_id, coalesce(url, '') as url from {source}),
+      cut as (select *, regexp_extract(url, '^(.*?)://([^/?#]*)([^?#]*)', 2, 's') as host0, regexp_extract(url, '^(.*?)://([^/?#]*)([^?#]*)', 3, 's') as path from p),
+      h as (select *, list_aggregate(list_transform(string_split(host0, ''), lambda c: case when c between 'A' and 'Z' then chr(ascii(c) + 32) else c end), 'string_agg', '') as host1 from cut),
+      u as (select k, page_id, url, coalesce(host1, '') as host, path from h),
+      chars as (select k, c, count(*) as n from (select k, unnest(string_split(url, '')) as c from u where url <> '') group by k, c),
+      ent as (select chars.k, sum(-(n / length(url)) * log2(n / length(url))) as e, sum(n) filter (c between '0' and '9') as digits from chars join u using (k) where c <> '' group by chars.k),
+      rates(suffix, rate) as (values {rates}),
+      f as (select u.k, page_id, host, path, cast(length(url) as double) as length, cast(len(string_split(path, '/')) - 1 as double) as depth,
+          coalesce(digits / length(url), 0) as digit_ratio, coalesce(e, 0) as entropy,
+          cast(case when query = '' then 0 else len(string_split(query, '&')) end as double) as params, cast(len(string_split(host, '-')) - 1 as double) as hyphens,
+          cast((select max(length(x)) from (select unnest(string_split(host, '.')) as x)) as double) as longest_label, cast(len(string_split(host, '.')) as double) as labels,
+          coalesce(rate, {wide(model.prior)}) as suffix_rate
+        from (select *, case when strpos(url, '?') = 0 then '' else regexp_extract(url, '[?]([^#]*)', 1, 's') end as query from u) u left join ent on ent.k = u.k left join rates on suffix = list_extract(string_split(host, '.'), -1)),
+      leaves({names}) as (values {leaves}),
+      votes as (select f.k, list(b.value order by b.tree) as votes from f join leaves b on {within} group by f.k),
+      margins as (select k, list_reduce(list_prepend({wide(model.start)}, votes), lambda a, b: a + b) as margin from votes),
+      rules(verdict, rule_host, rule_path, rule) as (values {rules}),
+      fits as (select f.k, arg_max(r.rule, length(r.rule)) as rule, arg_max(r.verdict, length(r.rule)) as verdict from f join rules r on (f.host = r.rule_host or ends_with(f.host, '.' || r.rule_host)) and starts_with(f.path, r.rule_path) group by f.k)
+      select f.page_id, f.host, f.path, fits.rule, coalesce(fits.verdict, case when margin > 0 then 'block' else 'allow' end) as verdict,
+        case when margin > 0 then 'block' else 'allow' end as method_verdict, round(1 / (1 + exp(-margin)), 6) as score
+      from f join margins using (k) left join fits using (k)"""
