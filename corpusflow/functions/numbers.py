@@ -1,15 +1,19 @@
-"""Exact numbers: strict lexemes, rational arithmetic with units, verification."""
+"""Exact numbers: a grammar of lexemes, arithmetic with units as powers, verification."""
 
 from __future__ import annotations
 
+import operator
+import re
 import unicodedata
+from collections import Counter
+from collections.abc import Callable
 from fractions import Fraction
+from functools import cache
+from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-OPERATIONS = ("add", "subtract", "multiply", "divide")
-
 
 class Inexact(ValueError):
     """A lexeme or expression that isn't allowed; ``code`` says why."""
@@ -19,56 +23,111 @@ class Inexact(ValueError):
         self.code = code
 
 
+# -- lexemes --------------------------------------------------------------------------------
+
+
+class _Grammar(NamedTuple):
+    """Patterns of a lexeme with given separators: its two parts, a grouped whole part, and plain digits."""
+
+    parts: re.Pattern
+    grouped: re.Pattern | None
+    digits: re.Pattern
+
+
+@cache
+def _grammar(decimal: str | None, group: str | None) -> _Grammar:
+    part = f"[^{re.escape(decimal)}]+" if decimal else ".+"
+    tail = f"(?:{re.escape(decimal)}(?P<part>{part}))?" if decimal else "(?P<part>(?!))?"
+    grouped = re.compile(f"[0-9]{{1,3}}(?:{re.escape(group)}[0-9]{{3}})+") if group else None
+    return _Grammar(re.compile(f"(?P<sign>[+-]?+)(?P<whole>{part}){tail}", re.S), grouped, re.compile("[0-9]+"))
+
+
+def _ascii(text: str) -> str:
+    """Decimal digits of any script, and the minus sign, as ASCII."""
+    return re.sub(r"\d", lambda m: str(unicodedata.decimal(m[0])), text.strip()).replace("\N{MINUS SIGN}", "-")
+
+
 def parse_lexeme(text: str, decimal: str | None = ".", group: str | None = None) -> Fraction:
     """An exact number from digits of any script, an optional sign, and the declared separators only."""
     if decimal == group:
         raise Inexact("AMBIGUOUS_SEPARATORS")
-    plain = "".join(str(unicodedata.decimal(c, c)) for c in text.strip()).replace("−", "-")
-    negative, body = plain[:1] == "-", plain[1:] if plain[:1] in ("+", "-") and plain else plain
-    whole, *rest = body.split(decimal) if decimal else [body]
-    if len(rest) > 1 or not whole or "" in rest:
+    grammar = _grammar(decimal, group)
+    found = grammar.parts.fullmatch(_ascii(text))
+    if found is None:
         raise Inexact("INVALID_NUMERIC_LEXEME")
-    if group and group in whole:
-        head, *tail = whole.split(group)
-        digits = all(x.isascii() and x.isdigit() for x in (head, *tail))
-        if not digits or len(head) > 3 or any(len(x) != 3 for x in tail):
+    whole, part = found["whole"], found["part"] or "0"
+    if grammar.grouped and group in whole:
+        if not grammar.grouped.fullmatch(whole):
             raise Inexact("INVALID_DIGIT_GROUPING")
-        whole = head + "".join(tail)
-    part = rest[0] if rest else ""
-    if not (whole + part).isascii() or not whole.isdigit() or (part and not part.isdigit()):
+        whole = whole.replace(group, "")
+    if not (grammar.digits.fullmatch(whole) and grammar.digits.fullmatch(part)):
         raise Inexact("NONNUMERIC_OR_UNDECLARED_PUNCTUATION")
-    value = Fraction(int(whole + part), 10 ** len(part))
-    return -value if negative else value
+    return Fraction(f"{found['sign']}{whole}.{part}")
+
+
+# -- arithmetic -----------------------------------------------------------------------------
+
+Units = list[str | None]
 
 
-def calculate(operation: str, values: list[Fraction], units: list[str | None]) -> tuple[Fraction, str | None]:
-    """Value and unit of an operation. Sums need equal units, products a bare factor, quotients a bare or equal divisor."""
+def _shared_unit(units: Units) -> str | None:
+    """Terms of a sum have one unit."""
+    if len(set(units)) > 1:
+        raise Inexact("INCOMPATIBLE_UNITS")
+    return units[0]
+
+
+def _power_unit(*signs: int) -> Callable[[Units], str | None]:
+    """Factors multiply their units' powers by their signs; what is left must be one unit or none."""
+
+    def unit(units: Units) -> str | None:
+        powers: Counter[str] = Counter()
+        for name, sign in zip(units, signs, strict=True):
+            if name is not None:
+                powers[name] += sign
+        left = [(name, power) for name, power in powers.items() if power]
+        if len(left) > 1 or any(power != 1 for _, power in left):
+            raise Inexact("UNSUPPORTED_COMPOUND_UNIT")
+        return left[0][0] if left else None
+
+    return unit
+
+
+class _Operation(NamedTuple):
+    least: int
+    most: float
+    misuse: str
+    apply: Callable[[Fraction, Fraction], Fraction]
+    unit: Callable[[Units], str | None]
+
+
+_OPERATIONS = {
+    "add": _Operation(2, float("inf"), "ADD_REQUIRES_TWO_OR_MORE", operator.add, _shared_unit),
+    "subtract": _Operation(2, 2, "SUBTRACT_REQUIRES_TWO", operator.sub, _shared_unit),
+    "multiply": _Operation(2, 2, "UNSUPPORTED_COMPOUND_UNIT", operator.mul, _power_unit(1, 1)),
+    "divide": _Operation(2, 2, "INVALID_DIVISION", operator.truediv, _power_unit(1, -1)),
+}
+OPERATIONS = tuple(_OPERATIONS)
+
+
+def calculate(operation: str, values: list[Fraction], units: Units) -> tuple[Fraction, str | None]:
+    """Value and unit of an operation, exactly."""
+    if operation not in _OPERATIONS:
+        raise Inexact("UNKNOWN_OPERATION")
     if not values or len(values) != len(units):
         raise Inexact("OPERAND_UNIT_MISMATCH")
     if "" in units:
         raise Inexact("INVALID_UNIT")
-    if operation == "add":
-        if len(values) < 2:
-            raise Inexact("ADD_REQUIRES_TWO_OR_MORE")
-        if len(set(units)) > 1:
-            raise Inexact("INCOMPATIBLE_UNITS")
-        return sum(values, Fraction(0)), units[0]
-    pair = len(values) == 2
-    if operation == "subtract":
-        if not pair:
-            raise Inexact("SUBTRACT_REQUIRES_TWO")
-        if units[0] != units[1]:
-            raise Inexact("INCOMPATIBLE_UNITS")
-        return values[0] - values[1], units[0]
-    if operation == "multiply":
-        if not pair or None not in units:
-            raise Inexact("UNSUPPORTED_COMPOUND_UNIT")
-        return values[0] * values[1], units[0] or units[1]
-    if operation != "divide" or not pair or not values[1]:
-        raise Inexact("INVALID_DIVISION")
-    if units[1] is not None and units[0] != units[1]:
-        raise Inexact("UNSUPPORTED_COMPOUND_UNIT")
-    return values[0] / values[1], units[0] if units[1] is None else None
+    rule = _OPERATIONS[operation]
+    if not rule.least <= len(values) <= rule.most:
+        raise Inexact(rule.misuse)
+    total = values[0]
+    for value in values[1:]:
+        try:
+            total = rule.apply(total, value)
+        except ZeroDivisionError:
+            raise Inexact(rule.misuse) from None
+    return total, rule.unit(units)
 
 
 def _read(x: dict) -> Fraction:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 import re
 import unicodedata
 from typing import Any
@@ -16,7 +17,8 @@ from pyspark.sql import types as T
 TERMINAL = ".!?。！？ "
 ECHO_LEAST = 80
 REASON_LENGTH = 240
-_TOKEN = r"(?U)(\s*)([\p{L}\p{N}_]+|[^\p{L}\p{N}_\s])"
+_TOKEN = re.compile(r"\w+|[^\w\s]")
+_TOKENS = T.ArrayType(T.StructType([T.StructField("index", T.IntegerType()), T.StructField("text", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 
 
 class RejectedJson(ValueError):
@@ -28,7 +30,8 @@ class RejectedJson(ValueError):
 
 
 def strict_object(payload: str | bytes) -> dict[str, Any]:
-    """One JSON object without repeated keys, NaN or infinities and without anything after it."""
+    """One JSON object without repeated keys, NaN or infinities (numbers too large for a double among them) and without anything after it."""
+    beyond: list[str] = []
 
     def pairs(items: list[tuple[str, Any]]) -> dict[str, Any]:
         out = dict(items)
@@ -36,17 +39,25 @@ def strict_object(payload: str | bytes) -> dict[str, Any]:
             raise RejectedJson("DUPLICATE_JSON_KEY", "a key is repeated")
         return out
 
+    def real(lexeme: str) -> float:
+        value = float(lexeme)
+        if math.isinf(value):
+            beyond.append(lexeme)
+        return value
+
     def constant(name: str) -> None:
         raise RejectedJson("NON_FINITE_JSON_NUMBER", name)
 
     try:
-        value = json.loads(payload, object_pairs_hook=pairs, parse_constant=constant)
+        value = json.loads(payload, object_pairs_hook=pairs, parse_constant=constant, parse_float=real)
     except RejectedJson:
         raise
     except (ValueError, UnicodeDecodeError) as e:
         raise RejectedJson("INVALID_JSON", str(e)) from e
     if not isinstance(value, dict):
-        raise RejectedJson("JSON_OBJECT_REQUIRED", "the root isn't an object")
+        raise RejectedJson("JSON_ROOT_NOT_OBJECT", "the root isn't an object")
+    if beyond:
+        raise RejectedJson("NON_FINITE_JSON_NUMBER", beyond[0])
     return value
 
 
@@ -115,20 +126,10 @@ def not_blank(text: Column) -> Column:
     return F.coalesce(text.rlike(r"(?U)\S"), F.lit(False))
 
 
-def tokens(text: Column) -> Column:
-    """Tokens with offsets: an array of (index, text, start, end)."""
-    gaps, words = F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(1)), F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(2))
-    both = F.arrays_zip(gaps.alias("gap"), words.alias("word"))
-    kind = "array<struct<index: int, text: string, start: int, end: int>>"
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + F.length(x["gap"])
-        end = begin + F.length(x["word"])
-        token = F.struct(F.size(acc["out"]).alias("index"), x["word"].alias("text"), begin.alias("start"), end.alias("end"))
-        return F.struct(end.alias("at"), F.array_append(acc["out"], token).alias("out"))
-
-    return F.aggregate(both, start, step, lambda acc: acc["out"])
+@F.pandas_udf(_TOKENS)
+def tokens(texts: pd.Series) -> pd.Series:
+    """Tokens with offsets: an array of (index, text, start, end), in one pass over a text; null texts have none (null)."""
+    return pd.Series([None if t is None else [(k, m[0], m.start(), m.end()) for k, m in enumerate(_TOKEN.finditer(t))] for t in texts], dtype=object)
 
 
 def bind_span(text: Column, found: Column, first: Column, last: Column) -> Column:
@@ -138,17 +139,16 @@ def bind_span(text: Column, found: Column, first: Column, last: Column) -> Colum
     return F.when(valid, F.struct(text.substr(begin + 1, end - begin).alias("text"), begin.alias("start"), end.alias("end")))
 
 
-def occurrences(text: Column, part: Column) -> Column:
-    """Starts of a part in a text, overlapping ones too."""
-    places = F.sequence(F.lit(0), F.greatest(F.length(text) - F.length(part), F.lit(0)))
-    return F.filter(places, lambda i: text.substr(i + 1, F.length(part)) == part)
+def occurs_once(text: Column, part: Column) -> Column:
+    """Start of a part that a text holds exactly once, overlaps counted; else null."""
+    first = F.position(part, text)
+    return F.when((F.length(part) > 0) & (first > 0) & (F.position(part, text, first + 1) == 0), first - 1)
 
 
 def repaired_span(text: Column, part: Column, start: Column, end: Column) -> Column:
     """Start of a quoted part: as given if it fits there, else its only occurrence, else null."""
     fits = (end <= F.length(text)) & (text.substr(start + 1, end - start) == part)
-    found = occurrences(text, part)
-    return F.when(fits, start).when((F.length(part) > 0) & (F.size(found) == 1), F.element_at(found, 1))
+    return F.when(fits, start).otherwise(occurs_once(text, part))
 
 
 #: Empty reasoning wrappers of a model family, and what a leak of reasoning holds.

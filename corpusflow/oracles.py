@@ -290,7 +290,7 @@ ORACLE_SQL: dict[str, str] = {
     "blob_roundtrip": "select lang, count(*) as n from documents group by 1",
     "ledger_verification": f"""with {_CALLS} select count(*) filter (event_id % 20 <> 1) as artifacts, count(*) filter (event_id % 20 <> 1 and event_id % 50 = 7) as corrupt, count(*) as model_calls,
       (select count(*) from done where seq % 20 = 1) as missing_responses from events""",
-    "strict_json": """select case event_id % 6 when 1 then 'INVALID_JSON' when 2 then 'JSON_OBJECT_REQUIRED' when 3 then 'NON_FINITE_JSON_NUMBER' when 4 then 'DUPLICATE_JSON_KEY' else 'OK' end as outcome, count(*) as n from events group by 1""",
+    "strict_json": """select case event_id % 6 when 1 then 'INVALID_JSON' when 2 then 'JSON_ROOT_NOT_OBJECT' when 3 then 'NON_FINITE_JSON_NUMBER' when 4 then 'DUPLICATE_JSON_KEY' else 'OK' end as outcome, count(*) as n from events group by 1""",
     "completion_envelopes": """select case when event_id % 31 = 0 then 'MODEL_CHOICE_COUNT' when event_id % 7 <> 0 and event_id % 17 = 0 then 'MODEL_FINISH_REASON' when event_id % 13 = 0 then 'MODEL_MESSAGE_INVALID'
       when event_id % 11 = 0 then 'MODEL_CONTENT_EMPTY' when event_id % 7 = 0 and event_id % 2 = 1 then 'MODEL_FINISH_REASON' when event_id % 1100 > 1024 then 'MODEL_USAGE_INVALID' else 'OK' end as outcome, count(*) as n from events group by 1""",
     "media_suffixes": """select case when page_id % 3 = 0 then '.png' when page_id % 2 = 0 then '.jpeg' else 'unsupported' end as suffix, count(*) as n from pages group by 1""",

@@ -53,8 +53,9 @@ def spread(df: DataFrame) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset (local
-    tests, one machine) a temporary folder of this machine is used.
+    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset and the
+    session is local (tests, one machine) a temporary folder of this machine is used;
+    elsewhere executors could not read it, and its absence is an error.
     """
     context = spark.sparkContext._jsc.sc()
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
@@ -62,6 +63,8 @@ def shared_dir(spark: SparkSession) -> str:
         current = context.getCheckpointDir()
         if current.isDefined():
             return current.get()
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="corpusflow-")
     if not context.getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(named)

@@ -47,7 +47,7 @@ def test_catalogs(spark):
     assert catalogs.tasks()[20][2] == "grounded_calculation" and catalogs.rubric_table(spark, True).count() == 29
 
 
-STRICT = [('{"a":1}', None), ('{"a":1,"a":2}', "DUPLICATE_JSON_KEY"), ('{"a":{"b":1,"b":1}}', "DUPLICATE_JSON_KEY"), ('{"a":NaN}', "NON_FINITE_JSON_NUMBER"), ("[1]", "JSON_OBJECT_REQUIRED"), ('{"a":1} x', "INVALID_JSON"), ("", "INVALID_JSON"), (None, "INVALID_JSON")]
+STRICT = [('{"a":1}', None), ('{"a":1,"a":2}', "DUPLICATE_JSON_KEY"), ('{"a":{"b":1,"b":1}}', "DUPLICATE_JSON_KEY"), ('{"a":NaN}', "NON_FINITE_JSON_NUMBER"), ("[1]", "JSON_ROOT_NOT_OBJECT"), ('{"a":1e999}', "NON_FINITE_JSON_NUMBER"), ('{"a":[{"b":-1e400}]}', "NON_FINITE_JSON_NUMBER"), ("[1e999]", "JSON_ROOT_NOT_OBJECT"), ('{"a":1} x', "INVALID_JSON"), ("", "INVALID_JSON"), (None, "INVALID_JSON")]
 
 
 def test_strict_json(spark):
@@ -76,7 +76,7 @@ def test_spans(spark):
     assert tuple(one(spark, text.bind_span(F.col("t"), found, F.lit(1), F.lit(3)), t=t)) == ("two,", 4, 8)
     for a, b in ((-1, 2), (2, 2), (0, 9)):
         assert one(spark, text.bind_span(F.col("t"), found, F.lit(a), F.lit(b)), t=t) is None
-    assert one(spark, text.occurrences(F.lit("aaaa"), F.lit("aa"))) == [0, 1, 2]
+    assert one(spark, text.occurs_once(F.lit("aaaa"), F.lit("aa"))) is None and one(spark, text.occurs_once(F.lit("baa"), F.lit("aa"))) == 1 and one(spark, text.occurs_once(F.lit("a"), F.lit(""))) is None
     fix = lambda whole, part, s: one(spark, text.repaired_span(F.lit(whole), F.lit(part), F.lit(s), F.lit(s + len(part))))
     assert fix("say yes now", "yes", 4) == 4 and fix("say yes now", "yes", 0) == 4 and fix("yes yes", "yes", 1) is None and fix("no", "yes", 0) is None
 
@@ -124,6 +124,25 @@ def test_arithmetic():
             numbers.calculate(op, list(map(f, v)), u)
 
 
+def test_every_misuse_has_its_code():
+    f = Fraction
+    cases = [
+        ("add", [1], ["m"], "ADD_REQUIRES_TWO_OR_MORE"), ("add", [1, 2], ["m", "s"], "INCOMPATIBLE_UNITS"), ("subtract", [1, 2, 3], [None] * 3, "SUBTRACT_REQUIRES_TWO"),
+        ("multiply", [1, 2], ["m", "s"], "UNSUPPORTED_COMPOUND_UNIT"), ("multiply", [1, 2], ["m", "m"], "UNSUPPORTED_COMPOUND_UNIT"), ("divide", [1, 0], [None, "m"], "INVALID_DIVISION"),
+        ("divide", [1, 2], [None, "m"], "UNSUPPORTED_COMPOUND_UNIT"), ("divide", [1, 2], ["m", "s"], "UNSUPPORTED_COMPOUND_UNIT"), ("add", [1, 2], ["", ""], "INVALID_UNIT"), ("add", [1, 2], ["m"], "OPERAND_UNIT_MISMATCH"), ("add", [], [], "OPERAND_UNIT_MISMATCH"),
+    ]
+    for op, values, units, code in cases:
+        with pytest.raises(numbers.Inexact) as e:
+            numbers.calculate(op, list(map(f, values)), units)
+        assert e.value.code == code, (op, units)
+    codes = {"1e3": "NONNUMERIC_OR_UNDECLARED_PUNCTUATION", "": "INVALID_NUMERIC_LEXEME", "-": "INVALID_NUMERIC_LEXEME", ".5": "INVALID_NUMERIC_LEXEME", "1.2.3": "INVALID_NUMERIC_LEXEME", "12,34.5": "INVALID_DIGIT_GROUPING", "1.2,3": "NONNUMERIC_OR_UNDECLARED_PUNCTUATION", "+-1": "NONNUMERIC_OR_UNDECLARED_PUNCTUATION"}
+    for lexeme, code in codes.items():
+        with pytest.raises(numbers.Inexact) as e:
+            numbers.parse_lexeme(lexeme, ".", ",")
+        assert e.value.code == code, lexeme
+    assert numbers.parse_lexeme("\u0967\u0968", None, ".") == 12
+
+
 def test_folding_matches_python(spark):
     texts = ["ΑΣ ß x", "İstanbul  A"]
     got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(text.folded("t")).collect()]

@@ -17,7 +17,7 @@ def test_jsonl(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text('{"a":1,"b":"x"}\n\n   \n{"a":2,"b":null}\n')
     schema = T.StructType([T.StructField("a", T.LongType(), False), T.StructField("b", T.StringType())])
     assert sorted(tuple(r) for r in readers.read_jsonl(spark, str(tmp_path / "a.jsonl"), schema).collect()) == [(1, "x"), (2, None)]
-    for n, (bad, code) in enumerate((('{"a":1,"a":2}', "DUPLICATE_JSON_KEY"), ('{"a":1,"c":2}', "UNKNOWN_FIELD"), ('{"b":"x"}', "FIELD_MISSING:a"), ("[1]", "JSON_OBJECT_REQUIRED"))):
+    for n, (bad, code) in enumerate((('{"a":1,"a":2}', "DUPLICATE_JSON_KEY"), ('{"a":1,"c":2}', "UNKNOWN_FIELD"), ('{"b":"x"}', "FIELD_MISSING:a"), ("[1]", "JSON_ROOT_NOT_OBJECT"))):
         path = tmp_path / f"bad{n}.jsonl"
         path.write_text('{"a":1,"b":"x"}\n' + bad + "\n")
         with pytest.raises(Exception, match=code):
