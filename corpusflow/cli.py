@@ -183,8 +183,7 @@ def replay(spark: SparkSession, a: argparse.Namespace) -> dict:
 
 def backup(spark: SparkSession, a: argparse.Namespace) -> dict:
     """Copy ledger and blobs to a place that has none."""
-    for name in ("ledger", "blobs"):
-        writers.copy_table(spark, f"{a.source}/{name}", f"{a.destination}/{name}")
+    writers.copy_run(spark, a.source, a.destination)
     return {"destination": a.destination}
 
 

@@ -179,6 +179,19 @@ def first_successes(df: DataFrame, key: str, ok: Column, k: int, oversample: int
     return top.where(ok).orderBy("rank_hash", key).limit(k)
 
 
+def excluded_ids(pinned: DataFrame, *references: DataFrame) -> DataFrame:
+    """Ids that training may not use (image_id): those of pinned evaluation rows and of all reference tables of images.
+
+    References have source_id (``prefix:id``) and purpose; one that isn't for evaluation is an error.
+    """
+    out = pinned.select("image_id")
+    for number, images in enumerate(references):
+        if images.where(~F.col("purpose").eqNullSafe("evaluation")).limit(1).count():
+            raise ManifestError("REFERENCE_NOT_EVALUATION", f"reference {number}")
+        out = out.unionByName(images.select(F.element_at(F.split("source_id", ":"), -1).alias("image_id")))
+    return out.where("image_id is not null").distinct()
+
+
 def without_copies(df: DataFrame, reference: DataFrame, keys: list[tuple[str, str]]) -> DataFrame:
     """Rows of ``df`` of which no key pair (own column, reference column) is in the reference: one anti-join for each."""
     for own, other in keys:

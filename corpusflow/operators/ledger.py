@@ -94,14 +94,16 @@ def budget(events: DataFrame, request_limit: int = 10_000_000, token_limit: int
     """Running budget over reservation events (run_id, seq, action, reserved, actual), checked at each event.
 
     Columns: run_id, seq, requests, output_tokens, reserved_tokens, error. A release keeps
-    its request; a reservation beyond a limit is an error at that event.
+    its request; a reservation beyond a limit is an error at that event. A long run is
+    summed in ranges of ``seq``.
     """
-    w = W.partitionBy("run_id").orderBy("seq").rowsBetween(W.unboundedPreceding, 0)
     is_ = lambda a: F.col("action") == a
-    requests = F.sum(F.when(is_("reserve"), 1).otherwise(0)).over(w)
-    held = F.sum(F.when(is_("reserve"), F.col("reserved")).otherwise(-F.col("reserved"))).over(w)
-    spent = F.sum(F.when(is_("finalize"), F.col("actual")).otherwise(0)).over(w)
-    d = events.select("run_id", "seq", "action", requests.cast("long").alias("requests"), spent.cast("long").alias("output_tokens"), held.cast("long").alias("reserved_tokens"))
+    steps = {
+        "requests": F.when(is_("reserve"), 1).otherwise(0),
+        "output_tokens": F.when(is_("finalize"), F.col("actual")).otherwise(0),
+        "reserved_tokens": F.when(is_("reserve"), F.col("reserved")).otherwise(-F.col("reserved")),
+    }
+    d = running_sums(events.select("run_id", "seq", "action", *[v.cast("long").alias(k) for k, v in steps.items()]), "run_id", "seq", list(steps))
     error = (
         F.when(is_("reserve") & (F.col("requests") > request_limit), "REQUEST_BUDGET_EXHAUSTED")
         .when(is_("reserve") & (F.col("output_tokens") + F.col("reserved_tokens") > token_limit), "OUTPUT_TOKEN_BUDGET_EXHAUSTED")
@@ -147,9 +149,29 @@ def remaining_turns(planned: DataFrame, commits: DataFrame) -> DataFrame:
 
 
 def progress(results: DataFrame) -> DataFrame:
-    """Running counts of statuses in input order: ordinal, status, n_so_far."""
-    w = W.partitionBy("status").orderBy("ordinal").rowsBetween(W.unboundedPreceding, 0)
-    return results.select("ordinal", "status", F.count(F.lit(1)).over(w).alias("n_so_far"))
+    """Running counts of statuses in input order: ordinal, status, n_so_far. Few statuses hold all rows: they are counted in ranges."""
+    return running_sums(results.select("ordinal", "status", F.lit(1).cast("long").alias("n_so_far")), "status", "ordinal", ["n_so_far"])
+
+
+#: Width of a range of an order in which running sums are made in one task.
+RANGE = 100_000
+
+
+def running_sums(df: DataFrame, key: str, order: str, columns: list[str], width: int = RANGE) -> DataFrame:
+    """``df`` with each of ``columns`` replaced by its running sum within ``key`` in order of ``order`` (a unique integer).
+
+    Rows are summed in ranges of ``width`` values of the order, and moved up by the totals of
+    the ranges before, so that a key with a large share of all rows is spread over tasks.
+    Null keys are one key.
+    """
+    d = df.withColumn("__r", F.floor(F.col(order) / width))
+    totals = d.groupBy(key, "__r").agg(*[F.sum(c).alias(f"__t_{c}") for c in columns])
+    earlier = W.partitionBy(key).orderBy("__r").rowsBetween(W.unboundedPreceding, -1)
+    before = totals.select(F.col(key).alias("__key"), F.col("__r").alias("__range"), *[F.coalesce(F.sum(f"__t_{c}").over(earlier), F.lit(0)).alias(f"__t_{c}") for c in columns])
+    own = W.partitionBy(key, "__r").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
+    summed = d.select(*[F.sum(c).over(own).alias(c) if c in columns else F.col(c) for c in df.columns], "__r")
+    j = summed.join(before, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__r") == F.col("__range")))
+    return j.select(*[(F.col(c) + F.col(f"__t_{c}")).cast("long").alias(c) if c in columns else F.col(c) for c in df.columns])
 
 
 def open_run(runs: DataFrame, run_id: str, config_hash: str, profile_name: str) -> DataFrame:

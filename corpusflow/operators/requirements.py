@@ -35,6 +35,19 @@ def canonical_specs(specs: DataFrame, messages: DataFrame) -> DataFrame:
     return out.drop("__role", "__content", "__at", "__t", "__left", "__inner", "__cut")
 
 
+def claim_union(claims: DataFrame, answers: DataFrame) -> DataFrame:
+    """key and claims: the union of all judges' claims about an answer, each once, in order of (start, end, text).
+
+    ``claims``: key, text, start, end; ``answers``: key, content. A claim whose quote is not at
+    its place is put right where the answer holds it once; else the key's union is null.
+    """
+    at = repaired_span(F.col("content"), F.col("text"), F.col("start"), F.col("end"))
+    placed = claims.join(answers.select("key", "content"), "key").select("key", at.alias("start"), (at + F.length("text")).alias("end"), "text")
+    one = F.when(F.col("start").isNotNull(), F.struct("start", "end", "text"))
+    g = placed.groupBy("key").agg(F.array_sort(F.collect_set(one)).alias("claims"), F.max(F.col("start").isNull().cast("int")).alias("__lost"))
+    return g.select("key", F.when(F.col("__lost") == 0, F.col("claims")).alias("claims"))
+
+
 def requirement_id() -> Column:
     """Identity of a canonical spec."""
     return F.sha2(json_column(kind=F.col("kind"), text=F.col("text"), lifetime=F.col("lifetime"), source_message_id=F.col("source_message_id"), start=F.col("start"), end=F.col("end")), 256)

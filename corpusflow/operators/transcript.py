@@ -68,13 +68,15 @@ def histories(messages: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"conversation_id {kind}, turn_index int, n_history int, history_hash string").where("history_hash is not null")
 
 
-def accepted_prefixes(turns: DataFrame, retain: bool = True, min_turns: int = MIN_TURNS) -> DataFrame:
+def accepted_prefixes(turns: DataFrame, retain: bool = True, min_turns: int = MIN_TURNS, planned: DataFrame | None = None) -> DataFrame:
     """Terminal state of conversations from their turns (conversation_id, turn_index, status).
 
     Columns: conversation_id, n_turns, committed_turns (before the first turn that isn't
     committed), stop_status, status. A stop decides the status: REJECTED, ABSTAINED or ERROR;
     with ``retain`` a committed prefix of ``min_turns`` or more of a rejected or abstained
-    conversation is still a candidate. Conversations that are too short are rejected.
+    conversation is still a candidate. Conversations that are too short are rejected. With
+    ``planned`` (conversation_id, planned_turns; the detailed mode) a candidate whose committed
+    turns aren't all that were planned is rejected too.
     """
     stops = F.when(F.col("status") != "COMMITTED", F.struct("turn_index", "status"))
     g = turns.groupBy("conversation_id").agg(F.count(F.lit(1)).alias("n_turns"), F.min(stops).alias("stop"))
@@ -85,14 +87,21 @@ def accepted_prefixes(turns: DataFrame, retain: bool = True, min_turns: int = MI
     stop = F.col("stop.status")
     kept = F.lit(retain) & stop.isin("REJECTED", "ABSTAINED") & (F.col("committed_turns") >= min_turns)
     status = F.when(stop.isNull() & (F.col("n_turns") >= min_turns), "QUALITY_CANDIDATE").when(stop.isNull(), "REJECTED").when(kept, "QUALITY_CANDIDATE").otherwise(stop)
-    return g.select("conversation_id", "n_turns", "committed_turns", stop.alias("stop_status"), status.alias("status"))
+    g = g.select("conversation_id", "n_turns", "committed_turns", stop.alias("stop_status"), status.alias("status"))
+    if planned is None:
+        return g
+    whole = planned.select(F.col("conversation_id").alias("__p"), F.col("planned_turns").alias("__m"))
+    short = (F.col("status") == "QUALITY_CANDIDATE") & ~F.col("committed_turns").eqNullSafe(F.col("__m").cast("long"))
+    return g.join(whole, F.col("conversation_id").eqNullSafe(F.col("__p")), "left").withColumn("status", F.when(short, "REJECTED").otherwise(F.col("status"))).drop("__p", "__m")
 
 
 def trailing_turns(turns: DataFrame) -> DataFrame:
-    """Turns that follow one that isn't committed, which no valid conversation has."""
-    before = W.partitionBy("conversation_id").orderBy("turn_index").rowsBetween(W.unboundedPreceding, -1)
-    bad = F.sum((F.col("status") != "COMMITTED").cast("int")).over(before)
-    return turns.withColumn("__bad", bad).where("__bad > 0").drop("__bad")
+    """Turns that follow one that isn't committed, which no valid conversation has.
+
+    The first stop of each conversation is a minimum by partial aggregation, joined back.
+    """
+    stop = turns.where("status <> 'COMMITTED'").groupBy("conversation_id").agg(F.min("turn_index").alias("__stop"))
+    return turns.join(stop, "conversation_id").where("turn_index > __stop").drop("__stop")
 
 
 def repeated_questions(messages: DataFrame) -> DataFrame:

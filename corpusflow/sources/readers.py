@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from pathlib import Path
 from typing import Any
 
@@ -41,26 +42,31 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, strict: boo
     """JSON lines of a declared schema; blank lines are skipped.
 
     ``strict``: a line that isn't a strict object, has unknown fields or lacks one that may not
-    be null is an error that names the file and its code. Otherwise such lines are dropped.
+    be null is an error that names the file, the line and its code; one pass over all lines
+    looks for the first of them before rows are handed out. Otherwise such lines are dropped.
     """
-    lines = spark.read.text(path).select(F.col("value"), F.col("_metadata.file_path").alias("__file")).where(not_blank(F.col("value")))
-    parsed = lines.withColumn("__code", strict_json_error("value")).withColumn("__row", F.from_json("value", schema, {"mode": "PERMISSIVE"}))
+    place = (F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__at"), F.monotonically_increasing_id().alias("__k"))
+    lines = spark.read.text(path).select(F.col("value"), *place)
+    parsed = lines.where(not_blank(F.col("value"))).withColumn("__code", strict_json_error("value")).withColumn("__row", F.from_json("value", schema, {"mode": "PERMISSIVE"}))
     keys = F.array_except(F.json_object_keys("value"), F.array(*[F.lit(f.name) for f in schema.fields]))
     code = F.coalesce(F.col("__code"), F.when(F.size(keys) > 0, "UNKNOWN_FIELD"), F.when(F.col("__row").isNull(), "TYPE_MISMATCH"))
     for f in schema.fields:
         if not f.nullable:
             code = F.coalesce(code, F.when(F.col("__row")[f.name].isNull(), f"FIELD_MISSING:{f.name}"))
     if strict:
-        said = F.concat_ws(" ", F.col("__file"), code)
-        row = F.when(code.isNotNull(), F.raise_error(said)).otherwise(F.col("__row"))
-        return parsed.select(row.alias("r")).select("r.*")
+        bad = parsed.where(code.isNotNull()).agg(F.min(F.struct("__file", "__at", "__k", code.alias("code"))).alias("b")).first()["b"]
+        if bad is not None:
+            # lines of a split have rising numbers, and splits of a file begin at rising offsets
+            before = (F.col("__at") < bad["__at"]) | ((F.col("__at") == bad["__at"]) & (F.col("__k") <= bad["__k"]))
+            number = lines.where((F.col("__file") == bad["__file"]) & before).count()
+            raise ManifestError(bad["code"], f"{bad['__file']}:{number}")
     return parsed.where(code.isNull()).select("__row.*")
 
 
 def read_metadata(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """CSV metadata with a header: missing or repeated columns and malformed rows are errors."""
     header = spark.read.text(path).limit(1).collect()
-    names = [x.strip().strip('"') for x in (header[0][0] if header else "").split(",")]
+    names = next(csv.reader([header[0][0].removeprefix("\ufeff")]), []) if header else []
     if not set(columns) <= set(names):
         raise ManifestError("METADATA_COLUMNS", "a column is missing")
     if len(set(names)) != len(names):

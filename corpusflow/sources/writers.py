@@ -77,5 +77,35 @@ def put_blobs(spark: SparkSession, df: DataFrame, payload: str, kind: str, table
 
 
 def copy_table(spark: SparkSession, source: str, target: str) -> None:
-    """Backup or restore of a table: a target that exists is an error."""
+    """A copy of a table: a target that exists is an error."""
     spark.read.parquet(source).write.mode("errorifexists").parquet(target)
+
+
+#: What a backup holds.
+PARTS = ("ledger", "blobs")
+
+
+def copy_run(spark: SparkSession, source: str, target: str) -> None:
+    """Backup or restore of a ledger with its blobs (``PARTS`` under a path) as one consistent copy.
+
+    The ledger's files are fixed first. Blobs are written before the calls that name them, so blobs
+    copied after that hold every response of the copied ledger; the copy is checked for this,
+    and each blob against its digest, before a mark says that it is whole. A target that
+    holds anything is an error.
+    """
+    there = spark._jvm.org.apache.hadoop.fs.Path(target)
+    files = there.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(there) and files.listStatus(there):
+        raise ManifestError("DESTINATION_NOT_EMPTY", target)
+    calls = spark.read.parquet(f"{source}/ledger")
+    for name, df in zip(PARTS, (calls, spark.read.parquet(f"{source}/blobs")), strict=True):
+        df.write.parquet(f"{target}/{name}")
+    check_run(spark, target)
+    files.create(spark._jvm.org.apache.hadoop.fs.Path(f"{target}/_COMPLETE")).close()
+
+
+def check_run(spark: SparkSession, path: str) -> None:
+    """An error unless every blob is what its digest says and every complete call has its response."""
+    found = ledger.verify(spark.read.parquet(f"{path}/blobs"), spark.read.parquet(f"{path}/ledger")).first()
+    if found["corrupt"] or found["missing_responses"]:
+        raise ManifestError("BACKUP_INCONSISTENT", f"{found['corrupt']} corrupt, {found['missing_responses']} missing")

@@ -51,7 +51,7 @@ def test_ledger_commands(spark, tmp_path, capsys):
     assert main(["profile", "--ledger", p("run/ledger")], spark) == 0
     assert main(["replay", "--ledger", p("run/ledger"), "--blobs", p("run/blobs")], spark) == 0
     assert main(["backup", "--source", p("run"), "--destination", p("copy")], spark) == 0
-    assert main(["restore", "--source", p("copy"), "--destination", p("copy")], spark) == 1
+    assert main(["restore", "--source", p("copy"), "--destination", p("copy")], spark) == 3
     spark.sql("select sha2('x', 256) as digest, cast('y' as binary) as content").write.parquet(p("bad"))
     assert main(["replay", "--ledger", p("run/ledger"), "--blobs", p("bad")], spark) == 3
     assert "LEDGER_DAMAGED" in capsys.readouterr().err

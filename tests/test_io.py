@@ -20,11 +20,32 @@ def test_jsonl(spark, tmp_path):
     for n, (bad, code) in enumerate((('{"a":1,"a":2}', "DUPLICATE_JSON_KEY"), ('{"a":1,"c":2}', "UNKNOWN_FIELD"), ('{"b":"x"}', "FIELD_MISSING:a"), ("[1]", "JSON_ROOT_NOT_OBJECT"))):
         path = tmp_path / f"bad{n}.jsonl"
         path.write_text('{"a":1,"b":"x"}\n' + bad + "\n")
-        with pytest.raises(Exception, match=code):
-            readers.read_jsonl(spark, str(path), schema).collect()
+        with pytest.raises(eligibility.ManifestError, match=f"{code}: .*bad{n}.jsonl:2$"):
+            readers.read_jsonl(spark, str(path), schema)
         assert readers.read_jsonl(spark, str(path), schema, strict=False).count() == 1
 
 
+def test_first_bad_line_is_named(spark, tmp_path):
+    schema = T.StructType([T.StructField("a", T.LongType(), False)])
+    lines = ['{"a":%d}' % k if k % 7 else "" for k in range(20_000)]
+    lines[12_345] = "no json"
+    lines[17_000] = "[]"
+    (tmp_path / "long.jsonl").write_text("\n".join(lines))
+    (tmp_path / "a.jsonl").write_text('{"a":1}\n')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        with pytest.raises(eligibility.ManifestError, match="INVALID_JSON: .*long.jsonl:12346$"):
+            readers.read_jsonl(spark, str(tmp_path), schema)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_metadata_header_is_parsed(spark, tmp_path):
+    path = tmp_path / "m.csv"
+    path.write_text('"ImageID","Author, full","License"\n01,x,y\n')
+    assert readers.read_metadata(spark, str(path), ["ImageID", "Author, full"]).first().asDict() == {"ImageID": "01", "Author, full": "x", "License": "y"}
+
+
 def test_metadata_csv(spark, tmp_path):
     path = tmp_path / "m.csv"
     path.write_text('ImageID,Author,License\n01,"Doe, ""J""",x\n02,,y\n')
@@ -79,6 +100,26 @@ def test_writers(spark, tmp_path):
         writers.copy_table(spark, table, str(tmp_path / "copy"))
 
 
+def test_a_run_is_copied_whole_or_not_at_all(spark, tmp_path):
+    from hashlib import sha256
+
+    digest = lambda x: sha256(x.encode()).hexdigest()
+    blobs = spark.createDataFrame([(digest(x), x) for x in "abc"], "digest string, content string")
+    calls = lambda *xs: spark.createDataFrame([("COMPLETE", digest(x)) for x in xs], "status string, response_hash string")
+    run = str(tmp_path / "run")
+    blobs.write.parquet(f"{run}/blobs")
+    calls("a", "b").write.parquet(f"{run}/ledger")
+    writers.copy_run(spark, run, str(tmp_path / "copy"))
+    writers.copy_run(spark, str(tmp_path / "copy"), str(tmp_path / "again"))
+    assert spark.read.parquet(str(tmp_path / "again" / "blobs")).count() == 3 and (tmp_path / "again" / "_COMPLETE").exists()
+    with pytest.raises(eligibility.ManifestError, match="DESTINATION_NOT_EMPTY"):
+        writers.copy_run(spark, run, str(tmp_path / "copy"))
+    calls("lost").write.mode("append").parquet(f"{run}/ledger")
+    with pytest.raises(eligibility.ManifestError, match="BACKUP_INCONSISTENT: 0 corrupt, 1 missing"):
+        writers.copy_run(spark, run, str(tmp_path / "bad"))
+    assert not (tmp_path / "bad" / "_COMPLETE").exists()
+
+
 def test_export_bundle(spark, tmp_path):
     m = spark.createDataFrame([("c1", 0, "user", "q"), ("c1", 1, "assistant", "a"), ("c2", 0, "user", "q2")], "conversation_id string, position int, role string, content string")
     selected = spark.createDataFrame([(0, "c1", "img")], "ordinal int, conversation_id string, image_id string")

@@ -424,3 +424,47 @@ def test_manifest_hash_is_streamed(spark):
     assert got == hashing.canonical_hash(want) and peak < 20_000_000, peak
     want = {"images": [], "failures": [], "splits": []}
     assert manifest_hash(images.limit(0), failures.limit(0)) == hashing.canonical_hash(want)
+
+
+def test_running_sums_cross_ranges(spark):
+    import random
+
+    from corpusflow.operators.ledger import running_sums
+
+    rng = random.Random(1)
+    rows = [(rng.choice(["hot", "hot", "b", None]), k * 3, rng.randint(-5, 5)) for k in range(400)]
+    got = {r["o"]: r["v"] for r in running_sums(spark.createDataFrame(rows, "k string, o long, v long"), "k", "o", ["v"], width=50).collect()}
+    sums, want = {}, {}
+    for k, o, v in rows:
+        sums[k] = want[o] = sums.get(k, 0) + v
+    assert got == want
+
+
+def test_planned_turns_decide_in_the_detailed_mode(spark):
+    from corpusflow.operators import transcript
+
+    turns = spark.createDataFrame([("a", 1, "COMMITTED"), ("a", 2, "COMMITTED"), ("b", 1, "COMMITTED"), ("b", 2, "COMMITTED"), ("b", 3, "ABSTAINED"), ("c", 1, "ERROR")], "conversation_id string, turn_index int, status string")
+    planned = spark.createDataFrame([("a", 2), ("b", 3), ("c", 1)], "conversation_id string, planned_turns int")
+    status = lambda df: {r["conversation_id"]: r["status"] for r in df.collect()}
+    assert status(transcript.accepted_prefixes(turns)) == {"a": "QUALITY_CANDIDATE", "b": "QUALITY_CANDIDATE", "c": "ERROR"}
+    assert status(transcript.accepted_prefixes(turns, planned=planned)) == {"a": "QUALITY_CANDIDATE", "b": "REJECTED", "c": "ERROR"}
+    assert status(transcript.accepted_prefixes(turns, planned=planned.limit(0))) == {"a": "REJECTED", "b": "REJECTED", "c": "ERROR"}
+
+
+def test_union_of_claims(spark):
+    from corpusflow.operators import requirements
+
+    claims = spark.createDataFrame([("k", "red", 0, 3), ("k", "red", 5, 8), ("k", "blue", 8, 12), ("m", "a", 1, 2), ("n", "gone", 0, 4)], "key string, text string, start int, end int")
+    answers = spark.createDataFrame([("k", "red and blue"), ("m", "a a a"), ("n", "nothing")], "key string, content string")
+    got = {r["key"]: r["claims"] and [tuple(c) for c in r["claims"]] for r in requirements.claim_union(claims, answers).collect()}
+    assert got == {"k": [(0, 3, "red"), (8, 12, "blue")], "m": None, "n": None}
+
+
+def test_excluded_ids_of_several_references(spark):
+    from corpusflow.operators import eligibility
+
+    pinned = spark.createDataFrame([("p1",), (None,)], "image_id string")
+    a = spark.createDataFrame([("oi:x:1", "evaluation"), ("2", "evaluation")], "source_id string, purpose string")
+    assert sorted(r[0] for r in eligibility.excluded_ids(pinned, a, a.limit(1)).collect()) == ["1", "2", "p1"]
+    with pytest.raises(eligibility.ManifestError, match="REFERENCE_NOT_EVALUATION"):
+        eligibility.excluded_ids(pinned, a, spark.createDataFrame([("x", None)], "source_id string, purpose string"))
