@@ -58,8 +58,8 @@ _UNIT = """
 _WEIGHTS = "w as (select lang as tag, count(*) as weight from documents group by 1)"
 
 
-def _quota(total: int) -> str:
-    return f"""{_WEIGHTS},
+def _quota(total: int | str, more: int = 0) -> str:
+    return f"""{_WEIGHTS.replace("count(*)", f"count(*) + {more}")},
   p as (select tag, {total} * weight // (select sum(weight) from w) as f, {total} * weight % (select sum(weight) from w) as rest from w),
   q as (select tag, cast(f + case when row_number() over (order by rest desc, tag) <= {total} - (select sum(f) from p) then 1 else 0 end as bigint) as quota from p)"""
 
@@ -70,9 +70,9 @@ _AGREE = "case when {a} = 'ERROR' or {b} = 'ERROR' then 'ERROR' when {a} = {b} a
 
 _MESSAGES = "m as (select cast(conv_id as varchar) as conversation_id, cast(turn as int) as position, role, text as content from conversations)"
 
-_TURNS = f"""t0 as (select cast(user_id % 500 as varchar) as conversation_id, event_id from events),
+_TURNS = f"""t0 as (select cast(user_id as varchar) as conversation_id, event_id from events),
   t1 as (select conversation_id, cast(row_number() over (partition by conversation_id order by event_id) as int) as turn_index from t0),
-  t2 as (select *, {_h8("concat(conversation_id, ':', turn_index)")} % 100 as b from t1 where turn_index <= 6),
+  t2 as (select *, {_h8("concat(conversation_id, ':', turn_index)")} % 100 as b from t1),
   t as (select conversation_id, turn_index, case when b < 80 then 'COMMITTED' when b < 90 then 'REJECTED' when b < 97 then 'ABSTAINED' else 'ERROR' end as status from t2),
   stops as (select conversation_id, count(*) as n_turns, min(case when status <> 'COMMITTED' then turn_index end) as at from t group by 1),
   pre as (select s.conversation_id, s.n_turns, coalesce(s.at - 1, s.n_turns) as committed_turns, t.status as stop_status from stops s left join t on s.conversation_id = t.conversation_id and s.at = t.turn_index),
@@ -160,7 +160,7 @@ ORACLE_SQL: dict[str, str] = {
       select root, count(*) as n, max(a) as last_id from (select a, min(b) as root from reach group by 1) group by 1""",
     "apportion_quotas": f"with {_quota(97)} select tag, quota from q",
     "exact_schedule": f"""
-      with {_quota(500)}, s as (select tag, unnest(range(0, quota)) as o from q),
+      with {_quota("(select count(*) from documents)", 3)}, s as (select tag, unnest(range(0, quota)) as o from q),
       r as (select tag, row_number() over (order by sha256(concat('{_SEED}:languages:', tag, ':', o)), tag) - 1 as ordinal from s),
       d as (select doc_id, row_number() over (order by doc_id) - 1 as ordinal from documents)
       select r.ordinal, doc_id, tag from r join d using (ordinal)""",
@@ -278,7 +278,7 @@ ORACLE_SQL: dict[str, str] = {
     "first_write_wins": f"with {_CALLS} select stage, request_hash, min(seq) as seq, arg_min(status, seq) as status from c group by 1, 2",
     "cache_lookup": f"""
       with {_CALLS}, f as (select stage, request_hash, arg_min(status, seq) as status from c group by 1, 2),
-      a as (select stage, sha256(concat(stage, ':', id)) as request_hash from range(60) t(id), (values ('click'), ('view'), ('purchase'), ('signup')) s(stage))
+      a as (select stage, case when seq % 7 = 0 then sha256(cast(seq as varchar)) else request_hash end as request_hash from c)
       select a.stage, count(*) as requests, count(f.status) as hits from a left join f on a.stage = f.stage and a.request_hash = f.request_hash and f.status = 'COMPLETE' group by 1""",
     "budget_running": """
       with e as (select user_id as run_id, event_id as seq, list_extract(['reserve', 'reserve', 'finalize', 'release'], cast(row_number() over (partition by user_id order by event_id) % 4 + 1 as int)) as action, event_id % 90 as actual from events),

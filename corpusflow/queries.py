@@ -183,9 +183,10 @@ def apportion_quotas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def exact_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A schedule of 500 places over languages, zipped by position with documents in order of id."""
-    plan = planning.schedule(planning.apportion(_language_weights(spark, sf_dir), F.lit(500)), "languages")
-    docs = _t(spark, sf_dir, "documents").select("doc_id").orderBy("doc_id").limit(500)
+    """A schedule with a place for each document over languages, zipped by position with documents in order of id."""
+    docs = _t(spark, sf_dir, "documents").select("doc_id")
+    weights = _language_weights(spark, sf_dir).withColumn("weight", F.col("weight") + 3)
+    plan = planning.schedule(planning.apportion(weights, F.lit(docs.count())), "languages")
     own = planning.ordinals(docs, ["doc_id"], F.expr("doc_id div 64"))
     return planning.positional(plan, own).select("ordinal", "doc_id", "tag")
 
@@ -303,8 +304,9 @@ def history_prefix_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = _t(spark, sf_dir, "events").select((F.col("user_id") % 500).cast("string").alias("conversation_id"), "event_id")
-    t = t.withColumn("turn_index", F.row_number().over(W.partitionBy("conversation_id").orderBy("event_id"))).where("turn_index <= 6")
+    """All events as turns: a user's events are one conversation, however long."""
+    t = _t(spark, sf_dir, "events").select(_s("user_id").alias("conversation_id"), "event_id")
+    t = t.withColumn("turn_index", F.row_number().over(W.partitionBy("conversation_id").orderBy("event_id")))
     b = bucket(sha(F.col("conversation_id"), F.col("turn_index")), 100)
     return t.select("conversation_id", "turn_index", F.when(b < 80, "COMMITTED").when(b < 90, "REJECTED").when(b < 97, "ABSTAINED").otherwise("ERROR").alias("status"))
 
@@ -528,10 +530,9 @@ def first_write_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cache_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Requests that a complete first call answers, by stage."""
+    """Requests that a complete first call answers, by stage: each event asks again, every seventh for something new."""
     c = _calls(spark, sf_dir)
-    asked = spark.range(60).select(F.lit("lock").alias("model_lock_hash"), F.explode(F.array(*map(F.lit, ("click", "view", "purchase", "signup")))).alias("stage"), F.col("id"))
-    asked = asked.select("model_lock_hash", "stage", F.sha2(F.concat_ws(":", "stage", _s("id")), 256).alias("request_hash"))
+    asked = c.select("model_lock_hash", "stage", F.when(F.col("seq") % 7 == 0, F.sha2(_s("seq"), 256)).otherwise(F.col("request_hash")).alias("request_hash"))
     got = ledger.cached(asked, c)
     return got.groupBy("stage").agg(F.count(F.lit(1)).alias("requests"), F.count("response_hash").alias("hits"))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -104,6 +105,15 @@ def forget(df: DataFrame) -> None:
         _remove(df.sparkSession, path)
 
 
+def saved_alone(make: Callable[[], DataFrame], hint: str) -> DataFrame:
+    """``saved`` of what ``make`` gives, without the tables that it has saved on the way."""
+    earlier = set(_SAVED)
+    out = saved(make(), hint)
+    for path in [p for p in _SAVED if p not in earlier and p != out._saved_path]:
+        _remove(out.sparkSession, path)
+    return out
+
+
 def clean(spark: SparkSession) -> None:
     """Remove all tables that this process has saved, once the results made from them are written."""
     for path in list(_SAVED):

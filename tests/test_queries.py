@@ -11,8 +11,9 @@ import duckdb
 import pytest
 
 import __spark_entry__
-from corpusflow.oracles import ORACLE_SQL
-from corpusflow.queries import QUERIES
+from corpusflow import oracles, oracles_records, queries, queries_records
+
+QUERIES, ORACLE_SQL = queries.QUERIES | queries_records.QUERIES, oracles.ORACLE_SQL | oracles_records.ORACLE_SQL
 
 
 def normal(x):
