@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import time
-from collections import Counter, defaultdict
+from collections import Counter
 from dataclasses import asdict, dataclass, field
 
-import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -16,8 +14,6 @@ from corpusflow.operators.eligibility import ManifestError, require_unique
 from corpusflow.session import forget, saved
 
 POOL = ("conversation_id", "language", "image_id", "visual_group_id", "task_family", "semantic_family", "pattern", "purpose")
-#: The search runs on the driver over at most this many rows of a reduced pool.
-SEARCH_ROWS = 200_000
 
 
 @dataclass(frozen=True)
@@ -29,6 +25,7 @@ class Policy:
     max_per_visual_group: int = 6
     max_per_semantic_family: int = 1
     allow_evaluation_sources: bool = False
+    #: Part of a policy's identity; the rounds of the selection end by themselves.
     time_limit_seconds: float = 120
     seed: int = SEED
 
@@ -88,114 +85,82 @@ def capped(pool: DataFrame, caps: dict[str, int], seed: int = SEED) -> DataFrame
 
 
 def select_candidates(pool: DataFrame, policy: Policy) -> Selection:
-    """A feasible subset, deterministic for a seed: OPTIMAL, INFEASIBLE, or UNKNOWN at the time limit.
-
-    There is nothing to optimize, so any feasible subset is optimal. Spark drops evaluation
-    rows and rows beyond what any solution can use of an image within one (language,
-    family, group, semantic family); the driver searches the rest, which is bounded.
+    """A feasible subset, deterministic for a seed: OPTIMAL, INFEASIBLE, or UNKNOWN.
+
+    There is nothing to optimize, so any feasible subset is optimal. Rows are taken in rounds:
+    a round ranks what still fits by hash within each image, group, semantic family and
+    language, and takes the rows whose ranks all fit; first those of families that miss their
+    minimum, then any. A round takes at least one row if any fits, and only rows taken, of which
+    there are never more than the target, leave Spark. INFEASIBLE is said if counts prove it, UNKNOWN
+    if the rounds end before the target although counts allow it.
     """
-    usable = pool if policy.allow_evaluation_sources else pool.where(F.col("purpose") == "training")
-    usable = usable.withColumn("__h", sha(policy.seed, F.col("conversation_id")))
-    same = W.partitionBy("language", "task_family", "image_id", "visual_group_id", "semantic_family").orderBy("__h", "conversation_id")
-    least = min(policy.caps.values())
-    reduced = usable.withColumn("__r", F.row_number().over(same)).where(F.col("__r") <= least)
-    rows = reduced.orderBy("__h", "conversation_id").select("conversation_id", "language", "task_family", "image_id", "visual_group_id", "semantic_family").limit(SEARCH_ROWS + 1).collect()
-    if len(rows) > SEARCH_ROWS:
-        raise ManifestError("POOL_TOO_LARGE", f"more than {SEARCH_ROWS} rows are left to search; tighten the caps or select by language")
-    return search([r.asDict() for r in rows], policy)
-
-
-def search(rows: list[dict], policy: Policy) -> Selection:
-    """Greedy first, then depth-first with bounds, over rows in order of hash."""
-    need = dict(policy.language_quotas)
-    if sum(need.values()) > policy.target_count or any(n < 0 for n in need.values()):
+    quotas = policy.language_quotas
+    if sum(quotas.values()) > policy.target_count or any(n < 0 for n in quotas.values()):
         return Selection((), "INFEASIBLE")
-    state = _Search(rows, policy)
-    found = state.greedy() or state.exhaust()
-    if found is None:
-        return Selection((), "UNKNOWN" if state.late else "INFEASIBLE")
-    return Selection(tuple(sorted(rows[i]["conversation_id"] for i in found)), "OPTIMAL")
-
-
-class _Search:
-    def __init__(self, rows: list[dict], policy: Policy) -> None:
-        self.rows, self.p = rows, policy
-        self.until, self.late = time.monotonic() + policy.time_limit_seconds, False
-        self.reset()
-
-    def reset(self) -> None:
-        self.language = Counter(self.p.language_quotas)
-        self.family = Counter(self.p.family_minimums)
-        self.free = self.p.target_count - sum(self.p.language_quotas.values())
-        self.used: dict[tuple[str, str], int] = defaultdict(int)
-        self.left = self.p.target_count
-
-    def fits(self, r: dict) -> bool:
-        if r["language"] in self.p.language_quotas:
-            if self.language[r["language"]] <= 0:
-                return False
-        elif self.free <= 0:
-            return False
-        return all(self.used[c, r[c]] < cap for c, cap in self.p.caps.items())
-
-    def put(self, r: dict, sign: int = 1) -> None:
-        if r["language"] in self.p.language_quotas:
-            self.language[r["language"]] -= sign
-        else:
-            self.free -= sign
-        self.family[r["task_family"]] -= sign
-        for c in self.p.caps:
-            self.used[c, r[c]] += sign
-        self.left -= sign
-
-    def deficit(self) -> int:
-        return sum(max(0, self.family[f]) for f in self.p.family_minimums)
-
-    def greedy(self) -> list[int] | None:
-        """Rows of values that few others share first: those that a minimum still needs, then any."""
-        crowd = {c: Counter(r[c] for r in self.rows) for c in self.p.caps}
-        order = sorted(range(len(self.rows)), key=lambda i: (sum(crowd[c][self.rows[i][c]] for c in crowd), i))
-        chosen: set[int] = set()
+    usable = pool if policy.allow_evaluation_sources else pool.where(F.col("purpose") == "training")
+    # a language without a quota shares the places that no quota names
+    seat = F.when(F.col("language").isin(*quotas), F.col("language")).otherwise(F.lit("")) if quotas else F.lit("")
+    rows = saved(usable.select("conversation_id", seat.alias("seat"), "task_family", *policy.caps, sha(policy.seed, F.col("conversation_id")).alias("h")), "usable")
+    try:
+        if _too_few(rows, policy):
+            return Selection((), "INFEASIBLE")
+        taken: list[Row] = []
         for needed in (True, False):
-            for i in order:
-                r = self.rows[i]
-                wanted = self.family[r["task_family"]] > 0
-                if i not in chosen and self.left > (0 if wanted else self.deficit()) and (wanted or not needed) and self.fits(r):
-                    chosen.add(i)
-                    self.put(r)
-        done = self.complete()
-        self.reset()
-        return sorted(chosen) if done else None
-
-    def complete(self) -> bool:
-        return not self.left and not self.deficit() and not any(self.language[x] for x in self.p.language_quotas)
-
-    def exhaust(self) -> list[int] | None:
-        """Depth-first over rows, taking before skipping; a branch ends once what is left can't fill a quota or minimum."""
-        n = len(self.rows)
-        after = lambda field, value: np.cumsum([0] + [r[field] == value for r in reversed(self.rows)])[::-1]
-        languages = {x: after("language", x) for x in self.p.language_quotas}
-        families = {x: after("task_family", x) for x in self.p.family_minimums}
-        chosen: list[int] = []
-        i = 0
-        while True:
-            if time.monotonic() > self.until:
-                self.late = True
-                return None
-            if self.complete():
-                return chosen
-            open_ = self.left > 0 and n - i >= self.left and self.deficit() <= self.left
-            if open_ and all(self.language[x] <= m[i] for x, m in languages.items()) and all(self.family[x] <= m[i] for x, m in families.items()):
-                if self.fits(self.rows[i]):
-                    chosen.append(i)
-                    self.put(self.rows[i])
-                i += 1
-            elif chosen:
-                i = chosen.pop()
-                self.put(self.rows[i], -1)
-                i += 1
-            else:
-                return None
+            while len(taken) < policy.target_count and (more := _round(rows, policy, taken, needed).collect()):
+                taken += more
+    finally:
+        forget(rows)
+    if len(taken) < policy.target_count or _left(taken, policy)[1]:
+        return Selection((), "UNKNOWN")
+    return Selection(tuple(sorted(r["conversation_id"] for r in taken)), "OPTIMAL")
+
+
+def _too_few(rows: DataFrame, policy: Policy) -> bool:
+    """Whether a cap alone leaves fewer rows than a quota, a minimum or the target asks for."""
+    asked = (("seat", policy.language_quotas), ("task_family", policy.family_minimums), ("all", {"": policy.target_count}))
+    for by, least in asked:
+        if not any(least.values()):
+            continue
+        found = bounds(rows.withColumn("all", F.lit("")), by, policy.caps).where(F.col(by).isin(*least)).collect()
+        most = {r[by]: min(r[c] for c in ("available", *(f"by_{c}" for c in policy.caps))) for r in found}
+        if any(most.get(value, 0) < n for value, n in least.items()):
+            return True
+    return False
+
+
+def _left(taken: list[Row], policy: Policy) -> tuple[dict[str, int], dict[str, int]]:
+    """Places left by seat, and rows that families still need."""
+    seats = Counter(policy.language_quotas)
+    seats[""] = policy.target_count - sum(policy.language_quotas.values())
+    seats.subtract(r["seat"] for r in taken)
+    need = Counter(policy.family_minimums)
+    need.subtract(r["task_family"] for r in taken)
+    return {k: n for k, n in seats.items() if n > 0}, {k: n for k, n in need.items() if n > 0}
+
+
+def _room(rows: DataFrame, column: str, room: dict[str, int], name: str, otherwise: int) -> DataFrame:
+    """``rows`` with what is left of each value of ``column`` (a small table, or ``otherwise``), without values that are used up."""
+    table = rows.sparkSession.createDataFrame(list(room.items()), f"{column} string, {name} int")
+    return rows.join(F.broadcast(table), column, "left").withColumn(name, F.coalesce(name, F.lit(otherwise))).where(F.col(name) > 0)
+
+
+def _round(rows: DataFrame, policy: Policy, taken: list[Row], needed: bool) -> DataFrame:
+    """Rows that fit beside ``taken`` and beside each other; with ``needed`` only of families that miss their minimum."""
+    seats, need = _left(taken, policy)
+    gone = rows.sparkSession.createDataFrame([(r["conversation_id"],) for r in taken], "conversation_id string")
+    d = _room(rows.join(F.broadcast(gone), "conversation_id", "left_anti"), "seat", seats, "room_seat", 0)
+    limits = [("seat", "room_seat")]
+    for column, cap in policy.caps.items():
+        used = Counter(r[column] for r in taken)
+        d = _room(d, column, {k: cap - n for k, n in used.items()}, f"room_{column}", cap)
+        limits.insert(0, (column, f"room_{column}"))
+    if needed:
+        d = _room(d, "task_family", need, "room_task_family", 0)
+        limits.insert(-1, ("task_family", "room_task_family"))
+    for column, room in limits:
+        rank = F.row_number().over(W.partitionBy(column).orderBy("h", "conversation_id"))
+        d = d.withColumn("rank", rank).where(F.col("rank") <= F.col(room))
+    return d.select(*rows.columns).orderBy("h", "conversation_id").limit(policy.target_count - len(taken))
 
 
 def audit(pool: DataFrame, selected: DataFrame, policy: Policy, same_pool: bool = True) -> dict:

@@ -322,16 +322,20 @@ def feasible(rows, p):
     return False
 
 
-@pytest.mark.parametrize("seed", range(40))
-def test_search_agrees_with_exhaustion(seed):
+@pytest.mark.parametrize("seed", range(8))
+def test_selection_agrees_with_exhaustion(spark, seed):
     rng = random.Random(seed)
-    rows = [{"conversation_id": f"c{k}", "language": rng.choice("xyz"), "task_family": rng.choice("fg"), "image_id": rng.choice("12345"), "visual_group_id": rng.choice("ab"), "semantic_family": str(rng.randrange(9))} for k in range(10)]
+    names = ("conversation_id", "language", "task_family", "image_id", "visual_group_id", "semantic_family", "purpose")
+    rows = [dict(zip(names, (f"c{k}", rng.choice("xyz"), rng.choice("fg"), rng.choice("12345"), rng.choice("ab"), str(rng.randrange(9)), "training"), strict=True)) for k in range(10)]
     n = rng.randint(1, 5)
-    p = pool.Policy(n, {"x": rng.randint(0, 2), "y": rng.randint(0, 2)}, {"f": rng.randint(0, 3)}, 1, rng.randint(1, 4), 1, time_limit_seconds=30)
-    found = pool.search(rows, p)
-    assert found.status == ("OPTIMAL" if feasible(rows, p) else "INFEASIBLE")
-    if found.selected_ids:
-        assert feasible([r for r in rows if r["conversation_id"] in found.selected_ids], p)
+    p = pool.Policy(n, {"x": rng.randint(0, 2), "y": rng.randint(0, 2)}, {"f": rng.randint(0, 3)}, 1, rng.randint(1, 4), 1)
+    df = spark.createDataFrame([tuple(r[c] for c in names) for r in rows], ", ".join(f"{c} string" for c in names))
+    found = pool.select_candidates(df, p)
+    if found.status == "OPTIMAL":
+        assert feasible([r for r in rows if r["conversation_id"] in found.selected_ids], p) and len(found.selected_ids) == n
+        assert pool.select_candidates(df.repartition(3), p) == found
+    else:
+        assert found.selected_ids == () and (found.status == "UNKNOWN" or not feasible(rows, p))
 
 
 def test_selection_audit_and_binding(spark):
