@@ -26,7 +26,6 @@ from pyspark.sql import types as T
 
 from corpusflow.llm.common import free_name, joined_by_hot_key, saved
 from corpusflow.operators.components import components
-from corpusflow.session import forget
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -39,6 +38,8 @@ WORD_TIMES = 2
 SHINGLE_BITS = 11
 #: Keys that more fingerprints than this share are linked through midpoints, not pairs.
 DENSE = 2048
+#: In the search by words, keys that more than this share are linked through this many hubs.
+WORD_DENSE, HUBS = 16, 8
 _CHUNK = 1 << 16
 
 
@@ -125,8 +126,11 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int | None = None
     does not make pairs: each fingerprint there is sent to all values at most
     ``max_bits // 2`` flips of the key's free bits away. Two values up to ``max_bits`` apart
     meet in such a midpoint and no others do, so the links are the same, and the rows grow
-    with the number of fingerprints, not of pairs. (With ``node_bits`` the first node of a
-    midpoint is compared with the others there, so that a link can be missed in such a key.)
+    with the number of fingerprints, not of pairs.
+
+    With ``node_bits`` such a key has ``HUBS`` hubs instead, picked by hashes, with which all its
+    nodes are compared: near copies of one text, which are what fills such a key, are linked
+    through these, but a link of two nodes there of which neither is like a hub can be missed.
     """
     prints = prints.select("fp", F.col(key).alias("p"))
     if blocks is None:
@@ -145,17 +149,24 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int | None = None
     on = (F.col("i") == F.col("i2")) & (F.col("k") == F.col("k2")) & (F.col("u") < F.col("v")) & F.expr(f"bit_count(x ^ y) <= {max_bits}") & near_nodes & F.expr(f"{equal} = {take}")
     pairs = left.join(right.hint("merge"), on).select("u", "v")
 
+    many = by.join(crowded, ["i", "k"])
+    if node_bits is not None:
+        picked = F.array(*[F.min(F.struct(F.xxhash64("fp", F.lit(seed)).alias("h"), F.col("fp").alias("v"), F.col("p").alias("y"))) for seed in range(HUBS)])
+        hubs = many.groupBy("i", "k").agg(picked.alias("hubs")).select("i", "k", F.explode(F.array_distinct("hubs")).alias("hub")).select("i", "k", "hub.v", "hub.y")
+        spokes = many.select("i", "k", F.col("fp").alias("u"), F.col("p").alias("x")).join(hubs, ["i", "k"])
+        spokes = spokes.where((F.col("u") != F.col("v")) & F.expr(f"bit_count(x ^ y) <= {max_bits}") & near_nodes)
+        return pairs.unionByName(spokes.select("u", "v").distinct())
+
     flips = []
     for k in keys:
         free = [b for b in range(64) if not k >> b & 1]
         flips.append([_signed(sum(1 << b for b in c)) for r in range(max_bits // 2 + 1) for c in combinations(free, r)])
     # the flips are a table of one row for each key, joined by the key's number
     ball = prints.sparkSession.createDataFrame(list(enumerate(flips)), "i int, flips array<long>")
-    many = by.join(crowded, ["i", "k"])
     near = many.join(F.broadcast(ball), "i").select("fp", "i", "p", F.explode("flips").alias("flip"))
     near = near.selectExpr("fp", "i", "p ^ flip as mid")
     met = near.groupBy("i", "mid").agg(F.min("fp").alias("v"), F.max("fp").alias("w")).where("v < w").select("i", "mid", "v")
-    through = near.join(met, ["i", "mid"]).where("fp <> v").select(F.col("fp").alias("u"), "v").where(near_nodes).distinct()
+    through = near.join(met, ["i", "mid"]).where("fp <> v").select(F.col("fp").alias("u"), "v").distinct()
     return pairs.unionByName(through)
 
 
@@ -193,7 +204,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS, dense: int = DENSE) -> DataFrame:
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS, dense: int = DENSE, word_dense: int = WORD_DENSE) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the document of smallest id.
 
     Documents are linked as in ``near_duplicates``, and also if the fingerprints of their
@@ -209,9 +220,8 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_bi
     own = saved(docs.select(prints.alias("r")).select("r.doc_id", "r.own", "r.p.fp", "r.p.words"), "prints")
     nodes, pairs = _nodes(own), saved(own.select("fp", "words").distinct(), "pairs")
     by_shingles = links(nodes.select("fp"), max_bits, dense=dense)
-    by_words = links(pairs, max_bits, dense=dense, key="words", node_bits=SHINGLE_BITS)
+    by_words = links(pairs, max_bits, dense=word_dense, key="words", node_bits=SHINGLE_BITS)
     found = _with_component(own.select("doc_id", "own", "fp"), nodes, by_shingles.unionByName(by_words))
-    forget(pairs)
     gone_id, gone_text = free_name(docs, "gone_id"), free_name(docs, "gone_text")
     gone = saved(found.where("component_id is not null and (doc_id is null or doc_id <> component_id)").select(F.col("doc_id").alias(gone_id), F.col("own").alias(gone_text)).distinct(), "gone")
     same = docs[doc_id].cast("long").eqNullSafe(gone[gone_id]) & (F.xxhash64(docs[text]) == gone[gone_text])

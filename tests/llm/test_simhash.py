@@ -167,14 +167,23 @@ def test_kept_documents_match_brute_force_and_recall_is_stated(spark):
             alike += 1
             caught += linked
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    for dense in (simhash.DENSE, 1):
-        kept = sorted(r["doc_id"] for r in simhash.keep_one(docs, dense=dense).collect())
-        if dense > 1:
-            assert kept == sorted({find(i) for i in range(len(rows))})
+    want = sorted({find(i) for i in range(len(rows))})
+    for dense in (simhash.WORD_DENSE, 1):
+        kept = sorted(r["doc_id"] for r in simhash.keep_one(docs, word_dense=dense).collect())
+        assert kept == want
         assert {family[d] for d in kept} == set(family.values())
     assert near and alike > 20 and caught >= 0.85 * alike
 
 
+def test_a_large_group_of_near_copies_is_one_group(spark):
+    rng = random.Random(7)
+    base = [f"w{rng.randrange(900)}" for _ in range(400)]
+    rows = [(k, " ".join(edited(rng, base, 0.006))) for k in range(150)] + [(1000 + k, " ".join(f"x{rng.randrange(900)}" for _ in range(200))) for k in range(20)]
+    kept = sorted(r["doc_id"] for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert [d for d in kept if d >= 1000] == [1000 + k for k in range(20)]
+    assert len(kept) - 20 <= 3
+
+
 def test_more_blocks_give_the_same_links(spark):
     rng = random.Random(5)
     prints = set()
