@@ -32,8 +32,8 @@ DEFAULT_PARTS = 1_000
 MAX_SOURCES = 1_000
 #: So many numbers at most make a plan, which is broadcast; targets of a finer ratio than that allows are an error.
 MAX_PLAN = 30_000_000
-#: Rows of a source are ranked in ranges of about this many.
-RANGE_ROWS = 2_000
+#: Rows of the largest source are ranked in ranges of about this many.
+RANGE_ROWS = 128
 
 
 def period(parts: dict[str, int], left: dict[str, int] | None = None) -> dict[str, list[int]]:
@@ -147,8 +147,8 @@ def mix(docs: DataFrame, weights: dict[str, float | str | Rational] | None = Non
     table = spark.createDataFrame(rows, "s string, p int, start long, q long, a long, used long, slots array<int>")
     spans = table.selectExpr("s", "start", "q", "a", "used", "slots", "lead(used) over (partition by s order by p) as until")
 
-    digits = max(1, math.ceil(math.log(max(sizes.values(), default=1) / RANGE_ROWS + 1, 16)))
-    keyed = keyed.withColumn("r", F.conv(F.substring("h", 1, digits), 16, 10).cast("long"))
+    bits = max(sizes.values(), default=1) // RANGE_ROWS
+    keyed = keyed.withColumn("r", F.shiftright(F.conv(F.substring("h", 1, 15), 16, 10).cast("long"), 60 - bits.bit_length()))
     counts = saved(keyed.groupBy("s", "r").agg(F.count(F.lit(1)).alias("n")), "ranges")
     before = counts.selectExpr("s", "r", "coalesce(sum(n) over (partition by s order by r rows between unbounded preceding and 1 preceding), 0) as before")
     ties = ["h", "row.doc_id", *(["row.text"] if "text" in docs.columns else [])]
