@@ -210,26 +210,43 @@ def repeated_ids(df: DataFrame, chosen: DataFrame, key: str) -> DataFrame:
 _SPACE = r"[ \t\n\x0B\f\r]+"
 
 
+#: Texts meet by this many words in a row, or by as many inner ones as the shorter text has.
+WINDOW = 4
+
+
+def _windows(words: Column, width: int) -> Column:
+    """Hashes of all runs of ``width`` words."""
+    starts = F.sequence(F.lit(1), F.greatest(F.size(words) - width + 1, F.lit(1)))
+    return F.transform(starts, lambda i: F.xxhash64(F.lit(width), F.slice(words, i, width)))
+
+
 def containments(long: DataFrame, short: DataFrame, least: int = 1) -> DataFrame:
     """Pairs (long_id, short_id) in which ``long.text`` contains ``short.text`` of at least ``least`` characters.
 
     Both have columns ``id`` and ``text``. A text that holds another one holds all its words
-    but the first and last as whole words, so the two meet in an equi-join on the longest of
-    these, and only pairs that share it are compared. Short texts of fewer than three words
-    have no such word; they are few and are compared one by one, as the only form left.
+    but the first and last as whole words in a row, so the two meet in an equi-join on the hash of the
+    first ``WINDOW`` of these; only pairs that share it fetch their texts and are compared. Short
+    texts without an inner word, if there are any, are compared one by one, as the only form left.
     """
     short = short.select(F.col("id").alias("short_id"), F.col("text").alias("__short")).where((F.length("__short") >= least) & (F.length("__short") > 0))
     words = F.split("__short", _SPACE)
-    inner = F.slice(words, 2, F.greatest(F.size(words) - 2, F.lit(0)))
-    longest = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
-    keyed = short.withColumn("__k", F.nullif(longest, F.lit("")))
+    width = F.least(F.lit(WINDOW), F.greatest(F.size(words) - 2, F.lit(0)))
+    keyed = short.withColumn("__w", width).withColumn("__k", F.when(width > 0, F.xxhash64(width, F.slice(words, 2, F.greatest(width, F.lit(1))))))
     own = long.select(F.col("id").alias("long_id"), F.col("text").alias("__long"))
-    # words go out without their text; the few candidates fetch it again
-    dealt = own.select("long_id", F.explode(F.array_distinct(F.split("__long", _SPACE))).alias("__k"))
-    met = dealt.join(keyed.where("__k is not null").select("short_id", "__k"), "__k").select("long_id", "short_id").distinct()
-    met = own.join(met, "long_id").join(short, "short_id").where(F.col("__long").contains(F.col("__short")))
-    few = own.join(keyed.where("__k is null").drop("__k"), F.col("__long").contains(F.col("__short")))
-    return met.select("long_id", "short_id").unionByName(few.select("long_id", "short_id")).distinct()
+    widths = {r[0] for r in keyed.select("__w").distinct().collect()}
+    pairs = own.select("long_id", F.lit(None).cast(short.schema["short_id"].dataType).alias("short_id")).limit(0)
+    if widths - {0}:
+        # hashes go out without their text; the few candidates fetch it again
+        each = own.select("long_id", F.split("__long", _SPACE).alias("__ws"))
+        windows = F.concat(*[_windows(F.col("__ws"), w) for w in sorted(widths - {0})])
+        dealt = each.select("long_id", F.explode(F.array_distinct(windows)).alias("__k"))
+        met = dealt.join(keyed.where("__k is not null").select("short_id", "__k"), "__k").select("long_id", "short_id").distinct()
+        met = own.join(met, "long_id").join(short, "short_id").where(F.col("__long").contains(F.col("__short")))
+        pairs = pairs.unionByName(met.select("long_id", "short_id"))
+    if 0 in widths:
+        few = own.join(keyed.where("__w = 0").drop("__w", "__k"), F.col("__long").contains(F.col("__short")))
+        pairs = pairs.unionByName(few.select("long_id", "short_id"))
+    return pairs.distinct()
 
 
 def spread_evaluation(df: DataFrame, group: str, is_evaluation: str) -> DataFrame:

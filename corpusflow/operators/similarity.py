@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.functions.hashing import json_array
+from corpusflow.functions.hashing import SEED, json_array
 from corpusflow.operators.components import components
 from corpusflow.session import saved
 
@@ -60,8 +60,10 @@ def similar_pairs(vectors: DataFrame, threshold: float = THRESHOLD, key: str = "
 
     Unit vectors of that cosine are at most ``d`` apart, so their distances to any point
     differ by at most ``d``. Each vector is put in a cell by its distances to ``PIVOTS``
-    points and only meets the cells around its own: exact, and at high thresholds a small part
-    of all pairs. A cell is dealt in blocks of about ``block`` vectors, and blocks meet in
+    points and only meets the cells around its own. This is exact, but prunes only vectors that
+    lie in clusters along the first axes: among directions spread evenly in many dimensions nearly all
+    pairs meet, and the work is quadratic; ``banded_pairs`` is the way for large tables. A cell is dealt in
+    blocks of about ``block`` vectors, and blocks meet in
     matrix products, so no cell is gathered and only pairs that reach the threshold become rows.
     """
     unit = checked_vectors(vectors, key, vector)
@@ -89,24 +91,64 @@ def similar_pairs(vectors: DataFrame, threshold: float = THRESHOLD, key: str = "
     return met.select(F.explode(pairs("a", "x", "b", "y")).alias("p")).select("p.*")
 
 
+def bands(rows: int, threshold: float, recall: float) -> tuple[int, int]:
+    """Signs in a code and number of codes, so that a pair at the threshold shares a code with probability ``recall``.
+
+    A random plane has two vectors on one side with probability ``1 - angle / pi``. Codes are as
+    long as it takes to number the rows, so that chance meetings stay few.
+    """
+    agree = 1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi
+    signs = min(60, max(4, math.ceil(math.log2(rows + 1))))
+    return signs, max(1, math.ceil(math.log(1 - recall) / math.log(1 - min(agree**signs, 1 - 1e-12))))
+
+
+def banded_pairs(vectors: DataFrame, threshold: float = THRESHOLD, recall: float = 0.95, key: str = "image_id", vector: str = "embedding", seed: int = SEED) -> DataFrame:
+    """Pairs (left_id < right_id, cosine) of cosine at least ``threshold``: each is found with probability ``recall`` or more.
+
+    Codes of signs by random planes are joined, the pairs that meet are made once and verified exactly. Work
+    follows the rows and the pairs that meet, not all pairs; planes depend on the seed alone. Meant for
+    thresholds of about 0.8 and more: below, codes that keep the recall become too many.
+    """
+    unit = saved(checked_vectors(vectors, key, vector), "unit")
+    first = unit.select(F.size("unit").alias("d")).first()
+    if first is None:
+        return similar_pairs(vectors, threshold, key, vector)
+    signs, codes = bands(unit.count(), threshold, recall)
+    planes = np.random.default_rng(seed).standard_normal((first["d"], codes * signs))
+    powers = 1 << np.arange(signs, dtype=np.int64)
+
+    @F.pandas_udf("array<long>")
+    def coded(units: pd.Series) -> pd.Series:
+        side = (np.stack(units) @ planes > 0).reshape(len(units), codes, signs)
+        return pd.Series(list(side @ powers), dtype=object)
+
+    dealt = saved(unit.select(F.col(key).alias("id"), F.posexplode(coded("unit")).alias("band", "code")), "codes")
+    left, right = dealt.withColumnRenamed("id", "left_id"), dealt.withColumnRenamed("id", "right_id")
+    met = left.join(right, ["band", "code"]).where("left_id < right_id").select("left_id", "right_id").distinct()
+    x, y = unit.select(F.col(key).alias("left_id"), F.col("unit").alias("x")), unit.select(F.col(key).alias("right_id"), F.col("unit").alias("y"))
+    cosine = F.aggregate(F.zip_with("x", "y", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+    return met.join(x, "left_id").join(y, "right_id").select("left_id", "right_id", cosine.alias("cosine")).where(F.col("cosine") >= threshold)
+
+
 def key_edges(df: DataFrame, key: str, value: Column) -> DataFrame:
     """Star edges (u, v) from each row to the smallest id of its value: links of equal values without pairs."""
     k = df.select(F.col(key).alias("u"), value.alias("__x")).where("__x is not null")
     return k.join(k.groupBy("__x").agg(F.min("u").alias("v")), "__x").where("u <> v").select("u", "v")
 
 
-def visual_groups(images: DataFrame, vectors: DataFrame | None = None, threshold: float = THRESHOLD) -> DataFrame:
+def visual_groups(images: DataFrame, vectors: DataFrame | None = None, threshold: float = THRESHOLD, recall: float | None = None) -> DataFrame:
     """image_id and visual_group_id: components of exact, declared and near copies.
 
     A group's id is the hash of its sorted members; an image alone is a group of one.
-    Vectors of unknown images are ignored, images without one are linked by keys alone.
+    Vectors of unknown images are ignored, images without one are linked by keys alone. Near
+    copies are all pairs, or with ``recall`` those that ``banded_pairs`` finds.
     """
     edges = key_edges(images, "image_id", F.col("canonical_pixel_sha256"))
     declared = images.select("image_id", F.explode("source_group_ids").alias("g"))
     edges = edges.unionByName(key_edges(declared, "image_id", F.col("g")))
     if vectors is not None:
         known = vectors.join(images.select("image_id").distinct(), "image_id", "left_semi")
-        near = similar_pairs(known, threshold)
+        near = similar_pairs(known, threshold) if recall is None else banded_pairs(known, threshold, recall)
         edges = edges.unionByName(near.select(F.col("left_id").alias("u"), F.col("right_id").alias("v")))
     return group_ids(images.select("image_id"), components(edges))
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from corpusflow.functions.catalogs import SCOPES, STAGE_FIELDS, rubric
-from corpusflow.oracles import _CALLS, _CAPS, _MESSAGES, _METADATA, _POOL, _SEED, _TASK_ROWS, _TURNS, _UNIT, _h8, _turns, _values
+from corpusflow.oracles import _CALLS, _CAPS, _MESSAGES, _METADATA, _POOL, _SEED, _TASK_ROWS, _TURNS, _UNIT, _h8, _split, _turns, _values
 from corpusflow.oracles import ORACLE_SQL as _CORE
 
 _STAGES = _values([(s, f.replace(" ", ",")) for s, f in STAGE_FIELDS.items()])
@@ -34,6 +34,17 @@ ORACLE_SQL: dict[str, str] = {
       select sha256(concat(k, case when accept then ':True' else ':False' end)) as fixture_id, sha256(k) as image_id, split, stratum, lang as target_language, number, accept as expected_accept from c""",
     "blob_store": "select count(distinct text) as first_count, count(distinct text) as second_count from documents",
     "run_copy": "select count(*) as artifacts, cast(0 as bigint) as corrupt, count(*) as model_calls, cast(0 as bigint) as missing_responses from events",
+    "ledger_columns": "select event_type as stage, count(*) as calls, cast(0 as bigint) as duration_ms from events group by 1",
+    "image_files": """
+      select 'read' as reason, count(*) as n, cast(sum(octet_length(encode(text)) + 1) as bigint) as bytes from benchmark
+      union all select reason, count(*), 0 from benchmark, (values ('IMAGE_NOT_FILE'), ('IMAGE_PATH_ESCAPE')) t(reason) group by 1""",
+    "ingest_plan": f"""
+      with s as (select page_id as k, case when page_id % 3 = 1 then 'evaluation' else 'training' end as purpose, sha256(cast(page_id // 40 as varchar)) as pixel from pages),
+      r as (select *, case when k % 5 in (2, 3) or purpose = 'training' and k % 5 <> 0 then 'RIGHTS_NOT_PERMITTED' when k % 13 = 0 then 'IMAGE_NOT_FILE' when k % 10 = 0 then 'IMAGE_FORMAT_UNSUPPORTED'
+        when k % 200 + 100 < 128 then 'IMAGE_EDGE_TOO_SHORT' end as reason, sha256(concat('{{"pixel":"', pixel, '","source_id":"p', k, '"}}')) as id from s),
+      g as (select pixel, bool_or(purpose = 'evaluation') as e, sha256(concat('[', string_agg(concat('"', id, '"'), ',' order by id), ']')) as g from r where reason is null group by 1)
+      select case when e then 'evaluation' else 'training' end as purpose, case when e then 'evaluation' else {_split("g")} end as split, count(*) as n from r join g using (pixel) where reason is null group by 1, 2
+      union all select reason, 'failed', count(*) from r where reason is not null group by 1""",
     "export_bundle": """
       with c as (select conv_id, count(*) as n from conversations where conv_id % 3 = 0 group by 1)
       select part, cast(case when part in ('training', 'selection') then count(*) else sum(n) end as bigint) as n, count(*) as conversations from c, (values ('training'), ('ratings'), ('provenance'), ('selection')) p(part) group by 1""",

@@ -16,7 +16,7 @@ from corpusflow.functions import catalogs, hashing, text
 from corpusflow.functions.hashing import SEED, bucket, sha
 from corpusflow.operators import consensus, eligibility, ledger, planning, pool, requirements, rules, similarity, transcript
 from corpusflow.operators.eligibility import ManifestError
-from corpusflow.plans.ingest import image_ids
+from corpusflow.plans.ingest import image_ids, ingest
 from corpusflow.queries import RIGHTS_ROWS, _calls, _evidence, _messages, _metadata, _pool, _s, _t, _turns
 from corpusflow.session import shared_dir
 from corpusflow.sources import readers, writers
@@ -85,6 +85,36 @@ def run_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.verify(spark.read.parquet(f"{run}-restored/blobs"), spark.read.parquet(f"{run}-restored/ledger"))
 
 
+def ledger_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ledger written before calls had durations, read as one of today, by stage."""
+    path = _place(spark, "old-ledger")
+    _calls(spark, sf_dir).drop("duration_ms").write.parquet(path)
+    return readers.read_ledger(spark, path).groupBy("stage").agg(F.count(F.lit(1)).alias("calls"), F.sum("duration_ms").cast("long").alias("duration_ms"))
+
+
+def image_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files asked for by path: those that are there, that are not, and paths that leave the root."""
+    root = _place(spark, "images")
+    _t(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("value")).write.partitionBy("item_id").text(root)
+    there = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).where("length > 0").select(F.regexp_extract("path", "/(item_id=[0-9]+/[^/]+)$", 1).alias("image_path"))
+    made = lambda form: _t(spark, sf_dir, "benchmark").select(F.format_string(form, "item_id").alias("image_path"))
+    asked = there.unionByName(made("item_id=%d/none.png")).unionByName(made("../%d.png"))
+    return readers.read_images(spark, root, asked).groupBy(F.coalesce("reason", F.lit("read")).alias("reason")).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("content")), F.lit(0)).cast("long").alias("bytes"))
+
+
+def ingest_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as sources through the whole ingest: images by purpose and split, failures by reason."""
+    k = F.col("page_id")
+    pages = _t(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("p"), _s("page_id")).alias("source_id"))
+    sources = pages.select("source_id", F.concat(F.lit("r"), (k % 5).cast("string")).alias("rights_record_id"), F.when(k % 3 == 1, "evaluation").otherwise("training").alias("purpose"), F.array().cast("array<string>").alias("source_group_ids"))
+    names = "rights_record_id, processing_allowed, qa_redistribution_allowed, training_allowed, valid_from, valid_until"
+    rights = spark.sql(f"select * from values {RIGHTS_ROWS} as t({names})")
+    decoded = pages.where(k % 13 != 0).select("source_id", F.sha2(F.expr("cast(page_id div 40 as string)"), 256).alias("canonical_pixel_sha256"), F.lit(1000).alias("n_bytes"), F.when(k % 10 == 0, "GIF").otherwise("PNG").alias("format"), F.lit(1).alias("frames"), F.lit(640).alias("width"), (k % 200 + 100).alias("height"))
+    images, failures = ingest(sources, rights, decoded, F.expr("timestamp '2026-01-01 00:00:00'"))
+    done = images.groupBy("purpose", "split").agg(F.count(F.lit(1)).alias("n"))
+    return done.unionByName(failures.groupBy(F.col("reason").alias("purpose")).agg(F.lit("failed").alias("split"), F.count(F.lit(1)).alias("n")))
+
+
 def export_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The four parts of an export of every third conversation, counted as they were written."""
     m = _messages(spark, sf_dir).where("conversation_id is not null")
@@ -394,7 +424,7 @@ def visual_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        metadata_scan, jsonl_roundtrip, json_lines, file_digests, fixture_keys, blob_store, run_copy, export_bundle, stream_append, windowed_rates,
+        metadata_scan, jsonl_roundtrip, json_lines, file_digests, fixture_keys, blob_store, run_copy, ledger_columns, image_files, ingest_plan, export_bundle, stream_append, windowed_rates,
         catalog_capabilities, rubric_catalog, stage_fields, scope_fields, language_gates, model_outputs, joined_reasons, evaluation_spread, training_exclusions, manifest_errors,
         chosen_instructions, message_references, first_dialogues, detailed_status, export_reasons, candidate_patterns, progress_counts,
         set_verification, requirement_spans, requirement_inventories, claim_unions, identities, image_identities, item_identities, pool_identity, commits, visual_grouping,

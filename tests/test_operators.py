@@ -472,3 +472,25 @@ def test_excluded_ids_of_several_references(spark):
     assert sorted(r[0] for r in eligibility.excluded_ids(pinned, a, a.limit(1)).collect()) == ["1", "2", "p1"]
     with pytest.raises(eligibility.ManifestError, match="REFERENCE_NOT_EVALUATION"):
         eligibility.excluded_ids(pinned, a, spark.createDataFrame([("x", None)], "source_id string, purpose string"))
+
+
+def test_banded_pairs_find_near_copies(spark):
+    import numpy as np
+
+    from corpusflow.operators import similarity
+
+    rng = np.random.default_rng(5)
+    base = rng.standard_normal((700, 32))
+    near = base[:500] + 0.18 * rng.standard_normal((500, 32))
+    rows = [(k, [float(x) for x in v]) for k, v in enumerate(np.concatenate((base, near)))]
+    df = spark.createDataFrame(rows, "image_id long, embedding array<double>")
+    unit = np.array([r[1] for r in rows])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    cosine = unit @ unit.T
+    want = {(i, j) for i, j in zip(*np.nonzero(np.triu(cosine >= 0.95, 1)), strict=True)}
+    got = {(r["left_id"], r["right_id"]): r["cosine"] for r in similarity.banded_pairs(df).collect()}
+    assert set(got) <= want and len(got) >= 0.9 * len(want) > 300
+    assert all(abs(c - cosine[k]) < 1e-9 for k, c in got.items())
+    signs, codes = similarity.bands(10**7, 0.95, 0.95)
+    assert signs == 24 and codes < 50
+    assert similarity.banded_pairs(df.limit(0)).count() == 0
