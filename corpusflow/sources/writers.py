@@ -26,10 +26,26 @@ def _spaced(rows: pd.Series) -> pd.Series:
     return rows.map(lambda x: json.dumps(json.loads(x), ensure_ascii=False, allow_nan=False))
 
 
+def _plain(kind: T.DataType) -> bool:
+    """Whether Spark writes values of a type as the canonical form does: no doubles, no keys to be sorted."""
+    if isinstance(kind, T.ArrayType):
+        return _plain(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return kind.names == sorted(kind.names) and all(_plain(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.StringType | T.BooleanType | T.ByteType | T.ShortType | T.IntegerType | T.LongType)
+
+
 def json_lines(df: DataFrame, spaced: bool = False) -> DataFrame:
-    """One column ``value``: each row as JSON, compact with sorted keys, or in column order with spaces. Nulls are kept."""
-    whole = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
-    return df.select((_spaced if spaced else _compact)(whole).alias("value"))
+    """One column ``value``: each row as JSON, compact with sorted keys, or in column order with spaces. Nulls are kept.
+
+    The compact form is written by Spark where the columns' types allow it; doubles, and keys
+    that are still to be sorted, take a pass through Python, as spaces do.
+    """
+    names = df.columns if spaced else sorted(df.columns)
+    whole = F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
+    if spaced:
+        return df.select(_spaced(whole).alias("value"))
+    return df.select((whole if all(_plain(f.dataType) for f in df.schema.fields) else _compact(whole)).alias("value"))
 
 
 def write_jsonl(df: DataFrame, path: str, spaced: bool = False, order: list[str] | None = None) -> None:

@@ -86,6 +86,10 @@ def test_writers(spark, tmp_path):
     df = spark.createDataFrame([(1, "é", None)], "b long, a string, c string")
     assert writers.json_lines(df).first()[0] == '{"a":"é","b":1,"c":null}'
     assert writers.json_lines(df, spaced=True).first()[0] == '{"b": 1, "a": "é", "c": null}'
+    odd = spark.sql("select 1.5D as z, named_struct('b', 1, 'a', 'x') as s, array('é', null) as l, true as t")
+    assert writers.json_lines(odd).first()[0] == '{"l":["é",null],"s":{"a":"x","b":1},"t":true,"z":1.5}'
+    plain = odd.select("t", "l", F.lit("a\"/\n\u2028\x01\\").alias("q"))
+    assert writers.json_lines(plain).first()[0] == json.dumps({"l": ["é", None], "q": "a\"/\n\u2028\x01\\", "t": True}, ensure_ascii=False, separators=(",", ":"))
     writers.write_jsonl(df, str(tmp_path / "out"))
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
         writers.write_jsonl(df, str(tmp_path / "out"))
