@@ -16,7 +16,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +26,7 @@ _COS = np.array([[(math.sqrt(0.125) if u == 0 else 0.5) * math.cos((2 * x + 1) *
 #: Signs of the stored coefficients, by zigzag position, so that they don't add up at a corner.
 _SIGN = np.where(np.arange(64) * 7 % 5 < 2, -1, 1).astype(np.int16)
 _SIGN[0] = 1
+_FLIP = np.where(_SIGN < 0, 255, 0).astype(np.uint8)
 _LOW_BAND = 5
 _BASE = 256
 
@@ -252,6 +253,11 @@ def _dc(comps: list, units: list, bits: _Bits, huff: dict, high: int, low: int)
         c.coef[places[n], 0] = np.array(values[n], np.int16) << low
 
 
+def _span(rows: np.ndarray) -> np.ndarray | slice:
+    """Rows that follow each other as a slice, which numpy reads without copies."""
+    return slice(int(rows[0]), int(rows[-1]) + 1) if rows[-1] - rows[0] + 1 == len(rows) else rows
+
+
 def _ac(coef: np.ndarray, rows: np.ndarray, bits: _Bits, table: _Huffman, first: int, last: int, high: int, low: int) -> None:
     if not high:
         band = last - first + 1
@@ -259,9 +265,12 @@ def _ac(coef: np.ndarray, rows: np.ndarray, bits: _Bits, table: _Huffman, first:
             # every coefficient has the one symbol "no zeros before, s bits": places of all bits are known
             s = table.single
             got = bits.array(len(rows) * band * (s + 1)).reshape(-1, s + 1)
-            value = (got[:, 1:].astype(np.int16) @ (1 << np.arange(s - 1, -1, -1, dtype=np.int16))).astype(np.int16)
-            value = np.where(got[:, 1] == 1, value, value - (1 << s) + 1)
-            coef[rows, first : last + 1] = (value << low).reshape(-1, band)
+            if s <= 8:
+                value = (np.packbits(got[:, 1:], axis=1)[:, 0] >> (8 - s)).astype(np.int16)
+            else:
+                value = (got[:, 1:].astype(np.int16) @ (1 << np.arange(s - 1, -1, -1, dtype=np.int16))).astype(np.int16)
+            value[got[:, 1] == 0] -= (1 << s) - 1
+            coef[_span(rows), first : last + 1] = (value << low).reshape(-1, band)
             return
         run = 0
         for r in rows.tolist():
@@ -287,12 +296,16 @@ def _ac(coef: np.ndarray, rows: np.ndarray, bits: _Bits, table: _Huffman, first:
     while k < len(rows):
         if run:
             # in a run only coefficients that aren't zero have a bit each: corrected all at once
-            span = rows[k : k + run]
+            n = min(run, len(rows) - k)
+            span = _span(rows[k : k + n])
             block = coef[span, first : last + 1]
-            at = np.nonzero(block)
-            block[at] += (np.sign(block[at]) * (bits.array(len(at[0])).astype(np.int16) * plus)).astype(np.int16)
+            if block.all():
+                block = block + np.sign(block) * (bits.array(block.size).astype(np.int16) * plus).reshape(block.shape)
+            else:
+                at = np.nonzero(block)
+                block[at] += (np.sign(block[at]) * (bits.array(len(at[0])).astype(np.int16) * plus)).astype(np.int16)
             coef[span, first : last + 1] = block
-            k, run = k + len(span), 0
+            k, run = k + n, 0
             continue
         r, z = int(rows[k]), first
         while z <= last:
@@ -400,8 +413,11 @@ def encode_payload(payload: bytes, length: int) -> bytes:
     half = (cells[:, :, :, 0].reshape(-1, _MCU).astype(np.int32) + _BASE) >> 1
     y = half[:, :4].ravel()
     diff = np.empty_like(half)
-    diff[:, :4] = np.diff(y, prepend=0).reshape(-1, 4)
-    diff[:, 4], diff[:, 5] = np.diff(half[:, 4], prepend=0), np.diff(half[:, 5], prepend=0)
+    first = y.copy()
+    first[1:] -= y[:-1]
+    diff[:, :4] = first.reshape(-1, 4)
+    diff[:, 4:] = half[:, 4:]
+    diff[1:, 4:] -= half[:-1, 4:]
     diff = diff.ravel()
     size = np.frexp(np.abs(diff).astype(np.float64))[1].astype(np.int64)
     code = (size << 8 | np.where(diff < 0, diff + (1 << size) - 1, diff)).astype(np.int64)
@@ -415,11 +431,10 @@ def encode_payload(payload: bytes, length: int) -> bytes:
 
     for a, b in ((1, _LOW_BAND), (_LOW_BAND + 1, 63)):
         for cid, p in enumerate(planes, 1):
-            value = ((p[:, a : b + 1] >> 1) | 0x80).ravel()
+            # a negative value has the complement of its bits
+            value = ((p[:, a : b + 1] >> 1 | 0x80) ^ _FLIP[a : b + 1]).ravel()
             bits = np.zeros((len(value), 9), np.uint8)
-            bits[:, 1:] = np.unpackbits(value[:, None], axis=1)
-            neg = np.tile(_SIGN[a : b + 1] < 0, len(p))
-            bits[neg, 1:] ^= 1
+            bits[:, 1:] = np.unpackbits(value).reshape(-1, 8)
             out += [tail([(cid, 0)], a, b, 0x01), _pad(bits.ravel())]
     for cid, p in enumerate(planes, 1):
         last, k, bits = p[:, 1:] & 1, 0, []
@@ -459,7 +474,7 @@ def feature_of(rgb: np.ndarray) -> str:
     return f"{rgb.shape[0]}x{rgb.shape[1]}:{means[0]:.3f},{means[1]:.3f},{means[2]:.3f}:{bits}"
 
 
-#: Rows go back to Spark once they hold about so many bytes.
+#: Rows go back to Spark once their tensors hold about so many bytes.
 _BATCH_BYTES = 8 << 20
 
 
@@ -483,22 +498,33 @@ def store(docs: DataFrame, text: str = "text") -> DataFrame:
     rows, an empty table an empty result; other columns are ignored. Texts of any length are
     stored whole; rows leave a task in batches of bounded size, so that long ones don't pile up.
     """
-    kind = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, media binary, height int, width int, rgb binary"
-    names = ["doc_id", *(x.split()[0] for x in kind.split(", "))]
+    own = docs.select("doc_id", F.col(text).alias("text"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows, held = [], 0
-        for pdf in batches:
-            for doc_id, t in zip(pdf["doc_id"], pdf["text"], strict=True):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, held, kind = [], 0, None
+        for batch in batches:
+            kind = batch.schema.field("doc_id").type
+            for doc_id, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 rows.append((doc_id, *stored_row(t)))
-                held += len(rows[-1][8]) + len(rows[-1][11])
+                held += len(rows[-1][-1])
                 if held > _BATCH_BYTES:
-                    yield pd.DataFrame(rows, columns=names, dtype=object)
+                    yield _stored_batch(rows, kind)
                     rows, held = [], 0
         if rows:
-            yield pd.DataFrame(rows, columns=names, dtype=object)
+            yield _stored_batch(rows, kind)
 
-    own = docs.select("doc_id", F.col(text).alias("text"))
-    # ids go through as text, as a null among numbers would make them floats
-    out = own.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(run, f"doc_id string, {kind}")
-    return out.withColumn("doc_id", F.col("doc_id").cast(own.schema["doc_id"].dataType))
+    kinds = ", ".join(f"{name} {spark}" for name, (spark, _) in _STORED.items())
+    return own.mapInArrow(run, f"doc_id {own.schema['doc_id'].dataType.simpleString()}, {kinds}")
+
+
+#: Columns of ``store`` after doc_id, with their types in Spark and in Arrow.
+_STORED = {
+    "n_bytes": ("long", pa.int64()), "payload_bytes": ("long", pa.int64()), "payload_sha256": ("string", pa.string()), "tail_crc32": ("long", pa.int64()),
+    "media_bytes": ("long", pa.int64()), "media_sha256": ("string", pa.string()), "feature": ("string", pa.string()),
+    "media": ("binary", pa.binary()), "height": ("int", pa.int32()), "width": ("int", pa.int32()), "rgb": ("binary", pa.binary()),
+}
+
+
+def _stored_batch(rows: list[tuple], doc_id: pa.DataType) -> pa.RecordBatch:
+    kinds = [doc_id, *(arrow for _, arrow in _STORED.values())]
+    return pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), kinds, strict=True)], ["doc_id", *_STORED])
