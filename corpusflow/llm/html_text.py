@@ -478,18 +478,27 @@ def default_tree() -> tuple:
     return grow(np.concatenate((LABELLED, _PLACED)))
 
 
+def main_texts(pages: list[str | None], tree: tuple | None = None) -> list[str]:
+    """The main text of each page: its main blocks in page order, one to a line."""
+    found = [blocks_of(p) for p in pages]
+    rows = [features_of(b) for b in found if b]
+    keep = iter((decide(tree or default_tree(), np.concatenate(rows)) >= 0.5).tolist() if rows else [])
+    return ["\n".join([b.text for b in blocks if next(keep)]) for blocks in found]
+
+
 def main_text(page: str | None, tree: tuple | None = None) -> str:
-    """The main text of one page: its main blocks in page order, one to a line."""
-    found = blocks_of(page)
-    if not found:
-        return ""
-    keep = decide(tree or default_tree(), features_of(found)) >= 0.5
-    return "\n".join(b.text for b, k in zip(found, keep, strict=True) if k)
+    """The main text of one page."""
+    return main_texts([page], tree)[0]
+
+
+#: Pages whose blocks are classified at once.
+_PAGES = 100
 
 
 @F.pandas_udf(T.StringType())
 def _main_text(pages: pd.Series) -> pd.Series:
-    return pd.Series([main_text(p).encode("utf-8", "replace").decode("utf-8") for p in pages])
+    texts = [t for k in range(0, len(pages), _PAGES) for t in main_texts(pages.iloc[k : k + _PAGES].tolist())]
+    return pd.Series([t.encode("utf-8", "replace").decode("utf-8") for t in texts], dtype=object)
 
 
 def extract(pages: DataFrame) -> DataFrame:
