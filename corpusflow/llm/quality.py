@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterable
+from itertools import islice
 from operator import eq
 from zlib import crc32
 
@@ -98,7 +100,7 @@ class CumulativeLink:
         self.weights = np.zeros(BUCKETS)
         self.theta = np.array([-1.0, 1.0])
 
-    def fit(self, rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray) -> CumulativeLink:
+    def fit(self, rows: Iterable[tuple[np.ndarray, np.ndarray]], grades: np.ndarray) -> CumulativeLink:
         grades = np.asarray(grades, int)
         if not len(grades):
             return self
@@ -107,9 +109,9 @@ class CumulativeLink:
             return self
         weight = (len(grades) / len(np.unique(grades)) / np.bincount(grades, minlength=GRADES).clip(1))[grades] / len(grades)
         # rows are gone through in chunks, so that the working arrays stay small
-        chunks = []
-        for k in range(0, len(rows), _CHUNK):
-            part = rows[k : k + _CHUNK]
+        chunks, left = [], iter(rows)
+        for k in range(0, len(grades), _CHUNK):
+            part = list(islice(left, _CHUNK))
             own = np.repeat(np.arange(len(part), dtype=np.int32), [len(r[0]) for r in part])
             chunks.append((np.concatenate([r[0] for r in part]).astype(np.int32), np.concatenate([r[1] for r in part]).astype(np.float32), own, grades[k : k + _CHUNK], weight[k : k + _CHUNK]))
         # the second threshold is the first plus a positive gap, so that they stay in order
@@ -165,7 +167,11 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS_PER_GRADE)
 
     got = sample.select("__id", "text", "__grade").mapInPandas(made, "id long, grade int, idx binary, val binary").collect()
     got.sort(key=lambda r: (r["id"], bytes(r["idx"])))
-    return CumulativeLink().fit([(np.frombuffer(r["idx"], np.int32), np.frombuffer(r["val"], np.float32)) for r in got], np.array([r["grade"] for r in got], int))
+    grades = np.array([r["grade"] for r in got], int)
+    got.reverse()
+    # each row is given up as it goes into a chunk
+    given = (got.pop() for _ in range(len(got)))
+    return CumulativeLink().fit(((np.frombuffer(r["idx"], np.int32), np.frombuffer(r["val"], np.float32)) for r in given), grades)
 
 
 def _scored(docs: DataFrame, model: CumulativeLink, name: str) -> DataFrame:
