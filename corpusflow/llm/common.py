@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusflow.session import importable, saved, shared_dir
 
-__all__ = ["bounded_sample", "free_name", "held_out", "joined_by_hot_key", "saved", "shared_dir", "table"]
+__all__ = ["bounded_sample", "free_name", "held_out", "joined_by_hot_key", "numbered", "saved", "shared_dir", "table"]
 
 #: At most so many keys can hold more than this part of all rows each.
 HOT_PARTS = 1024
@@ -59,3 +60,18 @@ def joined_by_hot_key(rows: DataFrame, facts: DataFrame, key: str, count: str) -
     spread = rows.join(F.broadcast(hot), key)
     dealt = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(rest, key)
     return spread.unionByName(dealt)
+
+
+def numbered(rows: DataFrame, group: str, *order: Column) -> DataFrame:
+    """``rows`` with ``idx`` (from 0, in ``order``) and ``n`` (the number of rows) within each value of ``group``, which has no nulls.
+
+    Rows are dealt by ranges of group and order, sorted and numbered inside of a range; each
+    range's first number comes from the counts of the ranges before it. So a group of any
+    size is spread over tasks. Rows alike in group and order should be alike altogether.
+    """
+    ranged = rows.repartitionByRange(group, *order).sortWithinPartitions(group, *order)
+    ranged = saved(ranged.withColumn("__at", F.monotonically_increasing_id()), "ranged").withColumn("__range", F.shiftright("__at", 33))
+    counts = ranged.groupBy(group, "__range").agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__rows"))
+    before = W.partitionBy(group).orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
+    bases = counts.select(group, "__range", (F.coalesce(F.sum("__rows").over(before), F.lit(0)) - F.col("__first")).alias("__base"), F.sum("__rows").over(W.partitionBy(group)).alias("n"))
+    return ranged.join(bases, [group, "__range"]).withColumn("idx", F.col("__at") + F.col("__base")).drop("__at", "__range", "__base")

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpusflow.llm import chat, decontaminate, html_text, licenses, media, mixing, quality, simhash, toxicity, urls
-from corpusflow.llm.common import table
+from corpusflow.llm import chat, decontaminate, html_text, licenses, media, merkle, mixing, prefix_trie, quality, simhash, token_files, toxicity, urls
+from corpusflow.llm.common import shared_dir, table
 from corpusflow.session import spread
 
 
@@ -52,6 +56,28 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(spread(table(spark, sf_dir, "pages")))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.turns_of(table(spark, sf_dir, "conversations"))
+    kept = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9
+    return prefix_trie.trie(*prefix_trie.branched(turns, F.col("conv_id") - F.col("conv_id") % 5, kept, 8))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spread(table(spark, sf_dir, "documents"))
+    hit = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.lit(False))
+    less = F.when(hit, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    fields = [less if c == "text" else F.col(c) for c in merkle.FIELDS]
+    rows = merkle.fold_both(merkle.manifest(docs, also={"now": merkle.leaf(*fields)}), "now")
+    proof = F.sha2(F.col("proof").cast("binary"), 256).alias("proof_sha256")
+    return rows.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op13_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark).rstrip('/')}/token-files-{uuid.uuid4().hex}"
+    token_files.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_licenses": op2_licenses,
@@ -63,6 +89,9 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_quality": op9_quality,
     "op10_urls": op10_urls,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_merkle": op12_merkle,
+    "op13_tokens": op13_tokens,
 }
 
 _ESCAPED = "(2 * length({0}) - length(regexp_replace({0}, '[\\\\<\\[]', '', 'g')))"
