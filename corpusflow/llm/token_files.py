@@ -92,14 +92,15 @@ class Encoder:
         """The number of words of each text, and the words of all; a null text has none."""
         if not self.splits:
             return np.ones(len(texts), np.int64), texts.fill_null("")
-        texts = pc.if_else(pc.equal(texts, ""), None, texts)
         cut = texts
         for mark in " \n,.":
             cut = pc.replace_substring(cut, mark, "\0" + mark)
         cut = pc.split_pattern(cut, "\0")
-        odd = pc.fill_null(pc.match_substring_regex(texts, _ODD), False)
-        if odd.true_count:
-            cut = pc.if_else(odd, pa.array([_CUT.split(t) if o else None for t, o in zip(texts.to_pylist(), odd.to_pylist(), strict=True)], cut.type), cut)
+        odd = np.flatnonzero(pc.fill_null(pc.match_substring_regex(texts, _ODD), False).to_numpy(zero_copy_only=False))
+        if len(odd):
+            where = np.arange(len(texts))
+            where[odd] = len(texts) + np.arange(len(odd))
+            cut = pa.concat_arrays([cut, pa.array([_CUT.split(texts[int(k)].as_py()) for k in odd], cut.type)]).take(pa.array(where))
         return pc.fill_null(pc.list_value_length(cut), 0).to_numpy(zero_copy_only=False).astype(np.int64), pc.list_flatten(cut)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

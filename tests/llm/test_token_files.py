@@ -53,6 +53,15 @@ def test_cutting_into_words_changes_no_id(encoder, texts):
     assert ids.tolist() == [i for w in want for i in w] and counts.tolist() == list(map(len, want))
 
 
+def test_slices_of_an_array(encoder):
+    texts = [f"text {k}, more words.\nAnd a last line {k}  odd" if k % 3 else f"plain {k} text." for k in range(40)] + ["", None]
+    for begin in range(0, len(texts), 5):
+        part = pa.array(texts).slice(begin, 5)
+        ids, counts = encoder.encode(part)
+        want = [ids_of(encoder, t)[:-1] for t in part.to_pylist()]
+        assert ids.tolist() == [i for w in want for i in w] and counts.tolist() == list(map(len, want))
+
+
 def test_the_cache_may_be_emptied_at_any_time(encoder, monkeypatch):
     monkeypatch.setattr(token_files, "CACHE_WORDS", 3)
     for text in ("one two three four five", "three four\nfive six, seven."):
