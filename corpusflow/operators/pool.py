@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusflow.functions.hashing import SEED, canonical_hash, json_array, json_column, sha
+from corpusflow.operators import exchange
 from corpusflow.operators.eligibility import ManifestError, require_unique
 from corpusflow.session import forget, saved
 
@@ -91,8 +92,9 @@ def select_candidates(pool: DataFrame, policy: Policy) -> Selection:
     a round ranks what still fits by hash within each image, group, semantic family and
     language, and takes the rows whose ranks all fit; first those of families that miss their
     minimum, then any. A round takes at least one row if any fits, and only rows taken, of which
-    there are never more than the target, leave Spark. INFEASIBLE is said if counts prove it, UNKNOWN
-    if the rounds end before the target although counts allow it.
+    there are never more than the target, leave Spark. What the rounds leave missing is found
+    by exchange paths (``exchange.complete``). INFEASIBLE is said if counts prove it or the
+    tree of paths was searched whole; UNKNOWN only where the bounds of that search cut it.
     """
     quotas = policy.language_quotas
     if sum(quotas.values()) > policy.target_count or any(n < 0 for n in quotas.values()):
@@ -100,7 +102,9 @@ def select_candidates(pool: DataFrame, policy: Policy) -> Selection:
     usable = pool if policy.allow_evaluation_sources else pool.where(F.col("purpose") == "training")
     # a language without a quota shares the places that no quota names
     seat = F.when(F.col("language").isin(*quotas), F.col("language")).otherwise(F.lit("")) if quotas else F.lit("")
-    rows = saved(usable.select("conversation_id", seat.alias("seat"), "task_family", *policy.caps, sha(policy.seed, F.col("conversation_id")).alias("h")), "usable")
+    # rows without an image, say, share one value for the cap, as in the audit
+    limited = [F.coalesce(F.col(c), F.lit("\0")).alias(c) for c in policy.caps]
+    rows = saved(usable.select("conversation_id", seat.alias("seat"), "task_family", *limited, sha(policy.seed, F.col("conversation_id")).alias("h")), "usable")
     try:
         if _too_few(rows, policy):
             return Selection((), "INFEASIBLE")
@@ -108,10 +112,12 @@ def select_candidates(pool: DataFrame, policy: Policy) -> Selection:
         for needed in (True, False):
             while len(taken) < policy.target_count and (more := _round(rows, policy, taken, needed).collect()):
                 taken += more
+        seats = {**quotas, "": policy.target_count - sum(quotas.values())}
+        taken, found, whole = exchange.complete(rows, taken, seats, policy.family_minimums, policy.caps)
     finally:
         forget(rows)
-    if len(taken) < policy.target_count or _left(taken, policy)[1]:
-        return Selection((), "UNKNOWN")
+    if not found:
+        return Selection((), "INFEASIBLE" if whole else "UNKNOWN")
     return Selection(tuple(sorted(r["conversation_id"] for r in taken)), "OPTIMAL")
 
 
@@ -159,7 +165,8 @@ def _round(rows: DataFrame, policy: Policy, taken: list[Row], needed: bool) -> D
         limits.insert(-1, ("task_family", "room_task_family"))
     for column, room in limits:
         rank = F.row_number().over(W.partitionBy(column).orderBy("h", "conversation_id"))
-        d = d.withColumn("rank", rank).where(F.col("rank") <= F.col(room))
+        # the literal lets every task cut its own part of a language before rows meet
+        d = d.withColumn("rank", rank).where((F.col("rank") <= policy.target_count) & (F.col("rank") <= F.col(room)))
     return d.select(*rows.columns).orderBy("h", "conversation_id").limit(policy.target_count - len(taken))
 
 

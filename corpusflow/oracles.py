@@ -258,6 +258,9 @@ ORACLE_SQL: dict[str, str] = {
       select language, (select count(*) from p where p.language = l.language) as available, (select cast(sum(n) as bigint) from i where i.language = l.language) as by_image_id,
         (select cast(sum(n) as bigint) from g where g.language = l.language) as by_visual_group_id from (select distinct language from p) l""",
     "capped_selection": f"with {_POOL} select conversation_id, image_id, visual_group_id from chosen",
+    "tight_selection": f"""
+      with {_POOL}, p as (select * from pool where purpose = 'training' and language in ('BUILDING', 'MACHINERY'))
+      select language, count(*) as available, cast((select count(distinct visual_group_id) // 2 from p) as bigint) as selected, 'OPTIMAL' as status, true as met from p group by 1""",
     "selection_audit": f"""
       with {_POOL}, facts as (select count(*) as n, max(i) as i, max(g) as g, bool_or(purpose = 'evaluation') as ev from (select *, count(*) over (partition by image_id) as i, count(*) over (partition by visual_group_id) as g from chosen)),
       l as (select language, count(*) as n from chosen group by 1)

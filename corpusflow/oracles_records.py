@@ -48,6 +48,10 @@ ORACLE_SQL: dict[str, str] = {
     "export_bundle": """
       with c as (select conv_id, count(*) as n from conversations where conv_id % 3 = 0 group by 1)
       select part, cast(case when part in ('training', 'selection') then count(*) else sum(n) end as bigint) as n, count(*) as conversations from c, (values ('training'), ('ratings'), ('provenance'), ('selection')) p(part) group by 1""",
+    "two_writers": f"""
+      with {_CALLS}, b as (select count(distinct text) as n from documents), k as (select count(*) as n from (select distinct stage, request_hash from c))
+      select 'blobs' as kind, n as n_rows, n as n_keys, n as n_added from b union all select 'calls', n, n, n from k""",
+    "requirement_stream": _CORE["requirement_ledger"],
     "stream_append": "select event_type, count(distinct user_id) as n from events group by 1",
     "windowed_rates": f"with {_CALLS} select strftime(time_bucket(interval 1 hour, ts), '%Y-%m-%d %H') as hour, stage, count(*) as calls, cast(sum(2 * input_tokens) as bigint) as output_tokens from c group by 1, 2",
     "catalog_capabilities": f"""

@@ -420,12 +420,12 @@ def computation_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.verify_computations(inv).select(F.col("key").alias("l_orderkey"), "verdict")
 
 
-def requirement_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Requirement events of each user folded into active requirements and the first error."""
+def requirement_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of users in the role of requirement actions of conversations."""
     e = _t(spark, sf_dir, "events")
     kind = F.element_at(F.array(*map(F.lit, ("introduce", "retain", "override", "revoke", "introduce"))), (F.col("event_id") % 5 + 1).cast("int"))
     w = W.partitionBy("user_id").orderBy("event_id")
-    rows = e.select(
+    return e.select(
         _s("user_id").alias("conversation_id"),
         F.expr("cast(row_number() over (partition by user_id order by event_id) as int)").alias("turn_index"),
         F.col("event_id").alias("seq"),
@@ -434,6 +434,11 @@ def requirement_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("q"), _s("event_id")).alias("requirement_id"),
         F.lit("persistent").alias("lifetime"),
     )
+
+
+def requirement_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requirement events of each user folded into active requirements and the first error."""
+    rows = requirement_events(spark, sf_dir)
     return requirements.ledger(rows).groupBy(F.coalesce("error", F.lit("none")).alias("error")).agg(F.count(F.lit(1)).alias("n"), F.max("n_active").alias("most_active"))
 
 
@@ -478,16 +483,36 @@ def selection_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "key string, n long")
 
 
+#: Exact numbers by language, least by family, most by image and group.
+SELECTION = pool.Policy(target_count=60, language_quotas={"BUILDING": 15, "AUTOMOBILE": 15, "MACHINERY": 10, "HOUSEHOLD": 10, "FURNITURE": 10}, family_minimums={"F": 10, "O": 10}, max_per_image=1, max_per_visual_group=6)
+
+
 def constrained_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A feasible selection of 60 under quotas, minimums and caps, with its audit's status."""
     p = _pool(spark, sf_dir)
-    policy = pool.Policy(target_count=60, language_quotas={"BUILDING": 15, "AUTOMOBILE": 15, "MACHINERY": 10, "HOUSEHOLD": 10, "FURNITURE": 10}, family_minimums={"F": 10, "O": 10}, max_per_image=1, max_per_visual_group=6)
-    found = pool.select_candidates(p, policy)
+    found = pool.select_candidates(p, SELECTION)
     chosen = spark.createDataFrame([(x,) for x in found.selected_ids], "conversation_id string")
-    report = pool.audit(p, chosen, policy)
+    report = pool.audit(p, chosen, SELECTION)
     return chosen.withColumn("solver_status", F.lit(found.status)).withColumn("audit_status", F.lit(report["status"]))
 
 
+def tight_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A selection where every group of a language is full: languages with what they have to offer and what was selected.
+
+    As many rows as the caps let through at most are asked of the two languages with the
+    fewest groups' rooms to spare, so rounds alone rarely find them and exchange paths must.
+    """
+    p = saved(_pool(spark, sf_dir).where("purpose = 'training' and language in ('BUILDING', 'MACHINERY')"), "pool")
+    groups = p.select("visual_group_id").distinct().count()
+    policy = pool.Policy(target_count=2 * (groups // 2), language_quotas={"BUILDING": groups // 2, "MACHINERY": groups // 2}, max_per_image=1, max_per_visual_group=1)
+    found = pool.select_candidates(p, policy)
+    chosen = spark.createDataFrame([(x,) for x in found.selected_ids], "conversation_id string")
+    met = pool.audit(p, chosen, policy)["status"] == "MET"
+    own = chosen.join(p, "conversation_id").groupBy("language").agg(F.count(F.lit(1)).alias("selected"))
+    have = p.groupBy("language").agg(F.count(F.lit(1)).alias("available"))
+    return have.join(own, "language", "left").select("language", "available", F.coalesce("selected", F.lit(0)).cast("long").alias("selected"), F.lit(found.status).alias("status"), F.lit(met).alias("met"))
+
+
 # -- ledgers ----------------------------------------------------------------------------------
 
 
@@ -607,7 +632,7 @@ QUERIES = {
         hash_rank_sample, hash_rank_first_successes, exact_copy_antijoin, duplicate_ids_semijoin, similar_pairs, visual_components, declared_groups,
         apportion_quotas, exact_schedule, weighted_roles, planned_turns, instruction_candidates, judge_consensus, question_fit, gate_aggregate, rubric_applicability, capability_report,
         transcript_validity, history_prefix_hash, accepted_prefix, trailing_turns, conversation_summary, repeated_questions, prompt_echo, answer_tokens, claim_spans, span_repair, training_export,
-        set_compare, count_compare, exact_arithmetic, computation_check, requirement_ledger, pool_bounds, capped_selection, selection_audit, constrained_selection,
+        set_compare, count_compare, exact_arithmetic, computation_check, requirement_ledger, pool_bounds, capped_selection, selection_audit, constrained_selection, tight_selection,
         call_profile, completion_gaps, run_wall, first_write_wins, cache_lookup, budget_running, content_addressing, blob_roundtrip, ledger_verification, strict_json, completion_envelopes, media_suffixes, remaining_turns,
     )
 }

@@ -7,6 +7,7 @@ query writes go to the shared folder.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,14 +18,15 @@ from corpusflow.functions.hashing import SEED, bucket, sha
 from corpusflow.operators import consensus, eligibility, ledger, planning, pool, requirements, rules, similarity, transcript
 from corpusflow.operators.eligibility import ManifestError
 from corpusflow.plans.ingest import image_ids, ingest
-from corpusflow.queries import RIGHTS_ROWS, _calls, _evidence, _messages, _metadata, _pool, _s, _t, _turns
-from corpusflow.session import shared_dir
+from corpusflow.queries import RIGHTS_ROWS, _calls, _evidence, _messages, _metadata, _pool, _s, _t, _turns, requirement_events
+from corpusflow.session import placed, saved, shared_dir
 from corpusflow.sources import readers, writers
+from corpusflow.sources.commit_log import read_table
 from corpusflow.streaming import ledger as streams
 
 
 def _place(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return placed(f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}")
 
 
 # -- sources and sinks ----------------------------------------------------------------------
@@ -68,10 +70,23 @@ def fixture_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def blob_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Blobs in a content-addressed table after all documents were put there, and put there again."""
+    """Blobs that a content-addressed table has after all documents were put there, and put there again."""
     table, docs = _place(spark, "blobs"), _t(spark, sf_dir, "documents")
-    first, again = writers.put_blobs(spark, docs, "text", "texts", table), writers.put_blobs(spark, docs, "text", "texts", table)
-    return spark.createDataFrame([(first, again)], "first_count long, second_count long")
+    first = writers.put_blobs(spark, docs, "text", "texts", table)
+    return spark.createDataFrame([(first, first + writers.put_blobs(spark, docs, "text", "texts", table))], "first_count long, second_count long")
+
+
+def two_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two writers at once: each puts the documents of its half and of the middle; blobs and call records by kind of table."""
+    docs, calls = _t(spark, sf_dir, "documents"), _calls(spark, sf_dir)
+    blobs, records = _place(spark, "blobs"), _place(spark, "ledger")
+    jobs = [lambda k=k: writers.put_blobs(spark, docs.where(F.col("doc_id") % 3 != k), "text", "texts", blobs) for k in (0, 1)]
+    jobs += [lambda k=k: writers.record_calls(spark, calls.where(F.col("seq") % 3 != k), records) for k in (0, 1)]
+    with ThreadPoolExecutor(len(jobs)) as pool_:
+        added = [f.result() for f in [pool_.submit(j) for j in jobs]]
+    tables = ((read_table(spark, blobs), ["digest"], sum(added[:2])), (read_table(spark, records), list(ledger.KEY), sum(added[2:])))
+    rows = [(name, t.count(), t.select(*keys).distinct().count(), n) for name, (t, keys, n) in zip(("blobs", "calls"), tables, strict=True)]
+    return spark.createDataFrame(rows, "kind string, n_rows long, n_keys long, n_added long")
 
 
 def run_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,7 +153,18 @@ def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     events.select("event_type", "user_id").write.parquet(source)
     arriving = spark.readStream.schema("event_type string, user_id long").option("maxFilesPerTrigger", 2).parquet(source)
     streams.append_once(arriving, table, ["event_type", "user_id"], _place(spark, "progress")).awaitTermination()
-    return spark.read.parquet(table).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    return read_table(spark, table).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+def requirement_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The requirement ledger of all events over a stream that stops twice and goes on from its state, by error."""
+    rows, source, out, progress = saved(requirement_events(spark, sf_dir), "events"), _place(spark, "arrivals"), _place(spark, "ledger"), _place(spark, "progress")
+    last = rows.agg(F.max("seq")).first()[0] or 0
+    for part in range(3):
+        rows.where(f"seq * 3 >= {part} * {last + 1} and seq * 3 < {part + 1} * {last + 1}").write.mode("append").parquet(source)
+        arriving = spark.readStream.schema(rows.schema).parquet(source)
+        streams.requirement_stream(arriving).writeStream.format("parquet").option("path", out).option("checkpointLocation", progress).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out).groupBy(F.coalesce("error", F.lit("none")).alias("error")).agg(F.count(F.lit(1)).alias("n"), F.max("n_active").alias("most_active"))
 
 
 def windowed_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -424,7 +450,7 @@ def visual_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        metadata_scan, jsonl_roundtrip, json_lines, file_digests, fixture_keys, blob_store, run_copy, ledger_columns, image_files, ingest_plan, export_bundle, stream_append, windowed_rates,
+        metadata_scan, jsonl_roundtrip, json_lines, file_digests, fixture_keys, blob_store, run_copy, ledger_columns, image_files, ingest_plan, export_bundle, two_writers, stream_append, requirement_stream, windowed_rates,
         catalog_capabilities, rubric_catalog, stage_fields, scope_fields, language_gates, model_outputs, joined_reasons, evaluation_spread, training_exclusions, manifest_errors,
         chosen_instructions, message_references, first_dialogues, detailed_status, export_reasons, candidate_patterns, progress_counts,
         set_verification, requirement_spans, requirement_inventories, claim_unions, identities, image_identities, item_identities, pool_identity, commits, visual_grouping,

@@ -87,10 +87,16 @@ def saved(df: DataFrame, hint: str) -> DataFrame:
     return out
 
 
-#: Tables that ``saved`` has written and nothing has removed yet.
+#: Tables that ``saved`` has written, and other folders named to ``placed``, that nothing has removed yet.
 _SAVED: list[str] = []
 
 
+def placed(path: str) -> str:
+    """Record a folder of the shared storage that a query is about to write, so that ``clean`` removes it too."""
+    _SAVED.append(path)
+    return path
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

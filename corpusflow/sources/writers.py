@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from corpusflow.functions.hashing import canonical_json
 from corpusflow.operators import ledger, transcript
 from corpusflow.operators.eligibility import ManifestError
+from corpusflow.sources.commit_log import CommitLog, read_table
 
 
 @F.pandas_udf(T.StringType())
@@ -78,18 +79,23 @@ def export_bundle(selected: DataFrame, messages: DataFrame, ratings: DataFrame,
 
 
 def put_blobs(spark: SparkSession, df: DataFrame, payload: str, kind: str, table: str) -> int:
-    """Append blobs that the content-addressed table at a path lacks (by digest); their number."""
+    """Append blobs that the content-addressed table at a path lacks (by digest) and return how many these were.
+
+    The table has a commit log, so of several writers with the same blob one adds it.
+    """
     data = F.col(payload).cast("binary")
     new = df.where(F.col(payload).isNotNull()).select(F.sha2(data, 256).alias("digest"), F.lit(kind).alias("kind"), data.alias("content"))
-    try:
-        known = spark.read.parquet(table).select("digest")
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
-        known = new.select("digest").limit(0)
-    fresh = ledger.append_new(known, new, ["digest"])
-    fresh.write.mode("append").parquet(table)
-    return spark.read.parquet(table).count()
+    return CommitLog(spark, table).append(new, ["digest"])
+
+
+def record_calls(spark: SparkSession, calls: DataFrame, table: str) -> int:
+    """Append call records of keys that the ledger at a path lacks and return how many: the first write of a key wins, whoever writes."""
+    return CommitLog(spark, table).append(ledger.first_writes(calls).select(*calls.columns), list(ledger.KEY))
+
+
+def commit_turns(spark: SparkSession, turns: DataFrame, table: str, keys: tuple[str, ...] = ("conversation_id", "branch", "turn_index")) -> int:
+    """Append turns whose keys must be new; a key that is there already, also by another writer just now, is an error."""
+    return CommitLog(spark, table).append(turns, list(keys), strict=True)
 
 
 def copy_table(spark: SparkSession, source: str, target: str) -> None:
@@ -113,8 +119,8 @@ def copy_run(spark: SparkSession, source: str, target: str) -> None:
     files = there.getFileSystem(spark._jsc.hadoopConfiguration())
     if files.exists(there) and files.listStatus(there):
         raise ManifestError("DESTINATION_NOT_EMPTY", target)
-    calls = spark.read.parquet(f"{source}/ledger")
-    for name, df in zip(PARTS, (calls, spark.read.parquet(f"{source}/blobs")), strict=True):
+    calls = read_table(spark, f"{source}/ledger")
+    for name, df in zip(PARTS, (calls, read_table(spark, f"{source}/blobs")), strict=True):
         df.write.parquet(f"{target}/{name}")
     check_run(spark, target)
     files.create(spark._jvm.org.apache.hadoop.fs.Path(f"{target}/_COMPLETE")).close()

@@ -2,41 +2,42 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from corpusflow.operators.requirements import Ledger
+from corpusflow.sources.commit_log import CommitLog
+
+
+#: Keeps the keys of a stream on disk, whatever their number.
+STATE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
 def append_once(stream: DataFrame, table: str, keys: list[str], checkpoint: str) -> StreamingQuery:
-    """Append rows of new keys to a table, each key once, also after a restart.
+    """Append rows of new keys to a table with a commit log, each key once, also after a restart.
 
-    A batch is anti-joined with what the table holds; the batch number names its own folder
-    of the table and overwrites it, so a batch that runs again leaves no second copy.
+    Keys are state of the stream, dealt by key, so a batch looks up its own keys only and
+    never reads the table. The batch's number is the append's name in the log: a batch that
+    runs again adds nothing. The stream is the table's only writer.
     """
+    spark = stream.sparkSession
+    log, name = CommitLog(spark, table), hashlib.sha256(checkpoint.encode()).hexdigest()
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        new = batch.dropDuplicates(keys)
-        known = known_keys(spark, table, keys, number)
-        if known is not None:
-            new = new.join(known, keys, "left_anti")
-        new.write.mode("overwrite").parquet(f"{table}/batch={number}")
-
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def known_keys(spark: SparkSession, table: str, keys: list[str], before: int) -> DataFrame | None:
-    """Keys of the batches before one, or None if there are none."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(table)
-    if not before or not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return None
-    return spark.read.parquet(table).where(F.col("batch") < before).select(*keys).distinct()
+        log.append(batch, txn=(name, number))
+
+    before = spark.conf.get(STATE[0], None)
+    spark.conf.set(*STATE)
+    try:
+        return stream.dropDuplicates(keys).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(STATE[0], before) if before else spark.conf.unset(STATE[0])
 
 
 def call_rates(calls: DataFrame, width: str = "5 minutes", late: str = "10 minutes") -> DataFrame:

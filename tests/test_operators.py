@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from corpusflow.functions import hashing
-from corpusflow.operators import consensus, eligibility, ledger, planning, pool, requirements, rules, similarity, transcript
+from corpusflow.operators import consensus, eligibility, exchange, ledger, planning, pool, requirements, rules, similarity, transcript
 from corpusflow.operators.components import components
 from corpusflow.operators.eligibility import ManifestError
 
@@ -322,20 +322,56 @@ def feasible(rows, p):
     return False
 
 
-@pytest.mark.parametrize("seed", range(8))
-def test_selection_agrees_with_exhaustion(spark, seed):
-    rng = random.Random(seed)
-    names = ("conversation_id", "language", "task_family", "image_id", "visual_group_id", "semantic_family", "purpose")
-    rows = [dict(zip(names, (f"c{k}", rng.choice("xyz"), rng.choice("fg"), rng.choice("12345"), rng.choice("ab"), str(rng.randrange(9)), "training"), strict=True)) for k in range(10)]
-    n = rng.randint(1, 5)
-    p = pool.Policy(n, {"x": rng.randint(0, 2), "y": rng.randint(0, 2)}, {"f": rng.randint(0, 3)}, 1, rng.randint(1, 4), 1)
-    df = spark.createDataFrame([tuple(r[c] for c in names) for r in rows], ", ".join(f"{c} string" for c in names))
-    found = pool.select_candidates(df, p)
+CANDIDATE = ("conversation_id", "language", "task_family", "image_id", "visual_group_id", "semantic_family", "purpose")
+
+
+def candidates_frame(spark, rows):
+    return spark.createDataFrame([tuple(r[c] for c in CANDIDATE) for r in rows], ", ".join(f"{c} string" for c in CANDIDATE))
+
+
+def agrees(spark, rows, p):
+    """Whether the selection says of a pool what trying all subsets says; never UNKNOWN."""
+    found = pool.select_candidates(candidates_frame(spark, rows), p)
     if found.status == "OPTIMAL":
-        assert feasible([r for r in rows if r["conversation_id"] in found.selected_ids], p) and len(found.selected_ids) == n
-        assert pool.select_candidates(df.repartition(3), p) == found
-    else:
-        assert found.selected_ids == () and (found.status == "UNKNOWN" or not feasible(rows, p))
+        return feasible([r for r in rows if r["conversation_id"] in found.selected_ids], p) and len(found.selected_ids) == p.target_count
+    return found == pool.Selection((), "INFEASIBLE") and not feasible(rows, p)
+
+
+def random_pool(seed):
+    """A pool of up to 10 rows and a policy of which about half the pools have a feasible subset that rounds may miss."""
+    rng = random.Random(seed)
+    rows = [dict(zip(CANDIDATE, (f"c{k}", rng.choice("xy"), rng.choice("fg"), rng.choice("1234567"), rng.choice("abcde"), str(rng.randrange(12)), "training"), strict=True)) for k in range(rng.randint(6, 10))]
+    return rows, pool.Policy(rng.randint(2, 4), {"x": rng.randint(1, 2)}, {"f": rng.randint(0, 2)}, 1, rng.randint(1, 2), 1)
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_selection_agrees_with_exhaustion(spark, seed):
+    rows, p = random_pool(seed)
+    assert agrees(spark, rows, p)
+
+
+@pytest.mark.parametrize("ids", ["abc", "zyx", "mln"])
+def test_selection_takes_a_row_back_where_another_needs_its_image(spark, ids):
+    rows = [dict(zip(CANDIDATE, (i, lang, "f", image, f"g{i}", f"s{i}", "training"), strict=True)) for i, lang, image in zip(ids, ("en", "fr", "en"), "112", strict=True)]
+    p = pool.Policy(2, {"en": 1, "fr": 1}, {}, 1, 6, 1)
+    found = pool.select_candidates(candidates_frame(spark, rows), p)
+    assert found == pool.Selection(tuple(sorted(ids[1:])), "OPTIMAL")
+    assert pool.select_candidates(candidates_frame(spark, rows[::-1]).repartition(3), p) == found
+
+
+def test_exchange_paths_of_several_steps_and_bounds(spark, monkeypatch):
+    # a chain of images: each of five rows of x shares one image with the next of y; only one perfect assignment
+    rows = [dict(zip(CANDIDATE, (f"c{k:02}", "x" if k % 2 else "y", "f", f"i{(k + 1) // 2}", f"g{k}", f"s{k}", "training"), strict=True)) for k in range(10)]
+    p = pool.Policy(6, {"x": 1, "y": 5}, {}, 1, 9, 1)
+    assert agrees(spark, rows, p)
+    taken = [r for r in candidates_frame(spark, rows).selectExpr("*", "language as seat", "conversation_id as h").collect() if r["seat"] == "x"]
+    df = candidates_frame(spark, rows).selectExpr("*", "language as seat", "conversation_id as h")
+    done, found, whole = exchange.complete(df, taken[1:], {"x": 1, "y": 5}, {}, p.caps)
+    assert (found, whole) == (True, True) and Counter(r["seat"] for r in done) == {"x": 1, "y": 5} or not feasible(rows, p)
+    monkeypatch.setattr(exchange, "PER_CLASS", 1)
+    infeasible = [{**r, "image_id": "one"} for r in rows]
+    held = [r for r in candidates_frame(spark, infeasible).selectExpr("*", "language as seat", "conversation_id as h").collect()][:1]
+    assert exchange.complete(candidates_frame(spark, infeasible).selectExpr("*", "language as seat", "conversation_id as h"), held, {"x": 1, "y": 1}, {}, p.caps)[1:] == (False, False)
 
 
 def test_selection_audit_and_binding(spark):
