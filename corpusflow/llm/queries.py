@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.llm import chat, decontaminate, html_text, licenses, media, merkle, mixing, prefix_trie, quality, simhash, token_files, toxicity, urls
 from corpusflow.llm.common import shared_dir, table
+from corpusflow.llm.oracles import MERKLE_SQL, TRIE_SQL
 from corpusflow.session import spread
 
 
@@ -108,4 +109,4 @@ CHAT_SQL = f"""
   from d group by conv_id"""
 
 #: The other operators train models, hash with functions SQL lacks, or decode formats; tests/llm compares these with brute force.
-ORACLE_SQL: dict[str, str] = {"op2_licenses": licenses.oracle_sql(), "op7_chat": CHAT_SQL, "op8_mixing": mixing.oracle_sql(), "op10_urls": urls.oracle_sql()}
+ORACLE_SQL: dict[str, str] = {"op2_licenses": licenses.oracle_sql(), "op7_chat": CHAT_SQL, "op8_mixing": mixing.oracle_sql(), "op10_urls": urls.oracle_sql(), "op11_prefix_trie": TRIE_SQL, "op12_merkle": MERKLE_SQL}

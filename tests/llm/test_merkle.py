@@ -97,3 +97,15 @@ def test_a_changed_leaf_does_not_verify(spark, odd):
 
 def test_empty(spark, none):
     assert merkle.fold_both(merkle.manifest(none), "leaf").count() == 0
+
+
+def test_sql_says_the_same(spark, small):
+    import duckdb
+
+    con = duckdb.connect()
+    for name in ("conversations", "documents"):
+        con.execute(f"create view {name} as select * from read_parquet('{small}/{name}.parquet')")
+    want = con.sql(queries.ORACLE_SQL["op12_merkle"])
+    got = queries.QUERIES["op12_merkle"](spark, small)
+    assert sorted(got.columns) == sorted(want.columns)
+    assert sorted((tuple(r) for r in got.select(*want.columns).collect()), key=repr) == sorted(want.fetchall(), key=repr)

@@ -94,3 +94,15 @@ def test_empty(spark):
     turns = prefix_trie.turns_of(spark.createDataFrame([], SCHEMA))
     out = prefix_trie.trie(*prefix_trie.branched(turns, F.col("conv_id"), F.lit(0), 8))
     assert out.count() == 0 and out.columns == prefix_trie.COLUMNS
+
+
+def test_sql_says_the_same(spark, small):
+    import duckdb
+
+    con = duckdb.connect()
+    for name in ("conversations", "documents"):
+        con.execute(f"create view {name} as select * from read_parquet('{small}/{name}.parquet')")
+    want = con.sql(queries.ORACLE_SQL["op11_prefix_trie"])
+    got = queries.QUERIES["op11_prefix_trie"](spark, small)
+    assert sorted(got.columns) == sorted(want.columns)
+    assert sorted((tuple(r) for r in got.select(*want.columns).collect()), key=repr) == sorted(want.fetchall(), key=repr)
