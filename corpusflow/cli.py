@@ -114,7 +114,7 @@ def _backend(name: str) -> Any:
 
 def synthesize(spark: SparkSession, a: argparse.Namespace) -> dict:
     """Turns of all jobs by a backend given as ``module:factory``, and the conversations' states."""
-    turns = synthesis.synthesize(_read(spark, a.jobs), _read(spark, a.evidence), _backend(a.backend))
+    turns = synthesis.synthesize(_read(spark, a.jobs), _read(spark, a.evidence), _backend(a.backend), ledger=f"{a.destination}/calls")
     turns.write.parquet(f"{a.destination}/turns")
     states = synthesis.finish(_read(spark, f"{a.destination}/turns"))
     states.write.parquet(f"{a.destination}/conversations")

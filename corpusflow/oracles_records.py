@@ -51,6 +51,22 @@ ORACLE_SQL: dict[str, str] = {
     "two_writers": f"""
       with {_CALLS}, b as (select count(distinct text) as n from documents), k as (select count(*) as n from (select distinct stage, request_hash from c))
       select 'blobs' as kind, n as n_rows, n as n_keys, n as n_added from b union all select 'calls', n, n, n from k""",
+    "synthesis_resume": """
+      with c as (select cast(conv_id as varchar) as c, least(2, greatest(1, count(*) // 2)) as planned from conversations group by conv_id),
+      tried as (select c, t, call, min(a) filter (cast('0x' || substr(sha256(concat_ws(':', c, t, call, a)), 1, 4) as int) % 4 <> 0) as good
+        from c, range(1, 3) r(t), range(2) s(a), (values ('question_generation'), ('answer_generation'), ('review_a'), ('review_b'), ('answer_repair'), ('repaired_review_a'), ('repaired_review_b')) k(call) group by all),
+      wide as (select c, t, max(good) filter (call = 'question_generation') as q, max(good) filter (call = 'answer_generation') as a, max(good) filter (call = 'review_a') as ra, max(good) filter (call = 'review_b') as rb,
+        max(good) filter (call = 'answer_repair') as m, max(good) filter (call = 'repaired_review_a') as sa, max(good) filter (call = 'repaired_review_b') as sb,
+        cast('0x' || substr(sha256(concat_ws(':', c, t, 'verdict', 'False')), 1, 4) as int) % 3 <> 0 as met, cast('0x' || substr(sha256(concat_ws(':', c, t, 'verdict', 'True')), 1, 4) as int) % 3 <> 0 as mended from tried group by all),
+      state as (select *, q is not null and a is not null and ra is not null and rb is not null as judged from wide),
+      turn as (select *, judged and not met and m is not null as repaired, case when not judged then 'ERROR' when met then 'COMMITTED' when m is null then 'REJECTED' when sa is null or sb is null then 'ERROR' when mended then 'COMMITTED' else 'REJECTED' end as status,
+        case when q is null or a is null then 'MODEL_CONTENT_EMPTY' when not judged or (not met and m is not null and (sa is null or sb is null)) then 'MODEL_SCHEMA_MISMATCH' else '-' end as failure from state),
+      made as (select turn.* from turn join c using (c) where t = 1 or (planned = 2 and exists (select 1 from turn f where f.c = turn.c and f.t = 1 and f.status = 'COMMITTED'))),
+      asked as (select 'question_generation' as call, q as good from made union all select 'answer_generation', a from made where q is not null union all select 'review_a', ra from made where q is not null and a is not null
+        union all select 'review_b', rb from made where q is not null and a is not null and ra is not null union all select 'answer_repair', m from made where judged and not met
+        union all select 'repaired_review_a', sa from made where repaired union all select 'repaired_review_b', sb from made where repaired and sa is not null),
+      record as (select call, a from asked, range(2) r(a) where a <= coalesce(good, 1))
+      select concat_ws(' ', t, status, repaired, failure) as name, count(*) as n from made group by 1 union all select concat_ws(' ', call, a), count(*) from record group by 1 union all select 'calls made', count(*) from record""",
     "requirement_stream": _CORE["requirement_ledger"],
     "stream_append": "select event_type, count(distinct user_id) as n from events group by 1",
     "windowed_rates": f"with {_CALLS} select strftime(time_bucket(interval 1 hour, ts), '%Y-%m-%d %H') as hour, stage, count(*) as calls, cast(sum(2 * input_tokens) as bigint) as output_tokens from c group by 1, 2",

@@ -6,9 +6,15 @@ query writes go to the shared folder.
 
 from __future__ import annotations
 
+import contextlib
+import hashlib
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
+import pandas as pd
+from pyspark.accumulators import Accumulator
+from pyspark.errors import PythonException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +23,7 @@ from corpusflow.functions import catalogs, hashing, text
 from corpusflow.functions.hashing import SEED, bucket, sha
 from corpusflow.operators import consensus, eligibility, ledger, planning, pool, requirements, rules, similarity, transcript
 from corpusflow.operators.eligibility import ManifestError
+from corpusflow.plans import stages, synthesis
 from corpusflow.plans.ingest import image_ids, ingest
 from corpusflow.queries import RIGHTS_ROWS, _calls, _evidence, _messages, _metadata, _pool, _s, _t, _turns, requirement_events
 from corpusflow.session import placed, saved, shared_dir
@@ -173,6 +180,46 @@ def windowed_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select(F.date_format("start", "yyyy-MM-dd HH").alias("hour"), "stage", "calls", "output_tokens")
 
 
+class ScriptedModel:
+    """A model double for ``synthesis_resume``: what it says follows from a hash of the call; ``calls`` counts, ``stop`` is where it breaks off."""
+
+    def __init__(self, calls: Accumulator, stop: str | None = None):
+        self.calls, self.stop = calls, stop
+
+    def run(self, stage: str, rows: pd.DataFrame) -> pd.DataFrame:
+        if stage == self.stop and len(rows):
+            raise RuntimeError(f"stopped before {stage}")
+        self.calls.add(len(rows))
+        return rows.assign(output=[self.said(stage, r) for r in rows.itertuples()])
+
+    @staticmethod
+    def said(stage: str, r: tuple) -> str:
+        bucket = lambda *parts: int(hashlib.sha256(":".join(map(str, (r.conversation_id, r.turn_index, *parts))).encode()).hexdigest()[:4], 16)
+        if bucket(r.call, r.attempt) % 4 == 0:
+            return " "
+        if stage == "holistic_review":
+            return "NOT_MET" if bucket("verdict", "repair" in r.call) % 3 == 0 else "MET"
+        return f"{stage} {r.conversation_id} {r.turn_index}"
+
+
+def synthesis_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A synthesis over all conversations that broke off after two stages and was run again: turns by state, records by call and attempt, calls made.
+
+    Each conversation plans a turn for each pair of its messages, two at most.
+    """
+    c = _t(spark, sf_dir, "conversations").groupBy(_s("conv_id").alias("conversation_id")).agg(F.least(F.lit(2), F.greatest(F.lit(1), F.expr("count(1) div 2"))).cast("int").alias("planned_turns"))
+    jobs = saved(c.select("conversation_id", F.col("conversation_id").alias("image_id"), "planned_turns"), "jobs")
+    evidence = jobs.select("image_id", F.array(F.lit("visible_entity")).alias("capabilities"), F.array().cast("array<string>").alias("visible_scopes"))
+    calls, table, limits = spark.sparkContext.accumulator(0), _place(spark, "calls"), stages.Limits(attempts=2)
+    for stop in ("holistic_review", None):
+        with contextlib.suppress(PythonException) if stop else contextlib.nullcontext():
+            turns = synthesis.synthesize(jobs, evidence, partial(ScriptedModel, calls, stop), 2, table, limits)
+    states = turns.groupBy(F.concat_ws(" ", F.col("turn_index").cast("string"), "status", F.col("repaired").cast("string"), F.coalesce("failure", F.lit("-"))).alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    records = read_table(spark, table).groupBy(F.concat_ws(" ", "stage", F.col("attempt").cast("string")).alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    made = spark.createDataFrame([("calls made", calls.value)], "name string, n long")
+    return states.unionByName(records).unionByName(made)
+
+
 # -- catalogs, stages, scopes ---------------------------------------------------------------
 
 
@@ -450,7 +497,7 @@ def visual_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        metadata_scan, jsonl_roundtrip, json_lines, file_digests, fixture_keys, blob_store, run_copy, ledger_columns, image_files, ingest_plan, export_bundle, two_writers, stream_append, requirement_stream, windowed_rates,
+        metadata_scan, jsonl_roundtrip, json_lines, file_digests, fixture_keys, blob_store, run_copy, ledger_columns, image_files, ingest_plan, export_bundle, two_writers, stream_append, requirement_stream, synthesis_resume, windowed_rates,
         catalog_capabilities, rubric_catalog, stage_fields, scope_fields, language_gates, model_outputs, joined_reasons, evaluation_spread, training_exclusions, manifest_errors,
         chosen_instructions, message_references, first_dialogues, detailed_status, export_reasons, candidate_patterns, progress_counts,
         set_verification, requirement_spans, requirement_inventories, claim_unions, identities, image_identities, item_identities, pool_identity, commits, visual_grouping,

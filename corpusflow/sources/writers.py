@@ -100,7 +100,7 @@ def commit_turns(spark: SparkSession, turns: DataFrame, table: str, keys: tuple[
 
 def copy_table(spark: SparkSession, source: str, target: str) -> None:
     """A copy of a table: a target that exists is an error."""
-    spark.read.parquet(source).write.mode("errorifexists").parquet(target)
+    read_table(spark, source).write.mode("errorifexists").parquet(target)
 
 
 #: What a backup holds.
