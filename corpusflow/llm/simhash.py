@@ -8,7 +8,8 @@ larger corpus is cut into more blocks (``blocks_for``), which changes the plan,
 
 ``near_duplicates`` links fingerprints of 4-word shingles. ``keep_one`` also links documents by
 fingerprints of their words alone, which change less when single words are edited, if the
-shingles' fingerprints bear the pair out.
+shingles' fingerprints bear the pair out. Word keys that many share are searched in two
+passes: each node against a few hubs, then, exactly, what is still in different components.
 """
 
 from __future__ import annotations
@@ -38,8 +39,12 @@ WORD_TIMES = 2
 SHINGLE_BITS = 11
 #: Keys that more fingerprints than this share are linked through midpoints, not pairs.
 DENSE = 2048
-#: In the search by words, keys that more than this share are linked through this many hubs.
+#: In the search by words, keys that more than this share are linked through this many hubs first, then exactly.
 WORD_DENSE, HUBS = 16, 8
+#: Blocks of a shingles' fingerprint: at most ``SHINGLE_BITS`` differing bits leave three of them untouched.
+FINE_BLOCKS = SHINGLE_BITS + 3
+#: Nodes outside of a key's largest component that are compared with all its nodes; more are dealt by fine blocks.
+STRAY = 364
 _CHUNK = 1 << 16
 
 
@@ -112,6 +117,16 @@ def blocks_for(prints: int, max_bits: int = MAX_BITS) -> int:
     return blocks
 
 
+def _dealt(prints: DataFrame, keys: list[int]) -> DataFrame:
+    """A row (fp, p, i, k) for each key: its number, and the bits of ``p`` that it keeps."""
+    dealt = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col("p").bitwiseAND(F.lit(_signed(k))).alias("k")) for i, k in enumerate(keys)]))
+    return prints.select("fp", "p", dealt.alias("d")).select("fp", "p", F.col("d.i").alias("i"), F.col("d.k").alias("k"))
+
+
+def _counts(by: DataFrame) -> DataFrame:
+    return by.groupBy("i", "k").agg(F.count(F.lit(1)).alias("n"))
+
+
 def links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int | None = None, dense: int = DENSE, key: str = "fp", node_bits: int | None = None) -> DataFrame:
     """Links ``u``, ``v`` between the nodes ``fp`` of ``prints`` whose ``key`` columns differ in at most ``max_bits`` bits.
 
@@ -128,9 +143,7 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int | None = None
     meet in such a midpoint and no others do, so the links are the same, and the rows grow
     with the number of fingerprints, not of pairs.
 
-    With ``node_bits`` such a key has ``HUBS`` hubs instead, picked by hashes, with which all its
-    nodes are compared: near copies of one text, which are what fills such a key, are linked
-    through these, but a link of two nodes there of which neither is like a hub can be missed.
+    With ``node_bits`` keys shared by over ``dense`` are left out here and are the business of ``crowded_links``.
     """
     prints = prints.select("fp", F.col(key).alias("p"))
     if blocks is None:
@@ -138,9 +151,8 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int | None = None
     masks, take = _block_masks(blocks), blocks - max_bits
     combos = list(combinations(range(blocks), take))
     keys = [sum(masks[b] for b in c) for c in combos]
-    dealt = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col("p").bitwiseAND(F.lit(_signed(k))).alias("k")) for i, k in enumerate(keys)]))
-    by = prints.select("fp", "p", dealt.alias("d")).select("fp", "p", F.col("d.i").alias("i"), F.col("d.k").alias("k"))
-    crowded = saved(by.groupBy("i", "k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > dense).select("i", "k"), "crowded")
+    by = _dealt(prints, keys)
+    crowded = saved(_counts(by).where(F.col("n") > dense).select("i", "k"), "crowded")
 
     few = by.join(crowded, ["i", "k"], "left_anti")
     left, right = few.select("i", "k", F.col("fp").alias("u"), F.col("p").alias("x")), few.select(F.col("i").alias("i2"), F.col("k").alias("k2"), F.col("fp").alias("v"), F.col("p").alias("y"))
@@ -149,13 +161,9 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int | None = None
     on = (F.col("i") == F.col("i2")) & (F.col("k") == F.col("k2")) & (F.col("u") < F.col("v")) & F.expr(f"bit_count(x ^ y) <= {max_bits}") & near_nodes & F.expr(f"{equal} = {take}")
     pairs = left.join(right.hint("merge"), on).select("u", "v")
 
-    many = by.join(crowded, ["i", "k"])
     if node_bits is not None:
-        picked = F.array(*[F.min(F.struct(F.xxhash64("fp", F.lit(seed)).alias("h"), F.col("fp").alias("v"), F.col("p").alias("y"))) for seed in range(HUBS)])
-        hubs = many.groupBy("i", "k").agg(picked.alias("hubs")).select("i", "k", F.explode(F.array_distinct("hubs")).alias("hub")).select("i", "k", "hub.v", "hub.y")
-        spokes = many.select("i", "k", F.col("fp").alias("u"), F.col("p").alias("x")).join(hubs, ["i", "k"])
-        spokes = spokes.where((F.col("u") != F.col("v")) & F.expr(f"bit_count(x ^ y) <= {max_bits}") & near_nodes)
-        return pairs.unionByName(spokes.select("u", "v").distinct())
+        return pairs
+    many = by.join(crowded, ["i", "k"])
 
     flips = []
     for k in keys:
@@ -170,17 +178,85 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int | None = None
     return pairs.unionByName(through)
 
 
+def crowded(pairs: DataFrame, dense: int, max_bits: int = MAX_BITS) -> DataFrame:
+    """Rows (fp, p, key) of the word keys that more than ``dense`` of ``pairs`` (fp, words) share, and their number ``n``."""
+    blocks = blocks_for(pairs.count(), max_bits)
+    masks = _block_masks(blocks)
+    by = _dealt(pairs.select("fp", F.col("words").alias("p")), [sum(masks[b] for b in c) for c in combinations(range(blocks), blocks - max_bits)])
+    keyed = by.select("fp", "p", F.struct("i", "k").alias("key"))
+    full = saved(_counts(by).where(F.col("n") > dense).select(F.struct("i", "k").alias("key"), "n"), "full")
+    return saved(joined_by_hot_key(keyed, full.withColumn("rows", F.col("n")), "key", "rows"), "crowded")
+
+
+def _compared(rows: DataFrame, others: DataFrame, max_bits: int, node_bits: int) -> DataFrame:
+    """Links of ``rows`` (key, fp, p, root) with the few nodes ``others`` (key, n, others: fp, p, root) of their key, of other roots if these are known."""
+    met = joined_by_hot_key(rows, others, "key", "n")
+    near = F.filter("others", lambda o: (o["fp"] != F.col("fp")) & ~o["root"].eqNullSafe(F.col("root")) & (F.bit_count(o["p"].bitwiseXOR(F.col("p"))) <= max_bits) & (F.bit_count(o["fp"].bitwiseXOR(F.col("fp"))) <= node_bits))
+    return met.select(F.col("fp").alias("u"), F.explode(near).alias("o")).select("u", F.col("o.fp").alias("v")).distinct()
+
+
+def hub_links(many: DataFrame, max_bits: int = MAX_BITS, node_bits: int = SHINGLE_BITS) -> DataFrame:
+    """Links of the nodes of crowded keys with ``HUBS`` nodes of their key, picked by hashes: a cheap pass that joins most of what belongs together."""
+    hub = F.struct(F.xxhash64("fp", F.lit(0)).alias("h"), "fp", "p")
+    picked = [F.min(hub.withField("h", F.xxhash64("fp", F.lit(seed)))) for seed in range(HUBS)]
+    hubs = many.groupBy("key").agg(F.max("n").alias("n"), F.array_distinct(F.array(*picked)).alias("hubs"))
+    others = F.transform("hubs", lambda x: F.struct(x["fp"].alias("fp"), x["p"].alias("p"), x["fp"].alias("root")))
+    return _compared(many.select("key", "fp", "p", F.col("fp").alias("root")), hubs.select("key", "n", others.alias("others")), max_bits, node_bits)
+
+
+def stray_links(many: DataFrame, roots: DataFrame, max_bits: int = MAX_BITS, node_bits: int = SHINGLE_BITS, stray: int = STRAY) -> DataFrame:
+    """Links in crowded keys between nodes of different components (``roots``: node, root): with those known, all that is missing.
+
+    A key whose nodes are in one component already needs no look. Elsewhere each link
+    between components has an end outside of the key's largest one. Where at most ``stray``
+    nodes are outside, these are compared with all nodes of the key. Where there are more, nodes
+    are dealt by three of ``FINE_BLOCKS`` blocks of their own fingerprint, of which a pair at
+    most ``SHINGLE_BITS`` apart has three in common, and in each such part the nodes outside are
+    compared with the others. Both find every link, so ``stray`` changes the work, not the result.
+    """
+    placed = saved(joined_by_hot_key(many.withColumnRenamed("n", "size"), _root_of(many, roots), "fp", "times").withColumnRenamed("size", "n"), "placed")
+    sizes = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"), F.max("n").alias("n"))
+    keys = sizes.groupBy("key").agg(F.max("n").alias("n"), F.max(F.struct("m", "root")).alias("top")).where("top.m < n")
+    keys = saved(keys.select("key", "n", F.col("top.root").alias("top"), (F.col("n") - F.col("top.m")).alias("outside")), "keys")
+    rows = saved(joined_by_hot_key(placed.drop("n"), keys.withColumn("rows", F.col("n")), "key", "rows"), "rows")
+
+    small = rows.where(F.col("outside") <= stray)
+    outside = small.where("root <> top").groupBy("key").agg(F.max("n").alias("n"), F.collect_list(F.struct("fp", "p", "root")).alias("others"))
+    direct = _compared(small.select("key", "fp", "p", "root"), outside, max_bits, node_bits)
+
+    masks = _block_masks(node_bits + 3)
+    fine = F.array(*[F.lit(_signed(sum(masks[b] for b in c))) for c in combinations(range(node_bits + 3), 3)])
+    dealt = rows.where(F.col("outside") > stray).select("key", "fp", "p", "root", (F.col("root") != F.col("top")).alias("out"), F.posexplode(fine).alias("j", "mask"))
+    dealt = dealt.select("key", "fp", "p", "root", "out", "j", F.col("fp").bitwiseAND(F.col("mask")).alias("part"))
+    left = dealt.where("out").select("key", "j", "part", F.col("fp").alias("u"), F.col("p").alias("x"), F.col("root").alias("a"))
+    right = dealt.select("key", "j", "part", F.col("fp").alias("v"), F.col("p").alias("y"), F.col("root").alias("b"))
+    met = left.hint("merge").join(right, ["key", "j", "part"]).where(F.expr(f"a <> b and bit_count(x ^ y) <= {max_bits} and bit_count(u ^ v) <= {node_bits}"))
+    return direct.unionByName(met.select("u", "v").distinct())
+
+
+def _between(more: DataFrame, roots: DataFrame) -> DataFrame:
+    """Links between nodes as links between their components."""
+    for end in ("u", "v"):
+        more = more.join(roots.select(F.col("node").alias(end), F.col("root").alias("__r")), end, "left").withColumn(end, F.coalesce("__r", end)).drop("__r")
+    return more
+
+
+def _root_of(many: DataFrame, roots: DataFrame) -> DataFrame:
+    """Each node of ``many`` with its component and the number of its rows."""
+    times = many.groupBy("fp").agg(F.count(F.lit(1)).alias("times"))
+    return times.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "times", F.coalesce("root", "fp").alias("root"))
+
+
 def _nodes(own: DataFrame) -> DataFrame:
     return saved(own.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "nodes")
 
 
-def _with_component(own: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """``own`` (with doc_id and fp) and ``component_id``: the smallest doc_id of the fingerprints that links reach from ``fp``.
+def _with_component(own: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """``own`` (with doc_id and fp) and ``component_id``: the smallest doc_id of the component of ``fp``.
 
     A fingerprint, or a component, that holds a large share of all rows is spread over tasks
     in both joins.
     """
-    roots = components(edges)
     named = saved(nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root")), "named")
     whole = named.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("m"))
     found = joined_by_hot_key(named.select("root", "fp", "n"), whole, "root", "m")
@@ -200,7 +276,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     own = saved(docs.select(F.col(doc_id).cast("long").alias("doc_id"), _fingerprint(docs[text]).alias("fp")), "prints")
     nodes = _nodes(own)
-    found = _with_component(own, nodes, links(nodes.select("fp"), max_bits, dense=dense))
+    found = _with_component(own, nodes, components(links(nodes.select("fp"), max_bits, dense=dense)))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
@@ -221,7 +297,15 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_bi
     nodes, pairs = _nodes(own), saved(own.select("fp", "words").distinct(), "pairs")
     by_shingles = links(nodes.select("fp"), max_bits, dense=dense)
     by_words = links(pairs, max_bits, dense=word_dense, key="words", node_bits=SHINGLE_BITS)
-    found = _with_component(own.select("doc_id", "own", "fp"), nodes, by_shingles.unionByName(by_words))
+    many = crowded(pairs, word_dense, max_bits)
+    edges = saved(by_shingles.unionByName(by_words).unionByName(hub_links(many, max_bits)), "links")
+    roots = saved(components(edges), "roots")
+    more = saved(stray_links(many, roots, max_bits), "more")
+    if more.limit(1).count():
+        # what was found joins whole components, so only their roots are looked at again
+        joined = components(_between(more, roots))
+        roots = roots.join(joined.select(F.col("node").alias("root"), F.col("root").alias("over")), "root", "left").select("node", F.coalesce("over", "root").alias("root")).unionByName(joined.join(roots, "node", "left_anti"))
+    found = _with_component(own.select("doc_id", "own", "fp"), nodes, roots)
     gone_id, gone_text = free_name(docs, "gone_id"), free_name(docs, "gone_text")
     gone = saved(found.where("component_id is not null and (doc_id is null or doc_id <> component_id)").select(F.col("doc_id").alias(gone_id), F.col("own").alias(gone_text)).distinct(), "gone")
     same = docs[doc_id].cast("long").eqNullSafe(gone[gone_id]) & (F.xxhash64(docs[text]) == gone[gone_text])

@@ -1,6 +1,7 @@
 import random
 from itertools import combinations
 
+import pytest
 import xxhash
 
 from corpusflow.llm import simhash
@@ -168,7 +169,7 @@ def test_kept_documents_match_brute_force_and_recall_is_stated(spark):
             caught += linked
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     want = sorted({find(i) for i in range(len(rows))})
-    for dense in (simhash.WORD_DENSE, 1):
+    for dense in (simhash.WORD_DENSE, 1, 10**9):
         kept = sorted(r["doc_id"] for r in simhash.keep_one(docs, word_dense=dense).collect())
         assert kept == want
         assert {family[d] for d in kept} == set(family.values())
@@ -184,6 +185,60 @@ def test_a_large_group_of_near_copies_is_one_group(spark):
     assert len(kept) - 20 <= 3
 
 
+@pytest.mark.parametrize(("pairs", "dense", "stray"), [(20, 16, 364), (20, 16, 3), (20, 10**9, 364), (60, 1, 10)])
+def test_crowded_word_keys_lose_no_link(spark, monkeypatch, pairs, dense, stray):
+    """Near copies of many texts of one bag of words: all share every word key, and only the shingles tell the pairs apart."""
+    monkeypatch.setattr(simhash.stray_links, "__defaults__", (*simhash.stray_links.__defaults__[:2], stray))
+    rng = random.Random(3)
+    bag = [f"w{k}" for k in range(240)]
+    rows = []
+    while len(rows) < 2 * pairs:
+        base = rng.sample(bag, len(bag))
+        other = list(base)
+        for _ in range(3):
+            k = rng.randrange(len(bag) - 1)
+            other[k], other[k + 1] = other[k + 1], other[k]
+        a, b = " ".join(base), " ".join(other)
+        if 5 <= (brute_fingerprint(a) ^ brute_fingerprint(b)).bit_count() <= simhash.SHINGLE_BITS:
+            rows += [(len(rows), a), (len(rows) + 1, b)]
+    kept = sorted(r["doc_id"] for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), word_dense=dense).collect())
+    assert kept == list(range(0, 2 * pairs, 2))
+
+
+def test_links_between_components_are_all_found(spark):
+    """Random prints in one word key, some near: the components afterwards are those of all pairs."""
+    rng = random.Random(9)
+    prints = set()
+    while len(prints) < 120:
+        base = rng.getrandbits(64)
+        prints.add(base)
+        for bits in (3, 9, 11, 12):
+            x = base
+            for b in rng.sample(range(64), bits):
+                x ^= 1 << b
+            prints.add(x)
+    order = sorted(prints)
+    root = {x: x for x in order}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in combinations(order, 2):
+        if (a ^ b).bit_count() <= simhash.SHINGLE_BITS:
+            low, high = sorted((find(a), find(b)))
+            root[high] = low
+    pairs = spark.createDataFrame([(simhash._signed(x), 5) for x in order], "fp long, words long")
+    many = simhash.crowded(pairs, 1)
+    edges = simhash.hub_links(many)
+    for stray in (1000, 0):
+        more = simhash.stray_links(many, simhash.components(edges), stray=stray)
+        got = {r["node"]: r["root"] for r in simhash.components(edges.unionByName(more)).collect()}
+        groups = lambda of: sorted(sorted(g) for g in {k: [x for x in order if of(x) == k] for k in {of(x) for x in order}}.values())
+        assert groups(find) == groups(lambda x: got.get(simhash._signed(x), simhash._signed(x)))
+
+
 def test_more_blocks_give_the_same_links(spark):
     rng = random.Random(5)
     prints = set()
