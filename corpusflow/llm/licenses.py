@@ -17,6 +17,8 @@ from corpusflow.llm.license_rules import rules
 
 #: Base phrases and their labels; a base label always stays.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
+#: Places that are summed up one by one.
+BLOCK = 64
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What isn't part of a word, once A-Z are lower-cased (here: before, so A-Z are part of words).
 _BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -76,6 +78,8 @@ def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
     ``score`` is ``1 - 2 ** -k`` for ``k`` intervals that stay and base labels. Null and
     empty texts have no words, no labels and score 0; repeated rows give repeated rows, an
     empty table an empty result; other columns are ignored. No row leaves its partition.
+    Texts of any length are scanned whole, and the work follows their length and the number
+    of places of all rules in them.
     """
     table = rules()
     keywords = sorted({r[3] for r in table} | {p.split()[-1] for p, _ in BASE})
@@ -119,27 +123,46 @@ def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
     )
 
 
+def _let(name: str, values: dict[str, str], then: str) -> str:
+    """SQL of ``then``, in which the fields of ``name`` are values that are evaluated once."""
+    return f"transform(array(struct({', '.join(f'{v} as {k}' for k, v in values.items())})), {name} -> {then})[0]"
+
+
+def _blocks(items: str) -> str:
+    """SQL of an array cut into blocks of ``BLOCK`` items."""
+    return f"transform(sequence(0, (size({items}) - 1) div {BLOCK}), b -> slice({items}, b * {BLOCK} + 1, {BLOCK}))"
+
+
 def _intervals(parts: DataFrame, literal: Column) -> DataFrame:
-    """All places of the rules whose keyword a text holds, as intervals of words in order of start, longest first."""
+    """All places of the rules whose keyword a text holds, as intervals of words in order of start, longest first.
+
+    A place starts at the sum of all words before it. Sums run inside of blocks of a fixed size
+    and over the blocks' totals, so the work follows the number of places.
+    """
     tried = F.when(F.size("found") > 0, F.filter(literal, lambda r: F.array_contains(F.col("found"), r["keyword"])))
-    hits = f"""
-      flatten(transform(tried, r -> transform(array(struct(split(words, r.pattern, -1) as gaps, regexp_extract_all(words, r.pattern, 0) as got)), p ->
-        aggregate(sequence(1, size(p.got) + 1), struct(0 as at, cast(array() as array<struct<first: int, last: int, rank: int, rule: int, priority: int, label: string>>) as hits),
-          (acc, k) -> if(k > size(p.got), acc, struct(
-            acc.at + {_spaces("p.gaps[k - 1]")} + {_spaces("p.got[k - 1]")} as at,
-            array_append(acc.hits, struct(acc.at + {_spaces("p.gaps[k - 1]")} as first, -(acc.at + {_spaces("p.gaps[k - 1]")} + {_spaces("p.got[k - 1]")}) as last, -r.priority as rank, r.rule as rule, r.priority as priority, r.label as label)) as hits)),
-          acc -> acc.hits))[0]))"""
-    return parts.withColumn("tried", tried).withColumn("hits", F.expr(f"array_sort(coalesce({hits}, array()))")).drop("tried", "words", "found")
+    total = "aggregate({}, 0, (s, y) -> s + y)"
+    before = f"aggregate(q.blocks, struct(0 as at, cast(array() as array<int>) as out), (acc, x) -> struct(acc.at + {total.format('x')} as at, array_append(acc.out, acc.at) as out), acc -> acc.out)"
+    sums = f"flatten(transform(t.blocks, (x, b) -> transform(x, (y, i) -> t.before[b] + {total.format('slice(x, 1, i)')})))"
+    place = "struct(s.sums[k] + s.gaps[k] as first, -(s.sums[k] + s.gaps[k] + x) as last, -r.priority as rank, r.rule as rule, r.priority as priority, r.label as label)"
+    hits = _let("s", {"sums": sums, "gaps": "t.gaps", "got": "t.got"}, f"transform(s.got, (x, k) -> {place})")
+    hits = _let("t", {"blocks": "q.blocks", "before": before, "gaps": "q.gaps", "got": "q.got"}, hits)
+    hits = _let("q", {"blocks": _blocks("p.steps"), "gaps": "p.gaps", "got": "p.got"}, hits)
+    hits = _let("p", {"steps": "zip_with(slice(o.gaps, 1, size(o.got)), o.got, (a, z) -> a + z)", "gaps": "o.gaps", "got": "o.got"}, hits)
+    hits = _let("o", {"gaps": f"transform(split(words, r.pattern, -1), x -> {_spaces('x')})", "got": f"transform(regexp_extract_all(words, r.pattern, 0), x -> {_spaces('x')})"}, hits)
+    return parts.withColumn("tried", tried).withColumn("hits", F.expr(f"array_sort(coalesce(flatten(transform(tried, r -> {hits})), array()))")).drop("tried", "words", "found")
 
 
 def _kept(hits: DataFrame, levels: int) -> DataFrame:
-    """Sweep the intervals: ``ends[p]`` is the farthest end so far of priority ``p`` or more."""
-    kind = "array<struct<first: int, end: int, priority: int, rule: int, label: string>>"
-    sweep = f"""
-      aggregate(hits, struct(array_repeat(-1, {levels}) as ends, cast(array() as {kind}) as kept),
-        (acc, h) -> struct(
-          transform(acc.ends, (e, p) -> if(p < h.priority, greatest(e, -h.last), e)) as ends,
-          if(acc.ends[h.priority - 1] >= -h.last, acc.kept,
-             array_append(acc.kept, struct(h.first as first, -h.last as end, h.priority as priority, h.rule as rule, h.label as label))) as kept),
-        acc -> acc.kept)"""
-    return hits.withColumn("kept", F.expr(sweep)).drop("hits")
+    """The intervals that no earlier one of their priority or more reaches beyond.
+
+    ``ends[p]`` is the farthest end so far of priority over ``p``: of the blocks before, and of the
+    intervals before in the same block.
+    """
+    farthest = "aggregate({}, -1, (e, y) -> if(y.priority >= {}, greatest(e, -y.last), e))"
+    ends = f"transform(sequence(1, {levels}), p -> {farthest.format('x', 'p')})"
+    before = f"aggregate(q.blocks, struct(array_repeat(-1, {levels}) as ends, cast(array() as array<array<int>>) as out), (acc, x) -> struct(zip_with(acc.ends, {ends}, (a, z) -> greatest(a, z)) as ends, array_append(acc.out, acc.ends) as out), acc -> acc.out)"
+    stays = f"t.before[b][h.priority - 1] < -h.last and {farthest.format('slice(x, 1, i)', 'h.priority')} < -h.last"
+    kept = _let("t", {"blocks": "q.blocks", "before": before}, f"flatten(transform(t.blocks, (x, b) -> filter(x, (h, i) -> {stays})))")
+    kept = _let("q", {"blocks": _blocks("hits")}, kept)
+    shown = "transform(kept, h -> struct(h.first as first, -h.last as end, h.priority as priority, h.rule as rule, h.label as label))"
+    return hits.withColumn("kept", F.expr(kept)).withColumn("kept", F.expr(shown)).drop("hits")

@@ -120,3 +120,17 @@ def test_gate_loses_no_alternative(spark):
     named = {"Q Public License": "qpl-1.0", "for noncommercial use only": "non-commercial", "End-User License Agreement": "proprietary"}
     out = {r["text"]: r["labels"] for r in licenses.scan(spark.createDataFrame([(t, t) for t in named], "doc_id string, text string")).withColumnRenamed("doc_id", "text").collect()}
     assert out == named
+
+
+def test_many_places_in_one_text(spark):
+    """Sums and sweeps over several blocks of places: the same as counted one by one, and near copies of a text many times over."""
+    from corpusflow.llm import licenses
+
+    text = "permission is hereby granted free of charge to any person under the apache license version 2 "
+    n = 3 * licenses.BLOCK + 5
+    one = licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    many = licenses.scan(spark.createDataFrame([(1, text * n)], "doc_id long, text string")).first()
+    words = one["n_words"]
+    assert many["n_words"] == n * words and many["n_base"] == n and many["last_word"] == (n - 1) * words + one["last_word"]
+    want = [(d["first"] + k * words, d["end"] + k * words, d["priority"], d["rule"], d["label"]) for k in range(n) for d in one["detections"]]
+    assert [tuple(d) for d in many["detections"]] == want
