@@ -34,6 +34,8 @@ RAW = frozenset("script style title textarea".split())
 FLAT = frozenset("button select noscript iframe".split())
 APART = frozenset("nav header footer aside form menu dialog".split())
 MAIN = frozenset("article main".split())
+#: Elements that hold the article only if they hold all there is of article elements, or if nothing closes them.
+NARROW = frozenset("nav header footer menu dialog".split())
 #: Names in a class, id or role that mark what isn't main text; a name counts as a whole word of the attribute.
 APART_NAMES = frozenset(
     "ad ads advert advertisement adverts advertising alert banner breadcrumb breadcrumbs comment comments commentlist commenter complementary consent contentinfo cookie cookies copyright dialog disclaimer disqus footer form gdpr header legal login masthead menu modal nav navbar navigation newsletter notice notification overlay pagination pager paywall popup promo promoted promotion recommended related reply replies respond rss share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar topbar widget".split()
@@ -69,10 +71,25 @@ class _Mark:
     kind: str
     blocks: int
     mains: int
+    #: Whether it is one that may stand around a whole page, as a form does.
+    wide: bool = False
     blocks_end: int = -1
     mains_end: int = -1
 
 
+def _matched(ends: list[bool], flat: bool) -> list[bool]:
+    """Of starts and ends (true) in order, which starts are closed: by an end before the next start, or by count."""
+    out, open_ = [False] * len(ends), []
+    for k, end in enumerate(ends):
+        if not end:
+            if flat:
+                open_.clear()
+            open_.append(k)
+        elif open_:
+            out[open_.pop()] = True
+    return out
+
+
 class _Blocks(HTMLParser):
     """One pass over a page. Containers are tracked leniently: an end tag closes the nearest open one of its name."""
 
@@ -80,13 +97,16 @@ class _Blocks(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
         self.open: list[tuple[str, _Mark | None, bool]] = []  # name, mark, main
+        #: Places in ``open`` of the elements of each name, and of those with a mark or main.
+        self.places: dict[str, list[int]] = {}
+        self.holders: list[int] = []
         self.marks: list[_Mark] = []
         self.main = self.mains = self.skipped = 0
         self.links = 0
         self.parts: list[str] = []
         self.link_parts: list[str] = []
         self.skip_name = ""
-        #: Where elements of a name that is left out start and end in the page (false: start), found when first met.
+        #: Where elements of a name that is left out start and end in the page, and which starts are closed, found when first met.
         self.page = ""
         self.edges: dict[str, tuple[list[int], list[bool]]] = {}
         self.lines: list[int] = []
@@ -95,18 +115,12 @@ class _Blocks(HTMLParser):
         """Whether the element that starts here has an end tag: one that comes before the next start, or closes it by count."""
         if tag not in self.edges:
             found = [(m.start(), m.group(1) == "/") for m in re.finditer(rf"<(/?){tag}(?=[\s/>])", self.page, re.I)]
-            self.edges[tag] = [k for k, _ in found], [end for _, end in found]
+            self.edges[tag] = [k for k, _ in found], _matched([end for _, end in found], tag in FLAT)
             self.lines = self.lines or [0, *(m.end() for m in re.finditer("\n", self.page))]
-        at, ends = self.edges[tag]
+        at, closed = self.edges[tag]
         line, offset = self.getpos()
-        k, depth = bisect_left(at, self.lines[line - 1] + offset), 0
-        if tag in FLAT:
-            return k + 1 < len(ends) and ends[k + 1]
-        for end in ends[k:]:
-            depth += -1 if end else 1
-            if not depth:
-                return True
-        return False
+        k = bisect_left(at, self.lines[line - 1] + offset)
+        return k < len(closed) and closed[k]
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if self.skip_name:
@@ -138,9 +152,13 @@ class _Blocks(HTMLParser):
             self._push(tag, "" if tag in ("html", "body") else kind, main)
 
     def _push(self, tag: str, kind: str, main: bool) -> None:
-        mark = _Mark(kind, len(self.blocks), self.mains) if kind else None
+        # an article that is hidden itself stays hidden
+        mark = _Mark(kind, len(self.blocks), self.mains + (main and kind == "tag"), tag not in NARROW) if kind else None
         if mark:
             self.marks.append(mark)
+        self.places.setdefault(tag, []).append(len(self.open))
+        if mark or main:
+            self.holders.append(len(self.open))
         self.open.append((tag, mark, main))
         self.main += main
         self.mains += main
@@ -160,22 +178,21 @@ class _Blocks(HTMLParser):
         if tag == "a":
             self.links = 0
             return
-        if tag in INLINE and not any(x[0] == tag for x in self.open):
-            return
-        if tag in VOID:
+        places = self.places.get(tag)
+        if tag in VOID or (tag in INLINE and not places):
             return
         self.flush()
         self.links = 0
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] == tag:
-                for _, mark, main in self.open[k:]:
-                    if mark:
-                        mark.blocks_end, mark.mains_end = len(self.blocks), self.mains
-                    self.main -= main
-                del self.open[k:]
-                return
-            if tag in ("p", "li", "td", "th", "tr", "dd", "dt") and (self.open[k][1] or self.open[k][2]):
-                return  # a stray end tag doesn't close the container around it
+        if not places or (tag in ("p", "li", "td", "th", "tr", "dd", "dt") and self.holders and self.holders[-1] > places[-1]):
+            return  # a stray end tag doesn't close the container around it
+        for _ in range(len(self.open) - places[-1]):
+            name, mark, main = self.open.pop()
+            self.places[name].pop()
+            if mark or main:
+                self.holders.pop()
+            if mark:
+                mark.blocks_end, mark.mains_end = len(self.blocks), self.mains
+            self.main -= main
 
     def handle_data(self, data: str) -> None:
         if not self.skip_name:
@@ -196,10 +213,19 @@ class _Blocks(HTMLParser):
         """Mark the blocks at the end of the page, when it is known what each marked element holds."""
         for m in self.marks:
             if m.blocks_end < 0:
-                m.blocks_end, m.mains_end = len(self.blocks), self.mains
+                m.blocks_end, m.mains_end, m.wide = len(self.blocks), self.mains, True
         n = len(self.blocks)
-        fixed = _covered(n, [m for m in self.marks if m.kind == "tag"])
-        long = np.array([b.words if b.words >= LONG_WORDS and b.linked <= LONG_LINKED * b.words else 0 for b in self.blocks]) * ~fixed
+        long = np.array([b.words if b.words >= LONG_WORDS and b.linked <= LONG_LINKED * b.words else 0 for b in self.blocks], int)
+        every = np.concatenate([[0], np.cumsum(long)])
+
+        def around(m: _Mark) -> bool:
+            """Whether an element that a tag marks stands around the article, and so sets nothing apart."""
+            if self.mains:
+                return m.mains == 0 and m.mains_end == self.mains
+            return m.wide and 5 * (every[m.blocks_end] - every[m.blocks]) > 4 * every[-1]
+
+        self.marks = [m for m in self.marks if m.kind != "tag" or not around(m)]
+        long = long * ~_covered(n, [m for m in self.marks if m.kind == "tag"])
         upto = np.concatenate([[0], np.cumsum(long)])
         upto_main = np.concatenate([[0], np.cumsum(long * np.array([b.in_article for b in self.blocks], bool))])
 

@@ -179,3 +179,52 @@ def test_whole_table_matches_brute_force(spark, small):
                 kept.append(text)
         assert got[r["page_id"]] == "\n".join(kept), r["page_id"]
     assert len(got) == pages.count() and all(got.values())
+
+
+ARTICLE = "<h1>Title</h1><p>" + "prose of the article " * 12 + "</p><p>Short.</p><p>" + "more of the same " * 12 + "</p>"
+WANT = "Title\n" + ("prose of the article " * 12).strip() + "\nShort.\n" + ("more of the same " * 12).strip()
+
+
+def test_elements_around_the_article_keep_it():
+    for around in ('<form id="aspnetForm">{}</form>', "<aside>{}</aside>", '<div aria-hidden="true">{}</div>', "<nav><a href='/'>Home</a><p></p>{}", '<form><div hidden>{}</div></form>'):
+        got = H.main_text(f"<body><header>Site of mine</header>{around.format(f'<article>{ARTICLE}</article>')}<footer>Copyright of somebody</footer></body>")
+        assert got.removeprefix("Home\n") == WANT, around
+    menu = "<nav><ul><li><a href='/'>Home</a></li></ul></nav>"
+    for around in ('<form id="aspnetForm">{}</form>', "<aside>{}</aside>", '<div aria-hidden="true">{}</div>'):
+        got = H.main_text(f"<body>{menu}{around.format('<div>' + ARTICLE + '</div>')}</body>")
+        assert ("prose of the article " * 12).strip() in got and ("more of the same " * 12).strip() in got and "Home" not in got, around
+    inner = f"<body><article>{ARTICLE}<form><p>{'subscribe to our letter of news ' * 20}</p></form><aside><p>{'other stories ' * 40}</p></aside></article></body>"
+    assert H.main_text(inner) == WANT
+    long_footer = f"<body><article>{ARTICLE}</article><footer><p>{'terms and conditions of use ' * 90}</p></footer></body>"
+    assert H.main_text(long_footer) == WANT
+
+
+def test_long_and_deep_pages_take_time_by_their_length():
+    import time
+
+    n = 100_000
+    for page in ("<svg>" * n + "text", "<div>" * n + "</b>" * n + "text", "<ul><li>a<article>" + "<div>" * n + "</li>" * n + "x", "<button>" * n, "<span class=ad>" * n, "<p>a</p>" * n):
+        began = time.process_time()
+        H.blocks_of(page)
+        assert time.process_time() - began < 12
+
+
+def test_starts_that_an_end_closes():
+    def plain(ends, flat):
+        out = []
+        for k, end in enumerate(ends):
+            depth = 0
+            closed = not end and flat and k + 1 < len(ends) and ends[k + 1]
+            for x in [] if end or flat else ends[k:]:
+                depth += -1 if x else 1
+                if not depth:
+                    closed = True
+                    break
+            out.append(bool(closed))
+        return out
+
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        ends = (rng.random(rng.integers(0, 12)) < 0.5).tolist()
+        for flat in (True, False):
+            assert H._matched(ends, flat) == plain(ends, flat)
