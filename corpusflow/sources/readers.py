@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import csv
 from pathlib import Path
 from typing import Any
 
@@ -14,6 +13,7 @@ from pyspark.sql import types as T
 from corpusflow.functions.hashing import sha
 from corpusflow.functions.text import not_blank, strict_json_error, strict_object
 from corpusflow.operators.eligibility import ManifestError, safe_path
+from corpusflow.sources.csv_scan import read_csv
 
 
 class UniqueKeys(yaml.SafeLoader):
@@ -64,17 +64,8 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, strict: boo
 
 
 def read_metadata(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """CSV metadata with a header: missing or repeated columns and malformed rows are errors."""
-    header = spark.read.text(path).limit(1).collect()
-    names = next(csv.reader([header[0][0].removeprefix("\ufeff")]), []) if header else []
-    if not set(columns) <= set(names):
-        raise ManifestError("METADATA_COLUMNS", "a column is missing")
-    if len(set(names)) != len(names):
-        raise ManifestError("METADATA_COLUMNS", "a column is repeated")
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    options = {"header": "true", "mode": "FAILFAST", "enforceSchema": "false", "quote": '"', "escape": '"', "multiLine": "true", "nullValue": "\0", "emptyValue": ""}
-    # an empty field is an empty string, not a null
-    return spark.read.schema(schema).options(**options).csv(path).fillna("")
+    """CSV metadata with a header, in as many tasks as the files have splits; missing or repeated columns and malformed rows are errors (``csv_scan``)."""
+    return read_csv(spark, path, columns)
 
 
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
