@@ -20,7 +20,7 @@ from corpusflow.functions.text import RejectedJson
 from corpusflow.operators import consensus, eligibility, ledger, pool
 from corpusflow.plans import ingest, synthesis
 from corpusflow.session import local_session
-from corpusflow.sources import readers, writers
+from corpusflow.sources import files, readers, writers
 
 EXIT_CODES = {ValueError: 2, RejectedJson: 3, eligibility.ManifestError: 3, PermissionError: 4, RuntimeError: 5}
 
@@ -57,7 +57,9 @@ def prepare_local_train(spark: SparkSession, a: argparse.Namespace) -> dict:
     """A training sample of a local metadata file without evaluation ids, and the counts of skipped rows."""
     m = readers.read_metadata(spark, a.metadata, [f.name for f in eligibility.METADATA])
     excluded = _read(spark, a.excluded).select("image_id") if a.excluded else spark.createDataFrame([], "image_id string")
-    picked = eligibility.train_sample(m, excluded, a.count, a.seed)
+    probe = files.probe(a.image_root) if a.image_root else None
+    named = m.withColumn("image_path", F.concat("ImageID", F.lit(".jpg"))) if probe else m
+    picked = eligibility.train_sample(named, excluded, a.count, a.seed, probe)
     picked.write.parquet(f"{a.destination}/metadata")
     marked = m.join(excluded.distinct().withColumn("__x", F.lit(True)), m["ImageID"] == excluded["image_id"], "left")
     counts = eligibility.reason_counts(marked.withColumn("reason", eligibility.train_reason(F.coalesce(F.col("__x"), F.lit(False)))))
@@ -191,7 +193,7 @@ def backup(spark: SparkSession, a: argparse.Namespace) -> dict:
 COMMANDS: dict[str, tuple] = {
     "compile": (compile_, [("config", ...), ("output", ...)]),
     "prepare": (prepare, [("metadata", ...), ("destination", ...), ("count", 32), ("seed", hashing.SEED)]),
-    "prepare-local-train": (prepare_local_train, [("metadata", ...), ("destination", ...), ("excluded", ""), ("count", 32), ("seed", hashing.SEED)]),
+    "prepare-local-train": (prepare_local_train, [("metadata", ...), ("destination", ...), ("excluded", ""), ("image-root", ""), ("count", 32), ("seed", hashing.SEED)]),
     "doctor": (doctor, []),
     "profile": (profile, [("ledger", ...)]),
     "make-fixtures": (make_fixtures, [("destination", ...), ("languages", ["en"]), ("pairs", 2), ("seed", hashing.SEED)]),

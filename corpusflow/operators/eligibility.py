@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusflow.functions.hashing import SEED, is_hex, sha
+from corpusflow.session import forget, saved
 
 # Fixed values of the metadata's vocabulary.
 LICENSES = tuple(f"https://creativecommons.org/licenses/by/{v}/" for v in ("2.0", "2.5", "3.0", "4.0"))
@@ -159,11 +162,44 @@ def hash_sample(df: DataFrame, key: str, k: int, seed: int = SEED) -> DataFrame:
     return df.withColumn("rank_hash", sha(seed, F.col(key))).orderBy("rank_hash", key).limit(k)
 
 
-def train_sample(metadata: DataFrame, excluded: DataFrame, k: int, seed: int = SEED) -> DataFrame:
-    """``k`` eligible rows by hash; too few, or a sampled id that the whole file repeats, is an error."""
+def probed_sample(df: DataFrame, key: str, k: int, probe: Callable[[DataFrame], DataFrame], seed: int = SEED) -> tuple[DataFrame, int]:
+    """The ``k`` rows of smallest hash for which ``probe`` (which adds ``present``) finds something, with ``rank_hash``, and how many were probed.
+
+    Rows are probed in rounds in order of the hash: first those under a cut that is expected to
+    hold ``k`` rows, then, while too few are present, as many more as were probed so far. So
+    at most about twice the rows needed are probed, each once, and the rows found are those
+    that probing all would give. Fewer than ``k`` are returned if there are no more.
+    """
+    ranked = saved(df.withColumn("rank_hash", sha(seed, F.col(key))), "ranked")
+    total, none = ranked.count(), "0" * 64
+    parts: list[DataFrame] = []
+    low, probed, found = none, 0, 0
+    share = min(1.0, k / total) if total else 1.0
+    while True:
+        # the hash is uniform, so a share of its range holds that share of the rows
+        cut = f"{int(share * 2**60):015x}" if share < 1 else "g"
+        own = ranked.where((F.col("rank_hash") >= low) & (F.col("rank_hash") < cut))
+        parts.append(saved(probe(own), "probed"))
+        r = parts[-1].agg(F.count(F.lit(1)).alias("n"), F.count_if("present").alias("found")).first()
+        probed, found, low = probed + r["n"], found + r["found"], cut
+        if found >= k or share >= 1:
+            break
+        share = min(1.0, 2 * share)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    forget(ranked)
+    return out.where("present").drop("present").orderBy("rank_hash", key).limit(k), probed
+
+
+def train_sample(metadata: DataFrame, excluded: DataFrame, k: int, seed: int = SEED, probe: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """``k`` eligible rows by hash; too few, or a sampled id that the whole file repeats, is an error.
+
+    With ``probe``, rows whose file is absent are skipped and the next ranks step in (``probed_sample``).
+    """
     marked = metadata.join(excluded.select(F.col("image_id").alias("ImageID")).distinct().withColumn("__x", F.lit(True)), "ImageID", "left")
     eligible = marked.where(train_reason(F.coalesce(F.col("__x"), F.lit(False))).isNull()).drop("__x").dropDuplicates(["ImageID"])
-    picked = hash_sample(eligible, "ImageID", k, seed)
+    picked = probed_sample(eligible, "ImageID", k, probe, seed)[0] if probe else hash_sample(eligible, "ImageID", k, seed)
     found = picked.count()
     if found < k:
         raise ManifestError("LOCAL_TRAIN_SHORTFALL", f"asked for {k}, found {found}")

@@ -130,6 +130,8 @@ ORACLE_SQL: dict[str, str] = {
     "validation_eligibility": f"""with m as ({_METADATA}) select Subset = 'validation' and starts_with(License, 'https://creativecommons.org/licenses/by/') and Landing <> '' as eligible,
       coalesce({_DEGREES}, 0) as rotation, count(*) as n from m group by 1, 2""",
     "train_metadata_sample": f"with m as ({_METADATA}) select ImageID, sha256(concat('{_SEED}:', ImageID)) as rank_hash, {_DEGREES} as rotation from m where {_REASON} = 'eligible' order by 2 limit 20",
+    "probed_train_sample": f"""with m as ({_METADATA}) select ImageID, sha256(concat('{_SEED}:', ImageID)) as rank_hash from m
+      where {_REASON} = 'eligible' and cast('0x' || substr(sha256(concat('file:', ImageID)), 1, 16) as ubigint) % 3 = 0 order by 2 limit 4""",
     "pinned_provenance": f"""with m as ({_METADATA}) select case when page_id % 5 = 0 then 'OPEN_IMAGES_PIN_MISSING' else 'OPEN_IMAGES_PIN_PROVENANCE_MISMATCH' end as reason, count(*) as n from m
       where page_id % 5 = 0 or page_id % 3 = 0 group by 1""",
     "image_gates": """
@@ -145,6 +147,12 @@ ORACLE_SQL: dict[str, str] = {
     "duplicate_ids_semijoin": f"""
       with top as (select doc_id, sha256(text) as digest from documents order by sha256(concat('{_SEED}:', doc_id)) limit 100)
       select sha256(text) as digest, count(*) as n from documents where sha256(text) in (select digest from top) group by 1 having count(*) <> 1""",
+    "near_vectors": """
+      with one as (select vec_id, list_transform(embedding, lambda x: cast(x as double)) as v from embeddings),
+      raw as (select * from one union all select vec_id + 1000000000, list_transform(v, lambda x, i: case when (i - 1) % 5 = 0 then x * 0.4::double else x end) from one),
+      unit as (select vec_id, list_transform(v, lambda x: x / sqrt(list_sum(list_transform(v, lambda y: y * y)))) as u from raw),
+      near as (select a.vec_id as left_id, b.vec_id as right_id, list_sum(list_transform(range(1, len(a.u) + 1), lambda i: a.u[i] * b.u[i])) as c from unit a join unit b on a.vec_id < b.vec_id)
+      select left_id, right_id, round(c, 6) as cosine from near where c >= 0.9""",
     "similar_pairs": f"with {_UNIT} select left_id, right_id, round(c, 6) as cosine from near where c >= 0.40",
     "visual_components": f"""
       with recursive {_UNIT}, e as (select left_id as a, right_id as b from near where c >= 0.40 union all select right_id, left_id from near where c >= 0.40),

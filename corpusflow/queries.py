@@ -94,6 +94,25 @@ def train_metadata_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return picked.select("ImageID", "rank_hash", eligibility.rotation_degrees(F.col("Rotation")).alias("rotation"))
 
 
+def probed_train_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where two of three images are absent when probed: the next ranks step in."""
+    m = _metadata(spark, sf_dir)
+    excluded = m.where(F.col("page_id") % 19 == 0).select(F.col("ImageID").alias("image_id"))
+    present = lambda rows: rows.withColumn("present", bucket(sha("file", F.col("ImageID")), 3) == 0)
+    return eligibility.train_sample(m.drop("page_id"), excluded, 4, probe=present).select("ImageID", "rank_hash")
+
+
+def near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of cosine 0.9 or more among all vectors and changed copies of them, by banded codes that miss a pair once in ten million.
+
+    Copies have every fifth coordinate at 0.4 of its value.
+    """
+    v = _vectors(spark, sf_dir).select("image_id", F.transform("embedding", lambda x: x.cast("double")).alias("embedding"))
+    changed = F.transform("embedding", lambda x, i: F.when(i % 5 == 0, x * F.lit(0.4)).otherwise(x))
+    p = similarity.banded_pairs(v.unionByName(v.select((F.col("image_id") + 1_000_000_000).alias("image_id"), changed.alias("embedding"))), 0.9, 1 - 1e-7)
+    return p.select("left_id", "right_id", F.round("cosine", 6).alias("cosine"))
+
+
 def pinned_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pinned rows that the metadata lacks or contradicts."""
     m = _metadata(spark, sf_dir)
@@ -628,8 +647,8 @@ def remaining_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        split_after_contamination, rights_window_filter, eligibility_reason_counts, validation_eligibility, train_metadata_sample, pinned_provenance, image_gates,
-        hash_rank_sample, hash_rank_first_successes, exact_copy_antijoin, duplicate_ids_semijoin, similar_pairs, visual_components, declared_groups,
+        split_after_contamination, rights_window_filter, eligibility_reason_counts, validation_eligibility, train_metadata_sample, probed_train_sample, pinned_provenance, image_gates,
+        hash_rank_sample, hash_rank_first_successes, exact_copy_antijoin, duplicate_ids_semijoin, similar_pairs, near_vectors, visual_components, declared_groups,
         apportion_quotas, exact_schedule, weighted_roles, planned_turns, instruction_candidates, judge_consensus, question_fit, gate_aggregate, rubric_applicability, capability_report,
         transcript_validity, history_prefix_hash, accepted_prefix, trailing_turns, conversation_summary, repeated_questions, prompt_echo, answer_tokens, claim_spans, span_repair, training_export,
         set_compare, count_compare, exact_arithmetic, computation_check, requirement_ledger, pool_bounds, capped_selection, selection_audit, constrained_selection, tight_selection,

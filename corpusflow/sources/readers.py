@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from corpusflow.functions.hashing import sha
 from corpusflow.functions.text import not_blank, strict_json_error, strict_object
 from corpusflow.operators.eligibility import ManifestError, safe_path
+from corpusflow.sources import files
 from corpusflow.sources.csv_scan import read_csv
 
 
@@ -69,9 +70,13 @@ def read_metadata(spark: SparkSession, path: str, columns: list[str]) -> DataFra
 
 
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
-    """path, length and SHA-256 of each file under a path."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "length", F.sha2("content", 256).alias("sha256"))
+    """path, length and SHA-256 of each file under a path: streamed by the tasks, or, in stores that only Spark opens, as one value of up to 2 GB."""
+    found = files.listed(spark, path)
+    scheme = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()).getScheme()
+    if scheme in files.STREAMED or scheme == "s3a":
+        return files.digests(found)
+    whole = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return whole.select("path", "length", F.sha2("content", 256).alias("sha256"))
 
 
 def read_images(spark: SparkSession, root: str, wanted: DataFrame) -> DataFrame:
@@ -79,11 +84,11 @@ def read_images(spark: SparkSession, root: str, wanted: DataFrame) -> DataFrame:
 
     Columns: image_path, content, reason. Files are matched by the path after the root.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     base = root.rstrip("/").removeprefix("file:").rsplit("/", 1)[-1]
-    files = files.select(F.regexp_extract("path", f".*/{base}/(.*)$", 1).alias("__rel"), "content")
+    found = found.select(F.regexp_extract("path", f".*/{base}/(.*)$", 1).alias("__rel"), "content")
     checked = wanted.withColumn("reason", F.when(~safe_path(F.col("image_path")), "IMAGE_PATH_ESCAPE"))
-    joined = checked.join(files, (checked["image_path"] == files["__rel"]) & checked["reason"].isNull(), "left")
+    joined = checked.join(found, (checked["image_path"] == found["__rel"]) & checked["reason"].isNull(), "left")
     return joined.withColumn("reason", F.coalesce("reason", F.when(F.col("content").isNull(), "IMAGE_NOT_FILE"))).drop("__rel")
 
 
