@@ -148,3 +148,28 @@ def test_folding_matches_python(spark):
     got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(text.folded("t")).collect()]
     assert got == [" ".join(t.casefold().split()) for t in texts]
     assert unicodedata.normalize("NFKC", "？") == "?" and json.loads("1") == 1
+
+
+def test_what_the_jvm_proves_is_strict_and_hard_cases_go_to_python(spark):
+    import random
+
+    def want(p):
+        try:
+            text.strict_object("" if p is None else p)
+        except text.RejectedJson as e:
+            return e.code
+        return None
+
+    rng = random.Random(1)
+    atoms = ['"a"', "1", "-0", "1e5", "1E999", "NaN", "-Infinity", "true", "tru", '"\\u0061"', '"\\x"', '"un', "{}", "[1,2]", '[{"a":1}]', '{"a":1}', "12345678901234567890", "01", ".5", '"\x01"', '"]}"', '"\\"}"', "'a'"]
+    keys, tails = ['"a"', '"b"', '"a"', '"\\u0061"', "a", '"\\""'], ["", "", "", " ", "}", "{}", ' {"a":1}', "]", ",", "],[", "\u00a0"]
+    rows = [None, "", "[1]", '{"a":"' + 'x\\"' * 50_000 + '"}']
+    for _ in range(1500):
+        body = ",".join(f"{rng.choice(keys)}:{rng.choice(atoms)}" for _ in range(rng.randint(0, 3)))
+        rows.append(rng.choice(["", "", " ", "["]) + "{" + body + rng.choice(["}", "}", "", ",}"]) + rng.choice(tails))
+    df = spark.createDataFrame(list(enumerate(rows)), "i long, p string")
+    got = {r["i"]: (r["e"], r["plain"]) for r in df.select("i", text.strict_json_error("p").alias("e"), text.plainly_strict(df["p"]).alias("plain")).collect()}
+    assert {i: e for i, (e, _) in got.items()} == {i: want(p) for i, p in enumerate(rows)}
+    assert not any(plain for e, plain in got.values() if e is not None) and got[3][1]
+    flat = spark.range(500).selectExpr("concat('{\"id\": ', id, ', \"words\": [\"a\", ', id, '], \"s\": \"x, {y}\"}') as p")
+    assert flat.where(~text.plainly_strict(flat["p"])).count() == 0
