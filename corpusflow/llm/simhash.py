@@ -218,11 +218,16 @@ def stray_links(many: DataFrame, roots: DataFrame, max_bits: int = MAX_BITS, nod
     sizes = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"), F.max("n").alias("n"))
     keys = sizes.groupBy("key").agg(F.max("n").alias("n"), F.max(F.struct("m", "root")).alias("top")).where("top.m < n")
     keys = saved(keys.select("key", "n", F.col("top.root").alias("top"), (F.col("n") - F.col("top.m")).alias("outside")), "keys")
+    most = keys.agg(F.max("outside")).first()[0]
+    if most is None:
+        return many.select(F.col("fp").alias("u"), F.col("fp").alias("v")).limit(0)
     rows = saved(joined_by_hot_key(placed.drop("n"), keys.withColumn("rows", F.col("n")), "key", "rows"), "rows")
 
     small = rows.where(F.col("outside") <= stray)
     outside = small.where("root <> top").groupBy("key").agg(F.max("n").alias("n"), F.collect_list(F.struct("fp", "p", "root")).alias("others"))
     direct = _compared(small.select("key", "fp", "p", "root"), outside, max_bits, node_bits)
+    if most <= stray:
+        return direct
 
     masks = _block_masks(node_bits + 3)
     fine = F.array(*[F.lit(_signed(sum(masks[b] for b in c))) for c in combinations(range(node_bits + 3), 3)])
