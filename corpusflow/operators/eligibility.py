@@ -248,6 +248,12 @@ _SPACE = r"[ \t\n\x0B\f\r]+"
 
 #: Texts meet by this many words in a row, or by as many inner ones as the shorter text has.
 WINDOW = 4
+#: Texts with enough inner words meet by the smallest of this many hashes in a row.
+WINNOW = 8
+#: Bits of a filter for each hash it knows, and the most bits that one has (8 MB).
+FILTER_BITS_EACH, FILTER_BITS_MOST = 16, 1 << 26
+#: How a text meets others: 0 without hashes, up to ``WINDOW`` by a run of so many words, this by the smallest hash.
+_WINNOWED = WINDOW + 1
 
 
 def _windows(words: Column, width: int) -> Column:
@@ -256,31 +262,95 @@ def _windows(words: Column, width: int) -> Column:
     return F.transform(starts, lambda i: F.xxhash64(F.lit(width), F.slice(words, i, width)))
 
 
-def containments(long: DataFrame, short: DataFrame, least: int = 1) -> DataFrame:
+def _smallest(hashes: Column) -> Column:
+    """The smallest of each ``WINNOW`` hashes in a row; of all where there are fewer."""
+    starts = F.sequence(F.lit(1), F.greatest(F.size(hashes) - WINNOW + 1, F.lit(1)))
+    return F.transform(starts, lambda i: F.array_min(F.slice(hashes, i, WINNOW)))
+
+
+def hash_filter(keys: DataFrame, count: int) -> Callable[[Column], Column]:
+    """A test that every hash of ``keys`` (k) passes and nearly no other one: two bits for each, found by Spark.
+
+    ``count`` sizes it. One of more than ``FILTER_BITS_MOST`` / ``FILTER_BITS_EACH`` hashes lets more others
+    pass, which costs time only. It is a scalar subquery, so every task reads the same bounded array.
+    """
+    bits = 1 << min(FILTER_BITS_MOST.bit_length() - 1, max(12, (FILTER_BITS_EACH * count).bit_length()))
+    places = lambda h: [h.bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(bits - 1))]
+    own = keys.select(F.explode(F.array(*places(F.col("k")))).alias("p"))
+    own = own.select(F.shiftright("p", 6).alias("word"), F.expr("shiftleft(1L, cast(p & 63 as int))").alias("bits"))
+    # every word is there, so that the array has no gaps
+    empty = keys.sparkSession.range(bits // 64).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits"))
+    words = own.unionByName(empty).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    known = words.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda w: w["bits"]).alias("words")).scalar()
+    has = lambda p: F.getbit(F.get(known, F.shiftright(p, 6).cast("int")), p.bitwiseAND(F.lit(63)).cast("int")) == 1
+    return lambda h: has(places(h)[0]) & has(places(h)[1])
+
+
+def short_keys(short: DataFrame) -> DataFrame:
+    """short_id, mode and hash ``k`` of each text (id, text): one hash that is among ``long_keys`` of each text that holds it."""
+    # no word after these has a say: the rest of a long text stays one piece
+    cut = short.select(F.col("id").alias("short_id"), F.split("text", _SPACE, WINDOW + WINNOW + 2).alias("ws"))
+    inner = F.greatest(F.size("ws") - 2, F.lit(0))
+    mode = F.when(inner >= WINDOW + WINNOW - 1, _WINNOWED).otherwise(F.least(F.lit(WINDOW), inner))
+    runs = F.transform(F.sequence(F.lit(2), F.lit(WINNOW + 1)), lambda i: F.xxhash64(F.lit(WINDOW), F.slice("ws", i, WINDOW)))
+    k = F.when(mode == _WINNOWED, F.array_min(runs)).when(mode > 0, F.xxhash64(mode, F.slice("ws", F.lit(2), F.greatest(mode, F.lit(1)))))
+    return cut.select("short_id", mode.alias("mode"), k.alias("k"))
+
+
+def long_keys(long: DataFrame, modes: set[int], winnow: bool = True) -> DataFrame:
+    """long_id and hash ``k``: the distinct hashes of each text (id, text) by which shorter ones of the given modes meet it.
+
+    Smallest hashes are fewer but dearer to find; ``winnow`` asks for them where all modes allow it.
+    """
+    cut = long.select(F.col("id").alias("long_id"), F.split("text", _SPACE).alias("ws"))
+    if winnow and modes == {_WINNOWED}:
+        # a window that both texts have has one smallest hash, so about 2 / (WINNOW + 1) of the hashes are enough
+        hashed = cut.select("long_id", _windows(F.col("ws"), WINDOW).alias("h"))
+        found = hashed.select("long_id", F.array_distinct(_smallest(F.col("h"))).alias("ks"))
+    else:
+        widths = sorted({min(m, WINDOW) for m in modes})
+        found = cut.select("long_id", F.array_distinct(F.concat(*[_windows(F.col("ws"), w) for w in widths])).alias("ks"))
+    # an inner explode would first filter by the array's size, with words split again for each of its elements
+    return found.select("long_id", F.explode_outer("ks").alias("k")).where("k is not null")
+
+
+def containments(long: DataFrame, short: DataFrame, least: int = 1, reference: str = "short") -> DataFrame:
     """Pairs (long_id, short_id) in which ``long.text`` contains ``short.text`` of at least ``least`` characters.
 
     Both have columns ``id`` and ``text``. A text that holds another one holds all its words
-    but the first and last as whole words in a row, so the two meet in an equi-join on the hash of the
-    first ``WINDOW`` of these; only pairs that share it fetch their texts and are compared. Short
-    texts without an inner word, if there are any, are compared one by one, as the only form left.
+    but the first and last as whole words in a row, so both have the same hashes of runs of ``WINDOW`` of these,
+    and of ``WINNOW`` hashes in a row the same smallest one: by its hash a short text meets all texts that
+    have it in an equi-join, and only pairs that do fetch their texts and are compared. ``reference`` names the smaller side (``short`` or ``long``):
+    hashes of the other one that are not in a filter of its hashes are dropped before they are shuffled. Short
+    texts without an inner word, if there are any, are compared one by one, as the only form left. Null texts meet none.
     """
-    short = short.select(F.col("id").alias("short_id"), F.col("text").alias("__short")).where((F.length("__short") >= least) & (F.length("__short") > 0))
-    words = F.split("__short", _SPACE)
-    width = F.least(F.lit(WINDOW), F.greatest(F.size(words) - 2, F.lit(0)))
-    keyed = short.withColumn("__w", width).withColumn("__k", F.when(width > 0, F.xxhash64(width, F.slice(words, 2, F.greatest(width, F.lit(1))))))
+    short = short.where((F.length("text") >= least) & (F.length("text") > 0)).select("id", "text")
     own = long.select(F.col("id").alias("long_id"), F.col("text").alias("__long"))
-    widths = {r[0] for r in keyed.select("__w").distinct().collect()}
-    pairs = own.select("long_id", F.lit(None).cast(short.schema["short_id"].dataType).alias("short_id")).limit(0)
-    if widths - {0}:
+    other = short.select(F.col("id").alias("short_id"), F.col("text").alias("__short"))
+    keyed = short_keys(short)
+    counts = {r["mode"]: r["n"] for r in keyed.groupBy("mode").agg(F.count(F.lit(1)).alias("n")).collect()}
+    modes = set(counts) - {0}
+    pairs = own.select("long_id", F.lit(None).cast(short.schema["id"].dataType).alias("short_id")).limit(0)
+    if modes:
         # hashes go out without their text; the few candidates fetch it again
-        each = own.select("long_id", F.split("__long", _SPACE).alias("__ws"))
-        windows = F.concat(*[_windows(F.col("__ws"), w) for w in sorted(widths - {0})])
-        dealt = each.select("long_id", F.explode(F.array_distinct(windows)).alias("__k"))
-        met = dealt.join(keyed.where("__k is not null").select("short_id", "__k"), "__k").select("long_id", "short_id").distinct()
-        met = own.join(met, "long_id").join(short, "short_id").where(F.col("__long").contains(F.col("__short")))
-        pairs = pairs.unionByName(met.select("long_id", "short_id"))
-    if 0 in widths:
-        few = own.join(keyed.where("__w = 0").drop("__w", "__k"), F.col("__long").contains(F.col("__short")))
+        known = sum(counts[m] for m in modes)
+        # a filter that isn't full leaves few hashes, so only a full one is helped by winnowing
+        dealt = long_keys(long, modes, reference == "long" or known > FILTER_BITS_MOST // FILTER_BITS_EACH)
+        keys = keyed.where("k is not null").select("short_id", "k")
+        if reference == "short":
+            dealt = dealt.where(hash_filter(keys.select("k"), known)(F.col("k")))
+        else:
+            keys = keys.where(hash_filter(dealt.select("k"), dealt.count())(F.col("k")))
+        met = saved(dealt.join(keys, "k").select("long_id", "short_id").distinct(), "candidates")
+        found = met.count()
+        if found:
+            # texts of no candidate stay where they are
+            fetch = lambda texts, key: texts.where(hash_filter(met.select(F.xxhash64(key).alias("k")), found)(F.xxhash64(key)))
+            near = met.join(fetch(own, "long_id"), "long_id").join(fetch(other, "short_id"), "short_id")
+            pairs = pairs.unionByName(near.where(F.col("__long").contains(F.col("__short"))).select("long_id", "short_id"))
+    if 0 in counts:
+        bare = keyed.where("mode = 0").select("short_id").join(other, "short_id")
+        few = own.join(bare, F.col("__long").contains(F.col("__short")))
         pairs = pairs.unionByName(few.select("long_id", "short_id"))
     return pairs.distinct()
 

@@ -120,7 +120,7 @@ def prompt_echoes(texts: DataFrame, prompts: DataFrame) -> DataFrame:
     # a text longer than every prompt lies in none
     longest = p.agg(F.max(F.length("text")).alias("n"))
     short = t.join(F.broadcast(longest), F.length("text") <= F.col("n")).select("id", "text")
-    around = containments(p, short, ECHO_LEAST).select(F.col("short_id").alias("text_id"), F.col("long_id").alias("prompt_id"))
+    around = containments(p, short, ECHO_LEAST, reference="long").select(F.col("short_id").alias("text_id"), F.col("long_id").alias("prompt_id"))
     return inside.unionByName(around).distinct()
 
 

@@ -59,6 +59,38 @@ def test_containments_match_brute_force(spark):
     assert got == {(i, j) for i, t in long for j, s in short if s and s in t}
 
 
+def test_winnowed_containments(spark, monkeypatch):
+    """Long passages meet by smallest hashes through a filter on either side: no pair is lost, few rows go out."""
+    rng = random.Random(8)
+    word = lambda: rng.choice("abcdefgh") * rng.randint(1, 4)
+    long = [(k, " ".join(word() for _ in range(rng.randint(0, 400)))) for k in range(150)] + [(997, None), (998, ""), (999, "aa " * 500)]
+    short = [(k, f"passage {k} " + " ".join(word() for _ in range(rng.randint(12, 40)))) for k in range(60)]
+    for k, text in long[:150:2]:
+        at = rng.randint(0, len(text))
+        # cut inside of words, so the first and last are not whole
+        short.append((1000 + k, text[at : at + rng.randint(60, 300)]))
+    short += [(5000, None), (5001, ""), (5002, "a " * 30)]
+    make = lambda rows: spark.createDataFrame(rows, "id long, text string")
+    want = {(i, j) for i, t in long if t for j, s in short if s and len(s) >= 60 and s in t}
+    assert len(want) > 40
+    for reference, most in (("short", eligibility.FILTER_BITS_MOST), ("short", 1 << 9), ("long", 1 << 9)):
+        # the small filters are full: results stay, hashes are winnowed
+        monkeypatch.setattr(eligibility, "FILTER_BITS_MOST", most)
+        got = {(r["long_id"], r["short_id"]) for r in eligibility.containments(make(long), make(short), 60, reference).collect()}
+        assert got == want
+    monkeypatch.undo()
+    keys = eligibility.short_keys(make([r for r in short if r[1] and len(r[1].split()) > 13])).select("mode", "k")
+    modes = {r["mode"] for r in keys.select("mode").distinct().collect()}
+    assert modes == {eligibility.WINDOW + 1}
+    words = sum(len(t.split()) for _, t in long if t)
+    winnowed = eligibility.long_keys(make(long), modes)
+    assert winnowed.count() < words / 3
+    passed = winnowed.where(eligibility.hash_filter(keys.select("k"), keys.count())(F.col("k")))
+    known = {r["k"] for r in keys.collect()}
+    assert {r["k"] for r in passed.collect()} >= known & {r["k"] for r in winnowed.collect()}
+    assert passed.count() < words / 10
+
+
 def test_copies_and_evaluation(spark):
     df = spark.createDataFrame([(1, "x", "g", False), (2, "y", "g", True), (3, "z", None, False), (4, "z", "h", False)], "id long, d string, g string, e boolean")
     ref = spark.createDataFrame([("x", 9), (None, 4)], "d string, id long")
