@@ -327,7 +327,8 @@ def containments(long: DataFrame, short: DataFrame, least: int = 1, reference: s
     short = short.where((F.length("text") >= least) & (F.length("text") > 0)).select("id", "text")
     own = long.select(F.col("id").alias("long_id"), F.col("text").alias("__long"))
     other = short.select(F.col("id").alias("short_id"), F.col("text").alias("__short"))
-    keyed = short_keys(short)
+    # one pass over the texts; what follows reads ids and hashes
+    keyed = saved(short_keys(short), "keys")
     counts = {r["mode"]: r["n"] for r in keyed.groupBy("mode").agg(F.count(F.lit(1)).alias("n")).collect()}
     modes = set(counts) - {0}
     pairs = own.select("long_id", F.lit(None).cast(short.schema["id"].dataType).alias("short_id")).limit(0)
