@@ -146,3 +146,41 @@ def verdict_of(operation: str, operands: list[dict], reported: dict) -> str:
 def lexeme_value(text: Column) -> Column:
     """Exact value of a plain ASCII decimal as decimal(38, 6); null for anything else (which goes to ``verdict_of``)."""
     return F.when(text.rlike(r"^[+-]?[0-9]{1,18}(\.[0-9]{1,6})?\z"), text.cast("decimal(38,6)"))
+
+
+#: Numbers that decimals hold exactly: operands (and quotients), and results of the other operations.
+_OPERAND, _RESULT = (12, 6), (24, 12)
+
+
+def _plain_number(lexeme: Column, size: tuple[int, int]) -> Column:
+    """Value of a lexeme of ASCII digits, a full stop and no groups, as a decimal; null for all others."""
+    whole, part = size
+    plain = (lexeme["decimal_separator"] == ".") & lexeme["group_separator"].isNull() & lexeme["value"].rlike(rf"^[+-]?[0-9]{{1,{whole}}}(\.[0-9]{{1,{part}}})?\z")
+    return F.when(plain, lexeme["value"].try_cast(f"decimal({whole + part},{part})"))
+
+
+def plain_verdict(operation: Column, operands: Column, reported: Column) -> Column:
+    """``verdict_of`` in decimals, by built-in functions; null where a lexeme isn't plain or is too long for them.
+
+    Products of two operands have at most 36 digits, so nothing is rounded. A quotient is compared as the
+    product of result and divisor. Sums have any number of terms.
+    """
+    values = F.transform(operands, lambda x: _plain_number(x, _OPERAND))
+    a, b, r, q = F.get(values, F.lit(0)), F.get(values, F.lit(1)), _plain_number(reported, _RESULT), _plain_number(reported, _OPERAND)
+    u, v, w = F.get(operands, F.lit(0))["unit"], F.get(operands, F.lit(1))["unit"], reported["unit"]
+    total = F.aggregate(values, F.lit(0).cast("decimal(38,6)"), lambda s, x: (s + x).cast("decimal(38,6)"))
+    one_unit = F.forall(operands, lambda x: x["unit"].eqNullSafe(u)) & w.eqNullSafe(u)
+    two = F.size(operands) == 2
+    # a factor without a unit leaves the other one's, two units can't be multiplied
+    product_unit = (u.isNull() | v.isNull()) & w.eqNullSafe(F.coalesce(u, v))
+    quotient_unit = (v.isNull() & w.eqNullSafe(u)) | (u.eqNullSafe(v) & w.isNull())
+    met = (
+        F.when(operation == "add", (F.size(operands) >= 2) & one_unit & (total == r))
+        .when(operation == "subtract", two & one_unit & (a - b == r))
+        .when(operation == "multiply", two & product_unit & (a * b == r))
+        .when(operation == "divide", two & quotient_unit & (b != 0) & (q * b == a))
+        .otherwise(False)
+    )
+    unnamed = F.exists(operands, lambda x: x["unit"].eqNullSafe(F.lit("")))
+    readable = F.forall(values, lambda x: x.isNotNull()) & F.when(operation.eqNullSafe(F.lit("divide")), q.isNotNull()).otherwise(r.isNotNull())
+    return F.when(readable, F.when(met & ~unnamed, "MET").otherwise("NOT_MET"))

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusflow.functions.numbers import verdict_of
+from corpusflow.functions.numbers import plain_verdict, verdict_of
 
 
 def compare_sets(expected: Column, reported: Column, empty_is_explicit: Column | None = None) -> Column:
@@ -62,15 +62,17 @@ def verify_computations(inventories: DataFrame) -> DataFrame:
     """key, verdict of two complete inventories that agree: MET, NOT_MET; UNKNOWN otherwise.
 
     ``inventories``: key, coverage, operation, operands (array of lexemes), reported_result.
-    Exact for numbers of any length; runs on Arrow batches.
+    Exact for numbers of any length. Plain ones are decided in decimals by built-in functions; only the others
+    (other scripts or separators, groups, more digits) go through Arrow batches.
     """
     g = inventories.select("key", "coverage", F.struct("operation", "operands", "reported_result").alias("b")).groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.min((F.col("coverage") == "MET").cast("int")).alias("whole"), F.min("b").alias("b"), F.max("b").alias("b2")
     )
     usable = (F.col("n") == 2) & (F.col("whole") == 1) & (F.col("b") == F.col("b2"))
-    asked = g.withColumn("__ok", usable)
-    checked = asked.where("__ok").select("key", _computed("b.operation", "b.operands", "b.reported_result").alias("verdict"))
-    return checked.unionByName(asked.where(~F.coalesce(F.col("__ok"), F.lit(False))).select("key", F.lit("UNKNOWN").alias("verdict")))
+    plain = plain_verdict(F.col("b.operation"), F.col("b.operands"), F.col("b.reported_result"))
+    asked = g.select("key", "b", F.when(F.coalesce(usable, F.lit(False)), plain).otherwise("UNKNOWN").alias("verdict"))
+    others = asked.where("verdict is null").select("key", _computed("b.operation", "b.operands", "b.reported_result").alias("verdict"))
+    return asked.where("verdict is not null").select("key", "verdict").unionByName(others)
 
 
 def exact_sum_check(rows: DataFrame, key: str, operand: str, reported: str) -> DataFrame:

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from corpusflow.functions import hashing
+from corpusflow.functions import hashing, numbers
 from corpusflow.operators import consensus, eligibility, exchange, ledger, planning, pool, requirements, rules, similarity, transcript
 from corpusflow.operators.components import components
 from corpusflow.operators.eligibility import ManifestError
@@ -91,6 +91,42 @@ def test_winnowed_containments(spark, monkeypatch):
     assert passed.count() < words / 10
 
 
+def test_plain_arithmetic_is_the_exact_one(spark):
+    """Decimals on the JVM decide as exact fractions do; what they can't hold is left to these."""
+    rng = random.Random(12)
+    lex = "struct<value: string, decimal_separator: string, group_separator: string, unit: string>"
+    number = lambda: rng.choice(["0", "-0.0", "+2", "2.50", "-3", "0.000001", "999999999999.999999", "12", "0.5", "4"])
+    odd = lambda: rng.choice(["1e3", "", " 7 ", "1,000", "1234567890123", "\u0663", ".5", "5.", "0.1234567", "\u22125"])
+    unit = lambda: rng.choice([None, None, "EUR", "EUR", "m", ""])
+    rows = []
+    for key in range(1500):
+        operation = rng.choice([*numbers.OPERATIONS, *numbers.OPERATIONS, "power", None])
+        operands = [(odd() if rng.random() < 0.05 else number(), ".", "," if rng.random() < 0.05 else None, unit()) for _ in range(rng.choice([0, 1, 2, 2, 2, 2, 3]))]
+        if rng.random() < 0.7:
+            # terms of one unit, or a factor with one and the other without
+            shared = rng.choice([None, "EUR"])
+            operands = [(*x[:3], shared if k == 0 or operation in ("add", "subtract") else None) for k, x in enumerate(operands)]
+        reported, named = number(), unit()
+        if operation and len(operands) > 1 and rng.random() < 0.7:
+            try:
+                value, named = numbers.calculate(operation, [numbers.parse_lexeme(x[0]) for x in operands], [x[3] for x in operands])
+                places = (value * 10**12).numerator
+                if (value * 10**12).denominator == 1:
+                    reported = f"{'-' if places < 0 else ''}{abs(places) // 10**12}.{abs(places) % 10**12:012d}".rstrip("0").rstrip(".")
+            except numbers.Inexact:
+                pass
+        rows.append((key, operation, operands, (reported, ".", None, named)))
+    names = ("value", "decimal_separator", "group_separator", "unit")
+    want = {k: numbers.verdict_of(op, [dict(zip(names, x, strict=True)) for x in xs], dict(zip(names, r, strict=True))) for k, op, xs, r in rows}
+    df = spark.createDataFrame(rows, f"key long, operation string, operands array<{lex}>, reported_result {lex}")
+    plain = {r["key"]: r["v"] for r in df.select("key", numbers.plain_verdict(F.col("operation"), F.col("operands"), F.col("reported_result")).alias("v")).collect()}
+    decided = {k: v for k, v in plain.items() if v}
+    assert decided == {k: want[k] for k in decided}
+    assert sum(v == "MET" for v in decided.values()) > 80 and len(decided) > 1000
+    both = df.crossJoin(spark.range(2)).drop("id").withColumn("coverage", F.lit("MET"))
+    assert {r["key"]: r["verdict"] for r in rules.verify_computations(both).collect()} == want
+
+
 def test_copies_and_evaluation(spark):
     df = spark.createDataFrame([(1, "x", "g", False), (2, "y", "g", True), (3, "z", None, False), (4, "z", "h", False)], "id long, d string, g string, e boolean")
     ref = spark.createDataFrame([("x", 9), (None, 4)], "d string, id long")
