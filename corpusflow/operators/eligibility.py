@@ -125,11 +125,17 @@ def attribution(author: Column, landing: Column) -> Column:
 
 
 def pinned_failures(pinned: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Pinned rows (in order) that metadata lacks or contradicts: image_id, reason."""
-    m = metadata.select(F.col("ImageID").alias("__id"), F.col("License").alias("__l"), attribution(F.col("Author"), F.col("OriginalLandingURL")).alias("__a"), F.col("OriginalLandingURL").alias("__u"))
-    joined = pinned.join(m, pinned["image_id"] == m["__id"], "left")
+    """Pinned rows that metadata lacks or contradicts: image_id, reason.
+
+    A pinned row is one row at most, however often metadata repeats its id: it is contradicted
+    if no metadata row of its id agrees with it in all three columns. Null ids match each other.
+    """
+    m = metadata.select(F.col("ImageID").alias("__id"), F.col("License").alias("__l"), attribution(F.col("Author"), F.col("OriginalLandingURL")).alias("__a"), F.col("OriginalLandingURL").alias("__u")).distinct()
+    ids = m.select(F.col("__id").alias("__known")).distinct().withColumn("__listed", F.lit(True))
+    listed = pinned.join(ids, F.col("image_id").eqNullSafe(F.col("__known")), "left")
     same = F.col("license_uri").eqNullSafe(F.col("__l")) & F.col("attribution").eqNullSafe(F.col("__a")) & F.col("landing_url").eqNullSafe(F.col("__u"))
-    reason = F.when(F.col("__id").isNull(), "OPEN_IMAGES_PIN_MISSING").when(~same, "OPEN_IMAGES_PIN_PROVENANCE_MISMATCH")
+    joined = listed.join(m.withColumn("__same", F.lit(True)), F.col("image_id").eqNullSafe(F.col("__id")) & same, "left")
+    reason = F.when(F.col("__listed").isNull(), "OPEN_IMAGES_PIN_MISSING").when(F.col("__same").isNull(), "OPEN_IMAGES_PIN_PROVENANCE_MISMATCH")
     return joined.select("image_id", reason.alias("reason")).where("reason is not null")
 
 

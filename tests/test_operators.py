@@ -598,3 +598,12 @@ def test_banded_pairs_find_near_copies(spark):
     signs, codes = similarity.bands(10**7, 0.95, 0.95)
     assert signs == 24 and codes < 50
     assert similarity.banded_pairs(df.limit(0)).count() == 0
+
+
+def test_a_pinned_row_is_one_row_when_metadata_repeats_its_id(spark):
+    meta = [("a", "l1", "x", "u"), ("a", "l2", "x", "u"), ("a", "l2", "x", "u"), ("b", "l1", " ", "v"), (None, "l1", "x", None)]
+    metadata = spark.createDataFrame(meta, "ImageID string, License string, Author string, OriginalLandingURL string")
+    pins = [("a", "l1", "x", "u"), ("a", "l2", "x", "u"), ("a", "l3", "x", "u"), ("b", "l1", "v", "v"), ("b", "l1", "w", "v"), ("c", "l1", "x", "u"), (None, "l1", "x", None)]
+    pinned = spark.createDataFrame(pins, "image_id string, license_uri string, attribution string, landing_url string")
+    got = sorted((r["image_id"], r["reason"]) for r in eligibility.pinned_failures(pinned, metadata).collect())
+    assert got == [("a", "OPEN_IMAGES_PIN_PROVENANCE_MISMATCH"), ("b", "OPEN_IMAGES_PIN_PROVENANCE_MISMATCH"), ("c", "OPEN_IMAGES_PIN_MISSING")]
