@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,9 +18,8 @@ from corpusflow.operators.components import components
 from corpusflow.session import saved
 
 THRESHOLD = 0.95
-#: Pivots for pruning: coordinates by which distances to fixed points are bucketed.
-PIVOTS = 2
-BLOCK = 256
+#: Blocks of vectors that meet in one task, and tiles of them that meet in one matrix product, whose candidates are verified in parts.
+BLOCK_BYTES, TILE, CANDIDATES = 1 << 24, 512, 1 << 16
 
 
 def checked_vectors(vectors: DataFrame, key: str = "image_id", vector: str = "embedding") -> DataFrame:
@@ -38,57 +38,92 @@ def checked_vectors(vectors: DataFrame, key: str = "image_id", vector: str = "em
     return v.withColumn("norm", norm).select(F.col(key), F.transform("v", lambda x: F.try_divide(x, F.col("norm"))).alias("unit"))
 
 
-def _block_pairs(left_ids: pd.Series, left: pd.Series, right_ids: pd.Series, right: pd.Series, threshold: float) -> list[list[dict]]:
-    """For each pair of blocks, the pairs of ids (left < right) of cosine at least ``threshold``."""
-    out = []
-    for a, x, b, y in zip(left_ids, left, right_ids, right, strict=True):
-        x, y = np.stack(x), np.stack(y)
-        # one matrix product finds the candidates, with room for its rounding
-        found = []
-        for i, j in zip(*np.nonzero(x @ y.T >= threshold - 1e-9), strict=True):
-            if a[i] < b[j]:
+def _tile_pairs(left: tuple[pa.Array, np.ndarray], right: tuple[pa.Array, np.ndarray], threshold: float, same: bool) -> Iterator[pa.RecordBatch]:
+    """Pairs (left_id < right_id, cosine) of at least ``threshold`` between two blocks, or inside of one, tile by tile."""
+    (left_ids, x), (right_ids, y) = left, right
+    # single precision finds the candidates, with room for its rounding; these are then added up in doubles
+    room = (x.shape[1] + 8) * 2.0**-22
+    narrow, wide = x.astype(np.float32), y.astype(np.float32)
+    for a in range(0, len(x), TILE):
+        for b in range(a if same else 0, len(y), TILE):
+            part = wide[b : b + TILE]
+            at = np.flatnonzero(narrow[a : a + TILE] @ part.T >= threshold - room)
+            for k in range(0, len(at), CANDIDATES):
+                i, j = np.divmod(at[k : k + CANDIDATES], len(part))
+                i, j = i + a, j + b
+                if same:
+                    i, j = i[i < j], j[i < j]
                 # products are added up from the first coordinate on
-                cosine = float(np.add.accumulate(x[i] * y[j])[-1])
-                if cosine >= threshold:
-                    found.append({"left_id": a[i], "right_id": b[j], "cosine": cosine})
-        out.append(found)
-    return out
-
-
-def similar_pairs(vectors: DataFrame, threshold: float = THRESHOLD, key: str = "image_id", vector: str = "embedding", block: int = BLOCK) -> DataFrame:
+                cosine = np.zeros(len(i))
+                for d in range(x.shape[1]):
+                    cosine += x[i, d] * y[j, d]
+                near = cosine >= threshold
+                u, v = left_ids.take(pa.array(i[near])), right_ids.take(pa.array(j[near]))
+                order = pc.less(u, v)
+                pairs = pa.RecordBatch.from_arrays([pc.if_else(order, u, v), pc.if_else(order, v, u), pa.array(cosine[near])], ["left_id", "right_id", "cosine"])
+                yield pairs.filter(pc.not_equal(u, v))
+
+
+def _cell_pairs(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    """Pairs of each cell, whose rows (cell, second, same, id, unit) come together: first with second block, or all rows of one block."""
+    cell, same, sides = None, False, ([], [])
+
+    def closed() -> Iterator[pa.RecordBatch]:
+        first, second = [(pa.concat_arrays([ids for ids, _ in s]), np.concatenate([x for _, x in s])) if s else None for s in sides]
+        if first and (same or second):
+            yield from _tile_pairs(first, first if same else second, threshold, same)
+
+    for batch in batches:
+        cells = np.asarray(batch.column("cell"))
+        cuts = [0, *(np.flatnonzero(np.diff(cells)) + 1).tolist(), len(cells)]
+        for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+            if end == start:
+                continue
+            if cells[start] != cell:
+                yield from closed()
+                cell, same, sides = cells[start], batch.column("same")[start].as_py(), ([], [])
+            part = batch.slice(start, end - start)
+            units, second = np.asarray(part.column("unit").flatten()).reshape(len(part), -1), np.asarray(part.column("second").to_pylist(), bool)
+            for side, mask in enumerate((~second, second)):
+                if mask.any():
+                    sides[side].append((part.column("id").filter(pa.array(mask)), units[mask]))
+    yield from closed()
+
+
+def similar_pairs(vectors: DataFrame, threshold: float = THRESHOLD, key: str = "image_id", vector: str = "embedding", block: int | None = None) -> DataFrame:
     """All pairs (left_id < right_id, cosine) of cosine at least ``threshold``.
 
-    Unit vectors of that cosine are at most ``d`` apart, so their distances to any point
-    differ by at most ``d``. Each vector is put in a cell by its distances to ``PIVOTS``
-    points and only meets the cells around its own. This is exact, but prunes only vectors that
-    lie in clusters along the first axes: among directions spread evenly in many dimensions nearly all
-    pairs meet, and the work is quadratic; ``banded_pairs`` is the way for large tables. A cell is dealt in
-    blocks of about ``block`` vectors, and blocks meet in
-    matrix products, so no cell is gathered and only pairs that reach the threshold become rows.
+    Exact, and quadratic: among directions spread evenly in many dimensions no bound prunes, so all
+    pairs meet; ``banded_pairs`` is the way for large tables. Vectors are dealt into blocks by a hash
+    of the key, and each two blocks meet in one task (a cell) in tiles of bounded size, so that
+    only pairs that reach the threshold become rows. A vector is shuffled once for each block:
+    as many as occupy the cores, or as many as keep a block at ``BLOCK_BYTES`` (``block`` vectors if given).
     """
-    unit = checked_vectors(vectors, key, vector)
-    width = math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-9
-    cells = [f"c{p}" for p in range(PIVOTS)]
-    own = unit
-    for p, c in enumerate(cells):
-        # the pivot is the p-th axis: |x - e_p| = sqrt(2 - 2 x_p) for a unit vector
-        own = own.withColumn(c, F.floor(F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * F.coalesce(F.try_element_at("unit", F.lit(p + 1)), F.lit(0.0)))) / width))
-    sizes = own.groupBy(*cells).agg(F.ceil(F.count(F.lit(1)) / block).alias("__n"))
-    dealt = own.join(sizes, cells).withColumn("__b", F.pmod(F.xxhash64(F.col(key)), F.col("__n")))
-    blocks = saved(dealt.groupBy(*cells, "__b").agg(F.collect_list(F.struct(F.col(key).alias("id"), "unit")).alias("rows")), "blocks")
-    near = lambda c: F.explode(F.sequence(F.col(c) - 1, F.col(c) + 1)).alias(c)
-    left = blocks.select(F.col("rows.id").alias("a"), F.col("rows.unit").alias("x"), *cells)
-    for c in cells:
-        left = left.select("a", "x", *[k for k in cells if k != c], near(c))
-    right = blocks.select(F.col("rows.id").alias("b"), F.col("rows.unit").alias("y"), *cells)
+    unit = saved(checked_vectors(vectors, key, vector).where(F.col(key).isNotNull()), "unit")
     ids = dict(unit.dtypes)[key]
-
-    @F.pandas_udf(f"array<struct<left_id: {ids}, right_id: {ids}, cosine: double>>")
-    def pairs(a: pd.Series, x: pd.Series, b: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series(_block_pairs(a, x, b, y, threshold), dtype=object)
-
-    met = left.join(right, cells).repartition(F.col("a")[0], F.col("b")[0])
-    return met.select(F.explode(pairs("a", "x", "b", "y")).alias("p")).select("p.*")
+    shape = unit.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("unit")).alias("d")).first()
+    n, most = shape["n"], block or max(TILE, BLOCK_BYTES // (8 * (shape["d"] or 1)))
+    busy = math.ceil(math.sqrt(6 * unit.sparkSession.sparkContext.defaultParallelism))
+    blocks = max(1, math.ceil(n / most), min(busy, n // TILE))
+    own, other = F.pmod(F.xxhash64(F.col(key)), F.lit(blocks)), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    dealt = unit.select(F.col(key).alias("id"), "unit", own.cast("int").alias("own"), other.alias("other"))
+    # cells (i, j) with i <= j are numbered along their rows
+    i, j = F.least("own", "other"), F.greatest("own", "other")
+    cell = (i * blocks - F.floor(i * (i - 1) / 2) + j - i).cast("int")
+    met = dealt.select(cell.alias("cell"), (F.col("own") > F.col("other")).alias("second"), (F.col("own") == F.col("other")).alias("same"), "id", "unit")
+    met = met.repartitionById(blocks * (blocks + 1) // 2, "cell").sortWithinPartitions("cell")
+    return met.mapInArrow(lambda batches: _cell_pairs(batches, threshold), f"left_id {ids}, right_id {ids}, cosine double")
+
+
+def similar_links(vectors: DataFrame, threshold: float = THRESHOLD, key: str = "image_id", vector: str = "embedding") -> DataFrame:
+    """Links (u, v) that give the same components as ``similar_pairs``: equal vectors are linked to the least of them, which alone meets others."""
+    if threshold > 1 - 1e-9:  # the rounded cosine of equal vectors may be less
+        return similar_pairs(vectors, threshold, key, vector).select(F.col("left_id").alias("u"), F.col("right_id").alias("v"))
+    known = vectors.where(F.col(key).isNotNull()).select(key, vector)
+    least = saved(known.groupBy(vector).agg(F.min(key).alias(key), F.count(F.lit(1)).alias("n")), "distinct")
+    copies = known.join(least.where("n > 1").select(vector, F.col(key).alias("v")), vector).where(F.col(key) != F.col("v")).select(F.col(key).alias("u"), "v")
+    pairs = similar_pairs(least.select(key, vector), threshold, key, vector)
+    return copies.unionByName(pairs.select(F.col("left_id").alias("u"), F.col("right_id").alias("v")))
 
 
 def bands(rows: int, threshold: float, recall: float) -> tuple[int, int]:

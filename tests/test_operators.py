@@ -607,3 +607,15 @@ def test_a_pinned_row_is_one_row_when_metadata_repeats_its_id(spark):
     pinned = spark.createDataFrame(pins, "image_id string, license_uri string, attribution string, landing_url string")
     got = sorted((r["image_id"], r["reason"]) for r in eligibility.pinned_failures(pinned, metadata).collect())
     assert got == [("a", "OPEN_IMAGES_PIN_PROVENANCE_MISMATCH"), ("b", "OPEN_IMAGES_PIN_PROVENANCE_MISMATCH"), ("c", "OPEN_IMAGES_PIN_MISSING")]
+
+
+def test_equal_vectors_are_links_to_one_and_pairs_of_strings_keep_their_order(spark):
+    rng = random.Random(7)
+    own = [[rng.gauss(0, 1) for _ in range(6)] for _ in range(40)]
+    rows = [(f"v{k:03}", own[k % 40 if k < 60 else 0]) for k in range(300)] + [(None, own[1])]
+    df = spark.createDataFrame(rows, "image_id string, embedding array<double>")
+    pairs = [(r[0], r[1]) for r in similarity.similar_pairs(df, 0.8, block=90).select("left_id", "right_id").collect()]
+    assert all(a < b for a, b in pairs) and len(set(pairs)) == len(pairs) > 240 * 239 / 2
+    links = [(r["u"], r["v"]) for r in similarity.similar_links(df, 0.8).collect()]
+    assert groups_of(links) == groups_of(pairs)
+    assert len(links) <= 260 + 40 * 39 / 2
