@@ -174,8 +174,7 @@ def similar_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def visual_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Visual groups by near copies, with the hash of their sorted members."""
     v = _vectors(spark, sf_dir)
-    near = similarity.similar_pairs(v, 0.40)
-    roots = components.components(near.select(F.col("left_id").alias("u"), F.col("right_id").alias("v")))
+    roots = components.components(similarity.similar_links(v, 0.40))
     return similarity.group_ids(v.select("image_id"), roots)
 
 
