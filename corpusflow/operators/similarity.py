@@ -183,8 +183,8 @@ def visual_groups(images: DataFrame, vectors: DataFrame | None = None, threshold
     edges = edges.unionByName(key_edges(declared, "image_id", F.col("g")))
     if vectors is not None:
         known = vectors.join(images.select("image_id").distinct(), "image_id", "left_semi")
-        near = similar_pairs(known, threshold) if recall is None else banded_pairs(known, threshold, recall)
-        edges = edges.unionByName(near.select(F.col("left_id").alias("u"), F.col("right_id").alias("v")))
+        near = similar_links(known, threshold) if recall is None else banded_pairs(known, threshold, recall).select(F.col("left_id").alias("u"), F.col("right_id").alias("v"))
+        edges = edges.unionByName(near)
     return group_ids(images.select("image_id"), components(edges))
 
 
