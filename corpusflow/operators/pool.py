@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+import zlib
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import asdict, dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -50,22 +54,53 @@ def candidate(turns: Column) -> dict[str, Column]:
     }
 
 
+#: Characters of the list of rows that travel as one compressed chunk.
+CHUNK = 1 << 22
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The JSON of a partition's rows in order, comma-joined, as compressed chunks (part, place, chunk)."""
+    part, place, held, size = None, 0, [], 0
+
+    def closed() -> pa.RecordBatch:
+        packed = zlib.compress(",".join(held).encode("utf-8"), 1)
+        return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([place], pa.int64()), pa.array([packed], pa.binary())], ["part", "place", "chunk"])
+
+    for batch in batches:
+        for part, j in zip(batch.column("part").to_pylist(), batch.column("j").to_pylist(), strict=True):  # noqa: B007
+            held.append(j)
+            size += len(j) + 1
+            if size >= CHUNK:
+                yield closed()
+                place, held, size = place + 1, [], 0
+    if held:
+        yield closed()
+
+
+def _digest(chunks: Iterator[Row]) -> Iterator[str]:
+    """The hash of the list whose chunks come in order."""
+    digest, first = hashlib.sha256(b"["), True
+    for row in chunks:
+        digest.update((b"" if first else b",") + zlib.decompress(row["chunk"]))
+        first = False
+    digest.update(b"]")
+    yield digest.hexdigest()
+
+
 def pool_hash(pool: DataFrame) -> str:
     """Identity of the whole pool in order of id: one hash over the list of rows.
 
-    The order of a hash over everything is sequential by definition; rows go through the
-    driver as a stream in order of id and only the digest is kept.
+    Rows are sorted and written as JSON in ranges of ids. The order of a hash over everything
+    is sequential by definition, so the chunks of these ranges (about 4 MB, compressed) pass in
+    order through one running hash in a task; only the digest reaches the driver.
     """
-    import hashlib
-
     require_unique(pool, "conversation_id", "DUPLICATE_POOL_ID")
     row = json_column(**{c: F.col(c).cast("string") for c in POOL})
-    digest, first = hashlib.sha256(b"["), True
-    for r in pool.select("conversation_id", row.alias("j")).orderBy("conversation_id").toLocalIterator(prefetchPartitions=True):
-        digest.update((b"" if first else b",") + r["j"].encode("utf-8"))
-        first = False
-    digest.update(b"]")
-    return digest.hexdigest()
+    ranged = pool.select(*POOL).repartitionByRange("conversation_id").sortWithinPartitions("conversation_id")
+    chunks = ranged.select(F.spark_partition_id().alias("part"), row.alias("j")).mapInArrow(_chunks, "part int, place long, chunk binary")
+    # rows of an RDD reach Python in batches by size, not by number
+    found = chunks.repartition(1).sortWithinPartitions("part", "place").select("chunk").rdd.mapPartitions(_digest).collect()
+    return found[0] if found else hashlib.sha256(b"[]").hexdigest()
 
 
 def bounds(pool: DataFrame, by: str, caps: dict[str, int]) -> DataFrame:

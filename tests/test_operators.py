@@ -619,3 +619,18 @@ def test_equal_vectors_are_links_to_one_and_pairs_of_strings_keep_their_order(sp
     links = [(r["u"], r["v"]) for r in similarity.similar_links(df, 0.8).collect()]
     assert groups_of(links) == groups_of(pairs)
     assert len(links) <= 260 + 40 * 39 / 2
+
+
+def test_the_hash_of_a_pool_passes_in_chunks_and_not_through_the_driver(spark, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    def refused(*_, **__):
+        raise AssertionError("rows of the pool reach the driver")
+
+    monkeypatch.setattr(pool, "CHUNK", 300)
+    monkeypatch.setattr(DataFrame, "toLocalIterator", refused)
+    rows = [(f"c{k:04}", "en", f"i{k}", "g", "f", 'quote " and é', "p", "training") for k in range(500)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in pool.POOL))
+    want = hashing.canonical_hash([dict(zip(pool.POOL, r, strict=True)) for r in rows])
+    assert pool.pool_hash(df.repartition(5)) == want
+    assert pool.pool_hash(df.limit(0)) == hashing.canonical_hash([])
