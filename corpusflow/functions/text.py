@@ -6,9 +6,12 @@ import json
 import math
 import re
 import unicodedata
+from array import array
 from typing import Any
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +21,8 @@ TERMINAL = ".!?。！？ "
 ECHO_LEAST = 80
 REASON_LENGTH = 240
 _TOKEN = re.compile(r"\w+|[^\w\s]")
+#: Texts whose tokens are Python objects at a time.
+_TEXTS = 64
 _TOKENS = T.ArrayType(T.StructType([T.StructField("index", T.IntegerType()), T.StructField("text", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 
 
@@ -155,10 +160,30 @@ def not_blank(text: Column) -> Column:
     return F.coalesce(text.rlike(r"(?U)\S"), F.lit(False))
 
 
-@F.pandas_udf(_TOKENS)
-def tokens(texts: pd.Series) -> pd.Series:
-    """Tokens with offsets: an array of (index, text, start, end), in one pass over a text; null texts have none (null)."""
-    return pd.Series([None if t is None else [(k, m[0], m.start(), m.end()) for k, m in enumerate(_TOKEN.finditer(t))] for t in texts], dtype=object)
+def _token_lists(texts: list[str | None]) -> pa.Array:
+    """Tokens of a few texts, as one array of lists."""
+    index, start, end, words, ends, none = array("i"), array("i"), array("i"), [], array("i", [0]), []
+    for t in texts:
+        for k, m in enumerate(_TOKEN.finditer(t or "")):
+            index.append(k)
+            start.append(m.start())
+            end.append(m.end())
+            words.append(m[0])
+        ends.append(len(words))
+        none.append(t is None)
+    number = lambda a: pa.array(np.frombuffer(a, np.int32) if len(a) else [], pa.int32())
+    fields = pa.StructArray.from_arrays([number(index), pa.array(words, pa.string()), number(start), number(end)], ["index", "text", "start", "end"])
+    return pa.ListArray.from_arrays(number(ends), fields, mask=pa.array(none, pa.bool_()))
+
+
+@F.arrow_udf(_TOKENS)
+def tokens(texts: pa.Array) -> pa.Array:
+    """Tokens with offsets: an array of (index, text, start, end), in one pass over a text; null texts have none (null).
+
+    A batch is worked through in pieces, so that Python holds the tokens of a few texts at a time and Arrow the others.
+    """
+    lists = [_token_lists(texts.slice(k, _TEXTS).to_pylist()) for k in range(0, len(texts), _TEXTS)]
+    return pa.concat_arrays(lists) if lists else _token_lists([])
 
 
 def bind_span(text: Column, found: Column, first: Column, last: Column) -> Column:

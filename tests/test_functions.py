@@ -173,3 +173,19 @@ def test_what_the_jvm_proves_is_strict_and_hard_cases_go_to_python(spark):
     assert not any(plain for e, plain in got.values() if e is not None) and got[3][1]
     flat = spark.range(500).selectExpr("concat('{\"id\": ', id, ', \"words\": [\"a\", ', id, '], \"s\": \"x, {y}\"}') as p")
     assert flat.where(~text.plainly_strict(flat["p"])).count() == 0
+
+
+def test_tokens_of_a_batch_are_not_held_as_python_objects():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    words = [" ".join(f"w{k}x{i}" for i in range(100)) for k in range(5000)]
+    batch = pa.array([*words, None, ""])
+    tracemalloc.start()
+    out = text.tokens.func(batch)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20_000_000
+    assert len(out) == 5002 and out[5000].as_py() is None and out[5001].as_py() == []
+    assert out[7].as_py()[99] == {"index": 99, "text": "w7x99", "start": words[7].index("w7x99"), "end": len(words[7])}
