@@ -634,3 +634,17 @@ def test_the_hash_of_a_pool_passes_in_chunks_and_not_through_the_driver(spark, m
     want = hashing.canonical_hash([dict(zip(pool.POOL, r, strict=True)) for r in rows])
     assert pool.pool_hash(df.repartition(5)) == want
     assert pool.pool_hash(df.limit(0)) == hashing.canonical_hash([])
+
+
+def test_agreeing_computations_meet_as_numbers_and_not_as_sorted_lexemes(spark):
+    lex = "struct<value: string, decimal_separator: string, group_separator: string, unit: string>"
+    n = lambda v, unit=None, group=None: (v, ".", group, unit)
+    rows = [(k, c, "multiply", [n("2"), x], r) for k, x, r, cs in [
+        (1, n("3", "m"), n("6", "m"), ("MET", "MET")), (2, n("3"), n("7"), ("MET", "MET")), (3, n("3"), n("6"), ("MET", None)), (4, n("1,000", None, ","), n("2000"), ("MET", "MET")), (5, n("3"), n("6"), ("MET",)),
+    ] for c in cs]
+    rows += [(6, "MET", "multiply", [n("2"), n("3")], n("6")), (6, "MET", "multiply", [n("3"), n("2")], n("6"))]
+    rows += [(7, "MET", "multiply", [n("2"), n("3")], ("6", ".", None, "x")), (7, "MET", "multiply", [n("2"), n("3")], ("6", ".", "x", None))]
+    df = spark.createDataFrame(rows, f"key long, coverage string, operation string, operands array<{lex}>, reported_result {lex}")
+    out = rules.verify_computations(df)
+    assert {r["key"]: r["verdict"] for r in out.collect()} == {1: "MET", 2: "NOT_MET", 3: "UNKNOWN", 4: "MET", 5: "UNKNOWN", 6: "UNKNOWN", 7: "UNKNOWN"}
+    assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
