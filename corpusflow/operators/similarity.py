@@ -20,6 +20,8 @@ from corpusflow.session import saved
 THRESHOLD = 0.95
 #: Blocks of vectors that meet in one task, and tiles of them that meet in one matrix product, whose candidates are verified in parts.
 BLOCK_BYTES, TILE, CANDIDATES = 1 << 24, 512, 1 << 16
+#: Signs of a sketch, rows that meet a row by chance under each code, and rows that are coded at a time.
+SKETCH, CHANCE, CODED = 128, 16, 256
 
 
 def checked_vectors(vectors: DataFrame, key: str = "image_id", vector: str = "embedding") -> DataFrame:
@@ -137,29 +139,51 @@ def bands(rows: int, threshold: float, recall: float) -> tuple[int, int]:
     return signs, max(1, math.ceil(math.log(1 - recall) / math.log(1 - min(agree**signs, 1 - 1e-12))))
 
 
+def sketch_cut(threshold: float, miss: float, bits: int = SKETCH) -> int:
+    """Most bits in which sketches differ: a pair at the threshold differs in more with probability ``miss`` at most."""
+    q = math.acos(max(-1.0, min(1.0, threshold))) / math.pi
+    tail, cut = 0.0, bits
+    while cut > 0 and tail + math.comb(bits, cut) * q**cut * (1 - q) ** (bits - cut) <= miss:
+        tail += math.comb(bits, cut) * q**cut * (1 - q) ** (bits - cut)
+        cut -= 1
+    return cut
+
+
 def banded_pairs(vectors: DataFrame, threshold: float = THRESHOLD, recall: float = 0.95, key: str = "image_id", vector: str = "embedding", seed: int = SEED) -> DataFrame:
     """Pairs (left_id < right_id, cosine) of cosine at least ``threshold``: each is found with probability ``recall`` or more.
 
-    Codes of signs by random planes are joined, the pairs that meet are made once and verified exactly. Work
-    follows the rows and the pairs that meet, not all pairs; planes depend on the seed alone. Meant for
-    thresholds of about 0.8 and more: below, codes that keep the recall become too many.
+    Codes of signs by random planes are joined. Codes are a little shorter than it takes to number the rows, so
+    that few are needed; what meets by chance is dropped inside the join by a sketch of ``SKETCH`` more signs, and
+    only the pairs left fetch their vectors and are verified exactly. Codes and sketch may each lose half of what
+    ``recall`` allows. Work follows the rows and the pairs that meet, not all pairs; planes depend on the seed alone.
+    Meant for thresholds of about 0.8 and more: below, codes that keep the recall become too many.
     """
     unit = saved(checked_vectors(vectors, key, vector), "unit")
     first = unit.select(F.size("unit").alias("d")).first()
     if first is None:
         return similar_pairs(vectors, threshold, key, vector)
-    signs, codes = bands(unit.count(), threshold, recall)
-    planes = np.random.default_rng(seed).standard_normal((first["d"], codes * signs))
+    miss = (1 - recall) / 2
+    signs, codes = bands(unit.count() // CHANCE, threshold, 1 - miss)
+    cut = sketch_cut(threshold, miss)
+    planes = np.random.default_rng(seed).standard_normal((first["d"], codes * signs + SKETCH))
     powers = 1 << np.arange(signs, dtype=np.int64)
-
-    @F.pandas_udf("array<long>")
-    def coded(units: pd.Series) -> pd.Series:
-        side = (np.stack(units) @ planes > 0).reshape(len(units), codes, signs)
-        return pd.Series(list(side @ powers), dtype=object)
-
-    dealt = saved(unit.select(F.col(key).alias("id"), F.posexplode(coded("unit")).alias("band", "code")), "codes")
-    left, right = dealt.withColumnRenamed("id", "left_id"), dealt.withColumnRenamed("id", "right_id")
-    met = left.join(right, ["band", "code"]).where("left_id < right_id").select("left_id", "right_id").distinct()
+    named = np.arange(codes, dtype=np.int64) << signs
+
+    @F.pandas_udf("codes array<long>, sketch array<long>")
+    def coded(units: pd.Series) -> pd.DataFrame:
+        found, sketches = [], []
+        for k in range(0, len(units), CODED):
+            side = np.stack(units[k : k + CODED]) @ planes > 0
+            found += list(side[:, : codes * signs].reshape(len(side), codes, signs) @ powers + named)
+            sketches += list(np.packbits(side[:, codes * signs :], axis=1).view(np.int64))
+        return pd.DataFrame({"codes": found, "sketch": sketches})
+
+    marked = saved(unit.select(F.col(key).alias("id"), coded("unit").alias("c")).select("id", "c.codes", "c.sketch"), "codes")
+    words = [F.col("sketch")[k].alias(f"s{k}") for k in range(SKETCH // 64)]
+    dealt = marked.select("id", *words, F.explode("codes").alias("code"))
+    left, right = (dealt.select("code", F.col("id").alias(f"{side}_id"), *[F.col(f"s{k}").alias(f"{side}{k}") for k in range(SKETCH // 64)]) for side in ("left", "right"))
+    differ = "+".join(f"bit_count(left{k} ^ right{k})" for k in range(SKETCH // 64))
+    met = left.join(right, "code").where(F.expr(f"left_id < right_id and {differ} <= {cut}")).select("left_id", "right_id").distinct()
     x, y = unit.select(F.col(key).alias("left_id"), F.col("unit").alias("x")), unit.select(F.col(key).alias("right_id"), F.col("unit").alias("y"))
     cosine = F.aggregate(F.zip_with("x", "y", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
     return met.join(x, "left_id").join(y, "right_id").select("left_id", "right_id", cosine.alias("cosine")).where(F.col("cosine") >= threshold)

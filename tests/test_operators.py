@@ -648,3 +648,16 @@ def test_agreeing_computations_meet_as_numbers_and_not_as_sorted_lexemes(spark):
     out = rules.verify_computations(df)
     assert {r["key"]: r["verdict"] for r in out.collect()} == {1: "MET", 2: "NOT_MET", 3: "UNKNOWN", 4: "MET", 5: "UNKNOWN", 6: "UNKNOWN", 7: "UNKNOWN"}
     assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_pairs_with_like_sketches_fetch_their_vectors(spark):
+    import numpy as np
+
+    near = 1 - np.arccos(0.9) / np.pi
+    rng = np.random.default_rng(3)
+    differing = rng.binomial(similarity.SKETCH, 1 - near, 1_000_000)
+    assert (differing > similarity.sketch_cut(0.9, 1e-3)).mean() < 2e-3
+    assert (rng.binomial(similarity.SKETCH, 0.5, 100_000) <= similarity.sketch_cut(0.9, 1e-7 / 2)).mean() < 0.01
+    assert similarity.sketch_cut(1.0, 1e-7) == 0 and similarity.sketch_cut(-1.0, 1e-7) == similarity.SKETCH
+    signs, codes = similarity.bands(1_200_000 // similarity.CHANCE, 0.9, 1 - 1e-7 / 2)
+    assert codes < 0.6 * similarity.bands(1_200_000, 0.9, 1 - 1e-7)[1]
