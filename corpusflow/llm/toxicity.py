@@ -8,20 +8,24 @@ and a linear layer turns these into a log-odds.
 
 from __future__ import annotations
 
+import copy
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from zlib import crc32
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusflow.llm.common import bounded_sample, free_name, held_out
+from corpusflow.llm.common import bounded_sample, free_name, held_out, saved
 
-#: The model is fitted on at most this many labelled rows of each class, by rank of a hash.
+#: At most this many labelled rows of each class, by rank of a hash, start the model on the driver.
 TRAIN_ROWS_PER_CLASS = 2500
+#: Passes over all labelled rows where there are more, rows of a shard, rows read at a time, buckets that travel together.
+PASSES, SHARD, _READ, _BLOCK = 2, 8192, 1024, 1024
 THRESHOLD = 0.7
 BUCKETS, DIM, WIDTHS, FILTERS = 1 << 17, 8, (1, 2, 3), 4
 EPOCHS, BATCH, RATE = 8, 64, 0.05
@@ -81,6 +85,7 @@ class ConvText:
             for k in range(0, len(order), BATCH):
                 take = order[k : k + BATCH]
                 self._step([docs[i] for i in take], labels[take], weight[take], parts, sums)
+        self._sums = sums
         return self
 
     def _start(self, docs: list[np.ndarray], labels: np.ndarray, parts: np.ndarray) -> None:
@@ -235,15 +240,20 @@ class ConvText:
         weights = np.ones(len(labels)) if weights is None else np.asarray(weights, float)
         if self.constant is not None or not len(labels) or labels.min() == labels.max():
             return self
-        z = self.raw(texts).astype(float)
-        spread = z.std() + 1e-9
-        u, a, b = (z - z.mean()) / spread, 1.0, 0.0
-        soft = np.where(labels == 1, (labels.sum() + 1) / (labels.sum() + 2), 1 / ((1 - labels).sum() + 2))
+        return self.calibrate_values(self.raw(texts).astype(float), labels, langs, weights, np.ones(len(labels)))
+
+    def calibrate_values(self, z: np.ndarray, labels: np.ndarray, langs: list[str | None], weights: np.ndarray, times: np.ndarray) -> ConvText:
+        """``calibrate`` by log-odds ``z``, each of which is that of ``times`` rows; labels are of both classes."""
+        mean = np.average(z, weights=times)
+        spread = np.sqrt(np.average((z - mean) ** 2, weights=times)) + 1e-9
+        u, a, b = (z - mean) / spread, 1.0, 0.0
+        positive, negative = (labels * times).sum(), ((1 - labels) * times).sum()
+        soft = np.where(labels == 1, (positive + 1) / (positive + 2), 1 / (negative + 2))
         for _ in range(60):
             p = 1 / (1 + np.exp(-np.clip(a * u + b, -30, 30)))
-            w = p * (1 - p) + 1e-9
+            w, off = times * (p * (1 - p) + 1e-9), times * (p - soft)
             h = np.array([[(w * u * u).sum() + 1e-6, (w * u).sum()], [(w * u).sum(), w.sum() + 1e-6]])
-            step = np.linalg.solve(h, [((p - soft) * u).sum(), (p - soft).sum()])
+            step = np.linalg.solve(h, [(off * u).sum(), off.sum()])
             step *= min(1.0, 2.0 / (np.abs(step).max() + 1e-12))
             a, b = a - step[0], b - step[1]
         self.scale = a / spread if a > 0 else 1.0
@@ -252,7 +262,7 @@ class ConvText:
         self.shift = float(np.log(THRESHOLD / (1 - THRESHOLD)) - self.scale * cut)
         for lang in sorted({x for x in langs if x}):
             own = np.array([x == lang for x in langs])
-            if own.sum() >= 20 and 0 < labels[own].sum() < own.sum():
+            if times[own].sum() >= 20 and 0 < labels[own].sum() < own.sum():
                 low, high, f1 = best_gap(z[own], labels[own], weights[own])
                 general = f1_at(z[own] >= cut, labels[own], weights[own])
                 # few rows leave a wide gap: stay at its end that is nearer to the general cut
@@ -277,11 +287,68 @@ def best_gap(z: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[floa
     return float(s[k + 1] if k + 1 < len(s) else s[k] - 1.0), float(s[k]), float(f1[k])
 
 
+def _shard(batches: Iterator[pd.DataFrame], shared: Broadcast, weight: dict[int, float]) -> Iterator[pd.DataFrame]:
+    """What a pass over a shard's rows (text, y) changes in the model: rows (block, rows, delta); block -1 is all but the embeddings."""
+    start, sums = shared.value
+    model, sums, rows = copy.deepcopy(start), [x.copy() for x in sums], 0
+    for batch in batches:
+        for k in range(0, len(batch), _READ):
+            part = batch.iloc[k : k + _READ]
+            vocab: dict[str, int] = {}
+            docs = [np.fromiter((vocab.setdefault(w, len(vocab)) for w in words_of(t)), np.int32) for t in part["text"]]
+            parts, y = parts_table(vocab or [""]), part["y"].to_numpy(np.float32)
+            own = np.array([weight[int(v)] for v in y], np.float32)
+            for i in range(0, len(docs), BATCH):
+                model._step(docs[i : i + BATCH], y[i : i + BATCH], own[i : i + BATCH], parts, sums)
+            rows += len(part)
+    if rows:
+        blocks = np.split(model.emb - start.emb, range(_BLOCK, BUCKETS, _BLOCK))
+        yield pd.DataFrame({"block": range(len(blocks)), "rows": rows, "delta": [x.tobytes() for x in blocks]})
+        yield pd.DataFrame({"block": [-1], "rows": [rows], "delta": [(_others(model) - _others(start)).tobytes()]})
+
+
+def _others(model: ConvText) -> np.ndarray:
+    return np.concatenate([*(c.ravel() for c in model.conv), model.out, [model.bias]]).astype(np.float32)
+
+
+def _mean_change(shards: pd.DataFrame) -> pd.DataFrame:
+    """The mean change of a block by rows; that of a bucket over the shards that changed it, so that rare words count in full."""
+    block, width = int(shards["block"].iloc[0]), DIM if shards["block"].iloc[0] >= 0 else 1
+    total = count = 0
+    for rows, delta in zip(shards["rows"], shards["delta"], strict=True):
+        change = np.frombuffer(delta, np.float32).reshape(-1, width).astype(float)
+        met = rows * (change.any(axis=1, keepdims=True) if block >= 0 else np.ones((len(change), 1)))
+        total, count = total + met * change, count + met
+    return pd.DataFrame({"block": [block], "delta": [(total / np.maximum(count, 1)).astype(np.float32).tobytes()]})
+
+
+def _pass(model: ConvText, sums: list[np.ndarray], rows: DataFrame, shards: int, weight: dict[int, float]) -> ConvText:
+    """The model after one pass over all ``rows`` (id, text, y): each shard goes on from it, and the changes are averaged on Spark."""
+    shared = rows.sparkSession.sparkContext.broadcast((model, sums))
+    order = F.xxhash64("id", F.lit("order"))
+    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")).repartitionById(shards, "shard").sortWithinPartitions(order, "id")
+    changes = dealt.select("text", "y").mapInPandas(lambda batches: _shard(batches, shared, weight), "block int, rows long, delta binary")
+    means = {r["block"]: np.frombuffer(r["delta"], np.float32) for r in changes.groupBy("block").applyInPandas(_mean_change, "block int, delta binary").collect()}
+    out = copy.deepcopy(model)
+    others = _others(model) + means.pop(-1)
+    for b, delta in means.items():
+        out.emb[b * _BLOCK : (b + 1) * _BLOCK] += delta.reshape(-1, DIM)
+    at = 0
+    for x in (*out.conv, out.out):
+        x[...] = others[at : at + x.size].reshape(x.shape)
+        at += x.size
+    out.bias = float(others[at])
+    shared.destroy()
+    return out
+
+
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS_PER_CLASS) -> ConvText:
-    """Fit on labelled rows of ``docs`` that aren't held out, at most ``rows`` of each class.
+    """Fit on all labelled rows of ``docs`` that aren't held out.
 
-    A fifth of the sample (by hash) calibrates scores and thresholds and isn't trained on.
-    Without labels the score is 0 for all; with labels of one class it is that class.
+    At most ``rows`` of each class start the model on the driver; where there are more, ``PASSES`` passes
+    over all of them follow on Spark, in shards of about ``SHARD`` rows. A fifth of the rows (by hash)
+    calibrates scores and thresholds and isn't trained on: all of that fifth, as counts of log-odds
+    rounded to thousandths. Without labels the score is 0 for all; with labels of one class it is that class.
     """
     lab = labels.select(F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("__y")).where("__y in (0, 1)").groupBy("__id").agg(F.max("__y").alias("__y"))
     lab = lab.where(~held_out(F.col("__id")))
@@ -289,14 +356,40 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS_PER_CLASS)
     picked = bounded_sample(lab, "__id", "__y", rows)
     # of an id with several texts the first counts, so that repeated rows can't swell the sample
     one = F.min(F.struct("text", "lang", "__y")).alias("one")
-    got = docs.select(F.col("doc_id").alias("__id"), "text", "lang").join(F.broadcast(picked), "__id").groupBy("__id").agg(one).select("__id", "one.*").orderBy("__id").collect()
+    named = docs.select(F.col("doc_id").alias("__id"), "text", "lang")
+    got = named.join(F.broadcast(picked), "__id").groupBy("__id").agg(one).select("__id", "one.*").orderBy("__id").collect()
     fold = np.array([crc32(b"fold%d" % r["__id"]) % 5 == 0 for r in got], bool)
     y = np.array([r["__y"] for r in got], np.float32)
     stands_for = np.array([whole[r["__y"]] / min(rows, whole[r["__y"]]) for r in got])
     fitted, apart = ([(r["text"], r["lang"]) for r, f in zip(got, fold, strict=True) if f == side] for side in (False, True))
     got.clear()
     model = ConvText().fit([t for t, _ in fitted], y[~fold])
-    return model.calibrate([t for t, _ in apart], y[fold], [lang for _, lang in apart], stands_for[fold])
+    if model.constant is not None or max(whole.values()) <= rows:
+        return model.calibrate([t for t, _ in apart], y[fold], [lang for _, lang in apart], stands_for[fold])
+
+    known = named.join(lab, "__id").groupBy("__id").agg(one).select(F.col("__id").alias("id"), "one.text", "one.lang", F.col("one.__y").alias("y"))
+    known = saved(known.withColumn("fold", F.crc32(F.concat(F.lit("fold"), F.col("id").cast("string")).cast("binary")) % 5 == 0), "labelled")
+    counts = {r["y"]: r["n"] for r in known.where("not fold").groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n, sums = sum(counts.values()), model._sums
+    for _ in range(PASSES):
+        model = _pass(model, sums, known.where("not fold").select("id", "text", "y"), max(1, -(-n // SHARD)), {k: 0.5 * n / v for k, v in counts.items()})
+    z = F.round(raw_scores(known, model), 3)
+    apart = known.where("fold").select(z.alias("z"), "y", "lang").groupBy("z", "y", "lang").agg(F.count(F.lit(1)).alias("n")).orderBy("z", "y", "lang").toPandas()
+    both, times = apart["y"].to_numpy(float), apart["n"].to_numpy(float)
+    if not len(both) or both.min() == both.max():
+        return model
+    return model.calibrate_values(apart["z"].to_numpy(float), both, apart["lang"].tolist(), times, times)
+
+
+def raw_scores(docs: DataFrame, model: ConvText, text: str = "text") -> Column:
+    """Column expression: the model's log-odds of a text column before calibration."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf(T.DoubleType())
+    def raw(texts: pd.Series) -> pd.Series:
+        return pd.Series(shared.value.raw(texts.tolist()).astype(float))
+
+    return raw(docs[text])
 
 
 def scores(docs: DataFrame, model: ConvText, text: str = "text") -> Column:

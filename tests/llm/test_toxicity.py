@@ -155,3 +155,21 @@ def test_a_step_goes_against_the_numeric_gradient(monkeypatch):
     up = loss()
     model.bias = before[3] - 1e-5
     assert np.isclose((up - loss()) / 2e-5, -moved, atol=1e-4)
+
+
+def test_rows_beyond_the_first_sample_train_the_model_too(spark):
+    rows = corpus(900)
+    # forms that no row of the sample has
+    late = [(10_000 + k, f"{rows[k][1]} quxxo{'abc'[k % 3]}", "en", 1) for k in range(0, 900, 2) if not rows[k][3]]
+    every = rows + late
+    docs = spark.createDataFrame([(i, t, lang, "s", 0) for i, t, lang, _ in every], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, 1, y) for i, _, _, y in every], "doc_id long, quality int, toxic int")
+    model = toxicity.train(docs, labels, rows=40)
+    again = toxicity.train(docs.repartition(3), labels.repartition(2), rows=40)
+    truth = [(t, y) for i, t, _, y in every if crc32(str(i).encode()) % 3 == 1]
+    right = np.mean([(p >= 0.7) == y for p, (_, y) in zip(model.score([t for t, _ in truth]), truth, strict=True)])
+    few = [(t, y) for i, t, _, y in every if crc32(str(i).encode()) % 3 != 1][:80]
+    small = toxicity.ConvText().fit([t for t, _ in few], np.array([y for _, y in few]))
+    assert right > 0.9
+    assert not np.allclose(small.emb, model.emb)
+    assert np.allclose(model.score([t for t, _ in truth]), again.score([t for t, _ in truth]), atol=1e-4)
