@@ -188,20 +188,67 @@ def crowded(pairs: DataFrame, dense: int, max_bits: int = MAX_BITS) -> DataFrame
     return saved(joined_by_hot_key(keyed, full.withColumn("rows", F.col("n")), "key", "rows"), "crowded")
 
 
-def _compared(rows: DataFrame, others: DataFrame, max_bits: int, node_bits: int) -> DataFrame:
-    """Links of ``rows`` (key, fp, p, root) with the few nodes ``others`` (key, n, others: fp, p, root) of their key, of other roots if these are known."""
+def _masked(rows: DataFrame, others: DataFrame, most: int, max_bits: int, node_bits: int) -> DataFrame:
+    """``rows`` (key, fp, p) with the ``others`` (at most ``most``: fp, p; ``n`` rows) of their key and bits m0, m1, ... (64 in each) that say which of these are near."""
     met = joined_by_hot_key(rows, others, "key", "n")
-    near = F.filter("others", lambda o: (o["fp"] != F.col("fp")) & ~o["root"].eqNullSafe(F.col("root")) & (F.bit_count(o["p"].bitwiseXOR(F.col("p"))) <= max_bits) & (F.bit_count(o["fp"].bitwiseXOR(F.col("fp"))) <= node_bits))
-    return met.select(F.col("fp").alias("u"), F.explode(near).alias("o")).select("u", F.col("o.fp").alias("v")).distinct()
+    near = lambda o: (o["fp"] != F.col("fp")) & (F.bit_count(o["p"].bitwiseXOR(F.col("p"))) <= max_bits) & (F.bit_count(o["fp"].bitwiseXOR(F.col("fp"))) <= node_bits)
+    none = F.struct(F.lit(0).cast("long").alias("m"), F.lit(1).cast("long").alias("bit"))
+    seen = lambda a, o: F.struct(F.when(near(o), a["m"].bitwiseOR(a["bit"])).otherwise(a["m"]).alias("m"), F.shiftleft(a["bit"], 1).alias("bit"))
+    bits = [F.aggregate(F.slice("others", k + 1, 64), none, seen, lambda a: a["m"]).alias(f"m{k // 64}") for k in range(0, most, 64)]
+    return met.select(*rows.columns, "others", *bits)
+
+
+def _unmasked(masked: DataFrame, others: DataFrame, by: str) -> DataFrame:
+    """Links of the nodes ``by`` with all others that any row of their key and ``by`` is near to: bits meet in a hash aggregation, so rows don't become pairs."""
+    bits = [c for c in masked.columns if c[0] == "m"]
+    met = masked.groupBy("key", by).agg(*[F.bit_or(m).alias(m) for m in bits]).where(" or ".join(f"{m} <> 0" for m in bits)).join(others, "key")
+    near = F.filter("others", lambda o, i: F.getbit(F.get(F.array(*bits), F.shiftright(i, 6)), i % 64) == 1)
+    return met.select(F.col(by).alias("u"), F.explode(near).alias("o")).select("u", F.col("o.fp").alias("v"))
 
 
 def hub_links(many: DataFrame, max_bits: int = MAX_BITS, node_bits: int = SHINGLE_BITS) -> DataFrame:
-    """Links of the nodes of crowded keys with ``HUBS`` nodes of their key, picked by hashes: a cheap pass that joins most of what belongs together."""
+    """Links of the nodes of crowded keys with ``HUBS`` nodes of their key, picked by hashes: a cheap pass that joins most of what belongs together.
+
+    A node is linked with the first hub that it is near to, and that hub with the node's
+    others, which is said once for a key: the components are those of all such links, and a
+    row of ``many`` gives one link at most.
+    """
     hub = F.struct(F.xxhash64("fp", F.lit(0)).alias("h"), "fp", "p")
     picked = [F.min(hub.withField("h", F.xxhash64("fp", F.lit(seed)))) for seed in range(HUBS)]
-    hubs = many.groupBy("key").agg(F.max("n").alias("n"), F.array_distinct(F.array(*picked)).alias("hubs"))
-    others = F.transform("hubs", lambda x: F.struct(x["fp"].alias("fp"), x["p"].alias("p"), x["fp"].alias("root")))
-    return _compared(many.select("key", "fp", "p", F.col("fp").alias("root")), hubs.select("key", "n", others.alias("others")), max_bits, node_bits)
+    hubs = many.groupBy("key").agg(F.max("n").alias("n"), F.array(*picked).alias("hubs"))
+    hubs = saved(hubs.select("key", "n", F.array_distinct(F.transform("hubs", lambda x: F.struct(x["fp"].alias("fp"), x["p"].alias("p")))).alias("others")), "hubs")
+    met = _masked(many.select("key", "fp", "p"), hubs, HUBS, max_bits, node_bits).where("m0 <> 0")
+    met = saved(met.select("key", "fp", F.expr("others[bit_count((m0 & -m0) - 1)].fp").alias("hub"), "m0"), "met")
+    between = _unmasked(met.where("m0 & (m0 - 1) <> 0").select("key", "hub", "m0"), hubs, "hub").where("u <> v")
+    return met.select(F.col("fp").alias("u"), F.col("hub").alias("v")).unionByName(between).distinct()
+
+
+def forest(fps: np.ndarray, ps: np.ndarray, max_bits: int, node_bits: int) -> np.ndarray:
+    """A spanning forest of the near ones of a few nodes: for each its parent's place, or -1."""
+    fps, ps = fps.view(np.uint64), ps.view(np.uint64)
+    parent, new = np.full(len(fps), -1, dtype=np.int32), np.ones(len(fps), dtype=bool)
+    for start in range(len(fps)):
+        todo = [start] if new[start] else []
+        new[start] = False
+        while todo:
+            x = todo.pop()
+            near = np.flatnonzero(new & (np.bitwise_count(ps ^ ps[x]) <= max_bits) & (np.bitwise_count(fps ^ fps[x]) <= node_bits))
+            new[near], parent[near] = False, x
+            todo += near.tolist()
+    return parent
+
+
+def _forest_links(outside: DataFrame, max_bits: int, node_bits: int) -> DataFrame:
+    """Links between ``others`` (fp, p, root) of different roots in each row: those of a forest, so fewer than there are others."""
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def parents(fps: pd.Series, ps: pd.Series) -> pd.Series:
+        return pd.Series([forest(np.array(a, dtype=np.int64), np.array(b, dtype=np.int64), max_bits, node_bits) for a, b in zip(fps, ps, strict=True)], dtype=object)
+
+    found = outside.select("others", parents(F.col("others")["fp"], F.col("others")["p"]).alias("parents"))
+    joined = F.transform("others", lambda o, i: F.struct(o["fp"].alias("u"), o["root"].alias("root"), F.get("others", F.get("parents", i)).alias("parent")))
+    between = F.filter(joined, lambda x: x["root"] != x["parent"]["root"])
+    return found.select(F.explode(between).alias("e")).select("e.u", F.col("e.parent.fp").alias("v"))
 
 
 def stray_links(many: DataFrame, roots: DataFrame, max_bits: int = MAX_BITS, node_bits: int = SHINGLE_BITS, stray: int = STRAY) -> DataFrame:
@@ -209,10 +256,11 @@ def stray_links(many: DataFrame, roots: DataFrame, max_bits: int = MAX_BITS, nod
 
     A key whose nodes are in one component already needs no look. Elsewhere each link
     between components has an end outside of the key's largest one. Where at most ``stray``
-    nodes are outside, these are compared with all nodes of the key. Where there are more, nodes
+    nodes are outside, these are compared with all nodes of the key; of what is found, a link for
+    each that is near to the largest component and a forest of those outside remain. Where there are more, nodes
     are dealt by three of ``FINE_BLOCKS`` blocks of their own fingerprint, of which a pair at
     most ``SHINGLE_BITS`` apart has three in common, and in each such part the nodes outside are
-    compared with the others. Both find every link, so ``stray`` changes the work, not the result.
+    compared with the others. Both lead to the same components, so ``stray`` changes the work, not the result.
     """
     placed = saved(joined_by_hot_key(many.withColumnRenamed("n", "size"), _root_of(many, roots), "fp", "times").withColumnRenamed("size", "n"), "placed")
     sizes = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"), F.max("n").alias("n"))
@@ -224,8 +272,9 @@ def stray_links(many: DataFrame, roots: DataFrame, max_bits: int = MAX_BITS, nod
     rows = saved(joined_by_hot_key(placed.drop("n"), keys.withColumn("rows", F.col("n")), "key", "rows"), "rows")
 
     small = rows.where(F.col("outside") <= stray)
-    outside = small.where("root <> top").groupBy("key").agg(F.max("n").alias("n"), F.collect_list(F.struct("fp", "p", "root")).alias("others"))
-    direct = _compared(small.select("key", "fp", "p", "root"), outside, max_bits, node_bits)
+    outside = saved(small.where("root <> top").groupBy("key").agg(F.max("n").alias("n"), F.collect_list(F.struct("fp", "p", "root")).alias("others")), "outside")
+    met = _masked(small.where("root = top").select("key", "fp", "p", "root"), outside, max(1, min(most, stray)), max_bits, node_bits)
+    direct = _unmasked(met.drop("others", "fp", "p"), outside, "root").unionByName(_forest_links(outside, max_bits, node_bits)).distinct()
     if most <= stray:
         return direct
 

@@ -239,6 +239,46 @@ def test_links_between_components_are_all_found(spark):
         assert groups(find) == groups(lambda x: got.get(simhash._signed(x), simhash._signed(x)))
 
 
+def test_links_of_a_crowded_key_grow_with_its_nodes(spark):
+    """All nodes near each other: the hubs, and the search between components, give links in proportion to the nodes."""
+    rng, base = random.Random(4), 0x0123456789ABCDEF
+    prints = {base}
+    while len(prints) < 200:
+        prints.add(base ^ sum(1 << b for b in rng.sample(range(64), 5)))
+    order = sorted(prints)
+    many = simhash.crowded(spark.createDataFrame([(simhash._signed(x), 5) for x in order], "fp long, words long"), 16)
+    found = simhash.hub_links(many)
+    assert found.distinct().count() == found.count() <= len(order) + 28
+    assert simhash.components(found).where("root = (%d)" % min(map(simhash._signed, order))).count() == len(order)
+
+    # as if no links were known but those of half of the nodes with each other
+    half = spark.createDataFrame([(simhash._signed(x), simhash._signed(order[0])) for x in order[:100]], "node long, root long")
+    more = simhash.stray_links(many, half)
+    assert more.count() <= 2 * len(order)
+    joined = simhash.components(half.selectExpr("node as u", "root as v").unionByName(more).unionByName(half.selectExpr("root as u", "node as v")))
+    assert joined.count() == len(order) and joined.select("root").distinct().count() == 1
+
+
+def test_the_forest_joins_what_is_near():
+    import numpy as np
+
+    rng = random.Random(6)
+    fps = [rng.getrandbits(64) for _ in range(40)]
+    fps += [x ^ (1 << 63) ^ 7 for x in fps[:20]] + [x ^ (0xFF << 20) for x in fps[:10]]
+    ps = [-1 if i % 7 else 5 for i in range(len(fps))]
+    parent = simhash.forest(np.array([simhash._signed(x) for x in fps]), np.array(ps), 4, 11)
+
+    def near(i, j):
+        return (fps[i] ^ fps[j]).bit_count() <= 11 and ps[i] == ps[j]
+
+    assert all(p == -1 or near(i, p) for i, p in enumerate(parent))
+    top = list(range(len(fps)))
+    for _ in fps:
+        top = [top[i] if p == -1 else top[p] for i, p in enumerate(parent)]
+    assert all(top[i] == top[j] for i, j in combinations(range(len(fps)), 2) if near(i, j))
+    assert 0 < sum(p >= 0 for p in parent) < len(fps)
+
+
 def test_more_blocks_give_the_same_links(spark):
     rng = random.Random(5)
     prints = set()
