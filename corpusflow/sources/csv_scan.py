@@ -86,6 +86,7 @@ def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
 
     A header that lacks one of ``columns``, repeats a name or differs between files, and a row
     with more or fewer fields, are errors; that of a row names the first such row's file and line.
+    Records in one line come in the order in which a task reads them, those with line breaks inside after them.
     """
     rows = records(spark, path)
     heads = rows.groupBy("file").agg(F.min(F.struct("line", "text")).alias("h")).select("file", F.col("h.line").alias("head"), F.regexp_replace("h.text", "^﻿", "").alias("text"))
@@ -101,7 +102,10 @@ def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     # an empty field is an empty string, not a null
     options = {"quote": '"', "escape": '"', "nullValue": "\0", "emptyValue": "", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad", "maxCharsPerColumn": "-1"}
     shape = T.StructType([*schema.fields, T.StructField("__bad", T.StringType())])
-    parsed = rows.join(heads.select(F.col("file").alias("__file"), "head"), (F.col("file") == F.col("__file")) & (F.col("line") == F.col("head")), "left_anti")
+    # one short row for each file: the records stay where they were read, in their order
+    tops = heads.select(F.col("file").alias("__file"), "head")
+    tops = F.broadcast(tops) if sum(r["n"] for r in found) <= SPLITS else tops
+    parsed = rows.join(tops, (F.col("file") == F.col("__file")) & (F.col("line") == F.col("head")), "left_anti")
     parsed = parsed.withColumn("row", F.from_csv("text", _ddl(shape), options))
     bad = parsed.where("row.__bad is not null").agg(F.min(F.struct("file", "line")).alias("b")).first()["b"]
     if bad is not None:

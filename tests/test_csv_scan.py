@@ -76,3 +76,9 @@ def test_many_splits_meet_in_a_shuffle(spark, splits, tmp_path, monkeypatch):
     rows = [[str(n), "two\nlines" if n % 3 else "one"] for n in range(900)]
     (tmp_path / "m.csv").write_text(written([["ImageID", "T"], *rows]))
     assert sorted(tuple(r) for r in readers.read_metadata(spark, str(tmp_path), ["ImageID"]).collect()) == sorted(map(tuple, rows))
+
+
+def test_records_stay_in_the_order_of_their_file(spark, tmp_path):
+    rows = [[str(n), f'say "{n}"' if n % 3 else ""] for n in range(300)]
+    (tmp_path / "m.csv").write_text(written([["ImageID", "T"], *rows]))
+    assert [list(r) for r in readers.read_metadata(spark, str(tmp_path / "m.csv"), ["ImageID", "T"]).collect()] == rows
