@@ -52,11 +52,17 @@ def joined_by_hot_key(rows: DataFrame, facts: DataFrame, key: str, count: str) -
 
     Values with more than 1 of ``HOT_PARTS`` parts of all rows, of which there are fewer than
     ``HOT_PARTS``, are broadcast, so that none of them lands in one task; the others meet in
-    a shuffle. The column ``count`` is dropped, and rows without a fact too.
+    a shuffle. Where all values are of one kind there is one join, so that the driver plans
+    and broadcasts nothing for the other. The column ``count`` is dropped, and rows without a fact too.
     """
-    total = facts.agg(F.sum(count)).first()[0] or 0
-    hot = facts.where(F.col(count) > total / HOT_PARTS).drop(count)
-    rest = facts.where(F.col(count) <= total / HOT_PARTS).drop(count)
+    total, most, least = facts.agg(F.sum(count), F.max(count), F.min(count)).first()
+    bound = (total or 0) / HOT_PARTS
+    if (most or 0) <= bound:
+        return rows.join(facts.drop(count), key)
+    if least > bound:
+        return rows.join(F.broadcast(facts.drop(count)), key)
+    hot = facts.where(F.col(count) > bound).drop(count)
+    rest = facts.where(F.col(count) <= bound).drop(count)
     spread = rows.join(F.broadcast(hot), key)
     dealt = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(rest, key)
     return spread.unionByName(dealt)

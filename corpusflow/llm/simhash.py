@@ -45,6 +45,8 @@ WORD_DENSE, HUBS = 16, 8
 FINE_BLOCKS = SHINGLE_BITS + 3
 #: Nodes outside of a key's largest component that are compared with all its nodes; more are dealt by fine blocks.
 STRAY = 364
+#: Up to so many links between components are joined on the driver, in the same way; more are joined in rounds on Spark.
+FEW_LINKS = 8192
 _CHUNK = 1 << 16
 
 
@@ -123,11 +125,22 @@ def _dealt(prints: DataFrame, keys: list[int]) -> DataFrame:
     return prints.select("fp", "p", dealt.alias("d")).select("fp", "p", F.col("d.i").alias("i"), F.col("d.k").alias("k"))
 
 
-def _counts(by: DataFrame) -> DataFrame:
-    return by.groupBy("i", "k").agg(F.count(F.lit(1)).alias("n"))
+def _keys(blocks: int, max_bits: int) -> list[int]:
+    masks = _block_masks(blocks)
+    return [sum(masks[b] for b in c) for c in combinations(range(blocks), blocks - max_bits)]
+
 
+def full_keys(prints: DataFrame, dense: int, max_bits: int = MAX_BITS, blocks: int | None = None, key: str = "fp") -> DataFrame:
+    """The keys (i, k) that more than ``dense`` of ``prints`` share, and their number ``n``: counted by partial aggregation, never gathered."""
+    if blocks is None:
+        blocks = blocks_for(prints.count(), max_bits)
+    by = _dealt(prints.select("fp", F.col(key).alias("p")), _keys(blocks, max_bits))
+    return saved(by.groupBy("i", "k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > dense), "full")
 
-def links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int | None = None, dense: int = DENSE, key: str = "fp", node_bits: int | None = None) -> DataFrame:
+
+def links(
+    prints: DataFrame, max_bits: int = MAX_BITS, blocks: int | None = None, dense: int = DENSE, key: str = "fp", node_bits: int | None = None, full: DataFrame | None = None
+) -> DataFrame:
     """Links ``u``, ``v`` between the nodes ``fp`` of ``prints`` whose ``key`` columns differ in at most ``max_bits`` bits.
 
     By default a node is its own key, and ``fp`` has no repeats: any two fingerprints at most
@@ -143,27 +156,28 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int | None = None
     meet in such a midpoint and no others do, so the links are the same, and the rows grow
     with the number of fingerprints, not of pairs.
 
-    With ``node_bits`` keys shared by over ``dense`` are left out here and are the business of ``crowded_links``.
+    With ``node_bits`` keys shared by over ``dense`` are left out here and are the business of ``hub_links`` and ``stray_links``.
+    A caller that has ``full_keys`` of the same prints, blocks and ``dense`` gives them as ``full``.
     """
-    prints = prints.select("fp", F.col(key).alias("p"))
     if blocks is None:
         blocks = blocks_for(prints.count(), max_bits)
+    full = full_keys(prints, dense, max_bits, blocks, key) if full is None else full
     masks, take = _block_masks(blocks), blocks - max_bits
-    combos = list(combinations(range(blocks), take))
-    keys = [sum(masks[b] for b in c) for c in combos]
-    by = _dealt(prints, keys)
-    crowded = saved(_counts(by).where(F.col("n") > dense).select("i", "k"), "crowded")
+    combos, keys = list(combinations(range(blocks), take)), _keys(blocks, max_bits)
+    by = _dealt(prints.select("fp", F.col(key).alias("p")), keys)
 
-    few = by.join(crowded, ["i", "k"], "left_anti")
+    # without such keys the driver neither plans nor broadcasts for them
+    plain = full.isEmpty()
+    few = by if plain else by.join(full.select("i", "k"), ["i", "k"], "left_anti")
     left, right = few.select("i", "k", F.col("fp").alias("u"), F.col("p").alias("x")), few.select(F.col("i").alias("i2"), F.col("k").alias("k2"), F.col("fp").alias("v"), F.col("p").alias("y"))
     equal = "+".join(f"case when (x ^ y) & {_signed(m)}L = 0 and {b} <= element_at(array({','.join(str(c[-1]) for c in combos)}), i + 1) then 1 else 0 end" for b, m in enumerate(masks))
     near_nodes = F.lit(True) if node_bits is None else F.expr(f"bit_count(u ^ v) <= {node_bits}")
     on = (F.col("i") == F.col("i2")) & (F.col("k") == F.col("k2")) & (F.col("u") < F.col("v")) & F.expr(f"bit_count(x ^ y) <= {max_bits}") & near_nodes & F.expr(f"{equal} = {take}")
     pairs = left.join(right.hint("merge"), on).select("u", "v")
 
-    if node_bits is not None:
+    if plain or node_bits is not None:
         return pairs
-    many = by.join(crowded, ["i", "k"])
+    many = by.join(full.select("i", "k"), ["i", "k"])
 
     flips = []
     for k in keys:
@@ -178,14 +192,15 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int | None = None
     return pairs.unionByName(through)
 
 
-def crowded(pairs: DataFrame, dense: int, max_bits: int = MAX_BITS) -> DataFrame:
-    """Rows (fp, p, key) of the word keys that more than ``dense`` of ``pairs`` (fp, words) share, and their number ``n``."""
-    blocks = blocks_for(pairs.count(), max_bits)
-    masks = _block_masks(blocks)
-    by = _dealt(pairs.select("fp", F.col("words").alias("p")), [sum(masks[b] for b in c) for c in combinations(range(blocks), blocks - max_bits)])
+def crowded(pairs: DataFrame, dense: int, max_bits: int = MAX_BITS, blocks: int | None = None, full: DataFrame | None = None) -> DataFrame:
+    """Rows (fp, p, key) of the word keys that more than ``dense`` of ``pairs`` (fp, words) share (``full``), and their number ``n``."""
+    if blocks is None:
+        blocks = blocks_for(pairs.count(), max_bits)
+    full = full_keys(pairs, dense, max_bits, blocks, "words") if full is None else full
+    by = _dealt(pairs.select("fp", F.col("words").alias("p")), _keys(blocks, max_bits))
     keyed = by.select("fp", "p", F.struct("i", "k").alias("key"))
-    full = saved(_counts(by).where(F.col("n") > dense).select(F.struct("i", "k").alias("key"), "n"), "full")
-    return saved(joined_by_hot_key(keyed, full.withColumn("rows", F.col("n")), "key", "rows"), "crowded")
+    named = full.select(F.struct("i", "k").alias("key"), "n", F.col("n").alias("rows"))
+    return saved(joined_by_hot_key(keyed, named, "key", "rows"), "crowded")
 
 
 def _masked(rows: DataFrame, others: DataFrame, most: int, max_bits: int, node_bits: int) -> DataFrame:
@@ -334,6 +349,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def _through_crowded(edges: DataFrame, many: DataFrame, max_bits: int) -> DataFrame:
+    """Components (node, root) of ``edges`` and of the links in the crowded keys ``many``."""
+    roots = saved(components(edges.unionByName(hub_links(many, max_bits))), "roots")
+    more = saved(stray_links(many, roots, max_bits), "more")
+    if more.isEmpty():
+        return roots
+    # what was found joins whole components, so only their roots are looked at again
+    joined = components(_between(more, roots), small=FEW_LINKS)
+    over = joined.select(F.col("node").alias("root"), F.col("root").alias("over"))
+    return roots.join(over, "root", "left").select("node", F.coalesce("over", "root").alias("root")).unionByName(joined.join(roots, "node", "left_anti"))
+
+
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS, dense: int = DENSE, word_dense: int = WORD_DENSE) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the document of smallest id.
 
@@ -350,15 +377,14 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_bi
     own = saved(docs.select(prints.alias("r")).select("r.doc_id", "r.own", "r.p.fp", "r.p.words"), "prints")
     nodes, pairs = _nodes(own), saved(own.select("fp", "words").distinct(), "pairs")
     by_shingles = links(nodes.select("fp"), max_bits, dense=dense)
-    by_words = links(pairs, max_bits, dense=word_dense, key="words", node_bits=SHINGLE_BITS)
-    many = crowded(pairs, word_dense, max_bits)
-    edges = saved(by_shingles.unionByName(by_words).unionByName(hub_links(many, max_bits)), "links")
-    roots = saved(components(edges), "roots")
-    more = saved(stray_links(many, roots, max_bits), "more")
-    if more.limit(1).count():
-        # what was found joins whole components, so only their roots are looked at again
-        joined = components(_between(more, roots))
-        roots = roots.join(joined.select(F.col("node").alias("root"), F.col("root").alias("over")), "root", "left").select("node", F.coalesce("over", "root").alias("root")).unionByName(joined.join(roots, "node", "left_anti"))
+    # word keys are counted once, for the plain pairs and for the crowded keys
+    blocks = blocks_for(pairs.count(), max_bits)
+    full = full_keys(pairs, word_dense, max_bits, blocks, "words")
+    edges = by_shingles.unionByName(links(pairs, max_bits, blocks, word_dense, "words", SHINGLE_BITS, full))
+    if full.isEmpty():
+        roots = saved(components(edges), "roots")
+    else:
+        roots = _through_crowded(edges, crowded(pairs, word_dense, max_bits, blocks, full), max_bits)
     found = _with_component(own.select("doc_id", "own", "fp"), nodes, roots)
     gone_id, gone_text = free_name(docs, "gone_id"), free_name(docs, "gone_text")
     gone = saved(found.where("component_id is not null and (doc_id is null or doc_id <> component_id)").select(F.col("doc_id").alias(gone_id), F.col("own").alias(gone_text)).distinct(), "gone")

@@ -303,3 +303,29 @@ def test_hot_keys_join_like_others(spark):
     facts = rows.groupBy("k").count().selectExpr("k", "count as n", "k * 10 as v")
     got = joined_by_hot_key(rows, facts, "k", "n")
     assert got.count() == 6000 and got.where("v <> k * 10").count() == 0 and set(got.columns) == {"k", "id", "v"}
+
+
+def test_keys_of_one_kind_join_once(spark):
+    """Hot keys alone, or none: one join, not three; the driver has less to plan and to broadcast."""
+    from corpusflow.llm.common import joined_by_hot_key
+
+    for k in ("id % 5", "id % 2000"):
+        rows = spark.range(6000).selectExpr("id", f"{k} as k")
+        facts = rows.groupBy("k").count().selectExpr("k", "count as n", "k * 10 as v")
+        got = joined_by_hot_key(rows, facts, "k", "n")
+        assert got.count() == 6000 and got.where("v <> k * 10").count() == 0 and set(got.columns) == {"k", "id", "v"}
+        assert got._jdf.queryExecution().analyzed().toString().count("Join ") == 1
+    assert joined_by_hot_key(rows, facts.limit(0), "k", "n").count() == 0
+
+
+def test_texts_without_crowded_keys_take_few_jobs(spark):
+    rng = random.Random(11)
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(30)) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts + texts[:5])), "doc_id long, text string")
+    spark.sparkContext.setJobGroup("few", "few")
+    try:
+        kept = sorted(r["doc_id"] for r in simhash.keep_one(docs).collect())
+    finally:
+        spark.sparkContext.setJobGroup("others", "others")
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("few"))
+    assert kept == list(range(40)) and jobs <= 50, jobs
